@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parlance.operators import frequency as FQ
 from parlance.operators import lines as L
 from parlance.sources import corpus as C
 
@@ -41,3 +42,31 @@ def q_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = L.parse_lines(L.raw_lines(corpus.chunks))
     return parsed.select(F.col("file_id").alias("conv_id"), "line_index", "raw_index",
                          "speaker", "ts", "text")
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def fx_lines(spark: SparkSession, sf_dir: str, style: str = "labelled"):
+    corpus = fx_corpus(spark, sf_dir, style)
+    return corpus, L.parse_lines(L.raw_lines(corpus.chunks))
+
+
+def document_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FQ.corpus_lexicon(_table(spark, sf_dir, "documents"), min_count=3)
+
+
+@register("lexicon")
+def q_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """relative and scaled-log frequency per (lang, word) over all documents."""
+    return document_lexicon(spark, sf_dir)
+
+
+@register("word_freq")
+def q_word_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagship — C21 / J2 / E5 / F4: mean log word frequency per transcript and role."""
+    corpus, lines = fx_lines(spark, sf_dir)
+    units = FQ.role_word_counts(lines, corpus.files)
+    out = FQ.mean_log_frequency(units, document_lexicon(spark, sf_dir))
+    return out.withColumnRenamed("file_id", "conv_id")

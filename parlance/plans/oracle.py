@@ -92,6 +92,74 @@ FX_LINES = raw_lines_cte("fx", FX_FIRST_LINE)
 FXR_LINES = raw_lines_cte("fxr", FXR_FIRST_LINE)
 
 
+NON_WORD = r"[^\p{L}\p{N}_\p{Z}\x09-\x0d\x1c-\x1f\x85]"
+LANG_CODES = "'UNKNOWN','zh','es','en','ko','it','ja','da','de','fr','yue','cn'"
+
+
+def words(x: str) -> str:
+    return (f"list_filter(regexp_split_to_array(regexp_replace(lower({x}), '{NON_WORD}', '', 'g'), "
+            f"'{WS}+'), lambda w: w <> '')")
+
+
+def dir_parts_nearest_first(path: str) -> str:
+    return f"list_reverse(list_slice(string_split({path}, '/'), 1, len(string_split({path}, '/')) - 1))"
+
+
+def lang_from_path(path: str) -> str:
+    return (f"coalesce(list_filter(list_transform({dir_parts_nearest_first(path)}, lambda p: "
+            f"CASE WHEN regexp_replace(p, '^Language[.]', '') IN ({LANG_CODES}) "
+            f"THEN regexp_replace(p, '^Language[.]', '') END), lambda x: x IS NOT NULL)[1], 'UNKNOWN')")
+
+
+def group_from_path(path: str) -> str:
+    return (f"coalesce(list_filter(list_transform({dir_parts_nearest_first(path)}, lambda p: "
+            f"CASE WHEN contains(upper(p), 'CHR') THEN 'CHR' WHEN contains(upper(p), 'HC') THEN 'HC' END),"
+            f" lambda x: x IS NOT NULL)[1], 'UNKNOWN')")
+
+
+def is_diary(x: str) -> str:
+    return f"(contains({x}, 'audioJournal') OR contains(lower({x}), 'diary'))"
+
+
+DOC_LEXICON = f"""
+doc_words AS (SELECT lang, unnest({words('text')}) AS word FROM documents),
+doc_counts AS (SELECT lang, word, count(*) AS cnt FROM doc_words GROUP BY lang, word),
+doc_totals AS (SELECT lang, sum(cnt) AS total FROM doc_counts GROUP BY lang),
+doc_lex AS (
+  SELECT lang, word, cnt, CAST(cnt AS DOUBLE) / CAST(total AS DOUBLE) AS frequency,
+         CAST(round(log10(cnt) * 10000) AS BIGINT) AS lg_e4
+  FROM doc_counts JOIN doc_totals USING (lang) WHERE cnt >= 3)"""
+
+FX_UNITS = f"""
+fx_w AS (SELECT conv_id, speaker, unnest({words('text')}) AS word FROM fx_lines),
+fx_pres AS (
+  SELECT conv_id, max(CASE WHEN speaker = 'PARTICIPANT' THEN 1 ELSE 0 END) AS has_p,
+         max(CASE WHEN speaker = 'INTERVIEWER' THEN 1 ELSE 0 END) AS has_i
+  FROM fx_lines GROUP BY conv_id),
+fx_meta AS (
+  SELECT conv_id, {lang_from_path('path')} AS lang, {is_diary('path')} AS diary, has_p, has_i
+  FROM fx_paths JOIN fx_pres USING (conv_id)),
+fx_units AS (
+  SELECT conv_id, 'Participant' AS speaker_role, lang, word FROM fx_w JOIN fx_meta USING (conv_id)
+  WHERE speaker = 'PARTICIPANT' OR has_p = 0 OR diary
+  UNION ALL
+  SELECT conv_id, 'Interviewer' AS speaker_role, lang, word FROM fx_w JOIN fx_meta USING (conv_id)
+  WHERE (speaker = 'INTERVIEWER' OR has_i = 0) AND NOT diary)"""
+
+WORD_FREQ = """
+fx_wf AS (
+  SELECT conv_id, speaker_role, u.lang, count(*) AS n_words, count(lg_e4) AS found,
+         sum(lg_e4) AS s
+  FROM fx_units u LEFT JOIN doc_lex l ON u.lang = l.lang AND u.word = l.word
+  GROUP BY conv_id, speaker_role, u.lang),
+fx_word_freq AS (
+  SELECT conv_id, speaker_role, lang, CAST(n_words AS BIGINT) AS n_words, CAST(found AS BIGINT) AS found,
+         CAST(n_words - found AS BIGINT) AS missing,
+         CASE WHEN found > 0 THEN CAST(s AS DOUBLE) / CAST(found * 10000 AS DOUBLE) END AS word_freq,
+         CAST(found * 100 AS DOUBLE) / CAST(n_words AS DOUBLE) AS coverage
+  FROM fx_wf)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes)
 
@@ -101,3 +169,9 @@ ORACLE: dict[str, str] = {}
 ORACLE["lines"] = with_(FX_LINES) + """
 SELECT conv_id, CAST(line_index AS BIGINT) AS line_index, CAST(raw_index AS BIGINT) AS raw_index,
        speaker, ts, text FROM fx_lines"""
+
+ORACLE["word_freq"] = with_(FX_FILES, FX_LINES, FX_UNITS, DOC_LEXICON, WORD_FREQ) + """
+SELECT * FROM fx_word_freq"""
+
+ORACLE["lexicon"] = with_(DOC_LEXICON) + """
+SELECT lang, word, CAST(cnt AS BIGINT) AS cnt, frequency, lg_e4 FROM doc_lex"""
