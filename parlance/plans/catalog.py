@@ -70,3 +70,214 @@ def q_word_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = FQ.role_word_counts(lines, corpus.files)
     out = FQ.mean_log_frequency(units, document_lexicon(spark, sf_dir))
     return out.withColumnRenamed("file_id", "conv_id")
+
+
+# --- metadata from names and paths (C1-C8, C20, C28, C29, E2) --------------------------
+
+from parlance.functions import metadata as M  # noqa: E402
+
+
+def fx_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return C.conversation_files(_conversations(spark, sf_dir)).withColumnRenamed("file_id", "conv_id")
+
+
+def _short_name(name, conv_id):
+    """The first ``conv_id % 7 + 1`` name tokens: names with missing fields."""
+    return F.array_join(F.slice(F.split(name, "_"), 1, (conv_id % 7 + 1).cast("int")), "_")
+
+
+@register("filename_fields")
+def q_filename_fields(spark, sf_dir):
+    """Patient id, type, day, session tokens (NULL when absent)."""
+    f = fx_files(spark, sf_dir).select("conv_id", _short_name(F.col("file_name"), F.col("conv_id")).alias("name"))
+    return f.select("conv_id", "name", M.patient_id("name").alias("patient_id"),
+                    M.transcript_type("name").alias("interview_type"), M.day("name").alias("day"),
+                    M.session("name").alias("session"),
+                    M.null_to_unknown(M.session("name")).alias("session_or_unknown"))
+
+
+@register("site_code")
+def q_site_code(spark, sf_dir):
+    """C2 + C5 + C20: site of a name, its languages, primary language and its name."""
+    f = fx_files(spark, sf_dir).select("conv_id", "file_name", M.site_code("file_name").alias("site"))
+    langs = M.site_languages("site")
+    return f.select("conv_id", "site", F.array_join(langs, ",").alias("site_languages"),
+                    M.site_primary_language("site").alias("primary_language"),
+                    M.language_name(M.site_primary_language("site")).alias("primary_language_name"))
+
+
+@register("clinical_group")
+def q_clinical_group(spark, sf_dir):
+    """Clinical group from the nearest ancestor folder."""
+    return fx_files(spark, sf_dir).select("conv_id", "path", M.clinical_group_from_path("path").alias("clinical_group"))
+
+
+@register("path_language")
+def q_path_language(spark, sf_dir):
+    """C4 + C20: language code (and name) from a ``Language.<code>`` or bare code folder."""
+    f = fx_files(spark, sf_dir).select("conv_id", M.language_from_path("path").alias("language"))
+    return f.select("conv_id", "language", M.language_name("language").alias("language_name"))
+
+
+@register("site_languages")
+def q_site_languages(spark, sf_dir):
+    """E2 + C24: is the folder language allowed at the site; resolved language."""
+    f = fx_files(spark, sf_dir).select("conv_id", M.site_code("file_name").alias("site"),
+                                       M.language_from_path("path").alias("language"))
+    return f.select("conv_id", "site", "language",
+                    F.array_contains(M.site_languages("site"), F.col("language")).alias("allowed"),
+                    M.resolve_language("language", "site").alias("resolved"))
+
+
+@register("diary_flags")
+def q_diary_flags(spark, sf_dir):
+    """C6a-c: diary by full path, by name, by path parts."""
+    f = fx_files(spark, sf_dir)
+    alt = F.when(F.col("conv_id") % 13 == 0, F.regexp_replace("path", "interviewAudioTranscript", "audioJournal")) \
+        .otherwise(F.col("path"))
+    f = f.select("conv_id", alt.alias("path"), M.basename(alt).alias("name"))
+    return f.select("conv_id", M.is_diary("path", "path").alias("diary_path"),
+                    M.is_diary("name", "name").alias("diary_name"),
+                    M.is_diary("path", "parts").alias("diary_parts"))
+
+
+def _type_label(conv_id, name):
+    """Interview-type labels as people type them, varied per transcript."""
+    t = M.transcript_type(name)
+    k = conv_id % 8
+    return (F.when(k == 0, F.concat(F.lit(" "), t, F.lit(" "))).when(k == 1, F.lit("Open-Ended"))
+            .when(k == 2, F.lit("psych")).when(k == 3, F.lit("OPEN_ENDED")).when(k == 4, F.upper(t))
+            .when(k == 5, F.lit(None).cast("string")).when(k == 6, F.lit("openend")).otherwise(t))
+
+
+@register("interview_types")
+def q_interview_types(spark, sf_dir):
+    """Type normalisation, pass-through and strict."""
+    f = fx_files(spark, sf_dir).select("conv_id", _type_label(F.col("conv_id"), F.col("file_name")).alias("label"))
+    return f.select("conv_id", "label", M.normalize_interview_type("label").alias("normalized"),
+                    M.normalize_interview_type("label", strict=True).alias("strict"))
+
+
+def _submission_name(conv_id, name):
+    """A name carrying ``submission<n>`` with 0-2 leading zeros and 1-5 digits."""
+    num = F.concat(F.repeat(F.lit("0"), (conv_id % 3).cast("int")), ((conv_id * 37) % 100000).cast("string"))
+    return F.regexp_replace(name, "_REDACTED", F.concat(F.lit("_submission"), num))
+
+
+@register("submissions")
+def q_submissions(spark, sf_dir):
+    """``submission<n>`` zero-padded to at least four digits."""
+    f = fx_files(spark, sf_dir).select("conv_id", _submission_name(F.col("conv_id"), F.col("file_name")).alias("name"))
+    return f.select("conv_id", "name", M.normalize_submission("name").alias("normalized"))
+
+
+@register("corrected_names")
+def q_corrected_names(spark, sf_dir):
+    """Swap the type token of a name (PSYCHS <-> OPEN)."""
+    f = fx_files(spark, sf_dir).select("conv_id", "file_name",
+                                       F.upper(M.transcript_type("file_name")).alias("old_type"))
+    new = F.when(F.col("old_type") == "PSYCHS", F.lit("OPEN")).otherwise(F.lit("PSYCHS"))
+    return f.select("conv_id", "old_type", new.alias("new_type"),
+                    M.corrected_name("file_name", "old_type", new).alias("new_name"))
+
+
+# --- speaker labels, roles, prompts, language (C10-C17, C22-C25, K1, K3) ------------------
+
+from parlance.operators import labels as LB  # noqa: E402
+from parlance.operators import models as MD  # noqa: E402
+
+
+def fx_raw(spark, sf_dir, style="labelled"):
+    corpus = fx_corpus(spark, sf_dir, style)
+    return corpus, L.raw_lines(corpus.chunks)
+
+
+@register("role_lines")
+def q_role_lines(spark, sf_dir):
+    """Participant and interviewer lines with their ordinal within the role."""
+    _, lines = fx_lines(spark, sf_dir)
+    r = L.role_line_ordinals(lines.where(F.col("speaker").isin("PARTICIPANT", "INTERVIEWER")))
+    return r.select(F.col("file_id").alias("conv_id"), "speaker", "line_index", "role_ordinal", "n_role_lines")
+
+
+@register("colon_fix")
+def q_colon_fix(spark, sf_dir):
+    """The raw lines the colon fix rewrites, and their new text."""
+    _, raw = fx_raw(spark, sf_dir)
+    return (LB.colon_fixes(raw).where("changed")
+            .select(F.col("file_id").alias("conv_id"), "raw_index", "fixed"))
+
+
+@register("cleaning_summary")
+def q_cleaning_summary(spark, sf_dir):
+    """files scanned / needing fixes / total fixes."""
+    _, raw = fx_raw(spark, sf_dir)
+    return LB.cleaning_summary(raw)
+
+
+@register("speaker_normalize")
+def q_speaker_normalize(spark, sf_dir):
+    """Per transcript with non-S1..S3 labels, the label map (simultaneous)."""
+    _, raw = fx_raw(spark, sf_dir, "raw")
+    m = LB.label_mapping(LB.line_labels(raw))
+    return m.select(F.col("file_id").alias("conv_id"), "original", "normalized")
+
+
+@register("original_labels")
+def q_original_labels(spark, sf_dir):
+    """C14 on both corpora: PARTICIPANT/INTERVIEWER, else the first S-label."""
+    outs = []
+    for style in ("labelled", "raw"):
+        _, raw = fx_raw(spark, sf_dir, style)
+        outs.append(LB.original_labels(raw).select(
+            F.col("file_id").alias("conv_id"), F.lit(style).alias("corpus"),
+            "participant_label", "interviewer_label"))
+    return outs[0].unionByName(outs[1])
+
+
+def _roles(spark, sf_dir):
+    corpus, raw = fx_raw(spark, sf_dir, "raw")
+    answers, roles = MD.classify_roles(raw)
+    return corpus, raw, answers, roles
+
+
+@register("roles_parsed")
+def q_roles_parsed(spark, sf_dir):
+    """K3 (built-in predictor) + C16: the answer and the original label of each role."""
+    _, _, answers, roles = _roles(spark, sf_dir)
+    wide = roles.groupBy("file_id").agg(
+        F.max(F.when(F.col("role") == "INTERVIEWER", F.col("original"))).alias("interviewer"),
+        F.max(F.when(F.col("role") == "PARTICIPANT", F.col("original"))).alias("participant"))
+    return answers.join(wide, "file_id", "left").select(
+        F.col("file_id").alias("conv_id"), "response", "interviewer", "participant")
+
+
+@register("roles_applied")
+def q_roles_applied(spark, sf_dir):
+    """Lines rewritten to ``ROLE:`` (diaries and unclassified files untouched)."""
+    corpus, raw, _, roles = _roles(spark, sf_dir)
+    interviews = corpus.files.where(~M.is_diary("path")).select("file_id")
+    roles = roles.join(interviews, "file_id", "left_semi")
+    out = LB.apply_roles(LB.line_labels(raw), roles).where("changed")
+    return out.select(F.col("file_id").alias("conv_id"), "raw_index", "raw")
+
+
+@register("prompts")
+def q_prompts(spark, sf_dir):
+    """Model prompts (role prompt over 5,000 normalised chars, type
+    prompt over 40,000 chars).  Rows-only check."""
+    _, raw = fx_raw(spark, sf_dir, "raw")
+    rp = MD.role_prompts(raw).select("file_id", F.lit("roles").alias("kind"), "system", "prompt")
+    tp = MD.type_prompts(raw, thinking="low").select("file_id", F.lit("type").alias("kind"), "system", "prompt")
+    return rp.unionByName(tp).withColumnRenamed("file_id", "conv_id")
+
+
+@register("language_resolved")
+def q_language_resolved(spark, sf_dir):
+    """K1 (built-in stop-word detector) + C22 + C23 + C24 + C25."""
+    corpus, lines = fx_lines(spark, sf_dir)
+    stop = MD.stopword_table(_table(spark, sf_dir, "documents"))
+    det = MD.builtin_language_detect(MD.language_sample(lines), stop)
+    sites = corpus.files.select("file_id", M.site_code("file_name").alias("site"))
+    out = MD.resolve_languages(det, sites)
+    return out.withColumnRenamed("file_id", "conv_id")
