@@ -281,3 +281,76 @@ def q_language_resolved(spark, sf_dir):
     sites = corpus.files.select("file_id", M.site_code("file_name").alias("site"))
     out = MD.resolve_languages(det, sites)
     return out.withColumnRenamed("file_id", "conv_id")
+
+
+# --- tagging: tokens, tallies, sentences, failures (C18, C19, F1-F3, F13, J3, J6, K2) -----
+
+from parlance.functions.tags import safe_names, ud_feature  # noqa: E402
+from parlance.constants import UD_FEATURE_KEYS  # noqa: E402
+from parlance.operators import tally as T  # noqa: E402
+
+
+def fx_tokens(spark, sf_dir):
+    corpus, lines = fx_lines(spark, sf_dir)
+    langs = T.tagging_languages(corpus.files).where(F.col("tagger").isNotNull())
+    units = T.tagging_units(lines, corpus.files).join(langs.select("file_id"), "file_id", "left_semi")
+    return corpus, lines, T.annotate(units)
+
+
+@register("tokens")
+def q_tokens(spark, sf_dir):
+    """J3 / K2 (built-in annotator): one row per token.  Rows-only check."""
+    _, _, toks = fx_tokens(spark, sf_dir)
+    return toks.withColumnRenamed("file_id", "conv_id")
+
+
+@register("ud_features")
+def q_ud_features(spark, sf_dir):
+    """The 11 morphological slots of every token."""
+    _, _, toks = fx_tokens(spark, sf_dir)
+    return toks.select(F.col("file_id").alias("conv_id"), "line_index", "sent_id", "word_id", "feats",
+                       *[ud_feature("feats", k).alias(f"f_{k.lower()}") for k in UD_FEATURE_KEYS])
+
+
+@register("tag_tally")
+def q_tag_tally(spark, sf_dir):
+    """Long tag counts per transcript and role."""
+    _, _, toks = fx_tokens(spark, sf_dir)
+    return T.tag_tally(toks).withColumnRenamed("file_id", "conv_id")
+
+
+@register("sentence_counts")
+def q_sentence_counts(spark, sf_dir):
+    """sentences and words per transcript and role."""
+    _, _, toks = fx_tokens(spark, sf_dir)
+    return T.sentence_counts(toks).withColumnRenamed("file_id", "conv_id")
+
+
+@register("tally_wide")
+def q_tally_wide(spark, sf_dir):
+    """F2 / B1 / B2: zero-filled wide tallies (102 tag columns, safe names) + num_sent."""
+    _, _, toks = fx_tokens(spark, sf_dir)
+    wide = T.tally_wide(T.tag_tally(toks))
+    out = wide.join(T.sentence_counts(toks).select("file_id", "speaker_role", "num_sent"),
+                    ["file_id", "speaker_role"], "inner")
+    return out.withColumnRenamed("file_id", "conv_id")
+
+
+def resolved_languages(spark, sf_dir, corpus, lines):
+    """Step-0 language (K1 + C24) as the folder language the tagger sees."""
+    stop = MD.stopword_table(_table(spark, sf_dir, "documents"))
+    det = MD.builtin_language_detect(MD.language_sample(lines), stop)
+    sites = corpus.files.select("file_id", M.site_code("file_name").alias("site"))
+    res = MD.resolve_languages(det, sites)
+    return corpus.files.select("file_id").join(res, "file_id", "left").select(
+        "file_id", F.coalesce("language", F.lit("UNKNOWN")).alias("language"), "tagger")
+
+
+@register("failures")
+def q_failures(spark, sf_dir):
+    """Failure log (language, no lines, empty output) for the tag step."""
+    corpus, lines = fx_lines(spark, sf_dir)
+    langs = resolved_languages(spark, sf_dir, corpus, lines)
+    ok = langs.where(F.col("tagger").isNotNull()).select("file_id")
+    units = T.tagging_units(lines, corpus.files).join(ok, "file_id", "left_semi")
+    return T.failures(corpus.files, langs, lines, T.annotate(units))

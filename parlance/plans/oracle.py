@@ -422,7 +422,7 @@ FROM full_lab l JOIN iv_roles r ON l.conv_id = r.conv_id AND l.label = r.origina
 
 TAGGER_CODES = ", ".join(f"'{c}'" for c in TAGGER_LANGUAGES)
 
-_LANG = with_(FX_META, FX_LINES, DOC_LEXICON) + f""",
+LANG_RES = f"""
 stop AS (SELECT lang, word FROM (
   SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY cnt DESC, word ASC) AS rk FROM doc_counts)
   WHERE rk <= 50),
@@ -440,8 +440,12 @@ mapped AS (
     CASE WHEN no_text THEN 'UNKNOWN' WHEN detected IN ('yue', 'zh', 'zh-hans', 'zh-hant') THEN 'cn'
          WHEN detected IN ({LANG_CODES}) THEN detected ELSE 'UNKNOWN' END AS mapped
   FROM det d JOIN fx_meta0 m USING (conv_id)),
-res AS (SELECT conv_id, site, detected, {resolve_lang('mapped', 'site')} AS language FROM mapped)
-SELECT conv_id, site, detected, language,
-  CASE WHEN language = 'cn' THEN 'detect' WHEN language IN ({TAGGER_CODES}) THEN language END AS tagger
-FROM res"""
-ORACLE["language_resolved"] = _LANG
+res AS (SELECT conv_id, site, detected, {resolve_lang('mapped', 'site')} AS language FROM mapped),
+res_t AS (
+  SELECT conv_id, site, detected, language,
+    CASE WHEN language = 'cn' THEN 'detect' WHEN language IN ({TAGGER_CODES}) THEN language END AS tagger
+  FROM res)"""
+ORACLE["language_resolved"] = with_(FX_META, FX_LINES, DOC_LEXICON, LANG_RES) + """
+SELECT * FROM res_t"""
+
+from parlance.plans import oracle_tags  # noqa: E402,F401  (registers the tagging SQL)
