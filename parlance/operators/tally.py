@@ -101,12 +101,18 @@ def sentence_counts(tokens: DataFrame) -> DataFrame:
 
 
 def tally_wide(tally: DataFrame, keys: tuple[str, ...] = ("file_id", "speaker_role")) -> DataFrame:
-    """one row per unit, one zero-filled column per vocabulary tag (safe names)."""
+    """one row per unit, one zero-filled column per vocabulary tag (safe names).
+
+    The long rows of a unit (at most one per vocabulary tag, so <= 102) are
+    gathered into a ``tag -> cnt`` map and the columns are map lookups: a small
+    aggregate instead of a 102-way pivot aggregate (which outgrows the
+    generated-code size limit and falls back to interpreted execution).
+    """
     names = safe_names()
-    mapping = F.create_map(*[x for t, n in names.items() for x in (F.lit(t), F.lit(n))])
-    long = tally.select(*keys, F.element_at(mapping, F.col("tag")).alias("col"), "cnt")
-    wide = long.groupBy(*keys).pivot("col", list(names.values())).agg(F.sum("cnt"))
-    return wide.select(*keys, *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names.values()])
+    per_unit = tally.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("tag", "cnt"))).alias("_m"))
+    return per_unit.select(*keys, *[F.coalesce(F.col("_m")[t], F.lit(0)).cast("bigint").alias(n)
+                                    for t, n in names.items()])
 
 
 def tagging_languages(files: DataFrame) -> DataFrame:

@@ -354,3 +354,260 @@ def q_failures(spark, sf_dir):
     ok = langs.where(F.col("tagger").isNotNull()).select("file_id")
     units = T.tagging_units(lines, corpus.files).join(ok, "file_id", "left_semi")
     return T.failures(corpus.files, langs, lines, T.annotate(units))
+
+
+# --- the feature table: status, init, fill, build (A4, B2, B3, E1, E4, E7, E8, G4, J4) -----
+
+from parlance.operators import feature_table as FT  # noqa: E402
+from parlance.functions.text import words  # noqa: E402
+from parlance.operators import verify as V  # noqa: E402
+
+
+def _status_rows(spark, sf_dir):
+    """Clinical-status CSV rows derived from the ``labels`` table, which covers
+    only some ids (so some transcripts fall back to their folder): the patient
+    id of the transcript with that id, a status as people type it (`` chr ``,
+    ``HC``, ``other``), and a later, overriding ``hc`` row where both labels are
+    set (last row wins)."""
+    lab = _table(spark, sf_dir, "labels")
+    d = F.col("doc_id")
+    pid = M.patient_id(C.conversation_file_name(d))
+    status = F.when(F.col("quality") == 1, " chr ").when(F.col("toxic") == 1, "HC").otherwise("other")
+    base = lab.select(pid.alias("patient_id"), status.alias("clinical_status"), (d * 2).alias("row_pos"))
+    again = lab.where((F.col("quality") == 1) & (F.col("toxic") == 1)).select(
+        pid.alias("patient_id"), F.lit("hc").alias("clinical_status"), (d * 2 + 1).alias("row_pos"))
+    return base.unionByName(again)
+
+
+@register("status_join")
+def q_status_join(spark, sf_dir):
+    """Status table (last row wins) joined to transcripts, folder fallback."""
+    files = fx_files(spark, sf_dir)
+    status = FT.status_table(_status_rows(spark, sf_dir))
+    groups = FT.clinical_groups(files.withColumnRenamed("conv_id", "file_id"), status)
+    return groups.withColumnRenamed("file_id", "conv_id")
+
+
+@register("init_table")
+def q_init_table(spark, sf_dir):
+    """B3 / J4 (organize step): metadata + original speaker labels + role rows."""
+    corpus, raw = fx_raw(spark, sf_dir, "raw")
+    lines = L.parse_lines(raw)
+    langs = resolved_languages(spark, sf_dir, corpus, lines)
+    meta = FT.file_metadata(corpus.files, langs)
+    _, roles = MD.classify_roles(raw)
+    return FT.init_table(meta, roles, LB.original_labels(raw))
+
+
+def _type_spelling(conv_id, name):
+    """The interview type as typed in a table: the name's type token in varied spellings."""
+    t = M.transcript_type(name)
+    k = conv_id % 4
+    return (F.when(k == 1, F.upper(t)).when(k == 2, F.concat(F.lit(" "), t, F.lit(" ")))
+            .when((k == 3) & (t == "open"), F.lit("OPEN_ENDED")).when((k == 3) & (t == "psychs"), F.lit("psych"))
+            .otherwise(t))
+
+
+def fx_table(spark, sf_dir):
+    """A feature table over the transcripts: two role rows per interview, one per diary."""
+    files = fx_files(spark, sf_dir)
+    cid = F.col("conv_id")
+    roles = F.when(M.is_diary("path"), F.array(F.lit("Participant"))) \
+        .otherwise(F.array(F.lit("Participant"), F.lit("Interviewer")))
+    t = files.select("conv_id", "file_name", "path", F.posexplode(roles).alias("pos", "speaker_role"))
+    return t.select((cid * 2 + F.col("pos")).cast("bigint").alias("row_index"), "file_name", "speaker_role",
+                    _type_spelling(cid, F.col("file_name")).alias("interview_type"))
+
+
+def fx_features(spark, sf_dir):
+    """Per (file_name, speaker_role): wide tallies, ``num_sent`` and ``word_freq`` text."""
+    corpus, lines, toks = fx_tokens(spark, sf_dir)
+    names = corpus.files.select("file_id", "file_name")
+    tally = T.tag_tally(toks).join(names, "file_id").drop("file_id")
+    sent = T.sentence_counts(toks).join(names, "file_id").select("file_name", "speaker_role", "num_sent")
+    units = FQ.role_word_counts(lines, corpus.files)
+    wf = FQ.mean_log_frequency(units, document_lexicon(spark, sf_dir)).join(names, "file_id") \
+        .select("file_name", "speaker_role", "word_freq")
+    stats = sent.join(wf, ["file_name", "speaker_role"], "left").select(
+        "file_name", "speaker_role", "num_sent", FT.word_freq_text(F.col("word_freq")).alias("word_freq"))
+    return corpus, FT.features_long_to_wide(tally, stats)
+
+
+@register("table_filled")
+def q_table_filled(spark, sf_dir):
+    """E7 (update mode): a preliminary table with its feature columns filled."""
+    _, feats = fx_features(spark, sf_dir)
+    return FT.fill_table(FT.empty_features(fx_table(spark, sf_dir)), feats)
+
+
+@register("new_table")
+def q_new_table(spark, sf_dir):
+    """E8 / H3 / B2 (new-table mode): tallies of both roles with transcript metadata."""
+    corpus, feats = fx_features(spark, sf_dir)
+    langs = corpus.files.select("file_id", M.language_from_path("path").alias("language"))
+    meta = FT.file_metadata(corpus.files, langs).drop("file_id", "path")
+    return meta.join(feats, "file_name").select(
+        "network", "language", "src_subject_id", "interview_type", "day", "interview_number",
+        F.lit("").alias("transcript_speaker_label"), "speaker_role",
+        *[c for c in feats.columns if c not in ("file_name", "speaker_role")], "file_name")
+
+
+# --- verify / fix (B8, B10-B12, D-5..D-9, E3, E9-E13, F8-F11, G2, G3, H1, H5, J5) ----------
+
+def _disk_name(conv_id, name):
+    return _submission_name(conv_id, name)
+
+
+def lookup_scenario(spark, sf_dir):
+    """Transcript files whose names carry submission numbers, and a table that
+    names them raw, normalised, or (``_copy``) not at all."""
+    files = fx_files(spark, sf_dir)
+    cid = F.col("conv_id")
+    disk = files.select("conv_id", F.concat("dir", F.lit("/"), _disk_name(cid, F.col("file_name"))).alias("path"))
+    base = M.basename("path")
+    tname = (F.when(cid % 9 == 4, F.regexp_replace(base, "[.]txt$", "_copy.txt"))
+             .when(cid % 2 == 0, M.normalize_submission(base)).otherwise(base))
+    table = fx_table(spark, sf_dir).join(disk.select("conv_id", tname.alias("tname")),
+                                         (F.col("row_index") / 2).cast("bigint") == F.col("conv_id")) \
+        .select("row_index", F.col("tname").alias("file_name"), "speaker_role", "interview_type")
+    return disk, table
+
+
+@register("semi_filter")
+def q_semi_filter(spark, sf_dir):
+    """E4 / D-2: transcripts named in the table (update mode restriction)."""
+    disk, table = lookup_scenario(spark, sf_dir)
+    return disk.join(table, M.basename("path") == F.col("file_name"), "left_semi").select("conv_id", "path")
+
+
+@register("file_lookup")
+def q_file_lookup(spark, sf_dir):
+    """E3 / G2 / B10 (flat copy, diary first): each named file once with its folder and source."""
+    disk, table = lookup_scenario(spark, sf_dir)
+    return V.flat_by_type(table, V.file_index(disk), mode="diary_first", normalized=True)
+
+
+@register("copy_summary")
+def q_copy_summary(spark, sf_dir):
+    """files per outcome of the flat copy."""
+    disk, table = lookup_scenario(spark, sf_dir)
+    return V.copy_summary(V.flat_by_type(table, V.file_index(disk), mode="diary_first", normalized=True))
+
+
+@register("missing_files")
+def q_missing_files(spark, sf_dir):
+    """Table names without a transcript file."""
+    disk, table = lookup_scenario(spark, sf_dir)
+    return V.missing_files(table, V.file_index(disk))
+
+
+@register("routed")
+def q_routed(spark, sf_dir):
+    """D-7 / D-8 / B8: split target of every row, type-first and diary-first."""
+    t = fx_table(spark, sf_dir)
+    a = V.route(t, "type_first").withColumnRenamed("target", "target_cli")
+    return V.route(a, "diary_first").withColumnRenamed("target", "target_flat") \
+        .select("row_index", "file_name", "target_cli", "target_flat")
+
+
+@register("split_counts")
+def q_split_counts(spark, sf_dir):
+    """rows per split."""
+    return V.split_counts(V.route(fx_table(spark, sf_dir), "type_first"))
+
+
+@register("flat_by_type")
+def q_flat_by_type(spark, sf_dir):
+    """B10 (verify step): each transcript once into its type folder (type first)."""
+    files = fx_files(spark, sf_dir)
+    return V.flat_by_type(fx_table(spark, sf_dir), V.file_index(files), mode="type_first", normalized=False)
+
+
+def _units(spark, sf_dir, mode="cli"):
+    files = fx_files(spark, sf_dir)
+    return V.verification_units(fx_table(spark, sf_dir), V.file_index(files), mode=mode)
+
+
+@register("units")
+def q_units(spark, sf_dir):
+    """F8 / E9 / D-6: one verification unit per interview file."""
+    return _units(spark, sf_dir)
+
+
+@register("units_misc")
+def q_units_misc(spark, sf_dir):
+    """D-5 variant: participant rows with an OPEN / PSYCHS label only."""
+    return _units(spark, sf_dir, "misc")
+
+
+def _verdicts(spark, sf_dir, mode="cli"):
+    corpus, raw = fx_raw(spark, sf_dir)
+    preds = MD.predict_types(raw).join(corpus.files.select("file_id", F.col("path").alias("source_path")), "file_id")
+    return V.verdicts(_units(spark, sf_dir, mode), preds)
+
+
+@register("verdicts")
+def q_verdicts(spark, sf_dir):
+    """K4 (built-in) + C17 + E13: expected vs predicted type per file."""
+    return _verdicts(spark, sf_dir)
+
+
+@register("mismatches")
+def q_mismatches(spark, sf_dir):
+    """One mismatch row per table row of each mismatched file."""
+    return V.mismatch_rows(fx_table(spark, sf_dir), _verdicts(spark, sf_dir))
+
+
+@register("accuracy")
+def q_accuracy(spark, sf_dir):
+    """processed / matched / mismatched / parse failures / accuracy."""
+    return V.accuracy(_verdicts(spark, sf_dir))
+
+
+def _fixes(spark, sf_dir):
+    return FT.corrections(V.mismatch_rows(fx_table(spark, sf_dir), _verdicts(spark, sf_dir)))
+
+
+@register("fix_plan")
+def q_fix_plan(spark, sf_dir):
+    """A10 / D-9 / G2 / C28 (dry run): the change plan, one row per file."""
+    return _fixes(spark, sf_dir)
+
+
+@register("corrections")
+def q_corrections(spark, sf_dir):
+    """The main table with corrected names and types."""
+    return FT.apply_corrections(fx_table(spark, sf_dir), _fixes(spark, sf_dir)) \
+        .select("row_index", "file_name", "speaker_role", "interview_type")
+
+
+@register("splits_corrected")
+def q_splits_corrected(spark, sf_dir):
+    """Split tables re-routed after correction (written to a new path by the sink)."""
+    splits = V.route(fx_table(spark, sf_dir), "type_first").where(F.col("target").isNotNull())
+    fixes = _fixes(spark, sf_dir)
+    moved = splits.join(fixes.select(F.col("filename").alias("file_name"), F.col("new_type").alias("_nt"),
+                                     F.col("new_filename").alias("_nf")), "file_name", "left")
+    return moved.select("row_index", F.coalesce("_nf", "file_name").alias("file_name"),
+                        F.coalesce("_nt", "interview_type").alias("interview_type"),
+                        F.coalesce(F.lower("_nt"), F.col("target")).alias("target"))
+
+
+@register("slice_per_language")
+def q_slice_per_language(spark, sf_dir):
+    """The first 5 transcripts per folder language (by name)."""
+    files = fx_files(spark, sf_dir).select("conv_id", "file_name", M.language_from_path("path").alias("language"))
+    return V.first_n_per_language(files, 5)
+
+
+@register("lexicon_anc")
+def q_lexicon_anc(spark, sf_dir):
+    """relative frequency of an ANC-format table (word, lemma, pos, count) built
+    from the benchmark texts with the built-in tagger's part of speech."""
+    b = _table(spark, sf_dir, "benchmark")
+    w = b.select(F.explode(words("text")).alias("word"))
+    k5 = F.length("word") % 5
+    pos = (F.when(k5 == 0, "NN").when(k5 == 1, "VBD").when(k5 == 2, "RP").when(k5 == 3, "DT").otherwise("SYM"))
+    anc = w.groupBy("word").agg(F.count(F.lit(1)).alias("count")).select(
+        "word", F.col("word").alias("lemma"), pos.alias("pos"), "count")
+    return FQ.anc_lexicon(anc)
