@@ -50,19 +50,22 @@ def corpus_word_counts(texts: DataFrame, text_col: str = "text", lang_col: str =
 
 
 def corpus_lexicon(texts: DataFrame, min_count: int = 3, text_col: str = "text",
-                   lang_col: str = "lang") -> DataFrame:
-    """F5-style lexicon from a text corpus: ``lang, word, cnt, frequency, lg_e4``.
+                   lang_col: str = "lang", with_frequency: bool = True) -> DataFrame:
+    """F5-style lexicon from a text corpus: ``lang, word, cnt, [frequency,] lg_e4``.
 
     ``frequency = cnt / total words of the language``; ``lg_e4 = round(log10(cnt) * 1e4)``.
     Words seen fewer than ``min_count`` times are left out of the lexicon (they
-    still count in the total).
+    still count in the total).  ``with_frequency=False`` skips the per-language
+    totals (a second aggregate) when only log frequencies are needed.
     """
     counts = corpus_word_counts(texts, text_col, lang_col)
+    lg = scaled_log10(F.col("cnt")).alias("lg_e4")
+    if not with_frequency:
+        return counts.where(F.col("cnt") >= min_count).select("lang", "word", "cnt", lg)
     totals = counts.groupBy("lang").agg(F.sum("cnt").alias("total"))  # one row per language
     return (counts.where(F.col("cnt") >= min_count).join(totals, "lang")
             .select("lang", "word", "cnt",
-                    (F.col("cnt").cast("double") / F.col("total").cast("double")).alias("frequency"),
-                    scaled_log10(F.col("cnt")).alias("lg_e4")))
+                    (F.col("cnt").cast("double") / F.col("total").cast("double")).alias("frequency"), lg))
 
 
 def subtlex_lexicon(subtlex: DataFrame, lang: str | None = None) -> DataFrame:

@@ -27,15 +27,21 @@ from parlance.functions.text import is_blank, line_speaker, line_text, line_time
 BLOCK_SIZE = 1024
 
 
-def running_offsets(df: DataFrame, key: str, order: list[str], block: str,
-                    measures: list[str]) -> DataFrame:
+def running_offsets(df: DataFrame, key: str, order: list[str], block: str, measures: list[str],
+                    block_sums: DataFrame | None = None) -> DataFrame:
     """Add ``<m>_before`` (exclusive running sum in ``order`` within ``key``) and
-    ``<m>_total`` for every measure column, block-decomposed (see module doc)."""
+    ``<m>_total`` for every measure column, block-decomposed (see module doc).
+
+    ``block_sums`` (``key, block, <m>...``) may be given when the caller can
+    compute block totals more cheaply than from ``df`` (e.g. from chunk arrays).
+    """
     w_in = (Window.partitionBy(key, block).orderBy(*order)
             .rowsBetween(Window.unboundedPreceding, -1))
     inner = df.select("*", *[F.coalesce(F.sum(m).over(w_in), F.lit(0)).alias(f"_{m}_in")
                              for m in measures])
-    blocks = df.groupBy(key, block).agg(*[F.sum(m).alias(f"_{m}_b") for m in measures])
+    if block_sums is None:
+        block_sums = df.groupBy(key, block).agg(*[F.sum(m).alias(m) for m in measures])
+    blocks = block_sums.select(key, block, *[F.col(m).alias(f"_{m}_b") for m in measures])
     w_blk = Window.partitionBy(key).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     w_all = Window.partitionBy(key)
     blocks = blocks.select(
@@ -55,15 +61,24 @@ def raw_lines(chunks: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     Output: ``file_id, raw_index (1-based), raw, is_last, char_offset (0-based
     offset of the line in the file text), line_index`` (1-based ordinal among
     non-blank lines, NULL for a blank line).
+
+    Block totals come straight from the chunk arrays (size, non-blank count,
+    summed length), so that branch never explodes lines.
     """
-    exploded = chunks.select(
-        "file_id", "chunk", F.floor(F.col("chunk") / F.lit(block_size)).alias("_blk"),
-        F.posexplode("lines").alias("pos", "raw"))
+    blk = F.floor(F.col("chunk") / F.lit(block_size)).alias("_blk")
+    exploded = chunks.select("file_id", "chunk", blk, F.posexplode("lines").alias("pos", "raw"))
     measured = exploded.select(
         "*", F.lit(1).cast("bigint").alias("n"),
         F.when(is_blank("raw"), 0).otherwise(1).cast("bigint").alias("kept"),
         (F.length("raw") + 1).cast("bigint").alias("chars"))
-    off = running_offsets(measured, "file_id", ["chunk", "pos"], "_blk", ["n", "kept", "chars"])
+    per_chunk = chunks.select(
+        "file_id", blk, F.size("lines").cast("bigint").alias("n"),
+        F.size(F.filter("lines", lambda x: ~is_blank(x))).cast("bigint").alias("kept"),
+        F.aggregate("lines", F.lit(0).cast("bigint"),
+                    lambda acc, x: acc + F.length(x) + 1).alias("chars"))
+    block_sums = per_chunk.groupBy("file_id", "_blk").agg(
+        *[F.sum(m).alias(m) for m in ("n", "kept", "chars")])
+    off = running_offsets(measured, "file_id", ["chunk", "pos"], "_blk", ["n", "kept", "chars"], block_sums)
     raw_index = F.col("n_before") + 1
     return off.select(
         "file_id",

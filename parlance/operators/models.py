@@ -23,7 +23,7 @@ from parlance.constants import (
     TYPE_PROMPT_CHARS,
 )
 from parlance.functions.metadata import map_detected_language, resolve_language, tagger_language
-from parlance.functions.text import strip_ws, words
+from parlance.functions.text import is_blank, strip_ws, words
 from parlance.operators import labels as LB
 
 Predictor = Callable[[Iterator["pd.DataFrame"]], Iterator["pd.DataFrame"]]  # noqa: F821
@@ -244,7 +244,7 @@ def builtin_language_detect(sample: DataFrame, stopwords: DataFrame) -> DataFram
     best = (hits.select("file_id", "lang", F.row_number().over(w).alias("r"))   # <= #languages rows
             .where(F.col("r") == 1).select("file_id", F.col("lang").alias("_l")))
     files = sample.groupBy("file_id").agg(
-        F.max((strip_ws("text") != "").cast("int")).alias("has_text"))
+        F.max((~is_blank("text")).cast("int")).alias("has_text"))
     return files.join(best, "file_id", "left").select(
         "file_id", F.coalesce("_l", F.lit("")).alias("detected"),
         (F.col("has_text") == 0).alias("no_text"))

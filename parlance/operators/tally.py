@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from parlance.functions.metadata import is_diary, language_from_path, tagger_language
 from parlance.functions.tags import safe_names, token_slots, vocab
-from parlance.functions.text import sentences, strip_ws, words
+from parlance.functions.text import is_blank, sentences, strip_ws, words
 from parlance.operators.models import Predictor
 
 TOKEN_SCHEMA = StructType([
@@ -36,7 +36,7 @@ def tagging_units(lines: DataFrame, files: DataFrame, diary_mode: str = "path")
     ``file_id, speaker_role, line_index, text``.
     """
     meta = files.select("file_id", is_diary("path", diary_mode).alias("diary"))
-    j = lines.where(strip_ws("text") != "").join(meta, "file_id")
+    j = lines.where(~is_blank("text")).join(meta, "file_id")
     role = (F.when(F.col("diary"), F.lit("Participant"))
             .when(F.col("speaker") == "PARTICIPANT", F.lit("Participant"))
             .when(F.col("speaker") == "INTERVIEWER", F.lit("Interviewer")))

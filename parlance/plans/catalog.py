@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from parlance.operators import frequency as FQ
 from parlance.operators import lines as L
 from parlance.sources import corpus as C
+from parlance.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -28,7 +29,7 @@ def register(name: str):
 
 
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return read_table(spark, sf_dir, "conversations")
 
 
 def fx_corpus(spark: SparkSession, sf_dir: str, style: str = "labelled") -> C.Corpus:
@@ -45,7 +46,7 @@ def q_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, sf_dir, name)
 
 
 def fx_lines(spark: SparkSession, sf_dir: str, style: str = "labelled"):
@@ -53,14 +54,14 @@ def fx_lines(spark: SparkSession, sf_dir: str, style: str = "labelled"):
     return corpus, L.parse_lines(L.raw_lines(corpus.chunks))
 
 
-def document_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return FQ.corpus_lexicon(_table(spark, sf_dir, "documents"), min_count=3)
+def document_lexicon(spark: SparkSession, sf_dir: str, with_frequency: bool = False) -> DataFrame:
+    return FQ.corpus_lexicon(_table(spark, sf_dir, "documents"), min_count=3, with_frequency=with_frequency)
 
 
 @register("lexicon")
 def q_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """relative and scaled-log frequency per (lang, word) over all documents."""
-    return document_lexicon(spark, sf_dir)
+    return document_lexicon(spark, sf_dir, with_frequency=True)
 
 
 @register("word_freq")
