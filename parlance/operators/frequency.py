@@ -130,18 +130,21 @@ def mean_log_frequency(units: DataFrame, lexicon: DataFrame) -> DataFrame:
     """E5 + F4: per ``(file_id, speaker_role, lang)``: words, found, missing, the
     mean log frequency over found occurrences (NULL if none found), coverage %.
 
-    ``lexicon``: ``lang, word, lg_e4`` (integer-scaled log10).
+    ``lexicon``: ``lang, word`` and either ``lg_e4`` (integer-scaled log10: exact,
+    order-independent sums) or ``log_frequency`` (a double, e.g. SUBTLEX Lg10WF).
     """
-    lex = lexicon.select("lang", "word", "lg_e4")
+    scaled = "lg_e4" in lexicon.columns
+    val = "lg_e4" if scaled else "log_frequency"
+    lex = lexicon.select("lang", "word", F.col(val).alias("_v"))
     j = units.join(lex, ["lang", "word"], "left")
-    found = F.when(F.col("lg_e4").isNotNull(), F.col("n")).otherwise(F.lit(0))
+    found = F.when(F.col("_v").isNotNull(), F.col("n")).otherwise(F.lit(0))
     agg = j.groupBy("file_id", "speaker_role", "lang").agg(
         F.sum("n").alias("n_words"), F.sum(found).alias("found"),
-        F.sum(F.col("n") * F.col("lg_e4")).alias("_s"))
+        F.sum(F.col("n") * F.col("_v")).alias("_s"))
+    denom = (F.col("found") * LOG_SCALE) if scaled else F.col("found")
     return agg.select(
         "file_id", "speaker_role", "lang", "n_words", "found",
         (F.col("n_words") - F.col("found")).alias("missing"),
-        F.when(F.col("found") > 0, F.col("_s").cast("double")
-               / (F.col("found") * LOG_SCALE).cast("double")).alias("word_freq"),
+        F.when(F.col("found") > 0, F.col("_s").cast("double") / denom.cast("double")).alias("word_freq"),
         F.try_divide((F.col("found") * 100).cast("double"), F.col("n_words").cast("double"))
         .alias("coverage"))

@@ -23,6 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+CHUNK_LINES = 256
+
+
 @dataclass
 class Corpus:
     files: DataFrame
@@ -122,21 +125,28 @@ def text_file_corpus(spark: SparkSession, root: str) -> Corpus:
     Python text mode folds ``\\r\\n`` and ``\\r`` to ``\\n``; Spark keeps them,
     so we fold explicitly.  The file path is the file's key.
     """
-    raw = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
-           .option("wholetext", "true").text(root)
+    raw = (spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
            .select(F.col("_metadata.file_path").alias("uri"), F.col("value")))
     path = F.regexp_replace("uri", "^file:", "")
     files = raw.select(path.alias("file_id"), F.element_at(F.split(path, "/"), -1).alias("file_name"),
                        F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("dir"), path.alias("path"))
     content = F.regexp_replace("value", "\r\n?", "\n")
-    chunks = raw.select(path.alias("file_id"), F.lit(0).cast("bigint").alias("chunk"),
-                        F.split(content, "\n", -1).alias("lines"))
-    return Corpus(files, chunks)
+    lines = raw.select(path.alias("file_id"), F.split(content, "\n", -1).alias("all"))
+    return Corpus(files, split_chunks(lines, "file_id", "all"))
+
+
+def split_chunks(df: DataFrame, key: str, lines_col: str, size: int = CHUNK_LINES) -> DataFrame:
+    """Cut a whole file's line array into ``size``-line chunks (row-local, no
+    shuffle), so line numbering spreads a very large file over many tasks."""
+    n = F.size(lines_col)
+    pieces = F.transform(F.sequence(F.lit(0), (F.greatest(n - 1, F.lit(0)) / size).cast("int")),
+                         lambda b: F.slice(lines_col, b * size + 1, size))
+    return df.select(F.col(key).alias("file_id"), F.posexplode(pieces).alias("chunk", "lines")) \
+        .select("file_id", F.col("chunk").cast("bigint").alias("chunk"), "lines")
 
 
 def text_file_contents(spark: SparkSession, root: str) -> DataFrame:
     """``file_id, content`` for whole-file rewrites (cleaning, relabelling)."""
-    raw = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt")
-           .option("wholetext", "true").text(root))
+    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
     return raw.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:", "").alias("file_id"),
                       F.regexp_replace("value", "\r\n?", "\n").alias("content"))
