@@ -218,6 +218,38 @@ def language_sample(lines: DataFrame, n_lines: int = LANGUAGE_SAMPLE_LINES) -> D
     return lines.where(F.col("line_index") <= n_lines).select("file_id", "line_index", "text")
 
 
+def tagger_sample(lines: DataFrame, role_lines: int = 10, all_lines: int = 100) -> DataFrame:
+    """The tagger's language sample — the first ``role_lines`` participant
+    lines, or the first ``all_lines`` lines when there are none; non-blank texts
+    joined by a space.  At most ``all_lines`` lines per file are gathered.
+
+    Output ``file_id, sample``.
+    """
+    from parlance.operators.lines import role_line_ordinals
+    p = role_line_ordinals(lines.where(F.col("speaker") == "PARTICIPANT")) \
+        .where(F.col("role_ordinal") <= role_lines).select("file_id", "line_index", "text")
+    has_p = p.select("file_id").distinct()
+    rest = lines.where(F.col("line_index") <= all_lines).join(has_p, "file_id", "left_anti") \
+        .select("file_id", "line_index", "text")
+    picked = p.unionByName(rest).where(~is_blank("text"))
+    files = lines.select("file_id").distinct()
+    joined = picked.groupBy("file_id").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_index", "text"))),
+                                 lambda s: s["text"]), " ").alias("sample"))
+    return files.join(joined, "file_id", "left").select("file_id", F.coalesce("sample", F.lit("")).alias("sample"))
+
+
+def detect_tagger_language(lines: DataFrame, stopwords: DataFrame) -> DataFrame:
+    """K1 (tagger variant) + C22b + C23b: ``file_id, detected, tagger`` — the
+    stop-word detector over the tagger sample; unsupported or no text -> ``zh``."""
+    from parlance.functions.metadata import map_detected_tagger_language
+    sample = tagger_sample(lines)
+    as_lines = sample.select("file_id", F.lit(1).alias("line_index"), F.col("sample").alias("text"))
+    det = builtin_language_detect(as_lines, stopwords)
+    return det.select("file_id", "detected",
+                      map_detected_tagger_language("detected", F.col("no_text")).alias("tagger"))
+
+
 def stopword_table(documents: DataFrame, per_language: int = STOPWORDS_PER_LANGUAGE,
                    text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The ``per_language`` most frequent words of each language of a labelled

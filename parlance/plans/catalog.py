@@ -273,6 +273,14 @@ def q_prompts(spark, sf_dir):
     return rp.unionByName(tp).withColumnRenamed("file_id", "conv_id")
 
 
+@register("tagger_language")
+def q_tagger_language(spark, sf_dir):
+    """K1 tagger variant + C22b + C23b: detected code for transcripts, ``zh`` fallback."""
+    _, lines = fx_lines(spark, sf_dir)
+    stop = MD.stopword_table(_table(spark, sf_dir, "documents"))
+    return MD.detect_tagger_language(lines, stop).withColumnRenamed("file_id", "conv_id")
+
+
 @register("language_resolved")
 def q_language_resolved(spark, sf_dir):
     """K1 (built-in stop-word detector) + C22 + C23 + C24 + C25."""
