@@ -98,23 +98,18 @@ def fill_table(table: DataFrame, features: DataFrame) -> DataFrame:
 
     ``features`` must hold one row per key (tallies are per unit)."""
     names = list(safe_names().values()) + ["num_sent", "word_freq"]
-    f = features.select("file_name", "speaker_role",
-                        *[F.col(n).cast("string").alias(f"_new_{n}") for n in names],
-                        F.lit(True).alias("_hit"))
+    f = features.selectExpr("file_name", "speaker_role",
+                            *[f"CAST(`{n}` AS STRING) AS `_new_{n}`" for n in names], "true AS _hit")
     j = table.join(f, ["file_name", "speaker_role"], "left")
-    out = []
-    for c in table.columns:
-        if c in names:
-            out.append(F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c))
-        else:
-            out.append(F.col(c))
-    return j.select(*out)
+    out = [f"CASE WHEN _hit THEN `_new_{c}` ELSE `{c}` END AS `{c}`" if c in names else f"`{c}`"
+           for c in table.columns]
+    return j.selectExpr(*out)
 
 
 def empty_features(table: DataFrame) -> DataFrame:
     """Add every feature column as ``''`` (a preliminary table)."""
     names = list(safe_names().values()) + ["num_sent", "word_freq"]
-    return table.select("*", *[F.lit("").alias(n) for n in names])
+    return table.selectExpr("*", *[f"'' AS `{n}`" for n in names])
 
 
 def word_freq_text(x) -> F.Column:

@@ -111,8 +111,9 @@ def tally_wide(tally: DataFrame, keys: tuple[str, ...] = ("file_id", "speaker_ro
     names = safe_names()
     per_unit = tally.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("tag", "cnt"))).alias("_m"))
-    return per_unit.select(*keys, *[F.coalesce(F.col("_m")[t], F.lit(0)).cast("bigint").alias(n)
-                                    for t, n in names.items()])
+    # one selectExpr call instead of ~5 client calls per column
+    cols = [f"CAST(coalesce(_m['{t}'], 0) AS BIGINT) AS `{n}`" for t, n in names.items()]
+    return per_unit.selectExpr(*[f"`{k}`" for k in keys], *cols)
 
 
 def tagging_languages(files: DataFrame) -> DataFrame:

@@ -23,9 +23,23 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
+_SPLITS: dict[str, int] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if balance else df
+    """A driver table (parquet), rebalanced when it arrives in too few splits.
+
+    The split count of an input path is looked up once per session (planning
+    a scan lists its files), not once per use.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    df = spark.read.parquet(path)
+    if not balance:
+        return df
+    target = spark.sparkContext.defaultParallelism
+    if path not in _SPLITS:
+        _SPLITS[path] = df.rdd.getNumPartitions()
+    return df.repartition(target) if _SPLITS[path] < target else df
 
 
 def sep_for(path: str, sep: str | None = None) -> str:
