@@ -253,12 +253,14 @@ def detect_tagger_language(lines: DataFrame, stopwords: DataFrame) -> DataFrame:
 def stopword_table(documents: DataFrame, per_language: int = STOPWORDS_PER_LANGUAGE,
                    text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The ``per_language`` most frequent words of each language of a labelled
-    corpus (ties by word): ``lang, word``.  A top-k by design."""
+    corpus (ties by word): ``lang, word``.  A top-k by design, computed in two
+    salted phases so one language's vocabulary is never sorted in one task."""
     from parlance.operators.frequency import corpus_word_counts
+    from parlance.operators.ranking import top_n_per_group
     counts = corpus_word_counts(documents, text_col, lang_col)
-    w = Window.partitionBy("lang").orderBy(F.col("cnt").desc(), F.col("word").asc())
-    return counts.select("lang", "word", F.row_number().over(w).alias("rk")) \
-        .where(F.col("rk") <= per_language).select("lang", "word")
+    top = top_n_per_group(counts, ["lang"], [F.col("cnt").desc(), F.col("word").asc()], per_language,
+                          F.xxhash64("word"))
+    return top.select("lang", "word")
 
 
 def builtin_language_detect(sample: DataFrame, stopwords: DataFrame) -> DataFrame:

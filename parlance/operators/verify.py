@@ -175,17 +175,12 @@ def first_n_per_language(files: DataFrame, n: int, lang_col: str = "language",
                          order_col: str = "file_name", salt_buckets: int = 64) -> DataFrame:
     """G3 (``--slice``): the first ``n`` transcripts of each language by name.
 
-    A limit *is* the feature here.  Exact two-phase top-n so that a dominant
-    language never sorts in one task: first the top ``n`` of each
-    ``(language, hash bucket)``, then the top ``n`` of those (at most
-    ``salt_buckets * n`` rows per language).
+    A limit *is* the feature here.  Exact two-phase top-n (see
+    ``parlance.operators.ranking``) so a dominant language never sorts in one task.
     """
-    salt = F.pmod(F.xxhash64(order_col), F.lit(salt_buckets))
-    w1 = Window.partitionBy(lang_col, "_salt").orderBy(order_col)
-    pre = (files.withColumn("_salt", salt).withColumn("_r", F.row_number().over(w1))
-           .where(F.col("_r") <= n).drop("_r", "_salt"))
-    w2 = Window.partitionBy(lang_col).orderBy(order_col)
-    return pre.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= n).drop("_r")
+    from parlance.operators.ranking import top_n_per_group
+    return top_n_per_group(files, [lang_col], [F.col(order_col).asc()], n,
+                           F.xxhash64(order_col), salt_buckets)
 
 
 def blank(x) -> F.Column:
