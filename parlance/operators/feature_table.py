@@ -55,6 +55,14 @@ def file_metadata(files: DataFrame, languages: DataFrame) -> DataFrame:
         M.null_to_unknown(M.session(name)).alias("interview_number"))
 
 
+def first_per_name(meta: DataFrame) -> DataFrame:
+    """One metadata row per file name — the transcript with the smallest
+    path wins when the same name sits in several folders (an aggregate, no sort)."""
+    cols = [c for c in meta.columns if c != "file_name"]
+    agg = meta.groupBy("file_name").agg(F.min_by(F.struct(*cols), F.col("path")).alias("_m"))
+    return agg.select("file_name", *[F.col(f"_m.{c}").alias(c) for c in cols])
+
+
 def init_table(meta: DataFrame, roles: DataFrame, original: DataFrame, diary_mode: str = "path") -> DataFrame:
     """B3 + J4: the preliminary table.
 

@@ -68,15 +68,17 @@ def corpus_lexicon(texts: DataFrame, min_count: int = 3, text_col: str = "text",
                     (F.col("cnt").cast("double") / F.col("total").cast("double")).alias("frequency"), lg))
 
 
-def subtlex_lexicon(subtlex: DataFrame, lang: str | None = None) -> DataFrame:
+def subtlex_lexicon(subtlex: DataFrame, lang: str | None = None, order_col: str | None = None) -> DataFrame:
     """``word = lower(Word)``, ``frequency = FREQcount / sum(FREQcount)``,
     ``log_frequency = Lg10WF``.  The total is a one-row aggregate cross-joined
-    (broadcast by construction: exactly one row)."""
+    (broadcast by construction: exactly one row).  ``order_col`` (the file
+    order of the rows) is kept as ``_order`` for F7's last-row-wins."""
     total = subtlex.agg(F.sum("FREQcount").alias("_total"))
+    keep = [F.col(order_col).alias("_order")] if order_col else []
     out = subtlex.crossJoin(F.broadcast(total)).select(
         F.lower("Word").alias("word"),
         (F.col("FREQcount").cast("double") / F.col("_total").cast("double")).alias("frequency"),
-        F.col("Lg10WF").alias("log_frequency"))
+        F.col("Lg10WF").alias("log_frequency"), *keep)
     return out.withColumn("lang", F.lit(lang)) if lang else out
 
 

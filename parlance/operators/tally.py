@@ -123,7 +123,7 @@ def tagging_languages(files: DataFrame) -> DataFrame:
 
 
 def failures(files: DataFrame, langs: DataFrame, lines: DataFrame, tokens: DataFrame,
-             diary_mode: str = "path") -> DataFrame:
+             diary_mode: str = "path", roles: tuple[str, ...] = ("Participant", "Interviewer")) -> DataFrame:
     """F13 + H4: ``filename, filepath, language, reason, error_message``.
 
     * ``unknown_language`` — no language at all (NULL);
@@ -142,9 +142,10 @@ def failures(files: DataFrame, langs: DataFrame, lines: DataFrame, tokens: DataF
         .otherwise(F.concat(F.lit("Language '"), F.col("language"), F.lit("' is not supported by the tagger")))
         .alias("error_message"))
     ok = fl.where(F.col("tagger").isNotNull())
-    roles = F.when(is_diary("path", diary_mode), F.array(F.lit("Participant"))) \
+    unit_roles = F.when(is_diary("path", diary_mode), F.array(F.lit("Participant"))) \
         .otherwise(F.array(F.lit("Participant"), F.lit("Interviewer")))
-    expected = ok.select("file_id", "file_name", "path", "tagger", F.explode(roles).alias("speaker_role"))
+    expected = ok.select("file_id", "file_name", "path", "tagger", F.explode(unit_roles).alias("speaker_role")) \
+        .where(F.col("speaker_role").isin(*roles))
     # lines of the role (any text)
     role_line = (F.when(is_diary("path", diary_mode), F.lit("Participant"))
                  .when(F.col("speaker") == "PARTICIPANT", F.lit("Participant"))

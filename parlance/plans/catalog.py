@@ -64,6 +64,28 @@ def q_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_lexicon(spark, sf_dir, with_frequency=True)
 
 
+def subtlex_from_documents(spark, sf_dir):
+    """A SUBTLEX-format table (``Word, FREQcount, Lg10WF``) from all documents,
+    words kept in their original case (``May``, ``may``, ``MAY`` are rows of
+    their own); ``Lg10WF`` is log10 of the count, 4 decimals."""
+    from parlance.constants import NON_WORD, WS
+    docs = _table(spark, sf_dir, "documents")
+    toks = F.filter(F.split(F.regexp_replace("text", NON_WORD, ""), f"{WS}+"), lambda w: w != F.lit(""))
+    c = docs.select(F.explode(toks).alias("Word")).groupBy("Word").agg(F.count(F.lit(1)).alias("FREQcount"))
+    return c.select("Word", "FREQcount", (FQ.scaled_log10(F.col("FREQcount")) / 10000.0).alias("Lg10WF"))
+
+
+@register("lexicon_dictionary")
+def q_lexicon_dictionary(spark, sf_dir):
+    """F5 + F7: SUBTLEX relative frequency, then lower-cased words where the last
+    row wins (row order = ``Word`` order); one row per lower-cased word."""
+    sub = subtlex_from_documents(spark, sf_dir)
+    lex = FQ.subtlex_lexicon(sub, order_col="Word")
+    d = FQ.lexicon_dictionary(lex, "_order", use_log=True, keys=())
+    f = FQ.lexicon_dictionary(lex, "_order", use_log=False, keys=())
+    return d.withColumnRenamed("value", "log_frequency").join(f.withColumnRenamed("value", "frequency"), "word")
+
+
 @register("word_freq")
 def q_word_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship — C21 / J2 / E5 / F4: mean log word frequency per transcript and role."""
@@ -454,7 +476,7 @@ def q_new_table(spark, sf_dir):
     """E8 / H3 / B2 (new-table mode): tallies of both roles with transcript metadata."""
     corpus, feats = fx_features(spark, sf_dir)
     langs = corpus.files.select("file_id", M.language_from_path("path").alias("language"))
-    meta = FT.file_metadata(corpus.files, langs).drop("file_id", "path")
+    meta = FT.first_per_name(FT.file_metadata(corpus.files, langs)).drop("file_id", "path")
     return meta.join(feats, "file_name").select(
         "network", "language", "src_subject_id", "interview_type", "day", "interview_number",
         F.lit("").alias("transcript_speaker_label"), "speaker_role",

@@ -310,3 +310,19 @@ anc AS (
     count FROM c)
 SELECT word, lemma, pos, count, CAST(count AS DOUBLE) / CAST((SELECT sum(count) FROM anc) AS DOUBLE) AS frequency
 FROM anc"""
+
+
+NON_WORD_CASED = r"[^\p{L}\p{N}_\p{Z}\x09-\x0d\x1c-\x1f\x85]"
+
+ORACLE["lexicon_dictionary"] = f"""
+WITH toks AS (
+  SELECT unnest(list_filter(regexp_split_to_array(regexp_replace(text, '{NON_WORD_CASED}', '', 'g'),
+                                                   '[\\p{{Z}}\\x09-\\x0d\\x1c-\\x1f\\x85]+'), lambda w: w <> '')) AS Word
+  FROM documents),
+sub AS (SELECT Word, count(*) AS FREQcount FROM toks GROUP BY Word),
+sub2 AS (SELECT Word, FREQcount, CAST(round(log10(FREQcount) * 10000) AS BIGINT) / 10000.0 AS Lg10WF FROM sub),
+lex AS (
+  SELECT lower(Word) AS word, Word AS ord, CAST(FREQcount AS DOUBLE) / CAST((SELECT sum(FREQcount) FROM sub2) AS DOUBLE) AS frequency,
+         Lg10WF AS log_frequency FROM sub2)
+SELECT word, arg_max(log_frequency, ord) AS log_frequency, arg_max(frequency, ord) AS frequency
+FROM lex GROUP BY word"""

@@ -95,10 +95,11 @@ class Tagged:
 
 def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame | None = None,
         table: DataFrame | None = None, languages: DataFrame | None = None, predict_tokens=None,
-        clean: bool = True) -> Tagged:
-    """Colon fix (C11), units (J6), tokens (K2), tallies (F1-F3),
+        clean: bool = True, roles: tuple[str, ...] = ("Participant", "Interviewer")) -> Tagged:
+    """Colon fix (C11), units (J6), tokens (K2), tallies (F1-F3),
     word frequency (J2 -> E5 -> F4), then fill ``table`` (E7, update mode) or
-    build a new table (E8); failure log (F13)."""
+    build a new table (E8); failure log (F13).  ``roles=("Participant",)`` with
+    ``lexicon=None`` is the participant-only tagger (L1c)."""
     files = corpus.files
     if table is not None:                                    # E4: only files named in the table
         files = files.join(table.select(F.col("file_name").alias("_n")).distinct(),
@@ -113,7 +114,8 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
     else:
         languages = languages.select("file_id", "language", M.tagger_language("language").alias("tagger"))
     ok = languages.where(F.col("tagger").isNotNull()).select("file_id")
-    units = T.tagging_units(lines, files).join(ok, "file_id", "left_semi")
+    units = T.tagging_units(lines, files).join(ok, "file_id", "left_semi") \
+        .where(F.col("speaker_role").isin(*roles))
     if predict_tokens is not None:
         units = units.join(languages.select("file_id", F.col("tagger").alias("lang")), "file_id")
     tokens = T.annotate(units, predict_tokens)
@@ -134,12 +136,13 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
         base = table if "num_sent" in table.columns else FT.empty_features(table)
         out = FT.fill_table(base, feats)
     else:
-        meta = FT.file_metadata(files, languages.select("file_id", "language")).drop("file_id", "path")
+        meta = FT.first_per_name(FT.file_metadata(files, languages.select("file_id", "language"))) \
+            .drop("file_id", "path")
         out = meta.join(feats, "file_name").select(
             *[c for c in ("network", "language", "src_subject_id", "interview_type", "day", "interview_number")],
             F.lit("").alias("transcript_speaker_label"), "speaker_role",
             *[c for c in feats.columns if c not in ("file_name", "speaker_role")], "file_name")
-    fails = T.failures(files, languages, lines, tokens)
+    fails = T.failures(files, languages, lines, tokens, roles=roles)
     W.write_feature_table(out.drop("row_index") if "row_index" in out.columns else out,
                           os.path.join(out_dir, "features_tsv"))
     W.write_failures(fails, os.path.join(out_dir, "failures_csv"))
