@@ -32,7 +32,7 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v if os.environ.get("ORACLE_EXACT") else round(v, 9)
     if hasattr(v, "item"):
         return _norm(v.item())
     if isinstance(v, (list, tuple)):
