@@ -104,8 +104,9 @@ def language_name(code: Column | str) -> Column:
 
 
 def is_diary(x: Column | str, mode: str = "path") -> Column:
-    """Diary test.  ``path``/``name``: contains ``audioJournal`` or lower-case
-    contains ``diary``; ``parts``: some path part lower-case contains ``diary``."""
+    """C6 diary test.  ``path`` (C6a) / ``name`` (C6b): contains ``audioJournal``
+    or lower-case contains ``diary``; ``parts`` (C6c): some path part lower-case
+    contains ``diary`` (no ``audioJournal``)."""
     c = _c(x)
     if mode in ("path", "name"):
         return c.contains("audioJournal") | F.lower(c).contains("diary")
@@ -171,7 +172,8 @@ def resolve_language(detected: Column | str, site: Column | str) -> Column:
 
 
 def tagger_language(lang: Column | str) -> Column:
-    """``cn`` -> ``detect``; a tagger-supported code -> itself; else NULL (a failure)."""
+    """C25 / D-3: ``cn`` -> ``detect``; a tagger-supported code -> itself; else
+    NULL (an ``unsupported_language`` failure)."""
     c = _c(lang)
     return F.when(c == "cn", F.lit("detect")).when(c.isin(*TAGGER_LANGUAGES), c)
 

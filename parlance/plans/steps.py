@@ -56,7 +56,9 @@ def organize(spark: SparkSession, corpus: Corpus, out_dir: str, documents: DataF
              text_type: str = "interviews", status: DataFrame | None = None,
              predict_roles=None, skip_labeling: bool = False) -> Organized:
     """L0: metadata (C1-C3, E1), language (K1 -> C23 -> C24), roles (K3 -> C16),
-    relabelled transcripts (C13 -> B9) and the preliminary table (B3 -> B4)."""
+    relabelled transcripts (C13 -> B9) and the preliminary table (B3 -> B4).
+    Interviews and diaries (D-1) flow through one plan: diaries keep their
+    labels and get one table row (H2 is a ``when``, not a union)."""
     raw = L.raw_lines(corpus.chunks)
     lines = L.parse_lines(raw)
     stop = MD.stopword_table(documents)
@@ -166,21 +168,26 @@ class Verified:
 
 
 def verify(spark: SparkSession, table: DataFrame, corpus: Corpus, out_dir: str, predict_types=None,
-           thinking: str | None = None) -> Verified:
+           thinking: str | None = None, mode: str = "cli") -> Verified:
     """L2: flat copy by type (B10), split tables (B8), units (F8/E9),
-    predictions (K4, checkpointed), mismatches (E13/J5 -> B7), accuracy (F9)."""
+    predictions (K4, checkpointed), mismatches (E13/J5 -> B7), accuracy (F9).
+
+    ``mode="misc"`` is the stand-alone variant (L2b): no flat copy or splits,
+    participant rows with an OPEN / PSYCHS label only (D-5), file lookup by
+    base name then normalised name, mismatch rows matched by base name."""
     index = V.file_index(corpus.files)
-    flat = V.flat_by_type(table, index, mode="type_first", normalized=False)
-    W.write_table(flat, os.path.join(out_dir, "flat_by_type"))
-    W.write_splits(V.route(table, "type_first"), os.path.join(out_dir, "splits"))
-    units = V.verification_units(table, index, mode="cli")
+    if mode == "cli":
+        flat = V.flat_by_type(table, index, mode="type_first", normalized=False)
+        W.write_table(flat, os.path.join(out_dir, "flat_by_type"))
+        W.write_splits(V.route(table, "type_first"), os.path.join(out_dir, "splits"))
+    units = V.verification_units(table, index, mode=mode)
     raw = L.raw_lines(corpus.chunks.join(
         corpus.files.join(units.select(F.col("source_path").alias("path")), "path", "left_semi")
         .select("file_id"), "file_id", "left_semi"))
     preds = MD.predict_types(raw, predict_types, thinking=thinking)
     preds = _persist(preds.join(corpus.files.select("file_id", F.col("path").alias("source_path")), "file_id"))
     verdict = V.verdicts(units, preds)
-    mism = V.mismatch_rows(table, verdict)
+    mism = V.mismatch_rows(table, verdict, by_basename=(mode == "misc"))
     W.write_mismatches(mism, os.path.join(out_dir, "mismatches_csv"))
     return Verified(verdict, mism, V.accuracy(verdict))
 

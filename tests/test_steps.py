@@ -64,6 +64,9 @@ def test_steps_end_to_end(spark):
     acc = ver.accuracy.first()
     assert acc["processed"] == acc["matched"] + acc["mismatched"] + acc["parse_failures"]
 
+    misc = S.verify(spark, table, labelled, os.path.join(out, "misc"), mode="misc")
+    assert misc.verdicts.count() == ver.verdicts.count()
+
     plan = S.fix(spark, ver.mismatches, table, out, dry_run=True)
     assert plan.count() == ver.verdicts.where("verdict = 'mismatch'").count()
     S.fix(spark, ver.mismatches, table, out)
