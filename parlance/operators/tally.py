@@ -16,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from parlance.functions.metadata import is_diary, language_from_path, tagger_language
 from parlance.functions.tags import safe_names, token_slots, vocab
-from parlance.functions.text import is_blank, sentences, strip_ws, words
+from parlance.functions.text import is_blank, sentences, words
 from parlance.operators.models import Predictor
 
 TOKEN_SCHEMA = StructType([

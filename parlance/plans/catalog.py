@@ -316,7 +316,7 @@ def q_language_resolved(spark, sf_dir):
 
 # --- tagging: tokens, tallies, sentences, failures (C18, C19, F1-F3, F13, J3, J6, K2) -----
 
-from parlance.functions.tags import safe_names, ud_feature  # noqa: E402
+from parlance.functions.tags import ud_feature  # noqa: E402
 from parlance.constants import UD_FEATURE_KEYS  # noqa: E402
 from parlance.operators import tally as T  # noqa: E402
 

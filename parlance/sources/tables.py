@@ -25,6 +25,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 _SPLITS: dict[str, int] = {}
 
+# Unique row keys of the driver tables: hashing on them spreads rows evenly and
+# deterministically (no sort needed, unlike round-robin).
+TABLE_KEYS: dict[str, list[str]] = {
+    "conversations": ["conv_id", "turn"], "documents": ["doc_id"], "benchmark": ["item_id"],
+    "labels": ["doc_id"], "pages": ["page_id"], "events": ["event_id"],
+}
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
     """A driver table (parquet), rebalanced when it arrives in too few splits.
@@ -39,7 +46,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True
     target = spark.sparkContext.defaultParallelism
     if path not in _SPLITS:
         _SPLITS[path] = df.rdd.getNumPartitions()
-    return df.repartition(target) if _SPLITS[path] < target else df
+    if _SPLITS[path] >= target:
+        return df
+    keys = TABLE_KEYS.get(name)
+    return df.repartition(target, *keys) if keys else df.repartition(target)
 
 
 def sep_for(path: str, sep: str | None = None) -> str:
