@@ -28,8 +28,8 @@ def register(name: str):
     return deco
 
 
-def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_table(spark, sf_dir, "conversations")
+def _conversations(spark: SparkSession, sf_dir: str, balance: bool = True) -> DataFrame:
+    return read_table(spark, sf_dir, "conversations", balance=balance)
 
 
 def fx_corpus(spark: SparkSession, sf_dir: str, style: str = "labelled") -> C.Corpus:
@@ -101,7 +101,9 @@ from parlance.functions import metadata as M  # noqa: E402
 
 
 def fx_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.conversation_files(_conversations(spark, sf_dir)).withColumnRenamed("file_id", "conv_id")
+    # one row per conversation: a distinct on conv_id, which shuffles (with
+    # partial aggregation) anyway, so the scan is not rebalanced first
+    return C.conversation_files(_conversations(spark, sf_dir, balance=False)).withColumnRenamed("file_id", "conv_id")
 
 
 def _short_name(name, conv_id):
@@ -577,6 +579,13 @@ def _verdicts(spark, sf_dir, mode="cli"):
     return V.verdicts(_units(spark, sf_dir, mode), preds)
 
 
+@register("types_parsed")
+def q_types_parsed(spark, sf_dir):
+    """K4 (built-in) + C17: the type answer for every transcript and its parse."""
+    _, raw = fx_raw(spark, sf_dir)
+    return MD.predict_types(raw).withColumnRenamed("file_id", "conv_id")
+
+
 @register("verdicts")
 def q_verdicts(spark, sf_dir):
     """K4 (built-in) + C17 + E13: expected vs predicted type per file."""

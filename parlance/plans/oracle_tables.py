@@ -326,3 +326,11 @@ lex AS (
          Lg10WF AS log_frequency FROM sub2)
 SELECT word, arg_max(log_frequency, ord) AS log_frequency, arg_max(frequency, ord) AS frequency
 FROM lex GROUP BY word"""
+
+
+ORACLE["types_parsed"] = with_(FX_LINES) + f"""
+SELECT conv_id, CASE WHEN hit = 1 THEN '{{PSYCHS}}' ELSE '{{OPEN}}' END AS response,
+       CASE WHEN hit = 1 THEN 'PSYCHS' ELSE 'OPEN' END AS predicted
+FROM (SELECT conv_id, max(CASE WHEN regexp_matches(substr(raw, 1, CAST(40000 - char_offset AS INTEGER)), '{CUES}')
+                               THEN 1 ELSE 0 END) AS hit
+      FROM fx_rawl WHERE char_offset < 40000 GROUP BY conv_id)"""
