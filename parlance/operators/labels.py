@@ -56,12 +56,11 @@ def label_mapping(labelled: DataFrame) -> DataFrame:
     ranking window runs over the *distinct* labels of one file only.
     """
     labs = distinct_labels(labelled)
-    needs = (labs.groupBy("file_id")
-             .agg(F.max((~F.col("label").isin(*SIMPLE_LABELS)).cast("int")).alias("needs"))
-             .where(F.col("needs") == 1).select("file_id"))
-    w = Window.partitionBy("file_id").orderBy("label")
-    ranked = labs.join(needs, "file_id").select("file_id", "label", F.row_number().over(w).alias("rk"))
-    return ranked.where(F.col("rk") <= 3).select(
+    by_file = Window.partitionBy("file_id")
+    ranked = labs.select(
+        "file_id", "label", F.row_number().over(by_file.orderBy("label")).alias("rk"),
+        F.max((~F.col("label").isin(*SIMPLE_LABELS)).cast("int")).over(by_file).alias("needs"))
+    return ranked.where((F.col("needs") == 1) & (F.col("rk") <= 3)).select(
         "file_id", F.col("label").alias("original"),
         F.concat(F.lit("S"), F.col("rk").cast("string")).alias("normalized"))
 

@@ -155,16 +155,18 @@ def builtin_role_answers(norm_lines: DataFrame) -> DataFrame:
                   F.sum(F.size(words("t"))).alias("nw")))
     share = F.col("q").cast("double") / F.col("n").cast("double")
     wpl = F.col("nw").cast("double") / F.col("n").cast("double")
-    w_i = Window.partitionBy("file_id").orderBy(share.desc(), wpl.asc(), F.col("norm_label").asc())
-    ranked = stats.select("*", F.row_number().over(w_i).alias("ri"))
-    w_p = Window.partitionBy("file_id").orderBy(F.col("nw").desc(), F.col("norm_label").asc())
-    part = ranked.where(F.col("ri") > 1).select("file_id", "norm_label", F.row_number().over(w_p).alias("rp"))
-    inter = ranked.where(F.col("ri") == 1).select("file_id", F.col("norm_label").alias("i_lab"))
-    part = part.where(F.col("rp") == 1).select("file_id", F.col("norm_label").alias("p_lab"))
-    return inter.join(part, "file_id", "left").select(
+    # at most three speakers per file: rank inside a small array, no window
+    per_file = stats.groupBy("file_id").agg(F.collect_list(F.struct(
+        (-share).alias("k1"), wpl.alias("k2"), F.col("norm_label").alias("k3"),
+        (-F.col("nw")).alias("p1"))).alias("s"))
+    inter = F.sort_array("s")[0]["k3"]
+    others = F.filter("s", lambda x: x["k3"] != inter)
+    part = F.sort_array(F.transform(others, lambda x: F.struct(x["p1"].alias("a"), x["k3"].alias("b"))))
+    p_lab = F.get(part, 0)["b"]
+    return per_file.select(
         "file_id",
-        F.when(F.col("p_lab").isNull(), F.lit("Unable to decide."))
-        .otherwise(F.concat("i_lab", F.lit(": INTERVIEWER\n"), "p_lab", F.lit(": PARTICIPANT")))
+        F.when(p_lab.isNull(), F.lit("Unable to decide."))
+        .otherwise(F.concat(inter, F.lit(": INTERVIEWER\n"), p_lab, F.lit(": PARTICIPANT")))
         .alias("response"))
 
 
