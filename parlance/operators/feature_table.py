@@ -63,6 +63,18 @@ def first_per_name(meta: DataFrame) -> DataFrame:
     return agg.select("file_name", *[F.col(f"_m.{c}").alias(c) for c in cols])
 
 
+def last_per_key(table: DataFrame, order_col: str = "file_name") -> DataFrame:
+    """G4 + C26 (new-table mode): one row per transcript key and role — the key
+    is ``site_patient_language_type_day_session`` (NULL -> UNKNOWN) — the LAST
+    transcript (by ``order_col``) wins.  ``max_by`` combines map-side."""
+    key = M.transcript_key("network", "src_subject_id", "language", "interview_type", "day", "interview_number")
+    cols = [c for c in table.columns if c != "speaker_role"]
+    agg = table.groupBy(key.alias("_key"), "speaker_role").agg(
+        F.max_by(F.struct(*[F.col(f"`{c}`") for c in cols]), F.col(order_col)).alias("_r"))
+    return agg.select(*[F.col(f"_r.`{c}`").alias(c) if c != "speaker_role" else F.col("speaker_role")
+                        for c in table.columns])
+
+
 def init_table(meta: DataFrame, roles: DataFrame, original: DataFrame, diary_mode: str = "path") -> DataFrame:
     """B3 + J4: the preliminary table.
 

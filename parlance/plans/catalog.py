@@ -479,10 +479,11 @@ def q_new_table(spark, sf_dir):
     corpus, feats = fx_features(spark, sf_dir)
     langs = corpus.files.select("file_id", M.language_from_path("path").alias("language"))
     meta = FT.first_per_name(FT.file_metadata(corpus.files, langs)).drop("file_id", "path")
-    return meta.join(feats, "file_name").select(
+    table = meta.join(feats, "file_name").select(
         "network", "language", "src_subject_id", "interview_type", "day", "interview_number",
         F.lit("").alias("transcript_speaker_label"), "speaker_role",
         *[c for c in feats.columns if c not in ("file_name", "speaker_role")], "file_name")
+    return FT.last_per_key(table)
 
 
 # --- verify / fix (B8, B10-B12, D-5..D-9, E3, E9-E13, F8-F11, G2, G3, H1, H5, J5) ----------

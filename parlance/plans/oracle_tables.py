@@ -133,7 +133,10 @@ SELECT {unknown(site_code('p.file_name'))} AS network,
   {unknown(tok('p.file_name', 4))} AS day, {unknown(tok('p.file_name', 5))} AS interview_number,
   '' AS transcript_speaker_label, f.speaker_role,
   {", ".join(f"f.{n}" for n in TAGS.values())}, f.num_sent, f.word_freq, f.file_name
-FROM feats f JOIN fx_paths p USING (file_name)"""
+FROM feats f JOIN fx_paths p USING (file_name)
+QUALIFY row_number() OVER (
+  PARTITION BY concat_ws('_', network, src_subject_id, language, interview_type, day, interview_number), f.speaker_role
+  ORDER BY f.file_name DESC) = 1"""
 
 # --- lookup scenario -----------------------------------------------------------------------------
 

@@ -140,10 +140,10 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
     else:
         meta = FT.first_per_name(FT.file_metadata(files, languages.select("file_id", "language"))) \
             .drop("file_id", "path")
-        out = meta.join(feats, "file_name").select(
+        out = FT.last_per_key(meta.join(feats, "file_name").select(
             *[c for c in ("network", "language", "src_subject_id", "interview_type", "day", "interview_number")],
             F.lit("").alias("transcript_speaker_label"), "speaker_role",
-            *[c for c in feats.columns if c not in ("file_name", "speaker_role")], "file_name")
+            *[c for c in feats.columns if c not in ("file_name", "speaker_role")], "file_name"))
     fails = T.failures(files, languages, lines, tokens, roles=roles)
     W.write_feature_table(out.drop("row_index") if "row_index" in out.columns else out,
                           os.path.join(out_dir, "features_tsv"))
