@@ -66,13 +66,20 @@ def raw_lines(chunks: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
     summed length), so that branch never explodes lines.
     """
     blk = F.floor(F.col("chunk") / F.lit(block_size)).alias("_blk")
-    exploded = chunks.select("file_id", "chunk", blk, F.posexplode("lines").alias("pos", "raw"))
+    # One shared base for both branches, with the join keys' null filters
+    # stated up front: Spark then infers no extra filter on either side, the
+    # two branches stay identical below their first exchange and AQE runs
+    # the scan + shuffle once.  Chunks are never empty arrays (``split`` gives
+    # at least ``['']``), so the outer explode (which adds no size filter) is exact.
+    base = chunks.select("file_id", "chunk", blk, "lines") \
+        .where(F.col("file_id").isNotNull() & F.col("_blk").isNotNull())
+    exploded = base.select("file_id", "chunk", "_blk", F.posexplode_outer("lines").alias("pos", "raw"))
     measured = exploded.select(
         "*", F.lit(1).cast("bigint").alias("n"),
         F.when(is_blank("raw"), 0).otherwise(1).cast("bigint").alias("kept"),
         (F.length("raw") + 1).cast("bigint").alias("chars"))
-    per_chunk = chunks.select(
-        "file_id", blk, F.size("lines").cast("bigint").alias("n"),
+    per_chunk = base.select(
+        "file_id", "_blk", F.size("lines").cast("bigint").alias("n"),
         F.size(F.filter("lines", lambda x: ~is_blank(x))).cast("bigint").alias("kept"),
         F.aggregate("lines", F.lit(0).cast("bigint"),
                     lambda acc, x: acc + F.length(x) + 1).alias("chars"))

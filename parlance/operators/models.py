@@ -269,12 +269,12 @@ def builtin_language_detect(sample: DataFrame, stopwords: DataFrame) -> DataFram
     """K1 stand-in (ours): the language whose stop words occur most often in the
     sample (ties by code); no hit -> ``''`` (unidentified).
 
-    ``stopwords`` holds ``per_language x languages`` rows — bounded by
-    construction — so it is broadcast.
+    ``stopwords`` holds ``per_language x languages`` rows; no broadcast hint
+    (the number of languages is data), AQE broadcasts it once measured.
     """
     hits = (sample.select("file_id", F.explode(words("text")).alias("word"))
             .groupBy("file_id", "word").agg(F.count(F.lit(1)).alias("n"))
-            .join(F.broadcast(stopwords), "word")
+            .join(stopwords, "word")   # tiny: AQE broadcasts it at run time
             .groupBy("file_id", "lang").agg(F.sum("n").alias("score")))
     w = Window.partitionBy("file_id").orderBy(F.col("score").desc(), F.col("lang").asc())
     best = (hits.select("file_id", "lang", F.row_number().over(w).alias("r"))   # <= #languages rows
