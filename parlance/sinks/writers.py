@@ -18,8 +18,10 @@ from parlance.functions.tags import rename_tag, safe_names
 
 
 def _csv(df: DataFrame, path: str, sep: str, mode: str = "overwrite", partition_by: list[str] | None = None):
+    # Python's csv module keeps surrounding spaces; Spark's writer trims them by default
     w = (df.write.mode(mode).option("header", "true").option("sep", sep).option("quote", '"')
-         .option("escape", '"').option("emptyValue", "").option("nullValue", ""))
+         .option("escape", '"').option("emptyValue", "").option("nullValue", "")
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.csv(path)

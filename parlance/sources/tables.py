@@ -154,3 +154,32 @@ def read_mismatches(spark: SparkSession, path: str) -> DataFrame:
     """A10 + D-9: the 5-column mismatch CSV without parse failures."""
     df = spark.read.option("header", "true").schema(MISMATCH_SCHEMA).csv(path)
     return df.where(F.col("predicted") != "PARSE_FAILURE")
+
+
+def safe_header(names: list[str]) -> list[str]:
+    """Map a feature-table header (the original's raw names) to column names
+    Spark can hold: tag names to their safe names (``PART``/``Part``,
+    ``acl:relcl``, ``PRP$``...), ``file_name.txt`` to ``file_name``, and any
+    name repeated (case-insensitively) suffixed ``__2``, ``__3``."""
+    from parlance.constants import TAG_RENAMES
+    from parlance.functions.tags import safe_names
+    tags = safe_names()
+    by_header = {TAG_RENAMES.get(t, t): n for t, n in tags.items()}   # header shows renamed tags
+    by_header.update({t: n for t, n in tags.items() if t not in by_header})
+    out, seen = [], {}
+    for h in names:
+        n = "file_name" if h == "file_name.txt" else by_header.get(h, h)
+        k = n.lower()
+        seen[k] = seen.get(k, 0) + 1
+        out.append(n if seen[k] == 1 else f"{n}__{seen[k]}")
+    return out
+
+
+def read_feature_table_auto(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
+    """A2 for a table written by the original tool or by ``write_feature_table``:
+    the header line alone is read (one row from the first split) to name the
+    columns, then the table is read with that schema, every cell as text."""
+    s = sep_for(path, sep)
+    first = spark.read.text(path).first()
+    header = first[0].split(s) if first else []
+    return read_feature_table(spark, path, safe_header(header), sep=s)

@@ -77,3 +77,16 @@ def test_feature_table_round_trip(spark):
     back = read_feature_table(spark, os.path.join(out, "safe"), safe_cols, sep="\t")
     assert back.count() == table.count()
     assert back.where(F.col(safe_names()["PART"]) != "").count() == 0      # empty cells read back as ''
+
+
+def test_raw_header_table_reads_back(spark):
+    from parlance.sources.tables import read_feature_table_auto, safe_header
+    out = tempfile.mkdtemp(prefix="parlance-sink-", dir="/tmp")
+    table = FT.empty_features(CAT.fx_table(spark, SF)).drop("row_index")
+    W.write_feature_table(table, os.path.join(out, "raw"), raw_header=True)
+    back = read_feature_table_auto(spark, os.path.join(out, "raw"), sep="\t")
+    assert [c for c in back.columns if c != "row_index"] == table.columns
+    assert back.drop("row_index").exceptAll(table).count() == 0
+    # the original's preliminary header repeats three tags
+    assert safe_header(["Fin", "Fin", "Neut", "PART", "Part", "file_name.txt"]) == \
+        ["Fin", "Fin__2", "Neut", "PART", "Part_2", "file_name"]
