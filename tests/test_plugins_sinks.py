@@ -89,4 +89,4 @@ def test_raw_header_table_reads_back(spark):
     assert back.drop("row_index").exceptAll(table).count() == 0
     # the original's preliminary header repeats three tags
     assert safe_header(["Fin", "Fin", "Neut", "PART", "Part", "file_name.txt"]) == \
-        ["Fin", "Fin__2", "Neut", "PART", "Part_2", "file_name"]
+        ["Fin", "Fin__2", "Neut", "PART_2", "Part", "file_name"]
