@@ -83,21 +83,43 @@ def annotate(units: DataFrame, predict: Predictor | None = None) -> DataFrame:
     return keyed.mapInPandas(predict, schema)
 
 
-def tag_tally(tokens: DataFrame) -> DataFrame:
-    """F1 + E6: ``file_id, speaker_role, tag, cnt`` — every vocabulary value in
-    the 14 non-lemma slots of every token (same namespace: equal values in two
-    slots of one token count twice)."""
+SENT, WORD = "#sent", "#word"    # pseudo-tags; '#' never occurs in the vocabulary
+
+
+def unit_counts(tokens: DataFrame) -> DataFrame:
+    """One aggregation for F1 and F3: ``file_id, speaker_role, tag, cnt`` where
+    ``tag`` is a vocabulary tag (F1 + E6: every vocabulary value in the 14
+    non-lemma slots of every token; equal values in two slots count twice), or
+    ``#sent`` (tokens opening a sentence, ``word_id = 1``: one per sentence) or
+    ``#word`` (every token).  The 14-slot explode is filtered to the vocabulary
+    before the shuffle and combined map-side."""
     v = vocab()
-    return (tokens.select("file_id", "speaker_role", F.explode(token_slots()).alias("tag"))
-            .where(F.col("tag").isin(*v))            # InSet: hash lookup, before the shuffle
+    slots = F.filter(token_slots(), lambda t: t.isin(*v))    # InSet: a hash lookup
+    extra = F.array(F.when(F.col("word_id") == 1, F.lit(SENT)), F.lit(WORD))
+    tags = F.filter(F.concat(slots, extra), lambda t: t.isNotNull())
+    return (tokens.select("file_id", "speaker_role", F.explode(tags).alias("tag"))
             .groupBy("file_id", "speaker_role", "tag").agg(F.count(F.lit(1)).alias("cnt")))
 
 
+def tally_and_sentences(counts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(tally, sentences)`` from :func:`unit_counts` — both read the same
+    aggregate, so the token pipeline runs once."""
+    tally = counts.where(~F.col("tag").startswith("#"))
+    sent = counts.where(F.col("tag").startswith("#")).groupBy("file_id", "speaker_role").agg(
+        F.sum(F.when(F.col("tag") == SENT, F.col("cnt")).otherwise(0)).alias("num_sent"),
+        F.sum(F.when(F.col("tag") == WORD, F.col("cnt")).otherwise(0)).alias("num_words"))
+    return tally, sent
+
+
+def tag_tally(tokens: DataFrame) -> DataFrame:
+    """F1 + E6: ``file_id, speaker_role, tag, cnt`` (vocabulary tags only)."""
+    return tally_and_sentences(unit_counts(tokens))[0]
+
+
 def sentence_counts(tokens: DataFrame) -> DataFrame:
-    """``file_id, speaker_role, num_sent, num_words``."""
-    return tokens.groupBy("file_id", "speaker_role").agg(
-        F.count_distinct("line_index", "sent_id").alias("num_sent"),
-        F.count(F.lit(1)).alias("num_words"))
+    """``file_id, speaker_role, num_sent, num_words`` (a sentence is counted
+    by its first token, ``word_id = 1``, as taggers number words per sentence)."""
+    return tally_and_sentences(unit_counts(tokens))[1]
 
 
 def tally_wide(tally: DataFrame, keys: tuple[str, ...] = ("file_id", "speaker_role")) -> DataFrame:

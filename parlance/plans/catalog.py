@@ -363,9 +363,9 @@ def q_sentence_counts(spark, sf_dir):
 def q_tally_wide(spark, sf_dir):
     """F2 / B1 / B2: zero-filled wide tallies (102 tag columns, safe names) + num_sent."""
     _, _, toks = fx_tokens(spark, sf_dir)
-    wide = T.tally_wide(T.tag_tally(toks))
-    out = wide.join(T.sentence_counts(toks).select("file_id", "speaker_role", "num_sent"),
-                    ["file_id", "speaker_role"], "inner")
+    tally, sent = T.tally_and_sentences(T.unit_counts(toks))
+    out = T.tally_wide(tally).join(sent.select("file_id", "speaker_role", "num_sent"),
+                                   ["file_id", "speaker_role"], "inner")
     return out.withColumnRenamed("file_id", "conv_id")
 
 
@@ -456,8 +456,9 @@ def fx_features(spark, sf_dir):
     """Per (file_name, speaker_role): wide tallies, ``num_sent`` and ``word_freq`` text."""
     corpus, lines, toks = fx_tokens(spark, sf_dir)
     names = corpus.files.select("file_id", "file_name")
-    tally = T.tag_tally(toks).join(names, "file_id").drop("file_id")
-    sent = T.sentence_counts(toks).join(names, "file_id").select("file_name", "speaker_role", "num_sent")
+    tally, sent = T.tally_and_sentences(T.unit_counts(toks))
+    tally = tally.join(names, "file_id").drop("file_id")
+    sent = sent.join(names, "file_id").select("file_name", "speaker_role", "num_sent")
     units = FQ.role_word_counts(lines, corpus.files)
     wf = FQ.mean_log_frequency(units, document_lexicon(spark, sf_dir)).join(names, "file_id") \
         .select("file_name", "speaker_role", "word_freq")

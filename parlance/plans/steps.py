@@ -124,8 +124,9 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
     if predict_tokens is not None:
         tokens = _persist(tokens)
     names = files.select("file_id", "file_name")
-    tally = T.tag_tally(tokens).join(names, "file_id").drop("file_id")
-    sent = T.sentence_counts(tokens).join(names, "file_id").select("file_name", "speaker_role", "num_sent")
+    tally, sent = T.tally_and_sentences(T.unit_counts(tokens))
+    tally = tally.join(names, "file_id").drop("file_id")
+    sent = sent.join(names, "file_id").select("file_name", "speaker_role", "num_sent")
     if lexicon is not None:
         wf = FQ.mean_log_frequency(FQ.role_word_counts(lines, files), lexicon).join(names, "file_id") \
             .select("file_name", "speaker_role", "word_freq")
