@@ -73,12 +73,13 @@ def annotate(units: DataFrame, predict: Predictor | None = None) -> DataFrame:
     """One row per token.  ``predict`` receives pandas batches of
     ``file_id, speaker_role, line_index, text, lang`` and yields token rows
     (``TOKEN_SCHEMA`` plus ``speaker_role``); units are repartitioned by language
-    (salted by file) so one task loads one language's model and a dominant
-    language still spreads over many tasks."""
+    and a salt over ``(file, line)`` so a task mostly loads one language's model,
+    while a dominant language — or a single huge transcript — still spreads
+    over many tasks (the model works line by line)."""
     if predict is None:
         return builtin_annotate(units)
     parts = units.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    keyed = units.repartition(int(parts), "lang", F.xxhash64("file_id") % 64)
+    keyed = units.repartition(int(parts), "lang", F.pmod(F.xxhash64("file_id", "line_index"), F.lit(64)))
     schema = StructType(TOKEN_SCHEMA.fields + [StructField("speaker_role", StringType())])
     return keyed.mapInPandas(predict, schema)
 

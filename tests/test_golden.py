@@ -134,3 +134,13 @@ def test_first_n_per_language_exact(spark):
     got = sorted(tuple(r) for r in V.first_n_per_language(df, 3, salt_buckets=7).collect())
     exp = sorted([(n, l) for l in ("en", "de") for n in sorted(n for n, x in rows if x == l)[:3]])
     assert got == exp
+
+
+def test_relabel_is_simultaneous(spark):
+    """S0/S1/S2 become S1/S2/S3 in one step (no chain S0 -> S1 -> S2)."""
+    from parlance.operators import labels as LB
+    raw = spark.createDataFrame([(1, 1, "S0: a", False), (1, 2, "S1: b", False), (1, 3, "S2 c", True)],
+                                "file_id long, raw_index long, raw string, is_last boolean")
+    lab = LB.line_labels(raw)
+    out = LB.normalize_labels(lab, LB.label_mapping(lab)).orderBy("raw_index").select("raw").collect()
+    assert [r[0] for r in out] == ["S1: a", "S2: b", "S3: c"]
