@@ -70,24 +70,23 @@ def corpus_lexicon(texts: DataFrame, min_count: int = 3, text_col: str = "text",
 
 def subtlex_lexicon(subtlex: DataFrame, lang: str | None = None, order_col: str | None = None) -> DataFrame:
     """``word = lower(Word)``, ``frequency = FREQcount / sum(FREQcount)``,
-    ``log_frequency = Lg10WF``.  The total is a one-row aggregate cross-joined
-    (broadcast by construction: exactly one row).  ``order_col`` (the file
-    order of the rows) is kept as ``_order`` for F7's last-row-wins."""
-    total = subtlex.agg(F.sum("FREQcount").alias("_total"))
+    ``log_frequency = Lg10WF``.  The total is a scalar subquery (partial sums,
+    then one value inlined into the projection — no join).  ``order_col`` (the
+    file order of the rows) is kept as ``_order`` for F7's last-row-wins."""
+    total = subtlex.agg(F.sum("FREQcount")).scalar()
     keep = [F.col(order_col).alias("_order")] if order_col else []
-    out = subtlex.crossJoin(F.broadcast(total)).select(
+    out = subtlex.select(
         F.lower("Word").alias("word"),
-        (F.col("FREQcount").cast("double") / F.col("_total").cast("double")).alias("frequency"),
+        (F.col("FREQcount").cast("double") / total.cast("double")).alias("frequency"),
         F.col("Lg10WF").alias("log_frequency"), *keep)
     return out.withColumn("lang", F.lit(lang)) if lang else out
 
 
 def anc_lexicon(anc: DataFrame) -> DataFrame:
-    """``frequency = count / sum(count)`` (one-row total, broadcast by construction)."""
-    total = anc.agg(F.sum("count").alias("_total"))
-    return anc.crossJoin(F.broadcast(total)).select(
-        "word", "lemma", "pos", "count",
-        (F.col("count").cast("double") / F.col("_total").cast("double")).alias("frequency"))
+    """``frequency = count / sum(count)`` (the total as a scalar subquery)."""
+    total = anc.agg(F.sum("count")).scalar()
+    return anc.select("word", "lemma", "pos", "count",
+                      (F.col("count").cast("double") / total.cast("double")).alias("frequency"))
 
 
 def lexicon_dictionary(lexicon: DataFrame, order_col: str, use_log: bool = True,
