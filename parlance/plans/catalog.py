@@ -290,7 +290,7 @@ def q_roles_applied(spark, sf_dir):
 @register("prompts")
 def q_prompts(spark, sf_dir):
     """Model prompts (role prompt over 5,000 normalised chars, type
-    prompt over 40,000 chars).  Rows-only check."""
+    prompt over 40,000 chars)."""
     _, raw = fx_raw(spark, sf_dir, "raw")
     rp = MD.role_prompts(raw).select("file_id", F.lit("roles").alias("kind"), "system", "prompt")
     tp = MD.type_prompts(raw, thinking="low").select("file_id", F.lit("type").alias("kind"), "system", "prompt")
@@ -332,7 +332,7 @@ def fx_tokens(spark, sf_dir):
 
 @register("tokens")
 def q_tokens(spark, sf_dir):
-    """J3 / K2 (built-in annotator): one row per token.  Rows-only check."""
+    """J3 / K2 (built-in annotator): one row per token."""
     _, _, toks = fx_tokens(spark, sf_dir)
     return toks.withColumnRenamed("file_id", "conv_id")
 

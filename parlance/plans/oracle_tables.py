@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from parlance.functions.tags import safe_names
 from parlance.plans.oracle import (
-    DOC_LEXICON, FX_FILES, FX_LINES, FX_META, FX_UNITS, FXR_LINES, FXR_TRUNC, K3_CTES, LANG_RES, ORACLE,
+    label_map_ctes, DOC_LEXICON, FX_FILES, FX_LINES, FX_META, FX_UNITS, FXR_LINES, FXR_TRUNC, K3_CTES, LANG_RES, ORACLE,
     WORD_FREQ, group_from_path, is_diary, lab, lang_from_path, lang_name, norm_type, norm_type_strict,
     role_present, site_code, strip, tok, with_, words,
 )
@@ -337,3 +337,39 @@ SELECT conv_id, CASE WHEN hit = 1 THEN '{{PSYCHS}}' ELSE '{{OPEN}}' END AS respo
 FROM (SELECT conv_id, max(CASE WHEN regexp_matches(substr(raw, 1, CAST(40000 - char_offset AS INTEGER)), '{CUES}')
                                THEN 1 ELSE 0 END) AS hit
       FROM fx_rawl WHERE char_offset < 40000 GROUP BY conv_id)"""
+
+
+# --- tokens and prompts ---------------------------------------------------------------------
+
+from parlance.constants import SYSTEM_PROMPT  # noqa: E402
+from parlance.operators.models import ROLE_PROMPT_TEMPLATE, TYPE_PROMPT_TEMPLATE  # noqa: E402
+from parlance.plans.oracle_tags import TAG_BASE  # noqa: E402
+
+
+def sql_lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def template_parts(t: str) -> tuple[str, str]:
+    before, after = t.split("{transcript}")
+    return (sql_lit(before.replace("{{", "{").replace("}}", "}")),
+            sql_lit(after.replace("{{", "{").replace("}}", "}")))
+
+
+ORACLE["tokens"] = TAG_BASE + """
+SELECT conv_id, speaker_role, CAST(line_index AS BIGINT) AS line_index, sent_id, word_id, word, lemma,
+       upos, xpos, deprel, feats FROM fx_tok"""
+
+_RB, _RA = template_parts(ROLE_PROMPT_TEMPLATE)
+_TB, _TA = template_parts(TYPE_PROMPT_TEMPLATE)
+
+ORACLE["prompts"] = with_(FXR_LINES, FXR_TRUNC) + "," + label_map_ctes("fxt", "fxr_t")[1:] + f""",
+role_p AS (
+  SELECT conv_id, string_agg(raw, chr(10) ORDER BY raw_index) AS text FROM fxt_norm GROUP BY conv_id),
+type_p AS (
+  SELECT conv_id, string_agg(substr(raw, 1, CAST(40000 - char_offset AS INTEGER)), chr(10) ORDER BY raw_index) AS text
+  FROM fxr_rawl WHERE char_offset < 40000 GROUP BY conv_id)
+SELECT conv_id, 'roles' AS kind, {sql_lit(SYSTEM_PROMPT)} AS system, {_RB} || text || {_RA} AS prompt FROM role_p
+UNION ALL
+SELECT conv_id, 'type' AS kind, {sql_lit("Thinking: low" + chr(10) + SYSTEM_PROMPT)} AS system,
+       {_TB} || text || {_TA} AS prompt FROM type_p"""
