@@ -94,11 +94,10 @@ def unit_counts(tokens: DataFrame) -> DataFrame:
     ``#sent`` (tokens opening a sentence, ``word_id = 1``: one per sentence) or
     ``#word`` (every token).  The 14-slot explode is filtered to the vocabulary
     before the shuffle and combined map-side."""
-    v = vocab()
-    slots = F.filter(token_slots(), lambda t: t.isin(*v))    # InSet: a hash lookup
-    extra = F.array(F.when(F.col("word_id") == 1, F.lit(SENT)), F.lit(WORD))
-    tags = F.filter(F.concat(slots, extra), lambda t: t.isNotNull())
+    keep = vocab() + [SENT, WORD]
+    tags = F.concat(token_slots(), F.array(F.when(F.col("word_id") == 1, F.lit(SENT)), F.lit(WORD)))
     return (tokens.select("file_id", "speaker_role", F.explode(tags).alias("tag"))
+            .where(F.col("tag").isin(*keep))                  # InSet: a hash lookup, before the shuffle
             .groupBy("file_id", "speaker_role", "tag").agg(F.count(F.lit(1)).alias("cnt")))
 
 
