@@ -80,7 +80,11 @@ def main(argv):
     names = argv[2:]
     from parlance.session import get_session
     import __spark_entry__ as E
-    spark = get_session("local[8]", 8)
+    if os.environ.get("VANILLA"):
+        from pyspark.sql import SparkSession   # driver-like: no settings of ours
+        spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    else:
+        spark = get_session("local[8]", 8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = []
