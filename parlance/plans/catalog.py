@@ -489,16 +489,12 @@ def q_new_table(spark, sf_dir):
 
 # --- verify / fix (B8, B10-B12, D-5..D-9, E3, E9-E13, F8-F11, G2, G3, H1, H5, J5) ----------
 
-def _disk_name(conv_id, name):
-    return _submission_name(conv_id, name)
-
-
 def lookup_scenario(spark, sf_dir):
     """Transcript files whose names carry submission numbers, and a table that
     names them raw, normalised, or (``_copy``) not at all."""
     files = fx_files(spark, sf_dir)
     cid = F.col("conv_id")
-    disk = files.select("conv_id", F.concat("dir", F.lit("/"), _disk_name(cid, F.col("file_name"))).alias("path"))
+    disk = files.select("conv_id", F.concat("dir", F.lit("/"), _submission_name(cid, F.col("file_name"))).alias("path"))
     base = M.basename("path")
     tname = (F.when(cid % 9 == 4, F.regexp_replace(base, "[.]txt$", "_copy.txt"))
              .when(cid % 2 == 0, M.normalize_submission(base)).otherwise(base))
