@@ -83,7 +83,7 @@ def init_table(meta: DataFrame, roles: DataFrame, original: DataFrame, diary_mod
     * unclassified interview: Participant and Interviewer rows with label ``''``.
 
     ``roles``: ``file_id, original, role``; ``original``: C14 output.
-    ``row_index = 2 * file_id + (0 participant | 1 interviewer)``.
+    ``row_index = 2 * key + (0 participant | 1 interviewer)``.
     """
     r = roles.groupBy("file_id").agg(
         F.max(F.when(F.col("role") == "PARTICIPANT", F.col("original"))).alias("p_lab"),
@@ -98,8 +98,13 @@ def init_table(meta: DataFrame, roles: DataFrame, original: DataFrame, diary_mod
                      F.when(classified, F.col("i_lab")).otherwise(F.lit("")).alias("label"))
     rows = F.when(diary, F.array(part)).otherwise(F.array(part, inter))
     e = j.select("*", F.explode(rows).alias("u"))
+    # numeric keys (a table of conversations) give 2 * id + role; path keys (text
+    # files) a 62-bit hash of the path instead.  Only the order of one file's
+    # rows matters downstream (first row wins per file name).
+    numeric = meta.schema["file_id"].dataType.typeName() in ("long", "integer", "short", "byte")
+    base = F.col("file_id") if numeric else F.xxhash64("file_id").bitwiseAND(F.lit(0x3FFFFFFFFFFFFFFF))
     return e.select(
-        (F.col("file_id") * 2 + F.col("u.pos")).cast("bigint").alias("row_index"),
+        (base * 2 + F.col("u.pos")).cast("bigint").alias("row_index"),
         "network", "language", "src_subject_id", "interview_type", "day", "interview_number",
         F.col("u.label").alias("transcript_speaker_label"), F.col("u.speaker_role").alias("speaker_role"),
         "file_name")

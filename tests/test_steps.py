@@ -77,3 +77,43 @@ def test_steps_end_to_end(spark):
     assert summary.first()["files_scanned"] == n_files
     flat = S.organize_flat(spark, table, labelled, out)
     assert flat.agg(F.sum("n_files")).first()[0] == n_files
+
+
+def test_steps_on_text_files(spark):
+    """The README flow on real .txt files (path keys), a status CSV and a SUBTLEX file."""
+    import glob
+    import shutil
+    from parlance.operators import feature_table as FT
+    from parlance.sources.tables import read_lexicons, read_status
+    d = _out()
+    corpus = CAT.fx_corpus(spark, SF, "raw")
+    raw = L.raw_lines(corpus.chunks)
+    for f in corpus.files.collect():
+        rows = raw.where(F.col("file_id") == f["file_id"]).orderBy("raw_index").select("raw").collect()
+        p = os.path.join(d, "raw", f["dir"].lstrip("/"))
+        os.makedirs(p, exist_ok=True)
+        with open(os.path.join(p, f["file_name"]), "w", encoding="utf-8") as fh:
+            fh.write("\n".join(r[0] for r in rows))
+    CAT._status_rows(spark, SF).select("patient_id", "clinical_status").coalesce(1) \
+        .write.option("header", True).csv(os.path.join(d, "status"))
+    sub = CAT.subtlex_from_documents(spark, SF).select(
+        "Word", "FREQcount", F.lit(0).alias("CDcount"), F.lit(0).alias("FREQlow"), F.lit(0).alias("Cdlow"),
+        F.lit(0.0).alias("SUBTLWF"), "Lg10WF", F.lit(0.0).alias("SUBTLCD"), F.lit(0.0).alias("Lg10CD"))
+    sub.coalesce(1).write.option("header", True).csv(os.path.join(d, "sub_tmp"))
+    os.makedirs(os.path.join(d, "subtlex"))
+    shutil.copy(glob.glob(os.path.join(d, "sub_tmp", "part-*.csv"))[0], os.path.join(d, "subtlex", "subtlex_en.csv"))
+
+    files = C.text_file_corpus(spark, os.path.join(d, "raw"))
+    status = FT.status_table(read_status(spark, os.path.join(d, "status")))
+    org = S.organize(spark, files, os.path.join(d, "s0"), read_table(spark, SF, "documents"), status=status)
+    organized = S.corpus_from_lines(spark.read.parquet(os.path.join(d, "s0", "transcripts")))
+    lex = read_lexicons(spark, ["en"], os.path.join(d, "subtlex"))
+    tagged = S.tag(spark, organized, os.path.join(d, "s1"), lexicon=lex, table=org.table, languages=org.languages)
+    ver = S.verify(spark, tagged.table, files, os.path.join(d, "s2"))
+    n = files.files.count()
+    assert org.table.select("file_name").distinct().count() == n
+    assert tagged.table.count() == org.table.count()
+    assert tagged.table.where("num_sent <> ''").count() > 0
+    assert tagged.table.where("word_freq NOT IN ('', 'nan')").count() > 0
+    acc = ver.accuracy.first()
+    assert acc["processed"] > 0 and acc["processed"] == acc["matched"] + acc["mismatched"] + acc["parse_failures"]
