@@ -90,12 +90,9 @@ CORPUS_FILES: dict[str, str] = {
     "yue": "subtlex_yue.csv",
 }
 
-# --- FIXED VALUES: text limits of the model prompts and language sample ---
+# --- FIXED VALUES: characters of one model request (a text is covered by as many as it takes) ---
 ROLE_PROMPT_CHARS = 5000
 TYPE_PROMPT_CHARS = 40000
-LANGUAGE_SAMPLE_LINES = 450
-TAGGER_SAMPLE_ROLE_LINES = 10
-TAGGER_SAMPLE_ALL_LINES = 100
 
 # --- FIXED VALUES: patterns (Java regex syntax; equal in meaning to the originals) ---
 # Python's ``str.isspace`` whitespace set, as a character class.
@@ -109,6 +106,5 @@ SUBMISSION = r"submission(\p{Nd}+)"
 # Python ``\w`` for text: letters, digits, underscore (``[^\w\s]`` is deleted).
 NON_WORD = r"[^\p{L}\p{N}_\p{Z}\x09-\x0d\x1c-\x1f\x85]"
 
-# --- FIXED VALUES: the system line of both model prompts ---
-SYSTEM_PROMPT = ("You are a trained clinical annotator. Only respond in the format prescribed. "
-                 "Keep your reasoning succinct.")
+# The system line of both model prompts.
+SYSTEM_PROMPT = "You label interview transcripts. Answer in the requested format alone."

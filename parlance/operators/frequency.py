@@ -49,23 +49,40 @@ def corpus_word_counts(texts: DataFrame, text_col: str = "text", lang_col: str =
             .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def corpus_lexicon(texts: DataFrame, min_count: int = 3, text_col: str = "text",
-                   lang_col: str = "lang", with_frequency: bool = True) -> DataFrame:
-    """F5-style lexicon from a text corpus: ``lang, word, cnt, [frequency,] lg_e4``.
+def corpus_lexicon(texts: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """F5-style lexicon from a text corpus: ``lang, word, cnt, frequency, lg_e4``.
 
     ``frequency = cnt / total words of the language``; ``lg_e4 = round(log10(cnt) * 1e4)``.
-    Words seen fewer than ``min_count`` times are left out of the lexicon (they
-    still count in the total).  ``with_frequency=False`` skips the per-language
-    totals (a second aggregate) when only log frequencies are needed.
+    Every word of every text is in it.  The totals are one map (an entry a
+    language) read as a scalar subquery: nothing is joined on the language.
     """
-    counts = corpus_word_counts(texts, text_col, lang_col)
-    lg = scaled_log10(F.col("cnt")).alias("lg_e4")
-    if not with_frequency:
-        return counts.where(F.col("cnt") >= min_count).select("lang", "word", "cnt", lg)
-    totals = counts.groupBy("lang").agg(F.sum("cnt").alias("total"))  # one row per language
-    return (counts.where(F.col("cnt") >= min_count).join(totals, "lang")
-            .select("lang", "word", "cnt",
-                    (F.col("cnt").cast("double") / F.col("total").cast("double")).alias("frequency"), lg))
+    counts = corpus_word_counts(texts, text_col, lang_col).where(F.col("lang").isNotNull())
+    totals = (counts.groupBy("lang").agg(F.sum("cnt").alias("total"))
+              .agg(F.map_from_entries(F.collect_list(F.struct("lang", "total")))).scalar())
+    return counts.select(
+        "lang", "word", "cnt",
+        (F.col("cnt").cast("double") / F.element_at(totals, F.col("lang")).cast("double")).alias("frequency"),
+        scaled_log10(F.col("cnt")).alias("lg_e4"))
+
+
+#: A word with this share of its language's words, or more, is joined apart from the others.
+FREQUENT_SHARE = 1e-3
+
+
+def join_by_word(words_: DataFrame, lexicon: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """``words_`` joined with a lexicon that has ``frequency``, without one task per frequent word.
+
+    A word that makes up ``FREQUENT_SHARE`` of a language occurs in most files, so its key is hot.  A
+    language has at most ``1 / FREQUENT_SHARE`` such words; their entries (a list of that proven size) are
+    broadcast, all other words take the shuffle join.
+    """
+    names = lexicon.where(F.col("frequency") >= FREQUENT_SHARE).select("word").distinct()
+    frequent = lexicon.join(F.broadcast(names), "word", "left_semi")
+    rest = lexicon.join(F.broadcast(names), "word", "left_anti")
+    flagged = words_.join(F.broadcast(names.withColumn("_frequent", F.lit(True))), "word", "left")
+    near = flagged.where("_frequent").drop("_frequent").join(F.broadcast(frequent), keys, how)
+    far = flagged.where("_frequent is null").drop("_frequent").join(rest, keys, how)
+    return near.unionByName(far)
 
 
 def subtlex_lexicon(subtlex: DataFrame, lang: str | None = None, order_col: str | None = None) -> DataFrame:
@@ -103,9 +120,13 @@ def lexicon_dictionary(lexicon: DataFrame, order_col: str, use_log: bool = True,
             .agg(F.max_by(F.col(val), F.col(order_col)).alias("value")))
 
 
-def role_word_counts(lines: DataFrame, files: DataFrame, diary_mode: str = "path") -> DataFrame:
+def role_word_counts(lines: DataFrame, files: DataFrame, diary_mode: str = "path",
+                     languages: DataFrame | None = None) -> DataFrame:
     """``file_id, speaker_role, lang, word, n``.
 
+    ``languages`` (``file_id, lang``) gives the language of each file, and only its files
+    are counted; without it the language is that of the folder.
+
     For each of PARTICIPANT / INTERVIEWER, the words of that speaker's lines, or
     of all lines when the file has none for the role.  Diaries give only the
     participant unit (over all lines).  Word occurrences are counted per
@@ -118,6 +139,8 @@ def role_word_counts(lines: DataFrame, files: DataFrame, diary_mode: str = "path
         F.max((F.col("speaker") == "INTERVIEWER").cast("int")).alias("has_i"))
     meta = files.select("file_id", language_from_path("path").alias("lang"),
                         is_diary("path", diary_mode).alias("diary")).join(presence, "file_id")
+    if languages is not None:
+        meta = meta.drop("lang").join(languages.select("file_id", "lang"), "file_id")
     joined = per_speaker.join(meta, "file_id")
     to_p = (F.col("speaker") == "PARTICIPANT") | (F.col("has_p") == 0) | F.col("diary")
     to_i = ((F.col("speaker") == "INTERVIEWER") | (F.col("has_i") == 0)) & ~F.col("diary")
@@ -136,8 +159,10 @@ def mean_log_frequency(units: DataFrame, lexicon: DataFrame) -> DataFrame:
     """
     scaled = "lg_e4" in lexicon.columns
     val = "lg_e4" if scaled else "log_frequency"
-    lex = lexicon.select("lang", "word", F.col(val).alias("_v"))
-    j = units.join(lex, ["lang", "word"], "left")
+    if scaled:
+        j = join_by_word(units, lexicon.select("lang", "word", "frequency", F.col(val).alias("_v")), ["lang", "word"])
+    else:
+        j = units.join(lexicon.select("lang", "word", F.col(val).alias("_v")), ["lang", "word"], "left")
     found = F.when(F.col("_v").isNotNull(), F.col("n")).otherwise(F.lit(0))
     agg = j.groupBy("file_id", "speaker_role", "lang").agg(
         F.sum("n").alias("n_words"), F.sum(found).alias("found"),

@@ -39,10 +39,14 @@ def cleaning_summary(raw: DataFrame) -> DataFrame:
 
 def line_labels(raw: DataFrame) -> DataFrame:
     """``file_id, raw_index, raw, is_last, label`` (``''`` when the line has none)."""
-    return raw.select("file_id", "raw_index", "raw", "is_last",
+    return raw.select("file_id", "raw_index", "raw", "is_last", *_place(raw),
                       leading_label("raw", F.col("is_last")).alias("label"))
 
 
+def _place(df: DataFrame) -> list[str]:
+    return [c for c in ("char_offset",) if c in df.columns]
+
+
 def distinct_labels(labelled: DataFrame) -> DataFrame:
     """distinct speaker labels per file (``file_id, label``)."""
     return labelled.where(F.col("label") != "").select("file_id", "label").distinct()
@@ -74,7 +78,7 @@ def normalize_labels(labelled: DataFrame, mapping: DataFrame) -> DataFrame:
     j = labelled.join(m, ["file_id", "label"], "left")
     new_raw = F.when(F.col("normalized").isNotNull(), relabel_line("raw", "label", "normalized")) \
         .otherwise(F.col("raw"))
-    return j.select("file_id", "raw_index", new_raw.alias("raw"), "is_last", "label",
+    return j.select("file_id", "raw_index", new_raw.alias("raw"), "is_last", *_place(labelled), "label",
                     F.coalesce("normalized", "label").alias("norm_label"))
 
 

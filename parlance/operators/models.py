@@ -15,13 +15,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.constants import (
-    LANGUAGE_SAMPLE_LINES, ROLE_ANSWER, ROLE_PROMPT_CHARS, SYSTEM_PROMPT, TYPE_BARE, TYPE_BRACED,
-    TYPE_PROMPT_CHARS,
-)
+from parlance.constants import ROLE_ANSWER, ROLE_PROMPT_CHARS, SYSTEM_PROMPT, TYPE_BARE, TYPE_BRACED, TYPE_PROMPT_CHARS
 from parlance.functions.metadata import map_detected_language, resolve_language, tagger_language
 from parlance.functions.text import is_blank, strip_ws, words
 from parlance.operators import labels as LB
@@ -30,41 +27,41 @@ Predictor = Callable[[Iterator["pd.DataFrame"]], Iterator["pd.DataFrame"]]  # no
 
 # --- FIXED VALUES: built-in stand-in parameters (ours) --------------------------------
 DEFAULT_TYPE_CUES = r"(?i)\b(how often|how long|how much|last month|past month|frequency|duration|often)\b"
-STOPWORDS_PER_LANGUAGE = 50
 
 
 # --- prompt text ---------------------------------------------------------------------------
 
-def truncated_raw(raw: DataFrame, chars: int) -> DataFrame:
-    """Raw lines of the first ``chars`` characters of each file.
+def prompt_parts(lines: DataFrame, chars: int) -> DataFrame:
+    """Lines cut into consecutive parts of ``chars`` characters of each file.
 
-    The line crossing the limit is cut; ``is_last`` marks the last line of the
-    truncated text (its trailing newline is outside the limit).
+    ``file_id, part, raw_index, raw``; a line goes to the part it begins in, one that reaches over a limit is cut there.
+    ``chars`` is the size of one request; the parts together hold the whole text.
     """
-    keep = raw.where(F.col("char_offset") < chars)
-    return keep.select(
-        "file_id", "raw_index",
-        F.substring("raw", 1, (F.lit(chars) - F.col("char_offset")).cast("int")).alias("raw"),
-        (F.col("is_last") | (F.col("char_offset") + F.length("raw") >= chars)).alias("is_last"),
-        "char_offset", "line_index")
+    size, off, n = F.lit(chars), F.col("char_offset"), F.length("raw")
+    first, last = F.floor(off / size), F.floor((off + F.greatest(n, F.lit(1)) - 1) / size)
+    cut = lines.select("file_id", "raw_index", "raw", "char_offset", F.explode(F.sequence(first, last)).alias("part"))
+    begin = F.greatest(F.col("part") * size - off, F.lit(0))
+    return cut.select("file_id", "part", "raw_index",
+                      F.substring("raw", (begin + 1).cast("int"), ((F.col("part") + 1) * size - off - begin).cast("int")).alias("raw"))
 
 
 def join_lines(df: DataFrame, col: str = "raw") -> DataFrame:
-    """Concatenate a *bounded* set of lines per file (a prompt) in ``raw_index`` order."""
-    return df.groupBy("file_id").agg(
+    """Concatenate the *bounded* set of lines of each part of a file (a prompt) in ``raw_index`` order."""
+    return df.groupBy("file_id", "part").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("raw_index", col))),
                                  lambda s: s[col]), "\n").alias("text"))
 
 
-# --- FIXED VALUES: prompt templates (format of the original prompts) --------------------
+# --- prompt templates (only the answer formats are fixed) --------------------------------
 ROLE_PROMPT_TEMPLATE = (
-    "Analyze the following transcript excerpt and determine which speaker is the INTERVIEWER "
-    "and which is the PARTICIPANT.\n\nTranscript:\n{transcript}\n\nRespond with exactly two lines:\n"
-    "<speaker>: INTERVIEWER\n<speaker>: PARTICIPANT")
+    "Below is one part of an interview transcript. Two of its speakers matter: the one who asks the questions "
+    "(INTERVIEWER) and the one who answers them at length (PARTICIPANT). Speakers are named by the label that "
+    "opens their lines.\n\n<transcript>\n{transcript}\n</transcript>\n\nName both, a line each, and write nothing else:\n"
+    "S<number>: INTERVIEWER\nS<number>: PARTICIPANT")
 TYPE_PROMPT_TEMPLATE = (
-    "Analyze the following transcript excerpt and determine whether it is an OPEN or PSYCHS "
-    "interview.\n\nTranscript:\n{transcript}\n\nRespond with exactly one line in this format:\n"
-    "{{INTERVIEW_TYPE}} where INTERVIEW_TYPE is either OPEN or PSYCHS.")
+    "Below is one part of an interview transcript. A PSYCHS interview works through set questions on symptoms, "
+    "with how often they occur and how long they last; an OPEN interview lets the participant talk freely.\n\n"
+    "<transcript>\n{transcript}\n</transcript>\n\nWrite the type in braces and nothing else: {{OPEN}} or {{PSYCHS}}")
 
 
 def _fill(template: str, text: Column) -> Column:
@@ -75,34 +72,55 @@ def _fill(template: str, text: Column) -> Column:
 
 def role_prompts(raw: DataFrame, chars: int = ROLE_PROMPT_CHARS,
                  template: str = ROLE_PROMPT_TEMPLATE) -> DataFrame:
-    """``file_id, system, prompt`` over the first ``chars`` characters,
-    with speaker labels normalised (truncate first, then normalise)."""
-    t = LB.line_labels(truncated_raw(raw, chars))
+    """``file_id, part, system, prompt`` over the whole text in parts of ``chars``
+    characters, with speaker labels normalised over the whole file."""
+    t = LB.line_labels(raw)
     norm = LB.normalize_labels(t, LB.label_mapping(t))
-    return join_lines(norm).select("file_id", F.lit(SYSTEM_PROMPT).alias("system"),
-                                   _fill(template, F.col("text")).alias("prompt"))
+    return join_lines(prompt_parts(norm, chars)).select("file_id", "part", F.lit(SYSTEM_PROMPT).alias("system"),
+                                                        _fill(template, F.col("text")).alias("prompt"))
 
 
 def type_prompts(raw: DataFrame, chars: int = TYPE_PROMPT_CHARS, thinking: str | None = None,
                  template: str = TYPE_PROMPT_TEMPLATE) -> DataFrame:
-    """``file_id, system, prompt`` over the first ``chars`` characters;
+    """``file_id, part, system, prompt`` over the whole text in parts of ``chars`` characters;
     optional ``Thinking: <level>`` line before the system text."""
     system = SYSTEM_PROMPT if thinking is None else f"Thinking: {thinking}\n{SYSTEM_PROMPT}"
-    return join_lines(truncated_raw(raw, chars)).select(
-        "file_id", F.lit(system).alias("system"), _fill(template, F.col("text")).alias("prompt"))
+    return join_lines(prompt_parts(raw, chars)).select(
+        "file_id", "part", F.lit(system).alias("system"), _fill(template, F.col("text")).alias("prompt"))
 
 
 def run_predictor(prompts: DataFrame, predict: Predictor, batch_rows: int = 16) -> DataFrame:
-    """Run a plug-in model over ``file_id, system, prompt`` -> ``file_id, response``.
+    """Run a plug-in model over ``file_id, part, system, prompt``; it yields ``file_id, response`` and may
+    yield ``part`` (one answer a prompt, in order, where it does not).
 
-    ``mapInPandas`` streams Arrow batches of ``batch_rows`` prompts to the
-    Python worker (the original batch size is 16); the caller should persist
-    or write the result before using it twice, so the model runs once.
+    The worker gets frames of ``batch_rows`` prompts (the original batch size is 16), cut from the Arrow batches inside the
+    task; no session setting is changed.  The caller should persist or write the result before using it
+    twice, so the model runs once.
     """
-    spark = prompts.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     key_type = prompts.schema["file_id"].dataType.simpleString()
-    return prompts.mapInPandas(predict, f"file_id {key_type}, response string")
+
+    def run(frames):
+        for frame in frames:
+            for at in range(0, len(frame), batch_rows):
+                some = frame.iloc[at:at + batch_rows].reset_index(drop=True)
+                for out in predict(iter([some])):
+                    if "part" not in out:
+                        out = out.assign(part=some["part"].to_numpy()[:len(out)])
+                    yield out[["file_id", "part", "response"]]
+
+    return prompts.mapInPandas(run, f"file_id {key_type}, part bigint, response string")
+
+
+def most_frequent_answer(answers: DataFrame, parsed: Column) -> DataFrame:
+    """One answer a file from those of its parts: ``file_id, answer``.
+
+    The parsed answer that most parts give; of equally frequent ones that of the earliest part.  Parts
+    without a valid answer do not vote; a file without any has a NULL answer.
+    """
+    votes = answers.select("file_id", "part", parsed.alias("answer"))
+    counted = votes.groupBy("file_id", "answer").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("first"))
+    rank = F.when(F.col("answer").isNotNull(), F.struct(F.col("n"), -F.col("first")))
+    return counted.groupBy("file_id").agg(F.max_by("answer", rank).alias("answer"))
 
 
 # --- answer parsing -------------------------------------------------------------------------
@@ -139,7 +157,7 @@ def _label_text(raw: Column, label: Column) -> Column:
 
 
 def builtin_role_answers(norm_lines: DataFrame) -> DataFrame:
-    """K3 stand-in (ours): among speakers S1-S3 of the normalised excerpt, the
+    """K3 stand-in (ours): among speakers S1-S3 of the normalised text, the
     interviewer has the highest share of lines ending in ``?`` (ties: fewer
     words per line, then label); the participant is the other speaker with
     most words (ties: label).  Answers in the model's format.
@@ -172,20 +190,21 @@ def builtin_role_answers(norm_lines: DataFrame) -> DataFrame:
 
 def classify_roles(raw: DataFrame, predict: Predictor | None = None,
                    chars: int = ROLE_PROMPT_CHARS) -> tuple[DataFrame, DataFrame]:
-    """K3: ``(answers, roles)``.
+    """K3 over whole texts: ``(answers, roles)``; pass the lines of interviews only (diaries have no roles).
 
-    ``answers``: ``file_id, response``; ``roles``: ``file_id, original, role`` —
-    the original label of each speaker the answer names (through the
-    normalisation map of the excerpt), one row per role, nothing for an
-    unparseable answer.
+    ``answers``: ``file_id, response`` (a plug-in answers by ``part``); ``roles``: ``file_id, original, role`` —
+    the original label of each speaker the answer names (through the file's normalisation map), one row
+    per role, nothing for an unparseable answer.  The parts' answers are combined by ``most_frequent_answer``.
     """
-    t = LB.line_labels(truncated_raw(raw, chars))
+    t = LB.line_labels(raw)
     mapping = LB.label_mapping(t)
     if predict is None:
         answers = builtin_role_answers(LB.normalize_labels(t, mapping))
+        voted = answers.select("file_id", F.lit(0).cast("bigint").alias("part"), "response")
     else:
-        answers = run_predictor(role_prompts(raw, chars), predict)
-    parsed = answers.select("file_id", F.explode(parse_roles("response")).alias("e"))
+        answers = voted = run_predictor(role_prompts(raw, chars), predict)
+    pairs = F.array_sort(parse_roles("response"))
+    parsed = most_frequent_answer(voted, pairs).select("file_id", F.explode("answer").alias("e"))
     m = mapping.select("file_id", F.col("normalized").alias("speaker"), "original")
     roles = (parsed.select("file_id", F.col("e.speaker").alias("speaker"), F.col("e.role").alias("role"))
              .join(m, ["file_id", "speaker"], "left")
@@ -195,95 +214,77 @@ def classify_roles(raw: DataFrame, predict: Predictor | None = None,
 
 # --- K4: interview type ------------------------------------------------------------------------
 
-def builtin_type_answers(raw_excerpt: DataFrame, cues: str = DEFAULT_TYPE_CUES) -> DataFrame:
-    """K4 stand-in (ours): ``{PSYCHS}`` when a line of the excerpt asks about
+def builtin_type_answers(raw: DataFrame, cues: str = DEFAULT_TYPE_CUES) -> DataFrame:
+    """K4 stand-in (ours): ``{PSYCHS}`` when any line of the text asks about
     duration or frequency (``cues``), else ``{OPEN}``."""
-    return raw_excerpt.groupBy("file_id").agg(
+    return raw.groupBy("file_id").agg(
         F.when(F.max(F.col("raw").rlike(cues).cast("int")) == 1, F.lit("{PSYCHS}"))
         .otherwise(F.lit("{OPEN}")).alias("response"))
 
 
 def predict_types(raw: DataFrame, predict: Predictor | None = None, chars: int = TYPE_PROMPT_CHARS,
                   thinking: str | None = None, cues: str = DEFAULT_TYPE_CUES) -> DataFrame:
-    """K4 model step: ``file_id, response, predicted`` (NULL = parse failure)."""
+    """K4 model step over whole texts: ``file_id, response, predicted`` (NULL = parse failure).
+
+    A plug-in answers by part; ``response`` is then the earliest part's answer that gives ``predicted`` (any, if none
+    does), and ``predicted`` the type that most parts give (``most_frequent_answer``).
+    """
     if predict is None:
-        answers = builtin_type_answers(truncated_raw(raw, chars), cues)
-    else:
-        answers = run_predictor(type_prompts(raw, chars, thinking), predict)
-    return answers.select("file_id", "response", parse_interview_type("response").alias("predicted"))
+        answers = builtin_type_answers(raw, cues)
+        return answers.select("file_id", "response", parse_interview_type("response").alias("predicted"))
+    return combine_types(run_predictor(type_prompts(raw, chars, thinking), predict))
 
 
-# --- K1: language ---------------------------------------------------------------------------------
+def combine_types(answers: DataFrame) -> DataFrame:
+    """``file_id, response, predicted`` from the answers ``file_id, part, response`` of a file's parts."""
+    typed = answers.withColumn("predicted", parse_interview_type("response"))
+    best = most_frequent_answer(answers, parse_interview_type("response"))
+    said = (typed.join(best, "file_id").where(F.col("predicted").eqNullSafe(F.col("answer")))
+            .groupBy("file_id").agg(F.min_by("response", "part").alias("response"), F.first("answer").alias("predicted")))
+    return said.select("file_id", "response", "predicted")
 
-def language_sample(lines: DataFrame, n_lines: int = LANGUAGE_SAMPLE_LINES) -> DataFrame:
-    """The first ``n_lines`` parsed lines of each file (``file_id, line_index, text``)."""
-    return lines.where(F.col("line_index") <= n_lines).select("file_id", "line_index", "text")
 
+# --- K1: language ---------------------------------------------------------------------------------
 
-def tagger_sample(lines: DataFrame, role_lines: int = 10, all_lines: int = 100) -> DataFrame:
-    """The tagger's language sample — the first ``role_lines`` participant
-    lines, or the first ``all_lines`` lines when there are none; non-blank texts
-    joined by a space.  At most ``all_lines`` lines per file are gathered.
+def detect_languages(lines: DataFrame, lexicon: DataFrame, predict: Predictor | None = None) -> DataFrame:
+    """K1 + C22 over all lines of each file: ``file_id, detected, no_text``.
 
-    Output ``file_id, sample``.
+    ``predict=None``: the stand-in (ours), the language in which the file's words have the largest
+    sum of relative frequencies (in units of 1e-9, whole numbers; ties by code), ``''`` if no word is known.
+    ``lexicon``: ``lang, word, frequency`` (see ``corpus_lexicon``).  A plug-in gets pandas frames
+    ``file_id, line_index, text`` and yields ``file_id, line_index, detected``; the language of most lines wins (ties by code).
     """
-    from parlance.operators.lines import role_line_ordinals
-    p = role_line_ordinals(lines.where(F.col("speaker") == "PARTICIPANT")) \
-        .where(F.col("role_ordinal") <= role_lines).select("file_id", "line_index", "text")
-    has_p = p.select("file_id").distinct()
-    rest = lines.where(F.col("line_index") <= all_lines).join(has_p, "file_id", "left_anti") \
-        .select("file_id", "line_index", "text")
-    picked = p.unionByName(rest).where(~is_blank("text"))
-    files = lines.select("file_id").distinct()
-    joined = picked.groupBy("file_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_index", "text"))),
-                                 lambda s: s["text"]), " ").alias("sample"))
-    return files.join(joined, "file_id", "left").select("file_id", F.coalesce("sample", F.lit("")).alias("sample"))
-
-
-def detect_tagger_language(lines: DataFrame, stopwords: DataFrame) -> DataFrame:
-    """K1 (tagger variant) + C22b + C23b: ``file_id, detected, tagger`` — the
-    stop-word detector over the tagger sample; unsupported or no text -> ``zh``."""
-    from parlance.functions.metadata import map_detected_tagger_language
-    sample = tagger_sample(lines)
-    as_lines = sample.select("file_id", F.lit(1).alias("line_index"), F.col("sample").alias("text"))
-    det = builtin_language_detect(as_lines, stopwords)
-    return det.select("file_id", "detected",
-                      map_detected_tagger_language("detected", F.col("no_text")).alias("tagger"))
-
+    files = lines.groupBy("file_id").agg((F.max((~is_blank("text")).cast("int")) == 0).alias("no_text"))
+    if predict is None:
+        counted = (lines.select("file_id", F.explode(words("text")).alias("word"))
+                   .groupBy("file_id", "word").agg(F.count(F.lit(1)).alias("n")))
+        from parlance.operators.frequency import join_by_word
+        share = F.round(F.col("frequency") * 1e9).cast("bigint")
+        hits = (join_by_word(counted, lexicon.select("lang", "word", "frequency"), ["word"], "inner")
+                .groupBy("file_id", "lang").agg(F.sum(F.col("n") * share).alias("score")))
+    else:
+        key_type = lines.schema["file_id"].dataType.simpleString()
+        said = lines.where(~is_blank("text")).select("file_id", "line_index", "text").mapInPandas(
+            predict, f"file_id {key_type}, line_index bigint, detected string")
+        hits = said.groupBy("file_id", F.col("detected").alias("lang")).agg(F.count(F.lit(1)).alias("score"))
+    low = F.transform(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "lang"))), lambda x: x["lang"])
+    best = hits.groupBy("file_id").agg(F.get(low, 0).alias("_l"))  # an entry a language
+    return files.join(best, "file_id", "left").select("file_id", F.coalesce("_l", F.lit("")).alias("detected"), "no_text")
 
-def stopword_table(documents: DataFrame, per_language: int = STOPWORDS_PER_LANGUAGE,
-                   text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The ``per_language`` most frequent words of each language of a labelled
-    corpus (ties by word): ``lang, word``.  A top-k by design, computed in two
-    salted phases so one language's vocabulary is never sorted in one task."""
-    from parlance.operators.frequency import corpus_word_counts
-    from parlance.operators.ranking import top_n_per_group
-    counts = corpus_word_counts(documents, text_col, lang_col)
-    top = top_n_per_group(counts, ["lang"], [F.col("cnt").desc(), F.col("word").asc()], per_language,
-                          F.xxhash64("word"))
-    return top.select("lang", "word")
 
+def tagger_lines(lines: DataFrame) -> DataFrame:
+    """The lines the tagger's language is told from — all participant lines, or all lines of a file without any."""
+    has_p = lines.where(F.col("speaker") == "PARTICIPANT").select("file_id").distinct()
+    own = lines.where(F.col("speaker") == "PARTICIPANT")
+    return own.unionByName(lines.join(has_p, "file_id", "left_anti"))
 
-def builtin_language_detect(sample: DataFrame, stopwords: DataFrame) -> DataFrame:
-    """K1 stand-in (ours): the language whose stop words occur most often in the
-    sample (ties by code); no hit -> ``''`` (unidentified).
 
-    ``stopwords`` holds ``per_language x languages`` rows; no broadcast hint
-    (the number of languages is data), AQE broadcasts it once measured.
-    """
-    hits = (sample.select("file_id", F.explode(words("text")).alias("word"))
-            .groupBy("file_id", "word").agg(F.count(F.lit(1)).alias("n"))
-            .join(stopwords, "word")   # tiny: AQE broadcasts it at run time
-            .groupBy("file_id", "lang").agg(F.sum("n").alias("score")))
-    w = Window.partitionBy("file_id").orderBy(F.col("score").desc(), F.col("lang").asc())
-    best = (hits.select("file_id", "lang", F.row_number().over(w).alias("r"))   # <= #languages rows
-            .where(F.col("r") == 1).select("file_id", F.col("lang").alias("_l")))
-    files = sample.groupBy("file_id").agg(
-        F.max((~is_blank("text")).cast("int")).alias("has_text"))
-    return files.join(best, "file_id", "left").select(
-        "file_id", F.coalesce("_l", F.lit("")).alias("detected"),
-        (F.col("has_text") == 0).alias("no_text"))
+def detect_tagger_language(lines: DataFrame, lexicon: DataFrame, predict: Predictor | None = None) -> DataFrame:
+    """K1 (tagger variant) + C22b + C23b: ``file_id, detected, tagger``; unsupported or no text -> ``zh``."""
+    from parlance.functions.metadata import map_detected_tagger_language
+    det = detect_languages(tagger_lines(lines), lexicon, predict)
+    return det.select("file_id", "detected",
+                      map_detected_tagger_language("detected", F.col("no_text")).alias("tagger"))
 
 
 def resolve_languages(detected: DataFrame, sites: DataFrame) -> DataFrame:

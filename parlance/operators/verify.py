@@ -172,7 +172,7 @@ def accuracy(verdict: DataFrame) -> DataFrame:
 
 
 def first_n_per_language(files: DataFrame, n: int, lang_col: str = "language",
-                         order_col: str = "file_name", salt_buckets: int = 64) -> DataFrame:
+                         order_col: str = "file_name", salt_buckets: int | None = None) -> DataFrame:
     """G3 (``--slice``): the first ``n`` transcripts of each language by name.
 
     A limit *is* the feature here.  Exact two-phase top-n (see

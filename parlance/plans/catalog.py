@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from parlance.operators import frequency as FQ
 from parlance.operators import lines as L
 from parlance.sources import corpus as C
+from parlance.session import persisted
 from parlance.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +29,8 @@ def register(name: str):
     return deco
 
 
-def _conversations(spark: SparkSession, sf_dir: str, balance: bool = True) -> DataFrame:
-    return read_table(spark, sf_dir, "conversations", balance=balance)
+def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "conversations")
 
 
 def fx_corpus(spark: SparkSession, sf_dir: str, style: str = "labelled") -> C.Corpus:
@@ -54,14 +55,15 @@ def fx_lines(spark: SparkSession, sf_dir: str, style: str = "labelled"):
     return corpus, L.parse_lines(L.raw_lines(corpus.chunks))
 
 
-def document_lexicon(spark: SparkSession, sf_dir: str, with_frequency: bool = False) -> DataFrame:
-    return FQ.corpus_lexicon(_table(spark, sf_dir, "documents"), min_count=3, with_frequency=with_frequency)
+def document_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lexicon of all documents, computed once for the several uses a query makes of it."""
+    return persisted(FQ.corpus_lexicon(_table(spark, sf_dir, "documents")))
 
 
 @register("lexicon")
 def q_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """relative and scaled-log frequency per (lang, word) over all documents."""
-    return document_lexicon(spark, sf_dir, with_frequency=True)
+    return FQ.corpus_lexicon(_table(spark, sf_dir, "documents"))
 
 
 def subtlex_from_documents(spark, sf_dir):
@@ -101,9 +103,7 @@ from parlance.functions import metadata as M  # noqa: E402
 
 
 def fx_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # one row per conversation: a distinct on conv_id, which shuffles (with
-    # partial aggregation) anyway, so the scan is not rebalanced first
-    return C.conversation_files(_conversations(spark, sf_dir, balance=False)).withColumnRenamed("file_id", "conv_id")
+    return C.conversation_files(_conversations(spark, sf_dir)).withColumnRenamed("file_id", "conv_id")
 
 
 def _short_name(name, conv_id):
@@ -262,10 +262,15 @@ def q_original_labels(spark, sf_dir):
 
 def _roles(spark, sf_dir):
     corpus, raw = fx_raw(spark, sf_dir, "raw")
-    answers, roles = MD.classify_roles(raw)
+    answers, roles = MD.classify_roles(_interviews(corpus, raw))
     return corpus, raw, answers, roles
 
 
+def _interviews(corpus, raw):
+    """Raw lines of the files that are no diaries (roles are asked for interviews only)."""
+    return raw.join(corpus.files.where(~M.is_diary("path")).select("file_id"), "file_id", "left_semi")
+
+
 @register("roles_parsed")
 def q_roles_parsed(spark, sf_dir):
     """K3 (built-in predictor) + C16: the answer and the original label of each role."""
@@ -289,11 +294,11 @@ def q_roles_applied(spark, sf_dir):
 
 @register("prompts")
 def q_prompts(spark, sf_dir):
-    """Model prompts (role prompt over 5,000 normalised chars, type
-    prompt over 40,000 chars)."""
+    """Model prompts that cover whole texts in consecutive parts (requests of 5,000
+    normalised characters for roles, of 40,000 for types)."""
     _, raw = fx_raw(spark, sf_dir, "raw")
-    rp = MD.role_prompts(raw).select("file_id", F.lit("roles").alias("kind"), "system", "prompt")
-    tp = MD.type_prompts(raw, thinking="low").select("file_id", F.lit("type").alias("kind"), "system", "prompt")
+    rp = MD.role_prompts(raw).select("file_id", F.lit("roles").alias("kind"), "part", "system", "prompt")
+    tp = MD.type_prompts(raw, thinking="low").select("file_id", F.lit("type").alias("kind"), "part", "system", "prompt")
     return rp.unionByName(tp).withColumnRenamed("file_id", "conv_id")
 
 
@@ -301,16 +306,14 @@ def q_prompts(spark, sf_dir):
 def q_tagger_language(spark, sf_dir):
     """K1 tagger variant + C22b + C23b: detected code for transcripts, ``zh`` fallback."""
     _, lines = fx_lines(spark, sf_dir)
-    stop = MD.stopword_table(_table(spark, sf_dir, "documents"))
-    return MD.detect_tagger_language(lines, stop).withColumnRenamed("file_id", "conv_id")
+    return MD.detect_tagger_language(lines, document_lexicon(spark, sf_dir)).withColumnRenamed("file_id", "conv_id")
 
 
 @register("language_resolved")
 def q_language_resolved(spark, sf_dir):
-    """K1 (built-in stop-word detector) + C22 + C23 + C24 + C25."""
+    """K1 (built-in detector) + C22 + C23 + C24 + C25."""
     corpus, lines = fx_lines(spark, sf_dir)
-    stop = MD.stopword_table(_table(spark, sf_dir, "documents"))
-    det = MD.builtin_language_detect(MD.language_sample(lines), stop)
+    det = MD.detect_languages(lines, document_lexicon(spark, sf_dir))
     sites = corpus.files.select("file_id", M.site_code("file_name").alias("site"))
     out = MD.resolve_languages(det, sites)
     return out.withColumnRenamed("file_id", "conv_id")
@@ -371,8 +374,7 @@ def q_tally_wide(spark, sf_dir):
 
 def resolved_languages(spark, sf_dir, corpus, lines):
     """Step-0 language (K1 + C24) as the folder language the tagger sees."""
-    stop = MD.stopword_table(_table(spark, sf_dir, "documents"))
-    det = MD.builtin_language_detect(MD.language_sample(lines), stop)
+    det = MD.detect_languages(lines, document_lexicon(spark, sf_dir))
     sites = corpus.files.select("file_id", M.site_code("file_name").alias("site"))
     res = MD.resolve_languages(det, sites)
     return corpus.files.select("file_id").join(res, "file_id", "left").select(
@@ -428,7 +430,7 @@ def q_init_table(spark, sf_dir):
     lines = L.parse_lines(raw)
     langs = resolved_languages(spark, sf_dir, corpus, lines)
     meta = FT.file_metadata(corpus.files, langs)
-    _, roles = MD.classify_roles(raw)
+    _, roles = MD.classify_roles(_interviews(corpus, raw))
     return FT.init_table(meta, roles, LB.original_labels(raw))
 
 

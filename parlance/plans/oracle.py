@@ -128,7 +128,7 @@ doc_totals AS (SELECT lang, sum(cnt) AS total FROM doc_counts GROUP BY lang),
 doc_lex AS (
   SELECT lang, word, cnt, CAST(cnt AS DOUBLE) / CAST(total AS DOUBLE) AS frequency,
          CAST(round(log10(cnt) * 10000) AS BIGINT) AS lg_e4
-  FROM doc_counts JOIN doc_totals USING (lang) WHERE cnt >= 3)"""
+  FROM doc_counts JOIN doc_totals USING (lang))"""
 
 FX_UNITS = f"""
 fx_w AS (SELECT conv_id, speaker, unnest({words('text')}) AS word FROM fx_lines),
@@ -402,19 +402,17 @@ roles AS (
   FROM ans_last a JOIN ans_valid USING (conv_id)
   LEFT JOIN fxt_map m ON m.conv_id = a.conv_id AND m.normalized = a.speaker)"""
 
-FXR_TRUNC = """
+FXR_ROLE_LINES = f"""
 fxr_t AS (
-  SELECT conv_id, raw_index, substr(raw, 1, CAST(5000 - char_offset AS INTEGER)) AS raw,
-         is_last OR char_offset + length(raw) >= 5000 AS is_last
-  FROM fxr_rawl WHERE char_offset < 5000)"""
+  SELECT conv_id, raw_index, raw, is_last FROM fxr_rawl JOIN fx_paths f USING (conv_id) WHERE NOT {is_diary('f.path')})"""
 
-ORACLE["roles_parsed"] = with_(FXR_LINES, FXR_TRUNC, K3_CTES) + """
+ORACLE["roles_parsed"] = with_(FX_FILES, FXR_LINES, FXR_ROLE_LINES, K3_CTES) + """
 SELECT a.conv_id, a.response,
   max(CASE WHEN r.role = 'INTERVIEWER' THEN r.original END) AS interviewer,
   max(CASE WHEN r.role = 'PARTICIPANT' THEN r.original END) AS participant
 FROM answers a LEFT JOIN roles r USING (conv_id) GROUP BY a.conv_id, a.response"""
 
-ORACLE["roles_applied"] = with_(FX_FILES, FXR_LINES, FXR_TRUNC, K3_CTES) + f""",
+ORACLE["roles_applied"] = with_(FX_FILES, FXR_LINES, FXR_ROLE_LINES, K3_CTES) + f""",
 full_lab AS (SELECT conv_id, raw_index, raw, {lab('raw', 'is_last')} AS label FROM fxr_rawl),
 iv_roles AS (SELECT r.* FROM roles r JOIN fx_paths f USING (conv_id) WHERE NOT {is_diary('f.path')})
 SELECT l.conv_id, CAST(raw_index AS BIGINT) AS raw_index, r.role || ':' || {label_tail('l.raw', 'l.label')} AS raw
@@ -422,19 +420,19 @@ FROM full_lab l JOIN iv_roles r ON l.conv_id = r.conv_id AND l.label = r.origina
 
 TAGGER_CODES = ", ".join(f"'{c}'" for c in TAGGER_LANGUAGES)
 
-LANG_RES = f"""
-stop AS (SELECT lang, word FROM (
-  SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY cnt DESC, word ASC) AS rk FROM doc_counts)
-  WHERE rk <= 50),
-samp AS (SELECT conv_id, text FROM fx_lines WHERE line_index <= 450),
+DETECT = f"""
 hits AS (
-  SELECT conv_id, lang, sum(n) AS score FROM (
+  SELECT conv_id, lang, sum(n * CAST(round(frequency * 1e9) AS BIGINT)) AS score FROM (
     SELECT conv_id, word, count(*) AS n FROM (SELECT conv_id, unnest({words('text')}) AS word FROM samp)
-    GROUP BY conv_id, word) JOIN stop USING (word) GROUP BY conv_id, lang),
+    GROUP BY conv_id, word) JOIN doc_lex USING (word) GROUP BY conv_id, lang),
 best AS (SELECT conv_id, lang FROM (
   SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, lang ASC) AS r FROM hits) WHERE r = 1),
 has AS (SELECT conv_id, max(CASE WHEN {strip('text')} <> '' THEN 1 ELSE 0 END) AS has_text FROM samp GROUP BY conv_id),
-det AS (SELECT conv_id, coalesce(best.lang, '') AS detected, has_text = 0 AS no_text FROM has LEFT JOIN best USING (conv_id)),
+det AS (SELECT conv_id, coalesce(best.lang, '') AS detected, has_text = 0 AS no_text FROM has LEFT JOIN best USING (conv_id))"""
+
+LANG_RES = f"""
+samp AS (SELECT conv_id, text FROM fx_lines),
+{DETECT.strip()},
 mapped AS (
   SELECT d.conv_id, m.site, d.detected,
     CASE WHEN no_text THEN 'UNKNOWN' WHEN detected IN ('yue', 'zh', 'zh-hans', 'zh-hant') THEN 'cn'

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from parlance.functions.tags import safe_names
 from parlance.plans.oracle import (
-    label_map_ctes, DOC_LEXICON, FX_FILES, FX_LINES, FX_META, FX_UNITS, FXR_LINES, FXR_TRUNC, K3_CTES, LANG_RES, ORACLE,
+    label_map_ctes, DOC_LEXICON, FX_FILES, FX_LINES, FX_META, FX_UNITS, FXR_LINES, FXR_ROLE_LINES, K3_CTES, LANG_RES, ORACLE,
     WORD_FREQ, group_from_path, is_diary, lab, lang_from_path, lang_name, norm_type, norm_type_strict,
     role_present, site_code, strip, tok, with_, words,
 )
@@ -73,7 +73,7 @@ FROM fx_paths f LEFT JOIN st ON st.patient_id = {tok('f.file_name', 1)}"""
 # --- init table (organize step) ------------------------------------------------------------------
 
 ORACLE["init_table"] = with_(FX_META, FXR_LINES, DOC_LEXICON, LANG_RES.replace("FROM fx_lines", "FROM fxr_lines"),
-                             FXR_TRUNC, K3_CTES) + f""",
+                             FXR_ROLE_LINES, K3_CTES) + f""",
 meta AS (
   SELECT f.conv_id, f.file_name, f.path,
     {unknown(site_code('f.file_name'))} AS network,
@@ -244,10 +244,9 @@ CUES = r"(?i)\b(how often|how long|how much|last month|past month|frequency|dura
 
 VERDICTS = f"""
 preds AS (
-  SELECT p.path AS source_path, CASE WHEN max(CASE WHEN regexp_matches(substr(r.raw, 1, CAST(40000 - r.char_offset AS INTEGER)),
-                                                                    '{CUES}') THEN 1 ELSE 0 END) = 1
+  SELECT p.path AS source_path, CASE WHEN max(CASE WHEN regexp_matches(r.raw, '{CUES}') THEN 1 ELSE 0 END) = 1
                                      THEN 'PSYCHS' ELSE 'OPEN' END AS predicted
-  FROM fx_rawl r JOIN fx_paths p USING (conv_id) WHERE r.char_offset < 40000 GROUP BY p.path),
+  FROM fx_rawl r JOIN fx_paths p USING (conv_id) GROUP BY p.path),
 verdicts AS (
   SELECT u.filename, u.first_row_index, u.expected, p.predicted,
     CASE WHEN p.predicted IS NULL THEN 'parse_failure' WHEN p.predicted = u.expected THEN 'match' ELSE 'mismatch' END AS verdict
@@ -334,9 +333,8 @@ FROM lex GROUP BY word"""
 ORACLE["types_parsed"] = with_(FX_LINES) + f"""
 SELECT conv_id, CASE WHEN hit = 1 THEN '{{PSYCHS}}' ELSE '{{OPEN}}' END AS response,
        CASE WHEN hit = 1 THEN 'PSYCHS' ELSE 'OPEN' END AS predicted
-FROM (SELECT conv_id, max(CASE WHEN regexp_matches(substr(raw, 1, CAST(40000 - char_offset AS INTEGER)), '{CUES}')
-                               THEN 1 ELSE 0 END) AS hit
-      FROM fx_rawl WHERE char_offset < 40000 GROUP BY conv_id)"""
+FROM (SELECT conv_id, max(CASE WHEN regexp_matches(raw, '{CUES}') THEN 1 ELSE 0 END) AS hit
+      FROM fx_rawl GROUP BY conv_id)"""
 
 
 # --- tokens and prompts ---------------------------------------------------------------------
@@ -363,13 +361,22 @@ SELECT conv_id, speaker_role, CAST(line_index AS BIGINT) AS line_index, sent_id,
 _RB, _RA = template_parts(ROLE_PROMPT_TEMPLATE)
 _TB, _TA = template_parts(TYPE_PROMPT_TEMPLATE)
 
-ORACLE["prompts"] = with_(FXR_LINES, FXR_TRUNC) + "," + label_map_ctes("fxt", "fxr_t")[1:] + f""",
-role_p AS (
-  SELECT conv_id, string_agg(raw, chr(10) ORDER BY raw_index) AS text FROM fxt_norm GROUP BY conv_id),
-type_p AS (
-  SELECT conv_id, string_agg(substr(raw, 1, CAST(40000 - char_offset AS INTEGER)), chr(10) ORDER BY raw_index) AS text
-  FROM fxr_rawl WHERE char_offset < 40000 GROUP BY conv_id)
-SELECT conv_id, 'roles' AS kind, {sql_lit(SYSTEM_PROMPT)} AS system, {_RB} || text || {_RA} AS prompt FROM role_p
+
+def parts_of(src: str, chars: int) -> str:
+    """Lines of ``src`` cut into consecutive parts of ``chars`` characters."""
+    return (f"SELECT conv_id, part, raw_index, substr(raw, CAST(greatest(part * {chars} - char_offset, 0) + 1 AS BIGINT), "
+            f"CAST((part + 1) * {chars} - greatest(char_offset, part * {chars}) AS BIGINT)) AS piece FROM ("
+            f"SELECT *, unnest(generate_series(CAST(char_offset AS BIGINT) // {chars}, "
+            f"(CAST(char_offset AS BIGINT) + greatest(length(raw), 1) - 1) // {chars})) AS part FROM {src})")
+
+
+ORACLE["prompts"] = with_(FXR_LINES) + "," + label_map_ctes("fxt", "fxr_rawl")[1:] + f""",
+norm_at AS (SELECT n.conv_id, n.raw_index, n.raw, r.char_offset FROM fxt_norm n JOIN fxr_rawl r USING (conv_id, raw_index)),
+role_p AS (SELECT conv_id, part, string_agg(piece, chr(10) ORDER BY raw_index) AS text
+           FROM ({parts_of('norm_at', 5000)}) GROUP BY conv_id, part),
+type_p AS (SELECT conv_id, part, string_agg(piece, chr(10) ORDER BY raw_index) AS text
+           FROM ({parts_of('fxr_rawl', 40000)}) GROUP BY conv_id, part)
+SELECT conv_id, 'roles' AS kind, part, {sql_lit(SYSTEM_PROMPT)} AS system, {_RB} || text || {_RA} AS prompt FROM role_p
 UNION ALL
-SELECT conv_id, 'type' AS kind, {sql_lit("Thinking: low" + chr(10) + SYSTEM_PROMPT)} AS system,
+SELECT conv_id, 'type' AS kind, part, {sql_lit("Thinking: low" + chr(10) + SYSTEM_PROMPT)} AS system,
        {_TB} || text || {_TA} AS prompt FROM type_p"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from parlance.constants import UD_FEATURE_KEYS
 from parlance.functions.tags import safe_names, vocab
 from parlance.plans.oracle import (
-    DOC_LEXICON, FX_FILES, FX_LINES, FX_META, LANG_RES, ORACLE, TAGGER_CODES, is_diary, lang_from_path,
+    DETECT, DOC_LEXICON, FX_FILES, FX_LINES, FX_META, LANG_RES, ORACLE, TAGGER_CODES, is_diary, lang_from_path,
     strip, with_, words,
 )
 
@@ -118,30 +118,11 @@ SELECT * FROM unit_fail WHERE reason IS NOT NULL"""
 
 
 ORACLE["tagger_language"] = with_(FX_LINES, DOC_LEXICON) + f""",
-stop AS (SELECT lang, word FROM (
-  SELECT lang, word, row_number() OVER (PARTITION BY lang ORDER BY cnt DESC, word ASC) AS rk FROM doc_counts)
-  WHERE rk <= 50),
-pl AS (SELECT conv_id, line_index, text,
-         row_number() OVER (PARTITION BY conv_id ORDER BY line_index) AS ro
-       FROM fx_lines WHERE speaker = 'PARTICIPANT'),
-has_p AS (SELECT DISTINCT conv_id FROM pl),
-picked AS (
-  SELECT conv_id, line_index, text FROM pl WHERE ro <= 10
-  UNION ALL
-  SELECT conv_id, line_index, text FROM fx_lines
-  WHERE line_index <= 100 AND conv_id NOT IN (SELECT conv_id FROM has_p)),
+has_p AS (SELECT DISTINCT conv_id FROM fx_lines WHERE speaker = 'PARTICIPANT'),
 samp AS (
-  SELECT f.conv_id, coalesce(s.sample, '') AS sample FROM (SELECT DISTINCT conv_id FROM fx_lines) f
-  LEFT JOIN (SELECT conv_id, string_agg(text, ' ' ORDER BY line_index) AS sample FROM picked
-             WHERE {strip('text')} <> '' GROUP BY conv_id) s USING (conv_id)),
-hits AS (
-  SELECT conv_id, lang, sum(n) AS score FROM (
-    SELECT conv_id, word, count(*) AS n FROM (SELECT conv_id, unnest({words('sample')}) AS word FROM samp)
-    GROUP BY conv_id, word) JOIN stop USING (word) GROUP BY conv_id, lang),
-best AS (SELECT conv_id, lang FROM (
-  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, lang ASC) AS r FROM hits) WHERE r = 1),
-det AS (SELECT s.conv_id, coalesce(b.lang, '') AS detected, {strip('s.sample')} = '' AS no_text
-        FROM samp s LEFT JOIN best b USING (conv_id))
+  SELECT conv_id, text FROM fx_lines
+  WHERE speaker = 'PARTICIPANT' OR conv_id NOT IN (SELECT conv_id FROM has_p)),
+{DETECT.strip()}
 SELECT conv_id, detected,
   CASE WHEN no_text THEN 'zh' WHEN detected IN ({TAGGER_CODES}) THEN detected ELSE 'zh' END AS tagger
 FROM det"""

@@ -11,45 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Rebalance a scan that yields fewer partitions than the cluster can run.
-
-    A large input arrives in thousands of splits and passes through unchanged;
-    a single-row-group file (one split) would otherwise run every downstream
-    narrow step — regex parsing, tokenising — in one task.  Round-robin
-    repartitioning is sorted first, so a retried task sees the same rows.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
-_SPLITS: dict[str, int] = {}
-
-# Unique row keys of the driver tables: hashing on them spreads rows evenly and
-# deterministically (no sort needed, unlike round-robin).
-TABLE_KEYS: dict[str, list[str]] = {
-    "conversations": ["conv_id", "turn"], "documents": ["doc_id"], "benchmark": ["item_id"],
-    "labels": ["doc_id"], "pages": ["page_id"], "events": ["event_id"],
-}
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
-    """A driver table (parquet), rebalanced when it arrives in too few splits.
-
-    The split count of an input path is looked up once per session (planning
-    a scan lists its files), not once per use.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if not balance:
-        return df
-    target = spark.sparkContext.defaultParallelism
-    if path not in _SPLITS:
-        _SPLITS[path] = df.rdd.getNumPartitions()
-    if _SPLITS[path] >= target:
-        return df
-    keys = TABLE_KEYS.get(name)
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table (parquet)."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sep_for(path: str, sep: str | None = None) -> str:
