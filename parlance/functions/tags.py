@@ -42,25 +42,17 @@ def rename_tag(tag: str) -> str:
     return TAG_RENAMES.get(tag, tag)
 
 
-def rename_tag_col(tag: Column | str) -> Column:
-    t = F.col(tag) if isinstance(tag, str) else tag
-    out = t
-    for k, v in TAG_RENAMES.items():
-        out = F.when(t == k, F.lit(v)).otherwise(out)
-    return out
-
-
-def safe_names() -> dict[str, str]:
+def safe_names(vocabulary: list[str] | None = None) -> dict[str, str]:
     """Tag -> column name legal in Parquet and case-insensitive SQL: renamed,
     ``:`` and ``$`` spelled out, and a tag whose lower-case form repeats an
     earlier one suffixed ``_2`` (``DET``/``det``, ``Part``/``PART``)."""
     out: dict[str, str] = {}
     used: set[str] = set()
-    for t in vocab():
+    for t in dict.fromkeys(vocabulary or vocab()):
         n = rename_tag(t).replace(":", "_").replace("$", "_poss")
         n = re.sub(r"[^A-Za-z0-9_]", "_", n)
         if n.lower() in used:
-            n = f"{n}_2"
+            n = next(m for k in range(2, len(used) + 3) if (m := f"{n}_{k}").lower() not in used)
         used.add(n.lower())
         out[t] = n
     return out

@@ -110,19 +110,20 @@ def init_table(meta: DataFrame, roles: DataFrame, original: DataFrame, diary_mod
         "file_name")
 
 
-def features_long_to_wide(tally: DataFrame, stats: DataFrame, keys=("file_name", "speaker_role")) -> DataFrame:
+def features_long_to_wide(tally: DataFrame, stats: DataFrame, keys=("file_name", "speaker_role"),
+                          vocabulary: list[str] | None = None) -> DataFrame:
     """Wide feature values for filling: tag columns (safe names) + ``num_sent``, ``word_freq``."""
     from parlance.operators.tally import tally_wide
-    wide = tally_wide(tally, keys)
+    wide = tally_wide(tally, keys, vocabulary)
     return wide.join(stats, list(keys), "left")
 
 
-def fill_table(table: DataFrame, features: DataFrame) -> DataFrame:
+def fill_table(table: DataFrame, features: DataFrame, vocabulary: list[str] | None = None) -> DataFrame:
     """Fill the feature columns of matching ``(file_name, speaker_role)`` rows;
     rows without a result keep their values (``''`` in a fresh table).
 
     ``features`` must hold one row per key (tallies are per unit)."""
-    names = list(safe_names().values()) + ["num_sent", "word_freq"]
+    names = list(safe_names(vocabulary).values()) + ["num_sent", "word_freq"]
     f = features.selectExpr("file_name", "speaker_role",
                             *[f"CAST(`{n}` AS STRING) AS `_new_{n}`" for n in names], "true AS _hit")
     j = table.join(f, ["file_name", "speaker_role"], "left")
@@ -131,9 +132,9 @@ def fill_table(table: DataFrame, features: DataFrame) -> DataFrame:
     return j.selectExpr(*out)
 
 
-def empty_features(table: DataFrame) -> DataFrame:
+def empty_features(table: DataFrame, vocabulary: list[str] | None = None) -> DataFrame:
     """Add every feature column as ``''`` (a preliminary table)."""
-    names = list(safe_names().values()) + ["num_sent", "word_freq"]
+    names = list(safe_names(vocabulary).values()) + ["num_sent", "word_freq"]
     return table.selectExpr("*", *[f"'' AS `{n}`" for n in names])
 
 
@@ -155,7 +156,7 @@ def corrections(mismatches: DataFrame) -> DataFrame:
         F.min_by(F.struct(F.upper("expected").alias("old_type"), F.upper("predicted").alias("new_type")),
                  F.col("row_index")).alias("f"))
     return first.select("filename", "f.old_type", "f.new_type",
-                        M.corrected_name("filename", "f.old_type", "f.new_type").alias("new_filename"))
+                        F.coalesce(M.corrected_name("filename", "f.old_type", "f.new_type"), F.col("filename")).alias("new_filename"))
 
 
 def apply_corrections(table: DataFrame, fixes: DataFrame, name_col: str = "file_name",

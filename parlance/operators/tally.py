@@ -19,8 +19,8 @@ from parlance.functions.tags import safe_names, token_slots, vocab
 from parlance.functions.text import is_blank, sentences, words
 from parlance.operators.models import Predictor
 
-TOKEN_SCHEMA = StructType([
-    StructField("file_id", LongType()), StructField("line_index", LongType()),
+TOKEN_FIELDS = StructType([   # of a plug-in's rows, after file_id (of the corpus's own key type) and speaker_role
+    StructField("line_index", LongType()),
     StructField("sent_id", LongType()), StructField("word_id", LongType()),
     StructField("word", StringType()), StructField("lemma", StringType()),
     StructField("upos", StringType()), StructField("xpos", StringType()),
@@ -72,29 +72,60 @@ def builtin_annotate(units: DataFrame) -> DataFrame:
 def annotate(units: DataFrame, predict: Predictor | None = None) -> DataFrame:
     """One row per token.  ``predict`` receives pandas batches of
     ``file_id, speaker_role, line_index, text, lang`` and yields token rows
-    (``TOKEN_SCHEMA`` plus ``speaker_role``); units are repartitioned by language
-    and a salt over ``(file, line)`` so a task mostly loads one language's model,
-    while a dominant language — or a single huge transcript — still spreads
-    over many tasks (the model works line by line)."""
+    (``file_id, speaker_role`` and ``TOKEN_FIELDS``).  Units are dealt out by language and line over all shuffle
+    partitions, so a task mostly loads few models while a dominant language — or a
+    single huge transcript — uses as many tasks as there are.
+
+    An exception in the plug-in does not end the job: the batch is tried again file by file, and
+    a file that fails gives one row a role with the message in ``error`` (see ``failures``).
+    """
     if predict is None:
         return builtin_annotate(units)
-    parts = units.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    keyed = units.repartition(int(parts), "lang", F.pmod(F.xxhash64("file_id", "line_index"), F.lit(64)))
-    schema = StructType(TOKEN_SCHEMA.fields + [StructField("speaker_role", StringType())])
-    return keyed.mapInPandas(predict, schema)
+    parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = units.repartition(parts, "lang", F.pmod(F.xxhash64("file_id", "line_index"), F.lit(parts)))
+    schema = StructType([units.schema["file_id"], StructField("speaker_role", StringType()), *TOKEN_FIELDS.fields, StructField("error", StringType())])
+    names = [f.name for f in schema.fields]
+
+    def run(frames):
+        import pandas as pd
+
+        def tokens(frame):
+            return [out.assign(error=None)[names] for out in predict(iter([frame]))]
+
+        for frame in frames:
+            try:
+                yield from tokens(frame)
+            except Exception:
+                for _, one in frame.groupby(["file_id", "speaker_role"], sort=False):
+                    one = one.reset_index(drop=True)
+                    try:
+                        yield from tokens(one)
+                    except Exception as e:
+                        yield pd.DataFrame([{"file_id": one["file_id"][0], "speaker_role": one["speaker_role"][0], "error": str(e)}]).reindex(columns=names)
+
+    return keyed.mapInPandas(run, schema)
+
+
+def without_errors(tokens: DataFrame) -> DataFrame:
+    """Tokens of the units the tagger got through whole."""
+    if "error" not in tokens.columns:
+        return tokens
+    bad = tokens.where(F.col("error").isNotNull()).select("file_id", "speaker_role").distinct()
+    return tokens.join(bad, ["file_id", "speaker_role"], "left_anti")
 
 
 SENT, WORD = "#sent", "#word"    # pseudo-tags; '#' never occurs in the vocabulary
 
 
-def unit_counts(tokens: DataFrame) -> DataFrame:
+def unit_counts(tokens: DataFrame, vocabulary: list[str] | None = None) -> DataFrame:
     """One aggregation for F1 and F3: ``file_id, speaker_role, tag, cnt`` where
     ``tag`` is a vocabulary tag (F1 + E6: every vocabulary value in the 14
     non-lemma slots of every token; equal values in two slots count twice), or
     ``#sent`` (tokens opening a sentence, ``word_id = 1``: one per sentence) or
     ``#word`` (every token).  The 14-slot explode is filtered to the vocabulary
-    before the shuffle and combined map-side."""
-    keep = vocab() + [SENT, WORD]
+    before the shuffle and combined map-side.  ``vocabulary``: a caller's own
+    tag list (see ``read_vocab``) in place of the built-in one."""
+    keep = (vocabulary or vocab()) + [SENT, WORD]
     tags = F.concat(token_slots(), F.array(F.when(F.col("word_id") == 1, F.lit(SENT)), F.lit(WORD)))
     return (tokens.select("file_id", "speaker_role", F.explode(tags).alias("tag"))
             .where(F.col("tag").isin(*keep))                  # InSet: a hash lookup, before the shuffle
@@ -122,7 +153,8 @@ def sentence_counts(tokens: DataFrame) -> DataFrame:
     return tally_and_sentences(unit_counts(tokens))[1]
 
 
-def tally_wide(tally: DataFrame, keys: tuple[str, ...] = ("file_id", "speaker_role")) -> DataFrame:
+def tally_wide(tally: DataFrame, keys: tuple[str, ...] = ("file_id", "speaker_role"),
+               vocabulary: list[str] | None = None) -> DataFrame:
     """one row per unit, one zero-filled column per vocabulary tag (safe names).
 
     The long rows of a unit (at most one per vocabulary tag, so <= 102) are
@@ -130,7 +162,7 @@ def tally_wide(tally: DataFrame, keys: tuple[str, ...] = ("file_id", "speaker_ro
     aggregate instead of a 102-way pivot aggregate (which outgrows the
     generated-code size limit and falls back to interpreted execution).
     """
-    names = safe_names()
+    names = safe_names(vocabulary)
     per_unit = tally.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("tag", "cnt"))).alias("_m"))
     # one selectExpr call instead of ~5 client calls per column
@@ -145,15 +177,18 @@ def tagging_languages(files: DataFrame) -> DataFrame:
 
 
 def failures(files: DataFrame, langs: DataFrame, lines: DataFrame, tokens: DataFrame,
-             diary_mode: str = "path", roles: tuple[str, ...] = ("Participant", "Interviewer")) -> DataFrame:
+             diary_mode: str = "path", roles: tuple[str, ...] = ("Participant", "Interviewer"),
+             counts: DataFrame | None = None) -> DataFrame:
     """F13 + H4: ``filename, filepath, language, reason, error_message``.
 
     * ``unknown_language`` — no language at all (NULL);
     * ``unsupported_language`` — a language the tagger lacks (incl. UNKNOWN);
     * ``no_lines`` — a role unit without lines (interviews only for interviewers);
+    * ``processing_error`` — the tagger plug-in failed on the unit;
     * ``empty_output`` — lines but no sentence / word produced.
 
-    ``langs``: ``file_id, language, tagger`` (e.g. :func:`tagging_languages`).
+    ``langs``: ``file_id, language, tagger`` (e.g. :func:`tagging_languages`); ``counts``:
+    :func:`unit_counts` of the tokens, if already computed.
     """
     fl = files.join(langs.select("file_id", "language", "tagger"), "file_id")
     lang_fail = fl.where(F.col("tagger").isNull()).select(
@@ -175,13 +210,20 @@ def failures(files: DataFrame, langs: DataFrame, lines: DataFrame, tokens: DataF
     has_lines = (lines.join(files.select("file_id", "path"), "file_id")
                  .select("file_id", role_line.alias("speaker_role")).where(F.col("speaker_role").isNotNull())
                  .groupBy("file_id", "speaker_role").agg(F.lit(1).alias("has_lines")))
-    produced = sentence_counts(tokens)
+    produced = tally_and_sentences(counts)[1] if counts is not None else sentence_counts(without_errors(tokens))
     st = (expected.join(has_lines, ["file_id", "speaker_role"], "left")
           .join(produced, ["file_id", "speaker_role"], "left"))
+    if "error" in tokens.columns:
+        broken = tokens.where(F.col("error").isNotNull()).groupBy("file_id", "speaker_role").agg(F.min("error").alias("error"))
+        st = st.join(broken, ["file_id", "speaker_role"], "left")
+    else:
+        st = st.withColumn("error", F.lit(None).cast("string"))
     reason = (F.when(F.col("has_lines").isNull(), F.lit("no_lines"))
+              .when(F.col("error").isNotNull(), F.lit("processing_error"))
               .when(F.coalesce(F.col("num_words"), F.lit(0)) == 0, F.lit("empty_output")))
     msg = (F.when(F.col("has_lines").isNull(),
                   F.concat(F.lit("No "), F.lower("speaker_role"), F.lit(" lines found")))
+           .when(F.col("error").isNotNull(), F.col("error"))
            .otherwise(F.lit("Extracted 0 sentences and 0 words")))
     unit_fail = st.where(reason.isNotNull()).select(
         F.col("file_name").alias("filename"), F.col("path").alias("filepath"),

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions import metadata as M
-from parlance.functions.text import strip_ws
 
 
 def route(table: DataFrame, mode: str = "type_first", name_col: str = "file_name",
@@ -160,6 +159,21 @@ def mismatch_rows(table: DataFrame, verdict: DataFrame, name_col: str = "file_na
         .otherwise(F.lit("Mismatch")).alias("reason"))
 
 
+def corrected_splits(table: DataFrame, plan: DataFrame) -> DataFrame:
+    """H5: the table's rows with corrected names and types and their (new) split; ``target`` is NULL for an unknown type."""
+    fixes = plan.select(F.col("filename").alias("file_name"), F.col("new_type").alias("_nt"), F.col("new_filename").alias("_nf"))
+    moved = route(table, "type_first").join(fixes, "file_name", "left")
+    # A row of an unknown type stays unrouted even if its name is corrected.
+    new = {"file_name": F.coalesce("_nf", "file_name"), "interview_type": F.coalesce("_nt", "interview_type"),
+           "target": F.when(F.col("target").isNotNull(), F.coalesce(F.lower("_nt"), F.col("target")))}
+    return moved.select(*[new.get(c, F.col(c)).alias(c) for c in [*table.columns, "target"]])
+
+
+def moves(plan: DataFrame) -> DataFrame:
+    """Step 3's moved files: ``filename, old_target, new_filename, new_target`` (one row a correction)."""
+    return plan.select("filename", F.lower("old_type").alias("old_target"), "new_filename", F.lower("new_type").alias("new_target"))
+
+
 def accuracy(verdict: DataFrame) -> DataFrame:
     """processed, matched, mismatched, parse failures, accuracy (NULL when
     nothing was processed)."""
@@ -181,7 +195,3 @@ def first_n_per_language(files: DataFrame, n: int, lang_col: str = "language",
     from parlance.operators.ranking import top_n_per_group
     return top_n_per_group(files, [lang_col], [F.col(order_col).asc()], n,
                            F.xxhash64(order_col), salt_buckets)
-
-
-def blank(x) -> F.Column:
-    return strip_ws(x) == ""

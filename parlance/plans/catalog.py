@@ -385,7 +385,8 @@ def resolved_languages(spark, sf_dir, corpus, lines):
 def q_failures(spark, sf_dir):
     """Failure log (language, no lines, empty output) for the tag step."""
     corpus, lines = fx_lines(spark, sf_dir)
-    langs = resolved_languages(spark, sf_dir, corpus, lines)
+    corpus, lines = C.Corpus(persisted(corpus.files), corpus.chunks), persisted(lines)
+    langs = persisted(resolved_languages(spark, sf_dir, corpus, lines))
     ok = langs.where(F.col("tagger").isNotNull()).select("file_id")
     units = T.tagging_units(lines, corpus.files).join(ok, "file_id", "left_semi")
     return T.failures(corpus.files, langs, lines, T.annotate(units))
@@ -427,6 +428,7 @@ def q_status_join(spark, sf_dir):
 def q_init_table(spark, sf_dir):
     """B3 / J4 (organize step): metadata + original speaker labels + role rows."""
     corpus, raw = fx_raw(spark, sf_dir, "raw")
+    corpus, raw = C.Corpus(persisted(corpus.files), corpus.chunks), persisted(raw)   # K1, K3 and C14 read these
     lines = L.parse_lines(raw)
     langs = resolved_languages(spark, sf_dir, corpus, lines)
     meta = FT.file_metadata(corpus.files, langs)
@@ -456,9 +458,14 @@ def fx_table(spark, sf_dir):
 
 def fx_features(spark, sf_dir):
     """Per (file_name, speaker_role): wide tallies, ``num_sent`` and ``word_freq`` text."""
-    corpus, lines, toks = fx_tokens(spark, sf_dir)
-    names = corpus.files.select("file_id", "file_name")
-    tally, sent = T.tally_and_sentences(T.unit_counts(toks))
+    corpus, raw = fx_raw(spark, sf_dir)
+    lines = persisted(L.parse_lines(raw))   # tokens, words and presence all read this one table
+    files = persisted(corpus.files)
+    corpus = C.Corpus(files, corpus.chunks)
+    langs = T.tagging_languages(files).where(F.col("tagger").isNotNull())
+    toks = T.annotate(T.tagging_units(lines, files).join(langs.select("file_id"), "file_id", "left_semi"))
+    names = files.select("file_id", "file_name")
+    tally, sent = T.tally_and_sentences(persisted(T.unit_counts(toks)))
     tally = tally.join(names, "file_id").drop("file_id")
     sent = sent.join(names, "file_id").select("file_name", "speaker_role", "num_sent")
     units = FQ.role_word_counts(lines, corpus.files)
@@ -624,13 +631,14 @@ def q_corrections(spark, sf_dir):
 @register("splits_corrected")
 def q_splits_corrected(spark, sf_dir):
     """Split tables re-routed after correction (written to a new path by the sink)."""
-    splits = V.route(fx_table(spark, sf_dir), "type_first").where(F.col("target").isNotNull())
-    fixes = _fixes(spark, sf_dir)
-    moved = splits.join(fixes.select(F.col("filename").alias("file_name"), F.col("new_type").alias("_nt"),
-                                     F.col("new_filename").alias("_nf")), "file_name", "left")
-    return moved.select("row_index", F.coalesce("_nf", "file_name").alias("file_name"),
-                        F.coalesce("_nt", "interview_type").alias("interview_type"),
-                        F.coalesce(F.lower("_nt"), F.col("target")).alias("target"))
+    out = V.corrected_splits(fx_table(spark, sf_dir), _fixes(spark, sf_dir)).where(F.col("target").isNotNull())
+    return out.select("row_index", "file_name", "interview_type", "target")
+
+
+@register("fix_moves")
+def q_fix_moves(spark, sf_dir):
+    """Step 3's moved files as rows: old and new name and folder."""
+    return V.moves(_fixes(spark, sf_dir))
 
 
 @register("slice_per_language")

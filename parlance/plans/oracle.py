@@ -19,7 +19,7 @@ def strip(x: str) -> str:
 
 
 FX_NAME = """
-  (CASE WHEN conv_id % 2 = 0 THEN 'Pronet' ELSE 'Prescient' END) || site || '_' || site ||
+  (CASE WHEN conv_id % 2 = 0 THEN 'Northnet' ELSE 'Southnet' END) || site || '_' || site ||
   substr(CAST(10000000 + conv_id AS VARCHAR), 2) || '_' ||
   (CASE WHEN conv_id % 11 = 0 THEN 'diary' ELSE 'interviewAudioTranscript' END) || '_' ||
   (CASE WHEN conv_id % 11 = 0 THEN 'diary' WHEN conv_id % 3 = 0 THEN 'open' ELSE 'psychs' END) ||

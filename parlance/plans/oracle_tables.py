@@ -47,7 +47,7 @@ fx_table AS (
 # --- status ------------------------------------------------------------------------------------
 
 STATUS_NAME = """
-  (CASE WHEN doc_id % 2 = 0 THEN 'Pronet' ELSE 'Prescient' END) ||
+  (CASE WHEN doc_id % 2 = 0 THEN 'Northnet' ELSE 'Southnet' END) ||
   (CASE doc_id % 6 WHEN 0 THEN 'YA' WHEN 1 THEN 'MU' WHEN 2 THEN 'HK' WHEN 3 THEN 'MT' WHEN 4 THEN 'SH' ELSE 'ZZ' END)
   || '_' ||
   (CASE doc_id % 6 WHEN 0 THEN 'YA' WHEN 1 THEN 'MU' WHEN 2 THEN 'HK' WHEN 3 THEN 'MT' WHEN 4 THEN 'SH' ELSE 'ZZ' END)
@@ -298,6 +298,9 @@ SELECT s.row_index, coalesce(f.new_filename, s.file_name) AS file_name,
        coalesce(f.new_type, s.interview_type) AS interview_type, coalesce(lower(f.new_type), s.target) AS target
 FROM splits s LEFT JOIN fixes2 f ON f.filename = s.file_name WHERE s.target IS NOT NULL"""
 
+ORACLE["fix_moves"] = VERIFY_BASE + """
+SELECT filename, lower(old_type) AS old_target, new_filename, lower(new_type) AS new_target FROM fixes2"""
+
 ORACLE["slice_per_language"] = with_(FX_FILES) + f"""
 , fl AS (SELECT conv_id, file_name, {lang_from_path('path')} AS language FROM fx_paths)
 SELECT conv_id, file_name, language FROM (

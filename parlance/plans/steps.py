@@ -22,17 +22,11 @@ from parlance.operators import lines as L
 from parlance.operators import models as MD
 from parlance.operators import tally as T
 from parlance.operators import verify as V
-from parlance.session import ensure_checkpoint_dir
+from parlance.session import persisted as _persist
 from parlance.sinks import writers as W
 from parlance.sources.corpus import Corpus
 
 
-def _persist(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def corpus_from_lines(lines: DataFrame, key: str = "file_id") -> Corpus:
     """A corpus from a written line table (``file_id, file_name, path, raw_index, raw``):
     one chunk per line; ordinals are recomputed by the block prefix sum."""
@@ -52,30 +46,32 @@ class Organized:
     languages: DataFrame
 
 
-def organize(spark: SparkSession, corpus: Corpus, out_dir: str, documents: DataFrame,
+def organize(spark: SparkSession, corpus: Corpus, out_dir: str, documents: DataFrame | None,
              text_type: str = "interviews", status: DataFrame | None = None,
-             predict_roles=None, skip_labeling: bool = False) -> Organized:
+             predict_roles=None, skip_labeling: bool = False, predict_language=None) -> Organized:
     """L0: metadata (C1-C3, E1), language (K1 -> C23 -> C24), roles (K3 -> C16),
     relabelled transcripts (C13 -> B9) and the preliminary table (B3 -> B4).
     Interviews and diaries (D-1) flow through one plan: diaries keep their
-    labels and get one table row (H2 is a ``when``, not a union)."""
+    labels, are not sent to the role model and get one table row (H2 is a ``when``, not
+    a union).  ``documents`` (``text, lang``) serves the built-in language detector; a
+    plug-in goes into ``predict_language``."""
     raw = L.raw_lines(corpus.chunks)
     lines = L.parse_lines(raw)
-    stop = MD.stopword_table(documents)
-    det = MD.builtin_language_detect(MD.language_sample(lines), stop)
+    lexicon = None if predict_language else _persist(FQ.corpus_lexicon(documents))
+    det = MD.detect_languages(lines, lexicon, predict_language)
     sites = corpus.files.select("file_id", M.site_code("file_name").alias("site"))
     langs = corpus.files.select("file_id").join(MD.resolve_languages(det, sites), "file_id", "left") \
         .select("file_id", F.coalesce("language", F.lit("UNKNOWN")).alias("language"))
     langs = _persist(langs)
     groups = FT.clinical_groups(corpus.files, status)
+    interviews = corpus.files.where(~M.is_diary("path")).select("file_id")
     if skip_labeling:
         roles = spark.createDataFrame([], "file_id " + corpus.files.schema["file_id"].dataType.simpleString()
                                       + ", original string, role string")
     else:
-        _, roles = MD.classify_roles(raw, predict_roles)
+        _, roles = MD.classify_roles(raw.join(interviews, "file_id", "left_semi"), predict_roles)
         roles = _persist(roles)
-    interviews = corpus.files.where(~M.is_diary("path")).select("file_id")
-    relabelled = LB.apply_roles(LB.line_labels(raw), roles.join(interviews, "file_id", "left_semi"))
+    relabelled = LB.apply_roles(LB.line_labels(raw), roles)
     keyed = (relabelled.join(corpus.files.select("file_id", "file_name", "path"), "file_id")
              .join(langs, "file_id").join(groups.select("file_id", "clinical_group"), "file_id")
              .select("file_id", "file_name", "path", "raw_index", "raw", F.lit(text_type).alias("text_type"),
@@ -83,7 +79,7 @@ def organize(spark: SparkSession, corpus: Corpus, out_dir: str, documents: DataF
     W.write_transcript_lines(keyed, os.path.join(out_dir, "transcripts"))
     meta = FT.file_metadata(corpus.files, langs)
     table = FT.init_table(meta, roles, LB.original_labels(raw))
-    W.write_feature_table(FT.empty_features(table).drop("row_index"), os.path.join(out_dir, "preliminary_tsv"))
+    W.write_feature_table(FT.empty_features(table), os.path.join(out_dir, "preliminary_tsv"))
     return Organized(keyed, table, langs)
 
 
@@ -97,61 +93,84 @@ class Tagged:
 
 def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame | None = None,
         table: DataFrame | None = None, languages: DataFrame | None = None, predict_tokens=None,
-        clean: bool = True, roles: tuple[str, ...] = ("Participant", "Interviewer")) -> Tagged:
+        clean: bool = True, roles: tuple[str, ...] = ("Participant", "Interviewer"),
+        first_per_language: int | None = None, language_lexicon: DataFrame | None = None,
+        predict_language=None, vocabulary: list[str] | None = None) -> Tagged:
     """Colon fix (C11), units (J6), tokens (K2), tallies (F1-F3),
     word frequency (J2 -> E5 -> F4), then fill ``table`` (E7, update mode) or
-    build a new table (E8); failure log (F13).  ``roles=("Participant",)`` with
-    ``lexicon=None`` is the participant-only tagger (L1c)."""
-    files = corpus.files
+    build a new table (E8); failure log (F13).  ``roles=("Participant",)`` is the
+    participant-only tagger (L1c).
+
+    ``languages`` (``file_id, language``) is the resolved language of each file; without it the
+    folder's counts.  Files that are ``cn`` are detected first (``language_lexicon`` for the
+    built-in detector, or the plug-in ``predict_language``; ``zh`` with neither), and both tagger and
+    lexicon then use the detected language.  ``first_per_language`` is ``--slice`` (G3).  Of
+    several files with one base name the last (by path) is tagged, as its rows would be the ones kept.
+    """
+    files = corpus.files.groupBy("file_name").agg(F.max_by(F.struct("file_id", "dir", "path"), "path").alias("f")) \
+        .select("f.file_id", "file_name", "f.dir", "f.path")
     if table is not None:                                    # E4: only files named in the table
         files = files.join(table.select(F.col("file_name").alias("_n")).distinct(),
                            F.col("file_name") == F.col("_n"), "left_semi")
-    chunks = corpus.chunks.join(files.select("file_id"), "file_id", "left_semi")
-    raw = L.raw_lines(chunks)
-    if clean:
-        raw = _fixed(raw)
-    lines = L.parse_lines(raw)
-    if languages is None:
-        languages = T.tagging_languages(files)
-    else:
-        languages = languages.select("file_id", "language", M.tagger_language("language").alias("tagger"))
-    ok = languages.where(F.col("tagger").isNotNull()).select("file_id")
-    units = T.tagging_units(lines, files).join(ok, "file_id", "left_semi") \
-        .where(F.col("speaker_role").isin(*roles))
-    if predict_tokens is not None:
-        units = units.join(languages.select("file_id", F.col("tagger").alias("lang")), "file_id")
+    langs = T.tagging_languages(files) if languages is None else \
+        files.select("file_id").join(languages, "file_id", "left").select(
+            "file_id", "language", M.tagger_language("language").alias("tagger"))
+    if first_per_language:
+        named = V.first_n_per_language(files.join(langs, "file_id").select("file_id", "file_name", "language"), first_per_language)
+        files = files.join(named.select("file_id"), "file_id", "left_semi")
+    files = _persist(files)
+    raw = L.raw_lines(corpus.chunks.join(files.select("file_id"), "file_id", "left_semi"))
+    lines = _persist(L.parse_lines(_fixed(raw) if clean else raw))   # every aggregate below reads this one table
+    langs = _persist(resolve_tagger(files, langs, lines, language_lexicon, predict_language))
+    ok = langs.where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))
+    units = T.tagging_units(lines, files).join(ok, "file_id").where(F.col("speaker_role").isin(*roles))
     tokens = T.annotate(units, predict_tokens)
     if predict_tokens is not None:
         tokens = _persist(tokens)
     names = files.select("file_id", "file_name")
-    tally, sent = T.tally_and_sentences(T.unit_counts(tokens))
+    counts = _persist(T.unit_counts(T.without_errors(tokens), vocabulary))
+    tally, sent = T.tally_and_sentences(counts)
     tally = tally.join(names, "file_id").drop("file_id")
     sent = sent.join(names, "file_id").select("file_name", "speaker_role", "num_sent")
     if lexicon is not None:
-        wf = FQ.mean_log_frequency(FQ.role_word_counts(lines, files), lexicon).join(names, "file_id") \
+        wf = FQ.mean_log_frequency(FQ.role_word_counts(lines, files, languages=ok), lexicon).join(names, "file_id") \
             .select("file_name", "speaker_role", "word_freq")
         sent = sent.join(wf, ["file_name", "speaker_role"], "left")
     else:
         sent = sent.withColumn("word_freq", F.lit(None).cast("double"))
     stats = sent.select("file_name", "speaker_role", "num_sent", FT.word_freq_text(F.col("word_freq")).alias("word_freq"))
-    feats = FT.features_long_to_wide(tally, stats)
+    feats = FT.features_long_to_wide(tally, stats, vocabulary=vocabulary)
     if table is not None:
-        base = table if "num_sent" in table.columns else FT.empty_features(table)
-        out = FT.fill_table(base, feats)
+        base = table if "num_sent" in table.columns else FT.empty_features(table, vocabulary)
+        out = FT.fill_table(base, feats, vocabulary)
     else:
-        meta = FT.first_per_name(FT.file_metadata(files, languages.select("file_id", "language"))) \
+        meta = FT.first_per_name(FT.file_metadata(files, langs.select("file_id", "language"))) \
             .drop("file_id", "path")
         out = FT.last_per_key(meta.join(feats, "file_name").select(
             *[c for c in ("network", "language", "src_subject_id", "interview_type", "day", "interview_number")],
             F.lit("").alias("transcript_speaker_label"), "speaker_role",
             *[c for c in feats.columns if c not in ("file_name", "speaker_role")], "file_name"))
-    fails = T.failures(files, languages, lines, tokens, roles=roles)
-    W.write_feature_table(out.drop("row_index") if "row_index" in out.columns else out,
-                          os.path.join(out_dir, "features_tsv"))
+    fails = T.failures(files, langs, lines, tokens, roles=roles, counts=counts)
+    W.write_feature_table(out, os.path.join(out_dir, "features_tsv"), vocabulary=vocabulary)
     W.write_failures(fails, os.path.join(out_dir, "failures_csv"))
     return Tagged(out, fails)
 
 
+def resolve_tagger(files: DataFrame, languages: DataFrame, lines: DataFrame, lexicon: DataFrame | None = None,
+                   predict=None) -> DataFrame:
+    """``languages`` (``file_id, language, tagger``) with ``detect`` replaced by the detected tagger
+    language (C22b, K1, C23b over the files that ask for it); ``zh`` when there is nothing to detect with."""
+    asks = languages.where(F.col("tagger") == "detect").select("file_id")
+    if lexicon is None and predict is None:
+        found = asks.withColumn("_t", F.lit("zh"))
+    else:
+        found = MD.detect_tagger_language(lines.join(asks, "file_id", "left_semi"), lexicon, predict) \
+            .select("file_id", F.col("tagger").alias("_t"))
+    known = files.select("file_id").join(languages, "file_id").join(found, "file_id", "left")
+    return known.select("file_id", "language",
+                        F.when(F.col("tagger") == "detect", F.coalesce("_t", F.lit("zh"))).otherwise(F.col("tagger")).alias("tagger"))
+
+
 def _fixed(raw: DataFrame) -> DataFrame:
     """Raw lines with the colon fix applied: a projection (the fix never adds or
     removes a line, so ordinals are unchanged)."""
@@ -180,7 +199,7 @@ def verify(spark: SparkSession, table: DataFrame, corpus: Corpus, out_dir: str,
     if mode == "cli":
         flat = V.flat_by_type(table, index, mode="type_first", normalized=False)
         W.write_table(flat, os.path.join(out_dir, "flat_by_type"))
-        W.write_splits(V.route(table, "type_first"), os.path.join(out_dir, "splits"))
+        W.write_splits(V.route(table, "type_first"), os.path.join(out_dir, "splits"), os.path.join(out_dir, "unrouted"))
     units = V.verification_units(table, index, mode=mode)
     raw = L.raw_lines(corpus.chunks.join(
         corpus.files.join(units.select(F.col("source_path").alias("path")), "path", "left_semi")
@@ -198,21 +217,17 @@ def verify(spark: SparkSession, table: DataFrame, corpus: Corpus, out_dir: str,
 def fix(spark: SparkSession, mismatches: DataFrame, table: DataFrame, out_dir: str,
         dry_run: bool = False) -> DataFrame:
     """L3: the change plan (A10 -> G2 -> C28); unless ``dry_run``, the corrected
-    main table (E10 -> B11) and corrected splits (H5 -> B12) written to new paths."""
+    main table (E10 -> B11) and corrected splits (H5 -> B12) written to new paths, the moved
+    files (``moved``) and the rows without a known type (``unrouted``) as tables."""
     plan = FT.corrections(mismatches)
     if dry_run:
         return plan
     plan = _persist(plan)
     corrected = FT.apply_corrections(table, plan)
     W.write_table(corrected, os.path.join(out_dir, "corrected_table"))
-    splits = V.route(table, "type_first").where(F.col("target").isNotNull())
-    moved = splits.join(plan.select(F.col("filename").alias("file_name"), F.col("new_type").alias("_nt"),
-                                    F.col("new_filename").alias("_nf")), "file_name", "left")
-    moved = moved.select(*[F.coalesce("_nf", "file_name").alias("file_name") if c == "file_name"
-                           else F.coalesce("_nt", c).alias(c) if c == "interview_type"
-                           else F.coalesce(F.lower("_nt"), F.col(c)).alias(c) if c == "target"
-                           else F.col(c) for c in splits.columns])
-    W.write_splits(moved, os.path.join(out_dir, "corrected_splits"))
+    W.write_table(V.moves(plan), os.path.join(out_dir, "moved"))
+    W.write_splits(V.corrected_splits(table, plan), os.path.join(out_dir, "corrected_splits"),
+                   os.path.join(out_dir, "unrouted"))
     return plan
 
 
@@ -226,12 +241,12 @@ def organize_flat(spark: SparkSession, table: DataFrame, corpus: Corpus, out_dir
 
 
 def clean(spark: SparkSession, corpus: Corpus, out_dir: str | None = None, dry_run: bool = False) -> DataFrame:
-    """Colon fix (C11); unless ``dry_run`` the changed lines are written as a
-    new table version (B13).  Returns the summary (F12)."""
+    """Colon fix (C11); unless ``dry_run`` the cleaned corpus is written as a line table
+    (B13) that ``corpus_from_lines`` reads.  Returns the summary (F12)."""
     raw = L.raw_lines(corpus.chunks)
     if not dry_run and out_dir:
-        changed = LB.colon_fixes(raw).where("changed").select("file_id", "raw_index", "fixed")
-        W.write_table(changed, os.path.join(out_dir, "cleaned_lines"))
+        fixed = _fixed(raw).join(corpus.files.select("file_id", "file_name", "path"), "file_id")
+        W.write_table(fixed.select("file_id", "file_name", "path", "raw_index", "raw"), os.path.join(out_dir, "cleaned"))
     return LB.cleaning_summary(raw)
 
 

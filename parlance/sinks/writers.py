@@ -27,16 +27,18 @@ def _csv(df: DataFrame, path: str, sep: str, mode: str = "overwrite", partition_
     w.csv(path)
 
 
-def write_feature_table(df: DataFrame, path: str, raw_header: bool = False, mode: str = "overwrite") -> None:
-    """The feature table as TSV (metadata, tag columns, num_sent, word_freq,
-    ``file_name.txt``).
-
-    ``raw_header=True`` writes the original tag names (``1``, ``PART``/``Part``,
-    ``acl:relcl``...); those differ only by case for some tags, which needs a
-    case-sensitive analyzer for the duration of the write.
+def write_feature_table(df: DataFrame, path: str, raw_header: bool = True, mode: str = "overwrite",
+                        vocabulary: list[str] | None = None) -> None:
+    """The feature table as TSV in the original's column order: metadata, tag
+    columns, ``num_sent``, ``word_freq``, ``file_name.txt``.  Feature columns that ``df`` lacks are empty.
+
+    The header shows the original tag names (``1``, ``PART``/``Part``, ``acl:relcl``...);
+    some differ only by case, which needs a case-sensitive analyzer for the duration of the write.
+    ``raw_header=False`` writes the safe names.
     """
-    tags = safe_names()
-    out = df.withColumnRenamed("file_name", "file_name.txt")
+    have = set(df.columns)
+    out = df.select(*[F.col(f"`{c}`") if c in have else F.lit("").alias(c) for c in feature_table_columns(vocabulary)])
+    out = out.withColumnRenamed("file_name", "file_name.txt")
     if not raw_header:
         _csv(out, path, "\t", mode)
         return
@@ -44,16 +46,16 @@ def write_feature_table(df: DataFrame, path: str, raw_header: bool = False, mode
     prev = spark.conf.get("spark.sql.caseSensitive")
     spark.conf.set("spark.sql.caseSensitive", "true")
     try:
-        inv = {v: rename_tag(k) for k, v in tags.items()}
+        inv = {v: rename_tag(k) for k, v in safe_names(vocabulary).items()}
         renamed = out.select(*[F.col(f"`{c}`").alias(inv.get(c, c)) for c in out.columns])
         _csv(renamed, path, "\t", mode)
     finally:
         spark.conf.set("spark.sql.caseSensitive", prev)
 
 
-def feature_table_columns() -> list[str]:
+def feature_table_columns(vocabulary: list[str] | None = None) -> list[str]:
     """Column order of a feature table with safe tag names."""
-    return META_COLUMNS + list(safe_names().values()) + ["num_sent", "word_freq", "file_name"]
+    return META_COLUMNS + list(safe_names(vocabulary).values()) + ["num_sent", "word_freq", "file_name"]
 
 
 def write_failures(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -71,12 +73,14 @@ def write_mismatches(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     _csv(df.select("row_index", "filename", "expected", "predicted", "reason"), path, ",", mode)
 
 
-def write_splits(routed: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """One write partitioned by ``target`` (psychs / open / diary);
-    rows without a target are not written (report them with ``split_counts``).
+def write_splits(routed: DataFrame, path: str, unrouted_path: str | None = None, mode: str = "overwrite") -> None:
+    """One write partitioned by ``target`` (psychs / open / diary).  Rows without a
+    target (unknown types) are failure rows: they go to ``unrouted_path`` with a ``reason``.
     Corrected splits go to a NEW path: a table is never overwritten while it is read."""
-    df = routed.where(F.col("target").isNotNull())
-    _csv(df, path, "\t", mode, ["target"])
+    _csv(routed.where(F.col("target").isNotNull()), path, "\t", mode, ["target"])
+    if unrouted_path:
+        lost = routed.where(F.col("target").isNull()).drop("target").withColumn("reason", F.lit("unknown_type"))
+        _csv(lost, unrouted_path, "\t", mode)
 
 
 def write_transcript_lines(lines: DataFrame, path: str, mode: str = "overwrite") -> None:

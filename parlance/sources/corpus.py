@@ -45,7 +45,7 @@ def conversation_file_name(conv_id: Column) -> Column:
     site = _conv_site(conv_id)
     diary = conv_id % 11 == 0
     return F.concat(
-        F.when(conv_id % 2 == 0, "Pronet").otherwise("Prescient"), site, F.lit("_"),
+        F.when(conv_id % 2 == 0, "Northnet").otherwise("Southnet"), site, F.lit("_"),
         site, F.substring((F.lit(10000000) + conv_id).cast("string"), 2, 100), F.lit("_"),
         F.when(diary, "diary").otherwise("interviewAudioTranscript"), F.lit("_"),
         F.when(diary, "diary").when(conv_id % 3 == 0, "open").otherwise("psychs"),
@@ -113,10 +113,6 @@ def conversation_corpus(conversations: DataFrame, style: str = "labelled") -> Co
     return Corpus(conversation_files(conversations), conversation_chunks(conversations, style))
 
 
-def read_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/conversations.parquet")
-
-
 # --- real transcript files (A1) --------------------------------------------------------
 
 def text_file_corpus(spark: SparkSession, root: str) -> Corpus:
@@ -143,10 +139,3 @@ def split_chunks(df: DataFrame, key: str, lines_col: str, size: int = CHUNK_LINE
                          lambda b: F.slice(lines_col, b * size + 1, size))
     return df.select(F.col(key).alias("file_id"), F.posexplode(pieces).alias("chunk", "lines")) \
         .select("file_id", F.col("chunk").cast("bigint").alias("chunk"), "lines")
-
-
-def text_file_contents(spark: SparkSession, root: str) -> DataFrame:
-    """``file_id, content`` for whole-file rewrites (cleaning, relabelling)."""
-    raw = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
-    return raw.select(F.regexp_replace(F.col("_metadata.file_path"), "^file:", "").alias("file_id"),
-                      F.regexp_replace("value", "\r\n?", "\n").alias("content"))

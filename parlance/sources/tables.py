@@ -39,16 +39,13 @@ def read_feature_table(spark: SparkSession, path: str, columns: list[str], sep:
                      *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
 
 
-STATUS_SCHEMA = StructType([StructField("patient_id", StringType()), StructField("clinical_status", StringType())])
-
-
 def read_status(spark: SparkSession, path: str) -> DataFrame:
     """A4: clinical-status CSV (``patient_id, clinical_status`` required) with
     its row position, for last-row-wins deduplication (``status_table``)."""
     df = spark.read.option("header", "true").csv(path)
     missing = {"patient_id", "clinical_status"} - set(df.columns)
     if missing:
-        raise ValueError("CSV must contain 'patient_id' and 'clinical_status' columns")
+        raise ValueError(f"{path}: no column {', '.join(sorted(missing))}")
     return df.select("patient_id", "clinical_status", F.monotonically_increasing_id().alias("row_pos"))
 
 
@@ -60,10 +57,23 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
             .where(F.trim("tag") != ""))
 
 
+def _by_name(spark: SparkSession, path: str, schema: StructType, wanted: list[str]) -> DataFrame:
+    """A CSV with a header, its columns found by name in any order; a missing one fails, others are ignored.
+
+    Every cell is read as text in the header's order (one line is read for that) and then cast.
+    """
+    head = spark.read.option("header", "true").option("escape", '"').csv(path)
+    missing = [c for c in wanted if c not in head.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    types = {f.name: f.dataType for f in schema.fields}
+    return head.select(*[F.col(f"`{c}`").try_cast(types[c]).alias(c) for c in wanted])
+
+
 def read_subtlex(spark: SparkSession, path: str) -> DataFrame:
-    """SUBTLEX CSV with header (explicit schema; only Word, FREQcount, Lg10WF are used)."""
+    """SUBTLEX CSV; ``Word, FREQcount, Lg10WF`` by name."""
     from parlance.operators.frequency import SUBTLEX_SCHEMA
-    return spark.read.option("header", "true").schema(SUBTLEX_SCHEMA).csv(path)
+    return _by_name(spark, path, SUBTLEX_SCHEMA, ["Word", "FREQcount", "Lg10WF"])
 
 
 def read_anc(spark: SparkSession, path: str) -> DataFrame:
@@ -77,23 +87,17 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     from parlance.operators.frequency import LEXICON_SCHEMA
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    return spark.read.option("header", "true").schema(LEXICON_SCHEMA).csv(path)
+    return _by_name(spark, path, LEXICON_SCHEMA, ["word", "frequency", "log_frequency"])
 
 
 def lexicon_paths(langs: list[str], corpus_dir: str) -> dict[str, str]:
-    """Language code -> corpus file; an unknown code or a missing file stops the run."""
-    import os
-
+    """Language code -> corpus file.  An unknown code stops the run here, a missing file when Spark
+    reads it (from whatever store the path names)."""
     from parlance.constants import CORPUS_FILES
-    out = {}
-    for code in langs:
-        if code not in CORPUS_FILES:
-            raise ValueError(f"No corpus mapping for language: {code}")
-        p = os.path.join(corpus_dir, CORPUS_FILES[code])
-        if not os.path.exists(p):
-            raise FileNotFoundError(f"Corpus file not found for language '{code}': {p}")
-        out[code] = p
-    return out
+    unknown = [c for c in langs if c not in CORPUS_FILES]
+    if unknown:
+        raise ValueError(f"languages without a registered corpus: {', '.join(unknown)}")
+    return {c: f"{corpus_dir.rstrip('/')}/{CORPUS_FILES[c]}" for c in langs}
 
 
 def read_lexicons(spark: SparkSession, langs: list[str], corpus_dir: str) -> DataFrame:
@@ -116,7 +120,7 @@ MISMATCH_SCHEMA = StructType([
 
 def read_mismatches(spark: SparkSession, path: str) -> DataFrame:
     """A10 + D-9: the 5-column mismatch CSV without parse failures."""
-    df = spark.read.option("header", "true").schema(MISMATCH_SCHEMA).csv(path)
+    df = spark.read.option("header", "true").option("escape", '"').schema(MISMATCH_SCHEMA).csv(path)
     return df.where(F.col("predicted") != "PARSE_FAILURE")
 
 
