@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.llm import decontamination, simhash, suffix_dedup, toxicity
@@ -25,16 +25,26 @@ from parlance.session import ensure_checkpoint_dir
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model scores under the threshold."""
     model = toxicity_model(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, {**{c: F.col(c) for c in docs.columns if c != "text"}, "__kept": F.col("text")})
-    return scored.filter(F.col("score") < THRESHOLD).select(*[F.col("__kept").alias("text") if c == "text" else F.col(c) for c in docs.columns])
+    places = [f"c{i}" for i in range(len(docs.columns))]  # whatever the columns are called
+    numbered = docs.toDF(*places).withColumn("text", F.col(places[docs.columns.index("text")]))
+    scored = toxicity.score(numbered, model, {c: F.col(c) for c in places})
+    return scored.filter(F.col("score") < THRESHOLD).select(*places).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: that with the smallest id (one row of it, if rows are repeated)."""
-    groups = durable(simhash.near_duplicates(docs, words=3, max_bits=2).groupBy("component_id").agg(F.count("*").alias("n")))
-    first = groups.select(F.col("component_id").alias("__first"))
-    kept = docs.join(first, F.col("doc_id").cast("long").eqNullSafe(F.col("__first")), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each SimHash group: that with the smallest id (one row of it, if rows are repeated).
+
+    A null id stands behind all others: such rows get a number from their text, beyond any id in use.
+    """
+    places = [f"c{i}" for i in range(len(docs.columns))]
+    own = F.col(places[docs.columns.index("doc_id")]).cast("long")
+    text = F.col(places[docs.columns.index("text")]).cast("string")
+    stand_in = F.lit(2 ** 62) + F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(2 ** 61 - 1))
+    rows = docs.toDF(*places).withColumn("doc_id", F.coalesce(own, stand_in)).withColumn("text", text)
+    groups = simhash.near_duplicates(rows, words=3, max_bits=2)
+    first = durable(groups.select(F.col("component_id").alias("first")).distinct())
+    kept = rows.join(first, rows["doc_id"] == first["first"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.select(*places).toDF(*docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

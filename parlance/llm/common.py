@@ -69,6 +69,7 @@ def _coded(lists: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     codes, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
     if "" in words:
         keep = codes != words.index("")
+        words[words.index("")] = " "  # no code refers to it any more
         offsets = np.concatenate([[0], np.cumsum(keep)])[offsets]
         codes = codes[keep]
     return words, codes, offsets

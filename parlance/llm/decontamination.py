@@ -159,5 +159,5 @@ def find(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float
 
 def clean(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float = 0.8) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has no verified overlap."""
-    bad = durable(find(docs, items, min_words, identity).select(F.col("text_key").alias("__bad")).distinct())
-    return docs.join(bad, F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("__bad"), "left_anti")
+    bad = durable(find(docs, items, min_words, identity).select("text_key").distinct())
+    return docs.join(bad, F.md5(F.coalesce(docs["text"].cast("string"), F.lit(""))) == bad["text_key"], "left_anti")

@@ -154,6 +154,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 1.2, i
         if rows.empty or asks.empty:
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
         rows = rows.sort_values("id", kind="stable")
+        rows = rows[~pd.DataFrame({"id": rows["id"], "v": [x.tobytes() for x in rows["v"]]}).duplicated().to_numpy()]
         x, ids = np.array(rows["v"].tolist()), rows["id"].to_numpy()
         out = []
         for at in range(0, len(asks), 512):
