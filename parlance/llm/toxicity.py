@@ -14,6 +14,7 @@ null ids keep their rows (a null id is never learnt from and not held out); othe
 
 from __future__ import annotations
 
+import copy
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -194,9 +195,11 @@ class Model:
         return _sigmoid(a * best + b * np.log(np.bincount(text, minlength=len(texts))) + c)
 
 
-def train(texts: list[str], y: np.ndarray, epochs: int = 6, seed: int = 7) -> Model:
+def train(texts: list[str], y: np.ndarray, epochs: int = 8, seed: int = 7) -> Model:
     """Fit on labelled texts: the network on five of six, the calibration on the sixth (on all, where a part lacks a label).
 
+    The sixth also tells which epoch's weights to keep: those that rank its texts best.
+
     A label says that some window is toxic, not which.  Windows are first ranked by the smoothed
     log odds of their words and character runs, later by the network itself; a text trains its two
     strongest windows, and a clean one a random window besides.
@@ -209,15 +212,25 @@ def train(texts: list[str], y: np.ndarray, epochs: int = 6, seed: int = 7) -> Mo
         own = kept = np.arange(len(y))
     else:
         own, kept = np.flatnonzero(~aside), np.flatnonzero(aside)
-    model = Model(_network([texts[i] for i in own], y[own], epochs, seed), base)
-    text, logit = model.windows_of(pa.array([texts[i] for i in kept], pa.string()))
-    best = np.full(len(kept), -np.inf)
-    np.maximum.at(best, text, logit)
-    model.scale = _calibrate(best, np.log(np.bincount(text, minlength=len(kept))), y[kept])
+    held, model, top = pa.array([texts[i] for i in kept], pa.string()), None, -1.0
+    for net in _epochs([texts[i] for i in own], y[own], epochs, seed):
+        text, logit = Model(net, base).windows_of(held)
+        best = np.full(len(kept), -np.inf)
+        np.maximum.at(best, text, logit)
+        if (area := _area(best, y[kept])) > top:
+            top, model = area, Model(copy.deepcopy(net), base)
+            model.scale = _calibrate(best, np.log(np.bincount(text, minlength=len(kept))), y[kept])
     return model
 
 
-def _network(texts: list[str], y: np.ndarray, epochs: int, seed: int) -> Network:
+def _area(score: np.ndarray, y: np.ndarray) -> float:
+    """Share of (toxic, clean) pairs in the right order."""
+    rank = np.searchsorted(np.sort(score), score, side="left") + np.searchsorted(np.sort(score), score, side="right")
+    return float((rank[y == 1].mean() / 2 - (y == 1).sum() / 2) / max((y == 0).sum(), 1))
+
+
+def _epochs(texts: list[str], y: np.ndarray, epochs: int, seed: int) -> Iterator[Network]:
+    """The network after each epoch."""
     base = y.mean()
     r, net = np.random.default_rng(seed), Network(seed)
     words, codes, offsets = split_words(pa.array(texts, pa.string()))
@@ -248,8 +261,8 @@ def _network(texts: list[str], y: np.ndarray, epochs: int, seed: int) -> Network
             flat = np.repeat(x.at[pick] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
             sub = Inputs(x.word[pick], x.char[flat], np.concatenate([[0], np.cumsum(sizes)]))
             grads = net.gradients(sub, local.reshape(len(part), WINDOW), y[text[part]], weight[text[part]])
-            _adam(net.w, grads, adam, step)
-    return net
+            _adam(net.w, grads, adam, step, 0.004 * (1 - 0.8 * epoch / epochs))
+        yield net
 
 
 def _start_from_odds(net: Network, x: Inputs, codes: np.ndarray, offsets: np.ndarray, y: np.ndarray) -> None:
@@ -259,15 +272,18 @@ def _start_from_odds(net: Network, x: Inputs, codes: np.ndarray, offsets: np.nda
     text, word = pairs // max(len(x.word), 1), pairs % max(len(x.word), 1)
     total = np.array([(y == 0).sum(), (y == 1).sum()], float)
 
-    def odds(n: np.ndarray) -> np.ndarray:
-        return np.clip(np.log((n[1] + 0.3) / (total[1] + 1)) - np.log((n[0] + 0.3) / (total[0] + 1)), -3, 3) / 3
+    def odds(n: np.ndarray) -> np.ndarray:  # towards 0 for what few texts hold
+        prior = 4 * total / total.sum()
+        return np.clip(np.log((n[1] + prior[1]) / (n[0] + prior[0])) - np.log(total[1] / total[0]), -4, 4) / 3
 
     held = [np.bincount(word[y[text] == k], minlength=len(x.word)) for k in (0, 1)]  # texts with the word
     net.w["word"][:, 0] = odds([np.bincount(x.word, weights=h, minlength=WORD_ROWS) for h in held])
     net.w["char"][:, 0] = odds([np.bincount(x.char, weights=h[x.owner], minlength=CHAR_ROWS) for h in held])
 
 
-def _adam(w: dict, grads: dict, state: dict, step: int, rate: float = 0.004) -> None:
+def _adam(w: dict, grads: dict, state: dict, step: int, rate: float) -> None:
+    norm = np.sqrt(sum(float(((g[1] if isinstance(g, tuple) else g) ** 2).sum()) for g in grads.values()))
+    shrink = np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
     for k, g in grads.items():
         m, v = state[k]
         if isinstance(g, tuple):  # rows of a table: only those met now move
@@ -276,6 +292,7 @@ def _adam(w: dict, grads: dict, state: dict, step: int, rate: float = 0.004) ->
             np.add.at(full, which, g[1])
         else:
             rows, full = slice(None), g
+        full = full * shrink
         m[rows] = 0.9 * m[rows] + 0.1 * full
         v[rows] = 0.99 * v[rows] + 0.01 * full * full
         w[k][rows] -= rate * (m[rows] / (1 - 0.9 ** step)) / (np.sqrt(v[rows] / (1 - 0.99 ** step)) + 1e-7)
