@@ -40,6 +40,8 @@ def word_features(words: list[str]) -> np.ndarray:
     """Shares of kinds of characters in each word, its length, and whether it is in or begins with upper case."""
     if not words:
         return np.zeros((0, WORD_FEATURES), np.float32)
+    if len(words) > 10_000:  # bounded memory for the letters of many words
+        return np.concatenate([word_features(words[i:i + 10_000]) for i in range(0, len(words), 10_000)])
     points, size = letters(words)
     kinds, which = np.unique(points, return_inverse=True)
     each = np.array([letter_features(chr(p)) for p in kinds.tolist()], np.float32)[which]
@@ -128,7 +130,8 @@ def train(texts: list[str], y: np.ndarray, epochs: int = 25, seed: int = 11) ->
     if len(set(y.tolist())) < 2:
         return Model(None, base)
     r = np.random.default_rng(seed)
-    text, x = passages(pa.array(texts, pa.string()))
+    parts = [passages(pa.array(texts[i:i + 500], pa.string())) for i in range(0, len(texts), 500)]
+    text, x = np.concatenate([t + 500 * i for i, (t, _) in enumerate(parts)]), np.concatenate([p for _, p in parts])
     g = lambda *s: r.standard_normal(s) / np.sqrt(s[0])
     w = {"E": g(FEATURES, HIDDEN), "e": np.zeros(HIDDEN), "V": g(HIDDEN, ATTENTION), "U": g(HIDDEN, ATTENTION), "a": g(ATTENTION),
          "o": g(HIDDEN), "b": np.zeros(1), "mean": x.mean(0), "std": np.maximum(x.std(0), 1e-3)}

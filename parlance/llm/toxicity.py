@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import copy
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ WINDOW, STRIDE = 24, 12
 DIM, HIDDEN, ATTENTION = 16, 12, 8
 WORD_ROWS, CHAR_ROWS = 1 << 14, 1 << 15
 MOST = 4000
+CHUNK = 20_000  # words whose character runs are held at once
 BASE = np.uint64(0x100000001B3)  # of the hashes of words and character runs
 PAD = 0  # input number of "no word"
 
@@ -40,10 +41,11 @@ def windows(offsets: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndar
     text = np.repeat(np.arange(len(sizes)), count)
     first = np.cumsum(count) - count
     start = (np.arange(len(text)) - first[text]) * STRIDE
-    at = start[:, None] + np.arange(WINDOW)
-    there = at < sizes[text][:, None]
-    padded = np.append(codes, -1)
-    return text, np.where(there, padded[np.minimum(offsets[text][:, None] + at, len(codes))], -1) + 1
+    padded, out = np.append(codes, -1).astype(np.int32), np.empty((len(text), WINDOW), np.int32)
+    for k in range(WINDOW):
+        there = start + k < sizes[text]
+        out[:, k] = np.where(there, padded[np.where(there, offsets[text] + start + k, 0)], -1) + 1
+    return text, out
 
 
 @dataclass
@@ -52,15 +54,20 @@ class Inputs:
     word: np.ndarray
     char: np.ndarray
     at: np.ndarray
-    owner: np.ndarray = field(init=False)
 
-    def __post_init__(self) -> None:
-        self.owner = np.repeat(np.arange(len(self.word)), np.diff(self.at))
+    @property
+    def owner(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.word)), np.diff(self.at))
 
     @classmethod
     def of(cls, words: list[str]) -> Inputs:
         if not words:
             return cls(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64))
+        if len(words) > CHUNK:  # bounded memory for the character runs of many words
+            parts = [cls.of(words[i:i + CHUNK]) for i in range(0, len(words), CHUNK)]
+            shift = np.cumsum([0] + [len(p.char) for p in parts])
+            return cls(np.concatenate([p.word for p in parts]), np.concatenate([p.char for p in parts]),
+                       np.concatenate([np.zeros(1, np.int64)] + [p.at[1:] + s for p, s in zip(parts, shift)]))
         points, size = letters([f"^{w}$" for w in words])
         points, start = points.astype(np.uint64), np.cumsum(size) - size
         owner = np.repeat(np.arange(len(words)), size)
@@ -75,7 +82,7 @@ class Inputs:
             owners.append(long)
         order = np.argsort(np.concatenate(owners), kind="stable")
         each = np.bincount(np.concatenate(owners), minlength=len(words))
-        return cls(mixed(whole, WORD_ROWS), np.concatenate(rows)[order], np.append(0, np.cumsum(each)))
+        return cls(mixed(whole, WORD_ROWS), np.concatenate(rows)[order].astype(np.int32), np.append(0, np.cumsum(each)))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -97,8 +104,10 @@ class Network:
     def embed(self, x: Inputs) -> np.ndarray:
         """Input vectors by word number; row 0 is the padding."""
         out = np.zeros((len(x.word) + 1, DIM), np.float32)
-        if len(x.word):
-            out[1:] = self.w["word"][x.word] + np.add.reduceat(self.w["char"][x.char], x.at[:-1]) / np.diff(x.at)[:, None]
+        for i in range(0, len(x.word), CHUNK):
+            at = x.at[i:i + CHUNK + 1]
+            runs = np.add.reduceat(self.w["char"][x.char[at[0]:at[-1]]], at[:-1] - at[0])
+            out[i + 1:i + len(at)] = self.w["word"][x.word[i:i + CHUNK]] + runs / np.diff(at)[:, None]
         return out
 
     def read(self, emb: np.ndarray, win: np.ndarray, d: str, keep: list | None = None) -> np.ndarray:
@@ -185,14 +194,21 @@ class Model:
         emb = self.network.embed(Inputs.of(words))
         return text, np.concatenate([self.network.forward(emb, win[i:i + 2048]) for i in range(0, len(win), 2048)] or [np.zeros(0)])
 
+    def strongest(self, texts: pa.Array, block: int = 256) -> tuple[np.ndarray, np.ndarray]:
+        """Logit of the strongest window and number of windows of each text."""
+        best, count = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int64)
+        for i in range(0, len(texts), block):
+            text, logit = self.windows_of(texts.slice(i, block))
+            np.maximum.at(best, i + text, logit)
+            np.add.at(count, i + text, 1)
+        return best, count
+
     def scores(self, texts: pa.Array) -> np.ndarray:
         if self.network is None or not len(texts):
             return np.full(len(texts), self.base)
-        text, logit = self.windows_of(texts)
-        best = np.full(len(texts), -np.inf)
-        np.maximum.at(best, text, logit)
+        best, count = self.strongest(texts)
         a, b, c = self.scale
-        return _sigmoid(a * best + b * np.log(np.bincount(text, minlength=len(texts))) + c)
+        return _sigmoid(a * best + b * np.log(count) + c)
 
 
 def train(texts: list[str], y: np.ndarray, epochs: int = 8, seed: int = 7) -> Model:
@@ -214,12 +230,10 @@ def train(texts: list[str], y: np.ndarray, epochs: int = 8, seed: int = 7) -> Mo
         own, kept = np.flatnonzero(~aside), np.flatnonzero(aside)
     held, model, top = pa.array([texts[i] for i in kept], pa.string()), None, -1.0
     for net in _epochs([texts[i] for i in own], y[own], epochs, seed):
-        text, logit = Model(net, base).windows_of(held)
-        best = np.full(len(kept), -np.inf)
-        np.maximum.at(best, text, logit)
+        best, count = Model(net, base).strongest(held)
         if (area := _area(best, y[kept])) > top:
             top, model = area, Model(copy.deepcopy(net), base)
-            model.scale = _calibrate(best, np.log(np.bincount(text, minlength=len(kept))), y[kept])
+            model.scale = _calibrate(best, np.log(count), y[kept])
     return model
 
 
@@ -235,9 +249,10 @@ def _epochs(texts: list[str], y: np.ndarray, epochs: int, seed: int) -> Iterator
     r, net = np.random.default_rng(seed), Network(seed)
     words, codes, offsets = split_words(pa.array(texts, pa.string()))
     x, (text, win) = Inputs.of(words), windows(offsets, codes)
+    del words
     _start_from_odds(net, x, codes, offsets, y)
     adam = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.w.items()}
-    rank, step = net.embed(x)[win][:, :, 0].max(1), 0
+    rank, step = net.embed(x)[:, 0][win].max(1), 0
     weight = np.where(y == 1, 0.5 / max(base, 1e-3), 0.5 / max(1 - base, 1e-3)).astype(np.float32)
     for epoch in range(epochs):
         if epoch:
@@ -320,7 +335,7 @@ def score(docs: DataFrame, model: Model, keep: dict[str, Column]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             t = b.column("__text")
-            s = np.concatenate([model.scores(t.slice(i, 256)) for i in range(0, len(t), 256)] or [np.zeros(0)])
+            s = model.scores(t)
             names = [n for n in b.schema.names if n != "__text"]
             yield pa.RecordBatch.from_arrays([*[b.column(n) for n in names], pa.array(s, pa.float64())], [*names, "score"])
 
