@@ -90,7 +90,7 @@ def annotate(units: DataFrame, predict: Predictor | None = None) -> DataFrame:
         import pandas as pd
 
         def tokens(frame):
-            return [out.assign(error=None)[names] for out in predict(iter([frame]))]
+            return [out.assign(error=None)[names].astype(object) for out in predict(iter([frame]))]
 
         for frame in frames:
             try:
@@ -101,7 +101,8 @@ def annotate(units: DataFrame, predict: Predictor | None = None) -> DataFrame:
                     try:
                         yield from tokens(one)
                     except Exception as e:
-                        yield pd.DataFrame([{"file_id": one["file_id"][0], "speaker_role": one["speaker_role"][0], "error": str(e)}]).reindex(columns=names)
+                        row = {"file_id": one["file_id"][0], "speaker_role": one["speaker_role"][0], "error": str(e)}
+                        yield pd.DataFrame([[row.get(n) for n in names]], columns=names, dtype=object)
 
     return keyed.mapInPandas(run, schema)
 

@@ -6,7 +6,7 @@ pruning and filter pushdown from Catalyst.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -23,9 +23,13 @@ def sep_for(path: str, sep: str | None = None) -> str:
     return "\t" if path.lower().endswith(".tsv") else ","
 
 
-def read_feature_table(spark: SparkSession, path: str, columns: list[str], sep: str | None = None) -> DataFrame:
+def read_feature_table(spark: SparkSession, path: str, columns: list[str], sep: str | None = None,
+                       line_breaks_in_cells: bool = False) -> DataFrame:
     """A2 + G7: a header-ed feature table, every cell text (``''`` for empty),
-    plus ``row_index`` from file position (ordered within a file).
+    plus ``row_index``, consecutive in table order (part files by name, then place).
+
+    Files are split among tasks unless ``line_breaks_in_cells``.  Rows are numbered within their
+    split; the splits' counts (a row a split) are summed up in order.
 
     ``columns`` are the header's names; Spark cannot hold two columns whose
     names differ only by case, so callers pass safe names (see
@@ -33,10 +37,15 @@ def read_feature_table(spark: SparkSession, path: str, columns: list[str], sep:
     """
     schema = StructType([StructField(c, StringType()) for c in columns])
     df = (spark.read.option("header", "true").option("sep", sep_for(path, sep)).option("quote", '"')
-          .option("escape", '"').option("multiLine", "true").option("enforceSchema", "true")
+          .option("escape", '"').option("multiLine", str(line_breaks_in_cells).lower()).option("enforceSchema", "true")
           .schema(schema).csv(path))
-    return df.select(F.monotonically_increasing_id().alias("row_index"),
-                     *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns])
+    cells = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns],
+                      F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().alias("_id"))
+    splits = cells.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return cells.join(splits.select("_file", "_block", "_first", before.alias("_before")), ["_file", "_block"]).select(
+        (F.col("_before") + F.col("_id") - F.col("_first")).alias("row_index"), *[F.col(c) for c in columns])
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:

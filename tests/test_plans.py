@@ -6,10 +6,10 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from parlance.plans.catalog import QUERIES as CATALOG
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
+QUERIES = dict(CATALOG)
 
 
 def plan_of(df) -> str:
@@ -40,10 +40,23 @@ def test_no_python_and_no_global_window(spark, name):
 def test_lexicon_scan_is_pruned(spark):
     plan = plan_of(QUERIES["lexicon"](spark, SF))
     schemas = re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
-    # text and lang, plus the row key when a single-split scan is rebalanced; never the unused columns
+    # text and lang, never the unused columns
     assert schemas and all("text:string" in s and "source" not in s and "n_chars" not in s for s in schemas)
 
 
+def test_totals_are_no_join_and_frequent_words_are_apart(spark):
+    """F5's totals are a scalar map; E5 broadcasts the bounded list of frequent words and shuffles the rest."""
+    assert "Join" not in plan_of(QUERIES["lexicon"](spark, SF))
+    plan = plan_of(QUERIES["word_freq"](spark, SF))
+    assert "BroadcastHashJoin" in plan and "[lang#" in plan
+
+
+def test_generated_code_is_compiled(spark, capfd):
+    """No stage of the re-routed splits falls back to interpreted execution."""
+    QUERIES["splits_corrected"](spark, SF).collect()
+    assert "grows beyond 64 KB" not in capfd.readouterr().err
+
+
 def test_lookup_tables_are_literals(spark):
     """Site / language lookups are folded literal maps: no join for them."""
     plan = plan_of(QUERIES["site_code"](spark, SF))
