@@ -17,6 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from parlance.functions.metadata import is_diary, language_from_path, tagger_language
 from parlance.functions.tags import safe_names, token_slots, vocab
 from parlance.functions.text import is_blank, sentences, words
+from parlance.operators.frequency import join_by_word
 from parlance.operators.models import Predictor
 
 TOKEN_FIELDS = StructType([   # of a plug-in's rows, after file_id (of the corpus's own key type) and speaker_role
@@ -44,33 +45,26 @@ def tagging_units(lines: DataFrame, files: DataFrame, diary_mode: str = "path")
         .where(F.col("speaker_role").isNotNull())
 
 
-def builtin_annotate(units: DataFrame) -> DataFrame:
-    """K2 stand-in (ours, deterministic, no model): sentence pieces split on
-    ``.!?``; words as in C21; ``lemma = word``; upos / xpos by word length mod 5,
-    deprel by position mod 4, feats by length mod 3 (NULL when none).
+def dictionary_annotate(units: DataFrame, tags: DataFrame) -> DataFrame:
+    """K2 without a model: sentence pieces split on ``.!?``, words as in C21, their tags looked up in
+    ``tags`` (``lang, word, frequency, lemma, upos, xpos, deprel, feats``, one row a word; see
+    ``read_tag_lexicon``).  A word that is not listed is its own lemma with ``upos`` X and no other tag.
 
     Output: the unit columns plus ``sent_id, word_id, word, lemma, upos, xpos, deprel, feats``.
     """
     s = units.select("*", F.posexplode(sentences("text")).alias("_sp", "_piece"))
-    w = s.select("*", F.posexplode(words("_piece")).alias("_wp", "word"))
-    k5, k3 = F.length("word") % 5, F.length("word") % 3
-    wid = F.col("_wp") + 1
-    return w.select(
-        *[c for c in units.columns if c != "text"],
-        (F.col("_sp") + 1).cast("bigint").alias("sent_id"), wid.cast("bigint").alias("word_id"),
-        "word", F.col("word").alias("lemma"),
-        F.when(k5 == 0, "NOUN").when(k5 == 1, "VERB").when(k5 == 2, "PART").when(k5 == 3, "DET")
-        .otherwise("SYM").alias("upos"),
-        F.when(k5 == 0, "NN").when(k5 == 1, "VBD").when(k5 == 2, "RP").when(k5 == 3, "DT")
-        .otherwise("SYM").alias("xpos"),
-        F.when(wid % 4 == 0, "nsubj").when(wid % 4 == 1, "det").when(wid % 4 == 2, "obl")
-        .otherwise("root").alias("deprel"),
-        F.when(k3 == 0, "Number=Sing|Person=3").when(k3 == 1, "Mood=Ind|VerbForm=Fin|Tense=Past")
-        .alias("feats"))
-
-
-def annotate(units: DataFrame, predict: Predictor | None = None) -> DataFrame:
-    """One row per token.  ``predict`` receives pandas batches of
+    w = s.select("*", F.posexplode(words("_piece")).alias("_wp", "word")).drop("text", "_piece")
+    j = join_by_word(w, tags.withColumn("_known", F.lit(True)), ["lang", "word"])
+    return j.select(
+        *[c for c in units.columns if c not in ("text", "lang")],
+        (F.col("_sp") + 1).cast("bigint").alias("sent_id"), (F.col("_wp") + 1).cast("bigint").alias("word_id"),
+        "word", F.coalesce("lemma", "word").alias("lemma"),
+        F.when(F.col("_known"), F.col("upos")).otherwise("X").alias("upos"), "xpos", "deprel", "feats")
+
+
+def annotate(units: DataFrame, predict: Predictor | None = None, tags: DataFrame | None = None) -> DataFrame:
+    """One row per token, by the tagger plug-in ``predict`` or the tag lexicon ``tags``
+    (:func:`dictionary_annotate`); units carry ``lang``.  ``predict`` receives pandas batches of
     ``file_id, speaker_role, line_index, text, lang`` and yields token rows
     (``file_id, speaker_role`` and ``TOKEN_FIELDS``).  Units are dealt out by language and line over all shuffle
     partitions, so a task mostly loads few models while a dominant language — or a
@@ -80,7 +74,9 @@ def annotate(units: DataFrame, predict: Predictor | None = None) -> DataFrame:
     a file that fails gives one row a role with the message in ``error`` (see ``failures``).
     """
     if predict is None:
-        return builtin_annotate(units)
+        if tags is None:
+            raise ValueError("tagging needs a tagger plug-in or a tag lexicon")
+        return dictionary_annotate(units, tags)
     parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keyed = units.repartition(parts, "lang", F.pmod(F.xxhash64("file_id", "line_index"), F.lit(parts)))
     schema = StructType([units.schema["file_id"], StructField("speaker_role", StringType()), *TOKEN_FIELDS.fields, StructField("error", StringType())])
@@ -158,7 +154,8 @@ def tally_wide(tally: DataFrame, keys: tuple[str, ...] = ("file_id", "speaker_ro
                vocabulary: list[str] | None = None) -> DataFrame:
     """one row per unit, one zero-filled column per vocabulary tag (safe names).
 
-    The long rows of a unit (at most one per vocabulary tag, so <= 102) are
+    Given ``unit_counts`` with their pseudo-tags, a unit without any vocabulary tag has a row of zeros.
+    The long rows of a unit (at most one per vocabulary tag and two pseudo-tags) are
     gathered into a ``tag -> cnt`` map and the columns are map lookups: a small
     aggregate instead of a 102-way pivot aggregate (which outgrows the
     generated-code size limit and falls back to interpreted execution).

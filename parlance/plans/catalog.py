@@ -326,11 +326,37 @@ from parlance.constants import UD_FEATURE_KEYS  # noqa: E402
 from parlance.operators import tally as T  # noqa: E402
 
 
+# Tags of the derived lexicon: part of speech, fine tag, relation, morphology.
+TAG_ROWS = [
+    ("NOUN", "NN", "nsubj", "Case=Nom|Gender=Fem|Number=Sing"),
+    ("VERB", "VBD", "root", "Mood=Ind|Number=Plur|Person=3|Tense=Past|VerbForm=Fin"),
+    ("PRON", "PRP$", "nmod:poss", "Case=Acc|Number=Sing|Person=1|Poss=Yes|PronType=Prs"),
+    ("DET", "DT", "det", "Definite=Def|PronType=Art"),
+    ("ADJ", "CD", "nummod", "NumType=Card"),
+    ("SYM", "SYM", "dep", None),
+    ("VERB", "VB", "xcomp", "Mood=Imp|Tense=Pres|VerbForm=Fin"),
+    ("ADP", "IN", "case", "Case=Neut|Gender=Neut"),
+]
+
+
+def document_tags(spark, sf_dir):
+    """A tag lexicon over all words of ``documents`` that occur twice or more in their language (the others are
+    unknown words to the tagger); a word's row of tags follows from its first letter and length."""
+    lex = document_lexicon(spark, sf_dir).where(F.col("cnt") >= 2)
+    row = F.get(F.array(*[F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(("upos", "xpos", "deprel", "feats"), r)]) for r in TAG_ROWS]),
+                (F.ascii("word") + 3 * F.length("word")) % len(TAG_ROWS))
+    return lex.select("lang", "word", "frequency", F.col("word").alias("lemma"), row.alias("t")).select(
+        "lang", "word", "frequency", "lemma", "t.upos", "t.xpos", "t.deprel", "t.feats")
+
+
+def _tagging_units(lines, files, langs):
+    known = langs.where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))
+    return T.tagging_units(lines, files).join(known, "file_id")
+
+
 def fx_tokens(spark, sf_dir):
     corpus, lines = fx_lines(spark, sf_dir)
-    langs = T.tagging_languages(corpus.files).where(F.col("tagger").isNotNull())
-    units = T.tagging_units(lines, corpus.files).join(langs.select("file_id"), "file_id", "left_semi")
-    return corpus, lines, T.annotate(units)
+    return corpus, lines, T.annotate(_tagging_units(lines, corpus.files, T.tagging_languages(corpus.files)), tags=document_tags(spark, sf_dir))
 
 
 @register("tokens")
@@ -366,8 +392,9 @@ def q_sentence_counts(spark, sf_dir):
 def q_tally_wide(spark, sf_dir):
     """F2 / B1 / B2: zero-filled wide tallies (102 tag columns, safe names) + num_sent."""
     _, _, toks = fx_tokens(spark, sf_dir)
-    tally, sent = T.tally_and_sentences(T.unit_counts(toks))
-    out = T.tally_wide(tally).join(sent.select("file_id", "speaker_role", "num_sent"),
+    counts = persisted(T.unit_counts(toks))
+    _, sent = T.tally_and_sentences(counts)
+    out = T.tally_wide(counts).join(sent.select("file_id", "speaker_role", "num_sent"),
                                    ["file_id", "speaker_role"], "inner")
     return out.withColumnRenamed("file_id", "conv_id")
 
@@ -387,9 +414,7 @@ def q_failures(spark, sf_dir):
     corpus, lines = fx_lines(spark, sf_dir)
     corpus, lines = C.Corpus(persisted(corpus.files), corpus.chunks), persisted(lines)
     langs = persisted(resolved_languages(spark, sf_dir, corpus, lines))
-    ok = langs.where(F.col("tagger").isNotNull()).select("file_id")
-    units = T.tagging_units(lines, corpus.files).join(ok, "file_id", "left_semi")
-    return T.failures(corpus.files, langs, lines, T.annotate(units))
+    return T.failures(corpus.files, langs, lines, T.annotate(_tagging_units(lines, corpus.files, langs), tags=document_tags(spark, sf_dir)))
 
 
 # --- the feature table: status, init, fill, build (A4, B2, B3, E1, E4, E7, E8, G4, J4) -----
@@ -462,18 +487,18 @@ def fx_features(spark, sf_dir):
     lines = persisted(L.parse_lines(raw))   # tokens, words and presence all read this one table
     files = persisted(corpus.files)
     corpus = C.Corpus(files, corpus.chunks)
-    langs = T.tagging_languages(files).where(F.col("tagger").isNotNull())
-    toks = T.annotate(T.tagging_units(lines, files).join(langs.select("file_id"), "file_id", "left_semi"))
+    toks = T.annotate(_tagging_units(lines, files, T.tagging_languages(files)), tags=document_tags(spark, sf_dir))
     names = files.select("file_id", "file_name")
-    tally, sent = T.tally_and_sentences(persisted(T.unit_counts(toks)))
-    tally = tally.join(names, "file_id").drop("file_id")
+    counts = persisted(T.unit_counts(toks))
+    _, sent = T.tally_and_sentences(counts)
+    counts = counts.join(names, "file_id").drop("file_id")
     sent = sent.join(names, "file_id").select("file_name", "speaker_role", "num_sent")
     units = FQ.role_word_counts(lines, corpus.files)
     wf = FQ.mean_log_frequency(units, document_lexicon(spark, sf_dir)).join(names, "file_id") \
         .select("file_name", "speaker_role", "word_freq")
     stats = sent.join(wf, ["file_name", "speaker_role"], "left").select(
         "file_name", "speaker_role", "num_sent", FT.word_freq_text(F.col("word_freq")).alias("word_freq"))
-    return corpus, FT.features_long_to_wide(tally, stats)
+    return corpus, FT.features_long_to_wide(counts, stats)
 
 
 @register("table_filled")

@@ -106,11 +106,12 @@ FROM u"""
 
 # --- filled / new table ------------------------------------------------------------------------
 
-FEATURES = with_(FX_FILES, FX_LINES, PATH_LANG, units_cte("fx_plang_t"), FX_UNITS, DOC_LEXICON, WORD_FREQ) + f""",
+FEATURES = with_(FX_FILES, FX_LINES, DOC_LEXICON, PATH_LANG, units_cte("fx_plang_t"), FX_UNITS, WORD_FREQ) + f""",
 feat AS (
-  SELECT p.file_name, t.speaker_role,
+  SELECT p.file_name, s.speaker_role,
     {", ".join(f"CAST(sum(CASE WHEN tag = '{t}' THEN cnt ELSE 0 END) AS BIGINT) AS {n}" for t, n in TAGS.items())}
-  FROM fx_tally t JOIN fx_paths p USING (conv_id) GROUP BY p.file_name, t.speaker_role),
+  FROM fx_sent s JOIN fx_paths p ON p.conv_id = s.conv_id
+  LEFT JOIN fx_tally t ON t.conv_id = s.conv_id AND t.speaker_role = s.speaker_role GROUP BY p.file_name, s.speaker_role),
 stats AS (
   SELECT p.file_name, s.speaker_role, s.num_sent,
     CASE WHEN w.word_freq IS NULL THEN 'nan' ELSE CAST(w.word_freq AS VARCHAR) END AS word_freq

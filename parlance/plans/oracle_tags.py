@@ -33,25 +33,30 @@ def units_cte(lang_src: str) -> str:
     the taggable files (language table ``lang_src``: conv_id, tagger)."""
     slots = ", ".join(ud("feats", k) for k in UD_FEATURE_KEYS)
     return f"""
+doc_tags AS (
+  SELECT lang, word, (['NOUN', 'VERB', 'PRON', 'DET', 'ADJ', 'SYM', 'VERB', 'ADP'])[k] AS upos,
+    (['NN', 'VBD', 'PRP$', 'DT', 'CD', 'SYM', 'VB', 'IN'])[k] AS xpos,
+    (['nsubj', 'root', 'nmod:poss', 'det', 'nummod', 'dep', 'xcomp', 'case'])[k] AS deprel,
+    (['Case=Nom|Gender=Fem|Number=Sing', 'Mood=Ind|Number=Plur|Person=3|Tense=Past|VerbForm=Fin',
+      'Case=Acc|Number=Sing|Person=1|Poss=Yes|PronType=Prs', 'Definite=Def|PronType=Art', 'NumType=Card', NULL,
+      'Mood=Imp|Tense=Pres|VerbForm=Fin', 'Case=Neut|Gender=Neut'])[k] AS feats
+  FROM (SELECT lang, word, (unicode(word) + 3 * length(word)) % 8 + 1 AS k FROM doc_lex WHERE cnt >= 2)),
 fx_units_t AS (
-  SELECT l.conv_id, {role_of('p.path')} AS speaker_role, line_index, text
+  SELECT l.conv_id, {role_of('p.path')} AS speaker_role, line_index, text, g.tagger AS lang
   FROM fx_lines l JOIN fx_paths p USING (conv_id) JOIN {lang_src} g USING (conv_id)
   WHERE {strip('text')} <> '' AND g.tagger IS NOT NULL),
 fx_sp AS (
-  SELECT conv_id, speaker_role, line_index, unnest(ps) AS piece, unnest(generate_series(1, len(ps))) AS sent_id
+  SELECT conv_id, speaker_role, line_index, lang, unnest(ps) AS piece, unnest(generate_series(1, len(ps))) AS sent_id
   FROM (SELECT *, regexp_split_to_array(text, '[.!?]+') AS ps FROM fx_units_t WHERE speaker_role IS NOT NULL)),
 fx_tw AS (
-  SELECT conv_id, speaker_role, line_index, sent_id, unnest(ws) AS word,
+  SELECT conv_id, speaker_role, line_index, lang, sent_id, unnest(ws) AS word,
          unnest(generate_series(1, len(ws))) AS word_id
   FROM (SELECT *, {words('piece')} AS ws FROM fx_sp)),
 fx_tok AS (
   SELECT conv_id, speaker_role, line_index, CAST(sent_id AS BIGINT) AS sent_id, CAST(word_id AS BIGINT) AS word_id,
-    word, word AS lemma,
-    CASE length(word) % 5 WHEN 0 THEN 'NOUN' WHEN 1 THEN 'VERB' WHEN 2 THEN 'PART' WHEN 3 THEN 'DET' ELSE 'SYM' END AS upos,
-    CASE length(word) % 5 WHEN 0 THEN 'NN' WHEN 1 THEN 'VBD' WHEN 2 THEN 'RP' WHEN 3 THEN 'DT' ELSE 'SYM' END AS xpos,
-    CASE word_id % 4 WHEN 0 THEN 'nsubj' WHEN 1 THEN 'det' WHEN 2 THEN 'obl' ELSE 'root' END AS deprel,
-    CASE length(word) % 3 WHEN 0 THEN 'Number=Sing|Person=3' WHEN 1 THEN 'Mood=Ind|VerbForm=Fin|Tense=Past' END AS feats
-  FROM fx_tw),
+    w.word, w.word AS lemma,
+    CASE WHEN d.word IS NULL THEN 'X' ELSE d.upos END AS upos, d.xpos, d.deprel, d.feats
+  FROM fx_tw w LEFT JOIN doc_tags d ON d.lang = w.lang AND d.word = w.word),
 fx_tally AS (
   SELECT conv_id, speaker_role, tag, CAST(count(*) AS BIGINT) AS cnt FROM (
     SELECT conv_id, speaker_role, unnest([upos, xpos, deprel, {slots}]) AS tag FROM fx_tok)
@@ -67,7 +72,7 @@ PATH_LANG = f"""
 fx_plang AS (SELECT conv_id, {lang_from_path('path')} AS language FROM fx_paths),
 fx_plang_t AS (SELECT conv_id, language, {tagger_of('language')} AS tagger FROM fx_plang)"""
 
-TAG_BASE = with_(FX_FILES, FX_LINES, PATH_LANG, units_cte("fx_plang_t"))
+TAG_BASE = with_(FX_FILES, FX_LINES, DOC_LEXICON, PATH_LANG, units_cte("fx_plang_t"))
 
 ORACLE["ud_features"] = TAG_BASE + f"""
 SELECT conv_id, CAST(line_index AS BIGINT) AS line_index, sent_id, word_id, feats,
@@ -84,9 +89,9 @@ WIDE_COLS = ", ".join(f"CAST(sum(CASE WHEN tag = '{t}' THEN cnt ELSE 0 END) AS B
                       for t, n in safe_names().items())
 
 ORACLE["tally_wide"] = TAG_BASE + f"""
-SELECT t.conv_id, t.speaker_role, {WIDE_COLS}, any_value(s.num_sent) AS num_sent
-FROM fx_tally t JOIN fx_sent s ON t.conv_id = s.conv_id AND t.speaker_role = s.speaker_role
-GROUP BY t.conv_id, t.speaker_role"""
+SELECT s.conv_id, s.speaker_role, {WIDE_COLS}, any_value(s.num_sent) AS num_sent
+FROM fx_sent s LEFT JOIN fx_tally t ON t.conv_id = s.conv_id AND t.speaker_role = s.speaker_role
+GROUP BY s.conv_id, s.speaker_role"""
 
 RESOLVED_LANG = """
 fx_rlang AS (

@@ -95,11 +95,12 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
         table: DataFrame | None = None, languages: DataFrame | None = None, predict_tokens=None,
         clean: bool = True, roles: tuple[str, ...] = ("Participant", "Interviewer"),
         first_per_language: int | None = None, language_lexicon: DataFrame | None = None,
-        predict_language=None, vocabulary: list[str] | None = None) -> Tagged:
+        predict_language=None, vocabulary: list[str] | None = None, tags: DataFrame | None = None) -> Tagged:
     """Colon fix (C11), units (J6), tokens (K2), tallies (F1-F3),
     word frequency (J2 -> E5 -> F4), then fill ``table`` (E7, update mode) or
     build a new table (E8); failure log (F13).  ``roles=("Participant",)`` is the
-    participant-only tagger (L1c).
+    participant-only tagger (L1c).  Tokens come from the tagger plug-in ``predict_tokens`` or
+    the tag lexicon ``tags``.
 
     ``languages`` (``file_id, language``) is the resolved language of each file; without it the
     folder's counts.  Files that are ``cn`` are detected first (``language_lexicon`` for the
@@ -124,13 +125,13 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
     langs = _persist(resolve_tagger(files, langs, lines, language_lexicon, predict_language))
     ok = langs.where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))
     units = T.tagging_units(lines, files).join(ok, "file_id").where(F.col("speaker_role").isin(*roles))
-    tokens = T.annotate(units, predict_tokens)
+    tokens = T.annotate(units, predict_tokens, tags)
     if predict_tokens is not None:
         tokens = _persist(tokens)
     names = files.select("file_id", "file_name")
     counts = _persist(T.unit_counts(T.without_errors(tokens), vocabulary))
-    tally, sent = T.tally_and_sentences(counts)
-    tally = tally.join(names, "file_id").drop("file_id")
+    _, sent = T.tally_and_sentences(counts)
+    tally = counts.join(names, "file_id").drop("file_id")
     sent = sent.join(names, "file_id").select("file_name", "speaker_role", "num_sent")
     if lexicon is not None:
         wf = FQ.mean_log_frequency(FQ.role_word_counts(lines, files, languages=ok), lexicon).join(names, "file_id") \

@@ -99,6 +99,11 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     return _by_name(spark, path, LEXICON_SCHEMA, ["word", "frequency", "log_frequency"])
 
 
+def read_tag_lexicon(spark: SparkSession, path: str) -> DataFrame:
+    """A tag lexicon (parquet): ``lang, word, frequency, lemma, upos, xpos, deprel, feats``, one row a word."""
+    return spark.read.parquet(path).select("lang", "word", "frequency", "lemma", "upos", "xpos", "deprel", "feats")
+
+
 def lexicon_paths(langs: list[str], corpus_dir: str) -> dict[str, str]:
     """Language code -> corpus file.  An unknown code stops the run here, a missing file when Spark
     reads it (from whatever store the path names)."""

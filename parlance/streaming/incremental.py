@@ -35,24 +35,24 @@ def _batch_corpus(batch: DataFrame) -> Corpus:
     return Corpus(files, split_chunks(lines, "file_id", "all"))
 
 
-def tally_batch(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+def tally_batch(batch: DataFrame, tags: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Long tallies and sentence counts of one batch of whole files (``uri, value``)."""
     corpus = _batch_corpus(batch)
     lines = L.parse_lines(L.raw_lines(corpus.chunks))
-    langs = T.tagging_languages(corpus.files).where(F.col("tagger").isNotNull()).select("file_id")
-    units = T.tagging_units(lines, corpus.files).join(langs, "file_id", "left_semi")
-    tokens = T.annotate(units)
+    langs = T.tagging_languages(corpus.files).where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))
+    units = T.tagging_units(lines, corpus.files).join(langs, "file_id")
+    tokens = T.annotate(units, tags=tags)
     names = corpus.files.select("file_id", "file_name")
     tally = T.tag_tally(tokens).join(names, "file_id").drop("file_id")
     sent = T.sentence_counts(tokens).join(names, "file_id").drop("file_id")
     return tally, sent
 
 
-def start_incremental_tagging(spark: SparkSession, arrivals: str, out_dir: str,
+def start_incremental_tagging(spark: SparkSession, arrivals: str, out_dir: str, tags: DataFrame,
                               checkpoint: str | None = None, available_now: bool = False,
                               max_files_per_trigger: int = 1000) -> StreamingQuery:
     """Start the stream: ``arrivals`` is watched for new ``*.txt`` files;
-    results go to ``out_dir/tallies`` and ``out_dir/sentences`` (parquet)."""
+    tagged with the lexicon ``tags``; results go to ``out_dir/tallies`` and ``out_dir/sentences`` (parquet)."""
     base = ensure_checkpoint_dir(spark)
     checkpoint = checkpoint or os.path.join(base, "incremental-tagging")
     stream = (spark.readStream.format("text").option("wholetext", "true")
@@ -61,7 +61,7 @@ def start_incremental_tagging(spark: SparkSession, arrivals: str, out_dir: str,
               .select(F.col("_metadata.file_path").alias("uri"), "value"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        tally, sent = tally_batch(batch)
+        tally, sent = tally_batch(batch, tags)
         tally.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \
             .parquet(os.path.join(out_dir, "tallies", f"batch_id={batch_id}"))
         sent.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite") \

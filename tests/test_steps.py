@@ -55,7 +55,7 @@ def test_steps_end_to_end(spark):
     # tag the organised (relabelled) transcripts in update mode
     organized = S.corpus_from_lines(spark.read.parquet(os.path.join(out, "transcripts")))
     lex = CAT.document_lexicon(spark, SF)
-    tagged = S.tag(spark, organized, out, lexicon=lex, table=org.table, languages=org.languages)
+    tagged = S.tag(spark, organized, out, lexicon=lex, table=org.table, languages=org.languages, tags=CAT.document_tags(spark, SF))
     assert tagged.table.count() == org.table.count()
 
     labelled = C.conversation_corpus(conv, "labelled")
@@ -108,7 +108,7 @@ def test_steps_on_text_files(spark):
     org = S.organize(spark, files, os.path.join(d, "s0"), read_table(spark, SF, "documents"), status=status)
     organized = S.corpus_from_lines(spark.read.parquet(os.path.join(d, "s0", "transcripts")))
     lex = read_lexicons(spark, ["en"], os.path.join(d, "subtlex"))
-    tagged = S.tag(spark, organized, os.path.join(d, "s1"), lexicon=lex, table=org.table, languages=org.languages)
+    tagged = S.tag(spark, organized, os.path.join(d, "s1"), lexicon=lex, table=org.table, languages=org.languages, tags=CAT.document_tags(spark, SF))
     ver = S.verify(spark, tagged.table, files, os.path.join(d, "s2"))
     n = files.files.count()
     assert org.table.select("file_name").distinct().count() == n

@@ -29,17 +29,18 @@ def test_incremental_tagging_matches_batch(spark):
             with open(os.path.join(d, f["file_name"]), "w", encoding="utf-8") as fh:
                 fh.write("\n".join(r[0] for r in rows))
 
+    tags = CAT.document_tags(spark, SF)
     drop(files[:4])
-    start_incremental_tagging(spark, arrivals, out, ckpt, available_now=True).awaitTermination()
+    start_incremental_tagging(spark, arrivals, out, tags, ckpt, available_now=True).awaitTermination()
     drop(files[4:])
-    start_incremental_tagging(spark, arrivals, out, ckpt, available_now=True).awaitTermination()
+    start_incremental_tagging(spark, arrivals, out, tags, ckpt, available_now=True).awaitTermination()
 
     written = spark.read.parquet(os.path.join(out, "tallies"))
     assert written.select("batch_id").distinct().count() >= 2      # the second run only took new files
     got = written.drop("batch_id")
     ids = [f["file_id"] for f in files]
     lines = L.parse_lines(L.raw_lines(corpus.chunks.where(F.col("file_id").isin(ids))))
-    units = T.tagging_units(lines, corpus.files)
-    want = T.tag_tally(T.annotate(units)).join(corpus.files.select("file_id", "file_name"), "file_id") \
+    units = CAT._tagging_units(lines, corpus.files, T.tagging_languages(corpus.files))
+    want = T.tag_tally(T.annotate(units, tags=tags)).join(corpus.files.select("file_id", "file_name"), "file_id") \
         .drop("file_id")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
