@@ -155,11 +155,12 @@ def mean_log_frequency(units: DataFrame, lexicon: DataFrame) -> DataFrame:
     mean log frequency over found occurrences (NULL if none found), coverage %.
 
     ``lexicon``: ``lang, word`` and either ``lg_e4`` (integer-scaled log10: exact,
-    order-independent sums) or ``log_frequency`` (a double, e.g. SUBTLEX Lg10WF).
+    order-independent sums) or ``log_frequency`` (a double, e.g. SUBTLEX Lg10WF).  With a
+    ``frequency`` column too, a corpus lexicon's frequent words are joined apart (:func:`join_by_word`).
     """
     scaled = "lg_e4" in lexicon.columns
     val = "lg_e4" if scaled else "log_frequency"
-    if scaled:
+    if scaled and "frequency" in lexicon.columns:
         j = join_by_word(units, lexicon.select("lang", "word", "frequency", F.col(val).alias("_v")), ["lang", "word"])
     else:
         j = units.join(lexicon.select("lang", "word", F.col(val).alias("_v")), ["lang", "word"], "left")
