@@ -21,10 +21,12 @@ import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,35 +35,70 @@ from parlance.llm.common import durable
 CAPACITY, END_ID, GROUPS = 2048, 0, 64
 SHARES = (2, 8)  # a length is large if it is over the capacity divided by this
 BLOCK = 4096  # rows of a block when ranks are counted
-_UNITS = re.compile(r"[ \n]+[^ \n]*|[^ \n]+")
-_OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_STRETCH = re.compile(r"[ \n]+[^ \n]*|[^ \n]+")
+_OTHER_SPACE = "\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_OTHER = re.compile(f"[{_OTHER_SPACE}]")
+#: Texts in which some space does not part two non-spaces.
+_UNEVEN = f"[{_OTHER_SPACE}]|  |\n | \n|^ | $"
+STRETCHES, TEXT_BYTES = 20_000, 32 << 20  # held at once
 
 
 class Encoder:
     """Token ids of texts.  A byte-level vocabulary never merges across the step from a non-space to a space,
-    so ids are found once for each distinct stretch between such steps and kept (``keep`` stretches at most);
-    a text with any white space other than space and newline is encoded whole."""
+    so each distinct stretch between such steps is encoded once for a batch of texts; a text with any white space
+    other than space and newline is one stretch."""
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.keep, self.known = Tokenizer.from_file(path), keep, {}
+        self.tokenizer = Tokenizer.from_file(path)
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
+        size, out, at = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), [], 0
+        while at < len(texts):  # bounded memory for long texts
+            end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + TEXT_BYTES)))
+            out += self._batch(texts.slice(at, end - at))
+            at = end
+        return out
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        units = [[t] if _OTHER_SPACE.search(t) else _UNITS.findall(t) for t in texts]
-        new = list({u for us in units for u in us if u not in self.known})
-        if len(self.known) + len(new) > self.keep:
-            self.known, new = {}, list({u for us in units for u in us})
-        self.known.update(zip(new, self._ids(new)))
-        out = [np.concatenate([self.known[u] for u in us]) if us else np.zeros(0, "<u4") for us in units]
-        for u in [u for us in units if len(us) == 1 for u in us if len(u) > 1000]:
-            self.known.pop(u, None)  # whole texts are not kept
+    def _batch(self, texts: pa.Array) -> list[np.ndarray]:
+        uneven = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+        out: list = [None] * len(texts)
+        even = np.flatnonzero(~uneven)
+        lists = pc.split_pattern(texts.take(pa.array(even)), " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        words = lists.flatten().dictionary_encode()
+        code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 + 1  # odd: with the space before it
+        code[offsets[:-1]] -= 1
+        known = words.dictionary.to_pylist()
+        distinct, which = np.unique(code, return_inverse=True)
+        self._put(out, even, offsets, which, [" " + known[c >> 1] if c & 1 else known[c >> 1] for c in distinct.tolist()])
+        odd = np.flatnonzero(uneven)
+        if len(odd):
+            parts = [[t] if _OTHER.search(t) else _STRETCH.findall(t) for t in texts.take(pa.array(odd)).to_pylist()]
+            flat = pa.array([u for us in parts for u in us], pa.string()).dictionary_encode()
+            self._put(out, odd, np.cumsum([0] + [len(us) for us in parts]), flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary.to_pylist())
         return out
 
+    def _put(self, out: list, rows: np.ndarray, offsets: np.ndarray, which: np.ndarray, stretches: list[str]) -> None:
+        ids, sizes = [], np.zeros(len(stretches), np.int64)
+        for i in range(0, len(stretches), STRETCHES):
+            part = [e.ids for e in self.tokenizer.encode_batch_fast(stretches[i:i + STRETCHES], add_special_tokens=False)]
+            sizes[i:i + len(part)] = [len(x) for x in part]
+            ids.append(np.fromiter(chain.from_iterable(part), "<u4"))
+        pool, start = np.concatenate([*ids, np.zeros(0, "<u4")]), np.cumsum(sizes) - sizes
+        for lo in range(0, len(rows), 512):
+            bounds = offsets[lo:lo + 513]
+            use = which[bounds[0]:bounds[-1]]
+            n = sizes[use]
+            ends = np.cumsum(n)
+            flat = pool[np.repeat(start[use] - ends + n, n) + np.arange(n.sum())]
+            cuts = np.append(0, ends)[bounds - bounds[0]]
+            for r, a, b in zip(rows[lo:lo + 512], cuts[:-1], cuts[1:]):
+                out[r] = flat[a:b].copy()
+
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32), checkpointed with a row number ``rid`` and a block number ``block``."""
@@ -69,14 +106,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> Da
         encoder = Encoder(tokenizer_path)
         for b in batches:
             rows = []
-            for at in range(0, b.num_rows, 64):
-                ids = b.column("doc_id").slice(at, 64).to_pylist()
-                for doc, got in zip(ids, encoder.encode(["" if t is None else t for t in b.column("text").slice(at, 64).to_pylist()])):
-                    got = np.append(got, np.uint32(END_ID)).astype("<u4")
-                    first = len(got) % capacity or capacity
-                    for k, start in enumerate([0, *range(first, len(got), capacity)]):
-                        part = got[start:first if k == 0 else start + capacity]
-                        rows.append((doc, k, start, len(part), crc32(part.tobytes())))
+            for doc, got in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text"))):
+                got = np.append(got, np.uint32(END_ID)).astype("<u4")
+                first = len(got) % capacity or capacity
+                for k, start in enumerate([0, *range(first, len(got), capacity)]):
+                    part = got[start:first if k == 0 else start + capacity]
+                    rows.append((doc, k, start, len(part), crc32(part.tobytes())))
             cols = list(zip(*rows)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()])],
                                              ["doc_id", "piece", "start", "length", "ids_crc32"])
