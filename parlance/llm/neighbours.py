@@ -10,7 +10,8 @@ the largest inner product into the smallest distance; scores are computed on the
 
 Leaves and the queries that visit them are dealt out in blocks of at most about ``BLOCK`` vectors by ``BLOCK`` queries, so a leaf
 that holds a third of all vectors is many blocks.  The driver holds the sample, the trees and
-the leaves' counts (at most ``TREES * MAX_LEAVES``).
+the leaves' counts (leaves of ``LEAF`` vectors, at most about ``2 * MAX_LEAVES`` a tree, so that a query's visits do not grow with
+the table; more leaves and a smaller ``share`` suit vectors with structure).
 
 Defined results: vectors null, zero, empty or holding null or non-finite components take no part, nor do null ids or vectors of
 another length than the most common one; a query never meets a row of its own id; rows equal in id and vector count
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from parlance.llm.common import durable
 
-TREES, LEAF, MAX_LEAVES, SAMPLE, BLOCK = 8, 512, 4096, 65_536, 4096
+TREES, LEAF, MAX_LEAVES, SAMPLE, BLOCK = 8, 512, 32, 65_536, 4096
 
 
 @dataclass
@@ -97,7 +98,7 @@ def usable(vector: Column) -> Column:
 
 
 def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 1.2, id_column: str = "vec_id", vector_column: str = "embedding",
-           trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE) -> DataFrame:
+           trees: int = TREES, leaf: int = LEAF, sample: int = SAMPLE, max_leaves: int = MAX_LEAVES) -> DataFrame:
     """(query_id, rank, id_column, score): the ``k`` best found for each row where ``is_query``, by largest inner product."""
     empty = f"query_id long, rank int, {id_column} long, score double"
     spark = rows.sparkSession
@@ -113,7 +114,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 1.2, i
              .select("id", "v").limit(2 * sample).toPandas().sort_values("id"))
     fitted = _longer(np.array(taken["v"].tolist(), float).reshape(-1, dims["d"]), longest)
     r = np.random.default_rng(5)
-    size = max(leaf, total / MAX_LEAVES) * len(fitted) / total
+    size = max(leaf, total / max_leaves) * len(fitted) / total
     grown = [Tree.grown(fitted, size, r) for _ in range(trees)]
     forest = spark.sparkContext.broadcast([(t.normal, t.middle, t.child, t.leaves) for t in grown])  # bounded by the sample
 
@@ -143,7 +144,7 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 1.2, i
     asked = visits.groupBy("tree", "leaf").agg(F.count("*").alias("m")).toPandas()
     both = held.merge(asked, on=["tree", "leaf"])
     blocks = spark.createDataFrame(pd.DataFrame({"tree": both["tree"].astype("int32"), "leaf": both["leaf"].astype("int32"), "rows": -(-both["n"] // BLOCK), "asks": -(-both["m"] // BLOCK)}),
-                                   "tree int, leaf int, rows long, asks long")  # at most trees * MAX_LEAVES rows
+                                   "tree int, leaf int, rows long, asks long")  # a row a leaf
     sizes = F.broadcast(blocks)
     stored = (filed.join(sizes, ["tree", "leaf"]).withColumn("r", F.pmod(F.xxhash64("id", "v"), "rows"))
               .withColumn("c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("asks") - 1))).select("tree", "leaf", "r", "c", "id", "v"))
@@ -155,18 +156,19 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 1.2, i
             return pd.DataFrame({"query_id": [], "id": [], "score": []})
         rows = rows.sort_values("id", kind="stable")
         rows = rows[~pd.DataFrame({"id": rows["id"], "v": [x.tobytes() for x in rows["v"]]}).duplicated().to_numpy()]
-        x, ids = np.array(rows["v"].tolist()), rows["id"].to_numpy()
-        out = []
+        x, ids, out = np.array(rows["v"].tolist()), rows["id"].to_numpy(), []
         for at in range(0, len(asks), 512):
-            some = asks.iloc[at:at + 512]
-            for q, w, s in zip(some["query_id"], some["w"], np.array(some["w"].tolist()) @ x.T):
-                s = np.where(ids == q, -np.inf, s)
-                cut = np.partition(s, -k)[-k] - 1e-9 if len(s) > k else -np.inf
-                pick = np.flatnonzero((s >= cut) & (s > -np.inf))
-                exact = (x[pick] * w).sum(1)  # one way of adding up, whatever the block
-                order = np.lexsort((ids[pick], -exact))[:k]
-                out.append(pd.DataFrame({"query_id": q, "id": ids[pick][order], "score": exact[order]}))
-        return pd.concat(out) if out else pd.DataFrame({"query_id": [], "id": [], "score": []})
+            q, w = asks["query_id"].to_numpy()[at:at + 512], np.array(asks["w"].iloc[at:at + 512].tolist())
+            near = w @ x.T
+            near[q[:, None] == ids] = -np.inf
+            low = np.partition(near, -k, axis=1)[:, -k] - 1e-9 if len(ids) > k else np.full(len(q), -np.inf)
+            i, j = np.nonzero((near >= low[:, None]) & (near > -np.inf))
+            exact = (x[j] * w[i]).sum(1)  # one way of adding up, whatever the block
+            order = np.lexsort((ids[j], -exact, i))
+            i, j, exact = i[order], j[order], exact[order]
+            keep = np.arange(len(i)) - np.searchsorted(i, i) < k  # ties go to smaller ids
+            out.append(pd.DataFrame({"query_id": q[i[keep]], "id": ids[j[keep]], "score": exact[keep]}))
+        return pd.concat(out)
 
     keys = ["tree", "leaf", "r", "c"]
     found = stored.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(best, "query_id long, id long, score double")

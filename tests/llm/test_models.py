@@ -45,7 +45,7 @@ def test_neighbours_recall_with_many_leaves(spark):
     x = (r.standard_normal((30, 16))[r.integers(0, 30, 2000)] + 0.4 * r.standard_normal((2000, 16))) * r.uniform(0.5, 2, (2000, 1))
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = neighbours.search(df, F.col("vec_id") % 50 == 0, k=10, leaf=32).groupBy("query_id").agg(F.collect_set("vec_id").alias("s")).collect()
+    got = neighbours.search(df, F.col("vec_id") % 50 == 0, k=10, leaf=32, max_leaves=64).groupBy("query_id").agg(F.collect_set("vec_id").alias("s")).collect()
     want = _exact(rows, rows[::50], 10)
     assert np.mean([len(set(g["s"]) & set(want[g["query_id"]])) / 10 for g in got]) >= 0.9
 
