@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import io
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,6 +54,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
 
 
+def fitted(sample: DataFrame, train: Callable[[list[str], np.ndarray], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """``train(texts, labels)`` over a bounded ``sample(doc_id, text, y)``, run as one Spark task: a lost executor costs a
+    retry, and the driver gets the named weight arrays alone."""
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat([pd.DataFrame({"doc_id": [], "text": [], "y": []}), *frames]).sort_values(["doc_id", "text"])
+        np.savez(out := io.BytesIO(), **train(rows["text"].tolist(), rows["y"].to_numpy(np.int64)))
+        yield pd.DataFrame({"weights": [out.getvalue()]})
+
+    row = sample.select("doc_id", "text", "y").repartition(1).mapInPandas(run, "weights binary").first()
+    if row is None:  # no rows, no task
+        return train([], np.zeros(0, np.int64))
+    with np.load(io.BytesIO(row[0])) as made:
+        return {k: made[k] for k in made.files}
+
+
 def split_words(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Lower-cased runs of letters and digits of each text: distinct words, their codes, and offsets by text."""
     t = pc.replace_substring_regex(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")),

@@ -3,8 +3,8 @@
 A text is a bag of passages of ``PASSAGE`` words that cover it whole.  Each passage is encoded (shares of letter
 cases, digits, symbols and marks, word lengths, repetition; then a dense layer), gated attention
 (``tanh(V h) * sigmoid(U h)``) learnt from the labels of whole texts weighs the passages, and a logistic unit scores
-their weighted sum.  Trained in numpy on a bounded sample of labelled rows (``MOST`` by default; at most
-``2 * MOST`` texts reach the driver, and only the weights leave it).
+their weighted sum.  Trained in numpy on a bounded sample of labelled rows (``MOST`` by default, at most
+``2 * MOST`` texts) in one task; the driver gets the weights.
 
 Defined results: null and empty texts are one empty passage; with no labelled rows, or labels of one kind only,
 every score is the smoothed share of label 1; repeated rows and null ids keep their rows (a null id is never
@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import letters, split_on_space
+from parlance.llm.common import fitted, letters, split_on_space
 
 PASSAGE, HIDDEN, ATTENTION, MOST = 40, 16, 8, 6000
 MARKS = "!?.,;:|*#$%&@<>{}[]()=/\\_-\"'"
@@ -87,6 +87,9 @@ class Model:
     w: dict[str, np.ndarray] | None
     base: float
 
+    def arrays(self) -> dict[str, np.ndarray]:
+        return (self.w or {}) | {"base": np.array(self.base)}
+
     def forward(self, text: np.ndarray, x: np.ndarray, n: int, keep: dict | None = None) -> np.ndarray:
         """Logits of ``n`` bags."""
         w = self.w
@@ -153,8 +156,9 @@ def train(texts: list[str], y: np.ndarray, epochs: int = 25, seed: int = 11) ->
 
 def fit(sample: DataFrame) -> Model:
     """Train on ``sample(doc_id, text, y)``, a bounded table (see ``labelled_sample``)."""
-    rows = sample.select("doc_id", "text", "y").toPandas().sort_values(["doc_id", "text"])
-    return train(rows["text"].tolist(), rows["y"].to_numpy(np.int64))
+    made = fitted(sample, lambda texts, y: train(texts, y).arrays())
+    base = float(made.pop("base"))
+    return Model(made or None, base)
 
 
 def score(docs: DataFrame, model: Model, keep: dict[str, Column]) -> DataFrame:

@@ -6,7 +6,7 @@ a network reads each window in both directions, attention pools its states and a
 A text's score combines its strongest window with the number of windows (more windows, more chances), by a small
 logistic fit.  All of it is trained in numpy on a bounded sample of labelled rows (``MOST`` by default).
 
-Only the sample (at most ``2 * MOST`` texts) and the trained weights pass through the driver.
+Training is one task over the sample (at most ``2 * MOST`` texts); the driver gets the trained weights.
 Defined results: null and empty texts are one window without words and get that window's score; with no
 labelled rows, or labels of one kind only, every score is the smoothed share of label 1; repeated rows and
 null ids keep their rows (a null id is never learnt from and not held out); other columns are ignored.
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parlance.llm.common import letters, mixed, split_words
+from parlance.llm.common import fitted, letters, mixed, split_words
 
 WINDOW, STRIDE = 24, 12
 DIM, HIDDEN, ATTENTION = 16, 12, 8
@@ -187,6 +187,9 @@ class Model:
     base: float  # score where there is no network
     scale: tuple[float, float, float] = (1.0, 0.0, 0.0)  # of the strongest window, of log windows, constant
 
+    def arrays(self) -> dict[str, np.ndarray]:
+        return (self.network.w if self.network else {}) | {"base": np.array(self.base), "scale": np.array(self.scale)}
+
     def windows_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(text of each window, its logit), over all windows of whole texts."""
         words, codes, offsets = split_words(texts)
@@ -326,8 +329,13 @@ def _calibrate(best: np.ndarray, size: np.ndarray, y: np.ndarray) -> tuple[float
 
 def fit(sample: DataFrame) -> Model:
     """Train on ``sample(text, y)``, a bounded table (see ``labelled_sample``)."""
-    rows = sample.select("doc_id", "text", "y").toPandas().sort_values(["doc_id", "text"])
-    return train(rows["text"].tolist(), rows["y"].to_numpy(np.int64))
+    made = fitted(sample, lambda texts, y: train(texts, y).arrays())
+    base, scale = float(made.pop("base")), made.pop("scale")
+    if not made:
+        return Model(None, base)
+    network = Network()
+    network.w = made
+    return Model(network, base, tuple(scale.tolist()))
 
 
 def score(docs: DataFrame, model: Model, keep: dict[str, Column]) -> DataFrame:
