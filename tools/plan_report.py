@@ -1,4 +1,4 @@
-"""Write PLANS.md: the shape of every registered query's final (AQE) plan.
+"""Write PLANS.md: the shape of every engine query's final (AQE) plan.
 
 For each query: shuffles executed, stages reused, join strategies, windows,
 aggregates, Python nodes, and the columns each parquet scan reads.
@@ -32,7 +32,7 @@ def shape(plan: str) -> dict:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     from parlance.session import get_session
-    import __spark_entry__ as E
+    from parlance.plans.catalog import QUERIES
     spark = get_session("local[8]", 8)
     print("# Query plans\n")
     print(f"Final adaptive plans of the registered queries at `{sf_dir}` (generated by "
@@ -40,7 +40,7 @@ def main() -> None:
           "AQE reused, `bhj`/`smj`/`shj` the join strategies chosen at run time.\n")
     print("| query | shuffles | reused | bhj | smj | shj | windows | aggregates | python | parquet columns read |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, q in sorted(E.queries().items()):
+    for name, q in sorted(QUERIES.items()):
         df = q(spark, sf_dir)
         df.collect()
         s = shape(df._jdf.queryExecution().executedPlan().toString())
