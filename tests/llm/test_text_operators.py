@@ -178,6 +178,27 @@ def test_a_hot_passage_over_many_partitions(spark):
     assert got == set(range(1, 400))
 
 
+@pytest.mark.parametrize("block", [50_000, 40])
+def test_frequent_phrases_under_different_lead_ins(spark, monkeypatch, block):
+    """A phrase under 50 words in many texts, with lead-ins that make up 50 words with it and only two texts share."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    rng = random.Random(14)
+    texts = []
+    for lead, size in ((10, 40), (15, 35), (28, 22), (30, 45)):
+        phrase = words(rng, size)
+        heads = [words(rng, lead) for _ in range(60)]
+        texts += [f"{words(rng, 40)} {heads[i % 60] if i < 120 else words(rng, lead)} {phrase} {words(rng, 40)}" for i in range(200)]
+    unit = words(rng, 7)
+    texts += [" ".join([unit] * 30), f"{words(rng, 9)} {' '.join([unit] * 20)}"]
+    rng.shuffle(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], q) for r in suffix_dedup.report(docs).collect() for q in range(r["begin"], r["finish"])}
+    periodic = {i for i, t in enumerate(texts) if unit in t}  # a text's own overlapping copies are no repeats
+    assert {g for g in got if g[0] not in periodic} == {w for w in _long_repeats(texts, 50) if w[0] not in periodic}
+    first, last = sorted(periodic)
+    assert {(last, q) for q in range(len(texts[last].split())) if unit.split()[0] == texts[last].split()[q]} <= got
+
+
 # --- decontamination -----------------------------------------------------------------------------
 
 def test_leaks_with_substitutions(spark, odd_docs, no_docs):
