@@ -54,7 +54,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a verified overlap with a benchmark item."""
-    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"), shortest=1)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,14 +8,19 @@ each hit the two are laid side by side and compared word by word.  The longest s
 Documents' seeds pass a bit map of the benchmark's seeds first (fixed size, ``BITS``; it can only let too many through),
 so few are shuffled.  Stretches of seeds that pass go with the words around them (``CONTEXT`` each side).
 
-Defined results: null and empty texts match nothing; items of fewer words than the shortest mask take no part (their words
-may stand in any text); repeated rows give one row each; null ids are kept in ``find``; an empty table of
+The five masks leave no gap: wherever ``identity`` (0.8) accepts 13 words or more, one of them meets agreeing words
+only (an overlap of 26 words or more has a half that is accepted itself; below, ``tests/llm`` tries all
+substitutions).  Items under 13 words must agree as a whole, so they get masks of their own length (``own_masks``).
+
+Defined results: null and empty texts match nothing; items of fewer than ``shortest`` words take no part (9 by default, the
+registered queries and the pipeline take all); repeated rows give one row each; null ids are kept in ``find``; an empty table of
 either kind gives no matches, and ``clean`` then keeps all documents; other columns are kept by ``clean``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -24,15 +29,23 @@ from pyspark.sql import functions as F
 
 from parlance.llm.common import durable, hashed_at, rows_of, split_words, word_hashes
 
-MASKS = ("110101011", "1110010011", "11001010111")
+MASKS = ("110101011", "1110010011", "11001010111", "1110111", "111111")
+WHOLE = 13  # items of fewer words must agree as a whole
 BITS, CONTEXT, STRETCH = 1 << 24, 64, 256
-SHORTEST = min(map(len, MASKS))
+SHORTEST = 9
+
+
+def own_masks(size: int) -> list[str]:
+    """Masks of ``size`` words: whichever inner words ``identity`` lets differ (a fifth), one mask ignores them all."""
+    differ = size // 5
+    ignored = combinations(range(2 * differ), differ)
+    return ["".join("0" if 0 < i < size - 1 and differ and i % (2 * differ) in part else "1" for i in range(size)) for part in map(set, ignored)]
 
 
-def seeds(tokens: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def seeds(tokens: np.ndarray, offsets: np.ndarray, masks: tuple[str, ...]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(mask number, positions, seed hashes) of all texts."""
     end = np.repeat(offsets[1:], np.diff(offsets))
-    for k, mask in enumerate(MASKS):
+    for k, mask in enumerate(masks):
         at = np.flatnonzero(np.arange(len(tokens)) + len(mask) <= end)
         yield k, at, hashed_at(tokens, at, [i for i, c in enumerate(mask) if c == "1"], k + 1)
 
@@ -55,8 +68,8 @@ def longest(same: np.ndarray, identity: float) -> tuple[int, int]:
     return best
 
 
-def benchmark_seeds(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(seeds of the items, the items as numbered rows of word hashes)."""
+def benchmark_seeds(items: DataFrame, shortest: int) -> tuple[DataFrame, DataFrame, tuple[str, ...]]:
+    """(seeds of the items, the items as numbered rows of word hashes, the masks)."""
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             names, codes, offsets = split_words(b.column("text"))
@@ -69,18 +82,23 @@ def benchmark_seeds(items: DataFrame) -> tuple[DataFrame, DataFrame]:
             offsets = lists.offsets.to_numpy().astype(np.int64)
             tokens, offsets = lists.flatten().to_numpy().view(np.uint64), offsets - offsets[0]
             row = rows_of(offsets)
-            for k, at, h in seeds(tokens, offsets):
+            for k, at, h in seeds(tokens, offsets, masks):
+                if k >= len(MASKS):
+                    own = np.diff(offsets)[row[at]] == len(masks[k])
+                    at, h = at[own], h[own]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("item").take(pa.array(row[at])), pa.array((at - offsets[row[at]]).astype(np.int32)), pa.array(np.full(len(at), k, np.int32)), pa.array(h.view(np.int64))],
                     ["item", "item_at", "mask", "seed"])
 
     numbered = durable(items.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-                       .mapInArrow(words, "item_id string, words array<long>").filter(F.size("words") >= SHORTEST)
+                       .mapInArrow(words, "item_id string, words array<long>").filter(F.size("words") >= max(shortest, 1))
                        .withColumn("item", F.monotonically_increasing_id()))
-    return durable(numbered.select("item", "words").mapInArrow(seeded, "item long, item_at int, mask int, seed long")), numbered
+    sizes = numbered.select(F.size("words").alias("n")).filter(F.col("n") < WHOLE).distinct().collect()  # 12 at most
+    masks = (*MASKS, *[m for n in sorted(r["n"] for r in sizes) for m in own_masks(n)])
+    return durable(numbered.select("item", "words").mapInArrow(seeded, "item long, item_at int, mask int, seed long")), numbered, masks
 
 
-def regions(docs: DataFrame, known: DataFrame) -> DataFrame:
+def regions(docs: DataFrame, known: DataFrame, masks: tuple[str, ...]) -> DataFrame:
     """Stretches of documents whose seeds may be the benchmark's: (doc_id, text_key, region, first, words, hits)."""
     bits = known.select(F.expr(f"(shiftrightunsigned(seed, 20) % {BITS})").alias("bit")).distinct().toPandas()["bit"]  # BITS numbers at most
     marked = np.zeros(BITS, np.bool_)
@@ -93,7 +111,7 @@ def regions(docs: DataFrame, known: DataFrame) -> DataFrame:
             for lo in range(0, b.num_rows, 512):
                 names, codes, offsets = split_words(b.column("text").slice(lo, 512))
                 tokens = word_hashes(names)[codes]
-                parts = [(k, at[ok], h[ok]) for k, at, h in seeds(tokens, offsets) if (ok := seen[_bit(h)]).any()]
+                parts = [(k, at[ok], h[ok]) for k, at, h in seeds(tokens, offsets, masks) if (ok := seen[_bit(h)]).any()]
                 if not parts:
                     continue
                 at = np.concatenate([p[1] for p in parts])
@@ -108,7 +126,7 @@ def regions(docs: DataFrame, known: DataFrame) -> DataFrame:
                 out = []
                 for i, j in zip(cuts[:-1], cuts[1:]):
                     r = row[i]
-                    first, last = max(offsets[r], at[i] - CONTEXT), min(offsets[r + 1], at[j - 1] + max(map(len, MASKS)) + CONTEXT)
+                    first, last = max(offsets[r], at[i] - CONTEXT), min(offsets[r + 1], at[j - 1] + max(map(len, masks)) + CONTEXT)
                     out.append((int(lo + r), int(first - offsets[r]), tokens[first:last].view(np.int64),
                                 [{"at": int(a - offsets[r]), "mask": int(m), "seed": int(x)} for a, m, x in zip(at[i:j], mask[i:j], h[i:j].view(np.int64))]))
                 rows = pa.array([o[0] for o in out])
@@ -122,10 +140,10 @@ def regions(docs: DataFrame, known: DataFrame) -> DataFrame:
     return durable(made.withColumn("region", F.monotonically_increasing_id()))
 
 
-def find(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float = 0.8) -> DataFrame:
+def find(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float = 0.8, shortest: int = SHORTEST) -> DataFrame:
     """Verified overlaps (doc_id, text_key, item_id, start, item_start, length, matches), in words."""
-    known, numbered = benchmark_seeds(items)
-    found = regions(docs, known)
+    known, numbered, masks = benchmark_seeds(items, shortest)
+    found = regions(docs, known, masks)
     hits = found.select("region", F.explode("hits").alias("h")).select("region", "h.at", "h.mask", "h.seed")
     lines = hits.join(known, ["mask", "seed"]).select("region", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
 
@@ -157,7 +175,7 @@ def find(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float
             .select("doc_id", "text_key", "item_id", "w.start", "w.item_start", "w.length", "w.matches"))
 
 
-def clean(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float = 0.8) -> DataFrame:
+def clean(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float = 0.8, shortest: int = SHORTEST) -> DataFrame:
     """The rows of ``docs``, all columns, whose text has no verified overlap."""
-    bad = durable(find(docs, items, min_words, identity).select("text_key").distinct())
+    bad = durable(find(docs, items, min_words, identity, shortest).select("text_key").distinct())
     return docs.join(bad, F.md5(F.coalesce(docs["text"].cast("string"), F.lit(""))) == bad["text_key"], "left_anti")

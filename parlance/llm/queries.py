@@ -27,7 +27,7 @@ def op2_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), shortest=1)
     return found.select("doc_id", "item_id", "start", "item_start", "length", "matches")
 
 

@@ -224,6 +224,27 @@ def test_leaks_with_substitutions(spark, odd_docs, no_docs):
     assert decontamination.find(no_docs, bench).count() == 0 and decontamination.clean(docs, bench.limit(0)).count() == docs.count()
 
 
+def test_masks_meet_every_accepted_overlap():
+    from itertools import combinations
+    for n, differ in ((13, 2), (15, 3), (20, 4), (25, 5), *[(n, n // 5) for n in range(1, 13)]):
+        masks = [m for m in decontamination.MASKS if len(m) <= n] if n >= 13 else decontamination.own_masks(n)
+        placed = [sum(1 << o + i for i, c in enumerate(m) if c == "1") for m in masks for o in range(n - len(m) + 1)]
+        spots = range(n) if n >= 13 else range(1, n - 1)
+        for c in combinations(spots, differ):
+            assert any(not p & sum(1 << i for i in c) for p in placed), (n, c)
+
+
+def test_short_items_with_every_substitution(spark):
+    from itertools import combinations
+    rng = random.Random(22)
+    items = {n: words(rng, n).split() for n in (1, 3, 5, 8, 9, 10, 11, 13)}
+    texts = [" ".join([words(rng, 30, 900), *["zz" if i in c else w for i, w in enumerate(ws)], words(rng, 30, 900)])
+             for n, ws in items.items() for c in combinations(range(1, n - 1), n // 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(str(n), " ".join(ws)) for n, ws in items.items()], "item_id string, text string")
+    assert {r["doc_id"] for r in decontamination.find(docs, bench, shortest=1).collect()} == set(range(len(texts)))
+
+
 def test_longest_stretch():
     rng = np.random.default_rng(1)
     for _ in range(300):
