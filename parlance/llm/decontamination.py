@@ -68,6 +68,17 @@ def longest(same: np.ndarray, identity: float) -> tuple[int, int]:
     return best
 
 
+def joined(parts: list[tuple[int, bytes]]) -> list[tuple[int, np.ndarray]]:
+    """Stretches (begin, agreement by word), with those that touch or overlap as one."""
+    out: list[tuple[int, bytes]] = []
+    for begin, same in sorted(parts):
+        if out and begin <= out[-1][0] + len(out[-1][1]):
+            out[-1] = (out[-1][0], out[-1][1] + same[out[-1][0] + len(out[-1][1]) - begin:])
+        else:
+            out.append((begin, same))
+    return [(begin, np.frombuffer(same, np.bool_)) for begin, same in out]
+
+
 def benchmark_seeds(items: DataFrame, shortest: int) -> tuple[DataFrame, DataFrame, tuple[str, ...]]:
     """(seeds of the items, the items as numbered rows of word hashes, the masks)."""
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,20 +170,32 @@ def find(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float
                 same = a[lead:lead + n] == c[:n]
                 i, length = longest(same, identity)
                 if length >= min(min_words, size):
-                    rows.append((doc, key, item, first + lead + i, max(at, 0) + i, length, int(same[i:i + length].sum())))
-            cols = list(zip(*rows)) if rows else [()] * 7
-            types = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "text_key", "item_id", "start", "item_start", "length", "matches"])
+                    rows.append((doc, key, item, first - at, first + lead, same.tobytes()))
+            cols = list(zip(*rows)) if rows else [()] * 6
+            types = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "text_key", "item_id", "shift", "begin", "same"])
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            row, spans = [], []
+            for k, parts in enumerate(b.column("parts").to_pylist()):
+                shift = b.column("shift")[k].as_py()
+                for begin, same in joined([(p["begin"], p["same"]) for p in parts]):
+                    i, length = longest(same, identity)
+                    row.append(k)
+                    spans.append((begin + i, begin + i - shift, length, int(same[i:i + length].sum())))
+            kept = [b.column(n).take(pa.array(row, pa.int32())) for n in ("doc_id", "text_key", "item_id")]
+            yield pa.RecordBatch.from_arrays([*kept, *[pa.array([x[j] for x in spans], pa.int32()) for j in range(4)]],
+                                             ["doc_id", "text_key", "item_id", "start", "item_start", "length", "matches"])
 
     beside = (lines.join(found.select("region", "doc_id", "text_key", "first", "words"), "region").join(numbered.withColumnRenamed("words", "all"), "item")
               .withColumn("item_first", F.col("first") - F.col("shift"))
               .select("doc_id", "text_key", "first", "words", "item_id", "item_first", F.size("all").alias("item_size"),
                       F.slice("all", F.greatest(F.col("item_first"), F.lit(0)) + 1, F.size("words")).alias("mine")))
-    out = beside.mapInArrow(verify, "doc_id long, text_key string, item_id string, start int, item_start int, length int, matches int")
-    # Neighbouring regions overlap: keep the longest overlap of a text with an item along one shift.
-    widest = F.max(F.struct("length", "matches", "start", "item_start")).alias("w")
-    return (out.groupBy("doc_id", "text_key", "item_id", (F.col("start") - F.col("item_start")).alias("shift")).agg(widest)
-            .select("doc_id", "text_key", "item_id", "w.start", "w.item_start", "w.length", "w.matches"))
+    out = beside.mapInArrow(verify, "doc_id long, text_key string, item_id string, shift int, begin int, same binary")
+    # Neighbouring regions overlap: those of a text and an item along one shift are one stretch.
+    grouped = out.groupBy("doc_id", "text_key", "item_id", "shift").agg(F.collect_set(F.struct("begin", "same")).alias("parts"))
+    return grouped.mapInArrow(join, "doc_id long, text_key string, item_id string, start int, item_start int, length int, matches int")
 
 
 def clean(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float = 0.8, shortest: int = SHORTEST) -> DataFrame:

@@ -245,6 +245,16 @@ def test_short_items_with_every_substitution(spark):
     assert {r["doc_id"] for r in decontamination.find(docs, bench, shortest=1).collect()} == set(range(len(texts)))
 
 
+def test_a_long_overlap_is_one_span(spark):
+    rng = random.Random(23)
+    item = words(rng, 1500).split()
+    copy = ["zz" if i % 9 == 4 else w for i, w in enumerate(item)]
+    docs = spark.createDataFrame([(1, f"{words(rng, 40, 900)} {' '.join(copy)} {words(rng, 40, 900)}")], "doc_id long, text string")
+    bench = spark.createDataFrame([("long", " ".join(item))], "item_id string, text string")
+    got = [tuple(r)[2:] for r in decontamination.find(docs, bench).collect()]
+    assert got == [("long", 40, 0, 1500, 1500 - copy.count("zz"))]
+
+
 def test_longest_stretch():
     rng = np.random.default_rng(1)
     for _ in range(300):
