@@ -32,7 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: that with the smallest id (one row of it, if rows are repeated).
+    """One document of each SimHash group: that with the smallest id; of rows that share an id, the one with the smallest hash.
 
     A null id stands behind all others: such rows get a number from their text, beyond any id in use.
     """
@@ -41,9 +41,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     text = F.col(places[docs.columns.index("text")]).cast("string")
     stand_in = F.lit(2 ** 62) + F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(F.lit(2 ** 61 - 1))
     rows = docs.toDF(*places).withColumn("doc_id", F.coalesce(own, stand_in)).withColumn("text", text)
-    groups = simhash.near_duplicates(rows, words=3, max_bits=2)
-    first = durable(groups.select(F.col("component_id").alias("first")).distinct())
-    kept = rows.join(first, rows["doc_id"] == first["first"], "left_semi").dropDuplicates(["doc_id"])
+    rows = rows.withColumn("row", F.xxhash64(*places))  # equal for rows that are equal throughout
+    groups = simhash.grouped(rows, words=3, max_bits=2, keep=("row",))
+    first = durable(groups.groupBy("root").agg(F.min(F.struct("doc_id", "row")).alias("first")).select("first.*"))
+    kept = rows.join(first, ["doc_id", "row"], "left_semi").dropDuplicates(["doc_id", "row"])
     return kept.select(*places).toDF(*docs.columns)
 
 

@@ -51,14 +51,14 @@ def fingerprint(text: str | None, words: int) -> int:
     return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp): one row for each row of ``docs``."""
+def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the long columns ``keep``: one row for each row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t.as_py(), words) for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fps, pa.int64()), *[b.column(k) for k in keep]], ["doc_id", "fp", *keep])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *keep).mapInArrow(run, ", ".join(f"{c} long" for c in ("doc_id", "fp", *keep)))
 
 
 def _cells(fps: DataFrame) -> DataFrame:
@@ -98,14 +98,19 @@ def _flips(fps: DataFrame) -> DataFrame:
     return fps.selectExpr("fp", f"explode(array({ones})) as flip").selectExpr("fp ^ flip as cell", "fp")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, cell_limit: int = 128) -> DataFrame:
-    """(doc_id, fingerprint, component_id): one row for each row of ``docs``."""
-    prints = durable(fingerprints(docs, words))
+def grouped(docs: DataFrame, words: int = 3, max_bits: int = 2, cell_limit: int = 128, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(fp, doc_id, *keep, component_id, root): one row for each row of ``docs``; ``root`` names the component also where ids repeat."""
+    prints = durable(fingerprints(docs, words, keep))
     fps = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = components(links(fps.select("fp"), max_bits, cell_limit))
     rooted = fps.join(roots, fps["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     rooted = durable(rooted)
     lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return (prints.join(named, "fp", "left")
+    named = rooted.join(lowest, "root").select("fp", "component_id", "root")
+    return prints.join(named, "fp", "left")
+
+
+def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 2, cell_limit: int = 128) -> DataFrame:
+    """(doc_id, fingerprint, component_id): one row for each row of ``docs``."""
+    return (grouped(docs, words, max_bits, cell_limit)
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))

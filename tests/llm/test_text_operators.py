@@ -126,6 +126,16 @@ def test_components_of_paths_and_stars(spark):
     assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 140)} | {-3: -5}
 
 
+def test_pipeline_keeps_one_document_of_each_group_where_ids_repeat(spark):
+    """One id with two different texts, one of which is a near copy of a smaller id: the near copy goes, all else stays."""
+    import corpus_pipeline
+    rng = random.Random(6)
+    a, b, c, d = (words(rng, 200) for _ in range(4))
+    docs = spark.createDataFrame([(1, a), (2, a), (2, b), (3, c), (3, d), (3, d), (4, d), (None, b)], "doc_id long, text string")
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted(tuple(r) for r in got.collect()) == sorted([(1, a), (2, b), (3, c), (3, d)])
+
+
 # --- repeated passages ---------------------------------------------------------------------------
 
 def _long_repeats(texts, n):
