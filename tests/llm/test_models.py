@@ -261,3 +261,89 @@ def test_pipeline_odd_rows(spark, odd_docs, no_docs, mid):
     near = P.drop_near_duplicates(spark, odd_docs, mid).collect()
     assert sorted((r["doc_id"] is None, r["doc_id"]) for r in near if r["doc_id"] is not None) == [(False, i) for i in (1, 3, 5, 7, 8, 9)]
     assert sum(r["doc_id"] is None for r in near) == 1  # the null row is a copy of the empty text, the other is a text of its own
+
+
+def _overlapping(texts, items):
+    """Numbers of the texts that an item overlaps (13 words or the whole item, 80 % equal), over every shift side by side."""
+    from collections import Counter, defaultdict
+    from parlance.llm.common import split_words
+    from parlance.llm.decontamination import longest
+    names, codes, offsets = split_words(pa.array(texts + items))
+    rows = [codes[a:b] for a, b in zip(offsets[:-1], offsets[1:])]
+    rows, own = rows[:len(texts)], rows[len(texts):]
+    places = defaultdict(list)
+    for k, item in enumerate(own):
+        for p, w in enumerate(item.tolist()):
+            places[w].append((k, p))
+    out = set()
+    for i, row in enumerate(rows):
+        shared = Counter((k, q - p) for q, w in enumerate(row.tolist()) for k, p in places.get(w, ()))
+        for (k, shift), n in shared.items():
+            least = min(13, len(own[k]))
+            if n >= 0.8 * least - 1e-9:
+                lo, hi = max(0, shift), min(len(row), shift + len(own[k]))
+                if longest(row[lo:hi] == own[k][lo - shift:hi - shift], 0.8)[1] >= least:
+                    out.add(i)
+    return out
+
+
+def _repeated(texts, n):
+    """(text, word) pairs in an n-word passage that an earlier place holds; copies within a text count where they do not overlap."""
+    seen, out = {}, set()
+    for i, ws in enumerate(texts):
+        for p in range(len(ws) - n + 1):
+            j, q = seen.setdefault(tuple(ws[p:p + n]), (i, p))
+            if j != i or p - q >= n:
+                out |= {(i, k) for k in range(p, p + n)}
+    return out
+
+
+def test_pipeline_stage_by_stage_against_brute_force(spark, mid, tmp_path):
+    """Each stage on its own input, what the stage before it kept: the rows that a brute-force version keeps."""
+    import corpus_pipeline as P
+    from tests.llm.test_text_operators import _groups, _print
+
+    def kept(k, docs):
+        P.STAGES[k][1](spark, docs, mid).write.parquet(path := f"{tmp_path}/{k}")
+        out = spark.read.parquet(path)
+        return out, {r["doc_id"]: r["text"] for r in out.collect()} if "text" in out.columns else None
+
+    docs = spark.read.parquet(f"{mid}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    model = queries.toxicity_model(docs, spark.read.parquet(f"{mid}/labels.parquet"))
+    scores = dict(zip(texts, model.scores(pa.array(list(texts.values())))))
+    docs, got = kept(0, docs)
+    assert all(abs(s - queries.THRESHOLD) < 1e-6 or (i in got) == (s < queries.THRESHOLD) for i, s in scores.items()) and len(got) < len(texts)
+    assert all(texts[i] == t for i, t in got.items())
+
+    texts = got
+    docs, got = kept(1, docs)
+    first = {f for _, f in _groups(list(texts), [_print(t) for t in texts.values()], 2)}
+    assert got == {i: texts[i] for i in first}
+
+    ids = sorted(got)
+    before = [got[i].split() for i in ids]
+    repeated = _repeated(before, 50)
+    want = {i: [w for q, w in enumerate(got[i].split()) if (n, q) not in repeated] for n, i in enumerate(ids)}
+    docs, got = kept(2, docs)
+    cut = {i: got[i].split() if i in got else [] for i in want}
+    # Where a text repeats itself, a match is clipped to the distance of its copies, so a few words more may stay.
+    periodic = {i for n, i in enumerate(ids) if _repeated([before[n]], 50)}
+    assert repeated and all(len(cut[i]) >= len(ws) if i in periodic else cut[i] == ws for i, ws in want.items())
+    assert len(periodic) < len(ids) / 10 and all(cut[i] for i in got)
+
+    ids, texts = list(got), got
+    leaks = _overlapping(list(texts.values()), [r["text"] for r in spark.read.parquet(f"{mid}/benchmark.parquet").collect()])
+    docs, got = kept(3, docs)
+    assert leaks and got == {i: t for n, (i, t) in enumerate(texts.items()) if n not in leaks}
+
+    pieces = kept(4, docs)[0].toPandas().sort_values(["doc_id", "start"])
+    encoded = packing.Encoder(public_tokenizers.path(queries.TOKENIZER)).encode(pa.array(list(got.values())))
+    tokens = {i: np.append(e, np.uint32(packing.END_ID)).astype("<u4") for i, e in zip(got, encoded)}
+    assert set(pieces["doc_id"]) == set(tokens)
+    for i, own in pieces.groupby("doc_id"):
+        assert own["start"].tolist() == [0, *own["length"].cumsum().tolist()[:-1]] and own["length"].sum() == len(tokens[i])
+        assert all(crc32(tokens[i][s:s + n].tobytes()) == c for s, n, c in zip(own["start"], own["length"], own["ids_crc32"]))
+    for _, seq in pieces.sort_values("offset").groupby("sequence_id"):
+        ends = (seq["offset"] + seq["length"]).tolist()
+        assert all(a <= b for a, b in zip(ends, seq["offset"].tolist()[1:])) and ends[-1] <= packing.CAPACITY
