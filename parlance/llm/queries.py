@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from parlance.llm import decontamination, language, license_scan, neighbours, packing, quality, simhash, suffix_dedup, toxicity, url_filter
+from parlance.llm import (conversation_trie, decontamination, language, license_scan, mixing, neighbours, packing, quality, simhash, suffix_dedup,
+                          toxicity, url_filter, whitening)
 from parlance.llm.common import fold, labelled_sample, table
 
 THRESHOLD = 0.7
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+MIX_WEIGHTS, MIX_REPEATS, MIX_SEED = (5, 2, 1), 3, 7
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -80,10 +82,25 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _predicted(toxicity.score(docs, model, keep))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mixing.mix(docs, F.array("source"), MIX_WEIGHTS, most=MIX_REPEATS, seed=MIX_SEED)
+    return mixed.select("doc_id", "size", F.col("sources")[0]["size"].alias("source_size"), F.col("sources")[0]["target"].alias("target"), "taken")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return conversation_trie.nodes(conversation_trie.rebuilt(turns))
+
+
 def _predicted(scored: DataFrame) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_license_scan, op2_nearest_neighbours, op3_decontamination, op4_quality, op5_suffix_dedup, op6_url_filter,
-    op7_language_id, op8_packing, op9_simhash, op10_toxicity)}
+    op7_language_id, op8_packing, op9_simhash, op10_toxicity, op11_whitening, op12_source_mixing, op13_conversation_trie)}
