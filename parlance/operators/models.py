@@ -22,6 +22,7 @@ from parlance.constants import ROLE_ANSWER, ROLE_PROMPT_CHARS, SYSTEM_PROMPT, TY
 from parlance.functions.metadata import map_detected_language, resolve_language, tagger_language
 from parlance.functions.text import is_blank, strip_ws, words
 from parlance.operators import labels as LB
+from parlance.operators.answers import Ledger, collected
 
 Predictor = Callable[[Iterator["pd.DataFrame"]], Iterator["pd.DataFrame"]]  # noqa: F821
 
@@ -188,21 +189,23 @@ def builtin_role_answers(norm_lines: DataFrame) -> DataFrame:
         .alias("response"))
 
 
-def classify_roles(raw: DataFrame, predict: Predictor | None = None,
-                   chars: int = ROLE_PROMPT_CHARS) -> tuple[DataFrame, DataFrame]:
+def classify_roles(raw: DataFrame, predict: Predictor | None = None, chars: int = ROLE_PROMPT_CHARS,
+                   answers: DataFrame | Ledger | None = None) -> tuple[DataFrame, DataFrame]:
     """K3 over whole texts: ``(answers, roles)``; pass the lines of interviews only (diaries have no roles).
 
-    ``answers``: ``file_id, response`` (a plug-in answers by ``part``); ``roles``: ``file_id, original, role`` —
+    Answers come from the table or ledger ``answers`` (see ``parlance.operators.answers``), from the plug-in ``predict`` where that
+    has none, and from the built-in stand-in if neither is given.
+    The first result is ``file_id, response`` (by ``part`` but for the stand-in); ``roles``: ``file_id, original, role`` —
     the original label of each speaker the answer names (through the file's normalisation map), one row
     per role, nothing for an unparseable answer.  The parts' answers are combined by ``most_frequent_answer``.
     """
     t = LB.line_labels(raw)
     mapping = LB.label_mapping(t)
-    if predict is None:
+    if predict is None and answers is None:
         answers = builtin_role_answers(LB.normalize_labels(t, mapping))
         voted = answers.select("file_id", F.lit(0).cast("bigint").alias("part"), "response")
     else:
-        answers = voted = run_predictor(role_prompts(raw, chars), predict)
+        answers = voted = collected(role_prompts(raw, chars), predict, answers)
     pairs = F.array_sort(parse_roles("response"))
     parsed = most_frequent_answer(voted, pairs).select("file_id", F.explode("answer").alias("e"))
     m = mapping.select("file_id", F.col("normalized").alias("speaker"), "original")
@@ -223,16 +226,18 @@ def builtin_type_answers(raw: DataFrame, cues: str = DEFAULT_TYPE_CUES) -> DataF
 
 
 def predict_types(raw: DataFrame, predict: Predictor | None = None, chars: int = TYPE_PROMPT_CHARS,
-                  thinking: str | None = None, cues: str = DEFAULT_TYPE_CUES) -> DataFrame:
+                  thinking: str | None = None, cues: str = DEFAULT_TYPE_CUES,
+                  answers: DataFrame | Ledger | None = None) -> DataFrame:
     """K4 model step over whole texts: ``file_id, response, predicted`` (NULL = parse failure).
 
-    A plug-in answers by part; ``response`` is then the earliest part's answer that gives ``predicted`` (any, if none
+    Answers come from ``answers`` and ``predict`` as in :func:`classify_roles`; a file without any answer has no row.
+    They are given by part; ``response`` is then the earliest part's answer that gives ``predicted`` (any, if none
     does), and ``predicted`` the type that most parts give (``most_frequent_answer``).
     """
-    if predict is None:
-        answers = builtin_type_answers(raw, cues)
-        return answers.select("file_id", "response", parse_interview_type("response").alias("predicted"))
-    return combine_types(run_predictor(type_prompts(raw, chars, thinking), predict))
+    if predict is None and answers is None:
+        said = builtin_type_answers(raw, cues)
+        return said.select("file_id", "response", parse_interview_type("response").alias("predicted"))
+    return combine_types(collected(type_prompts(raw, chars, thinking), predict, answers))
 
 
 def combine_types(answers: DataFrame) -> DataFrame:

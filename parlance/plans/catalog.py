@@ -208,6 +208,7 @@ def q_corrected_names(spark, sf_dir):
 
 # --- speaker labels, roles, prompts, language (C10-C17, C22-C25, K1, K3) ------------------
 
+from parlance.operators import answers as AN  # noqa: E402
 from parlance.operators import labels as LB  # noqa: E402
 from parlance.operators import models as MD  # noqa: E402
 
@@ -282,6 +283,59 @@ def q_roles_parsed(spark, sf_dir):
         F.col("file_id").alias("conv_id"), "response", "interviewer", "participant")
 
 
+def fx_answers(prompts: DataFrame, said: list[str | None]) -> DataFrame:
+    """A ledger as runs of a model leave it: an answer of the list ``said`` for each prompt, by file and part; every fifth file was asked
+    twice (the first answer is void), every thirteenth is unanswered, every seventeenth answered under an older prompt."""
+    f, p = F.col("file_id"), F.col("part")
+    answer = F.get(F.array(*[F.lit(a).cast("string") for a in said]), ((f * 3 + p) % len(said)).cast("int"))
+    runs = F.when(f % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
+    h = F.when(f % 17 == 3, F.sha2(F.concat(F.lit("old"), "prompt_hash").cast("binary"), 256)).otherwise(F.col("prompt_hash"))
+    rows = AN.with_hash(prompts).where(f % 13 != 5).select("file_id", "part", h.alias("prompt_hash"), answer.alias("_a"), F.explode(runs).alias("asked"))
+    return rows.select("file_id", "part", "prompt_hash", F.when(F.col("asked") == 2, F.col("_a")).otherwise("{OPEN} S1: PARTICIPANT").alias("response"), "asked")
+
+
+#: Type answers as models give them: braced, bare, in any case, several at once, none.
+TYPE_ANSWERS = ["{OPEN}", "{PSYCHS}", "The type is {psychs}.", "OPEN", "Not open but PSYCHS", "I cannot tell.", "{Open}, or else {PSYCHS}", "", "psychs", None, "reopened"]
+#: Role answers: plain, lower case, incomplete, corrected by a later line, none, three speakers, two participants, on one line.
+ROLE_ANSWERS = ["S1: INTERVIEWER\nS2: PARTICIPANT", "s2: interviewer\ns1: participant", "S1: INTERVIEWER", "S1: INTERVIEWER\nS1: PARTICIPANT\nS2: INTERVIEWER",
+                "Nobody knows.", "S1: INTERVIEWER\nS2: PARTICIPANT\nS3: PARTICIPANT", "S1: PARTICIPANT\nS2: PARTICIPANT", "S2: PARTICIPANT, S1: INTERVIEWER"]
+PART_CHARS = 1500  # a smaller request than the production one, so that most files have several parts and votes
+
+
+@register("roles_answered")
+def q_roles_answered(spark, sf_dir):
+    """K3 by an answers table + C16: the parts' answers of every kind, and the original label of each role they agree on."""
+    corpus, raw = fx_raw(spark, sf_dir, "raw")
+    raw = persisted(_interviews(corpus, raw))
+    prompts = persisted(AN.with_hash(MD.role_prompts(raw, PART_CHARS)))
+    answers, roles = MD.classify_roles(raw, chars=PART_CHARS, answers=fx_answers(prompts, ROLE_ANSWERS))
+    given = answers.groupBy("file_id").agg(F.count(F.lit(1)).alias("answers"))
+    wide = roles.groupBy("file_id").agg(
+        F.max(F.when(F.col("role") == "INTERVIEWER", F.col("original"))).alias("interviewer"),
+        F.max(F.when(F.col("role") == "PARTICIPANT", F.col("original"))).alias("participant"))
+    return given.join(wide, "file_id", "left").withColumnRenamed("file_id", "conv_id")
+
+
+@register("types_voted")
+def q_types_voted(spark, sf_dir):
+    """K4 by an answers table + C17: the type that most parts of a file give."""
+    _, raw = fx_raw(spark, sf_dir)
+    raw = persisted(raw)
+    ledger = fx_answers(MD.type_prompts(raw, PART_CHARS), TYPE_ANSWERS)
+    return MD.predict_types(raw, chars=PART_CHARS, answers=ledger).withColumnRenamed("file_id", "conv_id")
+
+
+@register("answers_pending")
+def q_answers_pending(spark, sf_dir):
+    """K3 / K4: the prompts still to be sent to a model (no answer, a NULL one, or one to an older prompt)."""
+    corpus, raw = fx_raw(spark, sf_dir, "raw")
+    out = []
+    for kind, prompts, said in (("roles", MD.role_prompts(_interviews(corpus, raw)), ROLE_ANSWERS), ("type", MD.type_prompts(raw, thinking="low"), TYPE_ANSWERS)):
+        prompts = AN.with_hash(prompts)
+        out.append(AN.pending(prompts, fx_answers(prompts, said)).select(F.col("file_id").alias("conv_id"), F.lit(kind).alias("kind"), "part", "prompt_hash"))
+    return out[0].unionByName(out[1])
+
+
 @register("roles_applied")
 def q_roles_applied(spark, sf_dir):
     """Lines rewritten to ``ROLE:`` (diaries and unclassified files untouched)."""
@@ -605,22 +659,35 @@ def q_units_misc(spark, sf_dir):
     return _units(spark, sf_dir, "misc")
 
 
-def _verdicts(spark, sf_dir, mode="cli"):
+def _answered_types(spark, sf_dir):
+    """The types that a table of answers gives the transcripts."""
     corpus, raw = fx_raw(spark, sf_dir)
-    preds = MD.predict_types(raw).join(corpus.files.select("file_id", F.col("path").alias("source_path")), "file_id")
+    prompts = persisted(AN.with_hash(MD.type_prompts(raw)).select("file_id", "part", "prompt_hash"))
+    return corpus, MD.combine_types(AN.collected(prompts, answers=fx_answers(prompts, TYPE_ANSWERS)))
+
+
+def _verdicts(spark, sf_dir, mode="cli"):
+    corpus, preds = _answered_types(spark, sf_dir)
+    preds = preds.join(corpus.files.select("file_id", F.col("path").alias("source_path")), "file_id")
     return V.verdicts(_units(spark, sf_dir, mode), preds)
 
 
 @register("types_parsed")
 def q_types_parsed(spark, sf_dir):
-    """K4 (built-in) + C17: the type answer for every transcript and its parse."""
+    """K4 by an answers table + C17: the type answer for every transcript that has one, and its parse."""
+    return _answered_types(spark, sf_dir)[1].withColumnRenamed("file_id", "conv_id")
+
+
+@register("types_builtin")
+def q_types_builtin(spark, sf_dir):
+    """K4 (built-in) + C17: the stand-in's answer for every transcript and its parse."""
     _, raw = fx_raw(spark, sf_dir)
     return MD.predict_types(raw).withColumnRenamed("file_id", "conv_id")
 
 
 @register("verdicts")
 def q_verdicts(spark, sf_dir):
-    """K4 (built-in) + C17 + E13: expected vs predicted type per file."""
+    """K4 by an answers table + C17 + E13: expected vs predicted type per file (match, mismatch, parse failure)."""
     return _verdicts(spark, sf_dir)
 
 

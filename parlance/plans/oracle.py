@@ -447,4 +447,5 @@ ORACLE["language_resolved"] = with_(FX_META, FX_LINES, DOC_LEXICON, LANG_RES) +
 SELECT * FROM res_t"""
 
 from parlance.plans import oracle_tags  # noqa: E402,F401  (registers the tagging SQL)
+from parlance.plans import oracle_answers  # noqa: E402,F401  (registers the answers SQL)
 from parlance.plans import oracle_tables  # noqa: E402,F401  (registers the table / verify SQL)

@@ -243,11 +243,10 @@ units_misc AS (
 
 CUES = r"(?i)\b(how often|how long|how much|last month|past month|frequency|duration|often)\b"
 
-VERDICTS = f"""
-preds AS (
-  SELECT p.path AS source_path, CASE WHEN max(CASE WHEN regexp_matches(r.raw, '{CUES}') THEN 1 ELSE 0 END) = 1
-                                     THEN 'PSYCHS' ELSE 'OPEN' END AS predicted
-  FROM fx_rawl r JOIN fx_paths p USING (conv_id) GROUP BY p.path),
+from parlance.plans.oracle_answers import TYPED  # noqa: E402
+
+VERDICTS = f"""{TYPED},
+preds AS (SELECT p.path AS source_path, t.predicted FROM typed t JOIN fx_paths p USING (conv_id)),
 verdicts AS (
   SELECT u.filename, u.first_row_index, u.expected, p.predicted,
     CASE WHEN p.predicted IS NULL THEN 'parse_failure' WHEN p.predicted = u.expected THEN 'match' ELSE 'mismatch' END AS verdict
@@ -334,7 +333,7 @@ SELECT word, arg_max(log_frequency, ord) AS log_frequency, arg_max(frequency, or
 FROM lex GROUP BY word"""
 
 
-ORACLE["types_parsed"] = with_(FX_LINES) + f"""
+ORACLE["types_builtin"] = with_(FX_LINES) + f"""
 SELECT conv_id, CASE WHEN hit = 1 THEN '{{PSYCHS}}' ELSE '{{OPEN}}' END AS response,
        CASE WHEN hit = 1 THEN 'PSYCHS' ELSE 'OPEN' END AS predicted
 FROM (SELECT conv_id, max(CASE WHEN regexp_matches(raw, '{CUES}') THEN 1 ELSE 0 END) AS hit
@@ -343,44 +342,20 @@ FROM (SELECT conv_id, max(CASE WHEN regexp_matches(raw, '{CUES}') THEN 1 ELSE 0
 
 # --- tokens and prompts ---------------------------------------------------------------------
 
-from parlance.constants import SYSTEM_PROMPT  # noqa: E402
-from parlance.operators.models import ROLE_PROMPT_TEMPLATE, TYPE_PROMPT_TEMPLATE  # noqa: E402
+from parlance.plans.oracle_answers import ROLE_PROMPT, SYSTEM, TYPE_PROMPT, parts_of, sql_lit  # noqa: E402
 from parlance.plans.oracle_tags import TAG_BASE  # noqa: E402
 
-
-def sql_lit(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
-def template_parts(t: str) -> tuple[str, str]:
-    before, after = t.split("{transcript}")
-    return (sql_lit(before.replace("{{", "{").replace("}}", "}")),
-            sql_lit(after.replace("{{", "{").replace("}}", "}")))
-
-
 ORACLE["tokens"] = TAG_BASE + """
 SELECT conv_id, speaker_role, CAST(line_index AS BIGINT) AS line_index, sent_id, word_id, word, lemma,
        upos, xpos, deprel, feats FROM fx_tok"""
 
-_RB, _RA = template_parts(ROLE_PROMPT_TEMPLATE)
-_TB, _TA = template_parts(TYPE_PROMPT_TEMPLATE)
-
-
-def parts_of(src: str, chars: int) -> str:
-    """Lines of ``src`` cut into consecutive parts of ``chars`` characters."""
-    return (f"SELECT conv_id, part, raw_index, substr(raw, CAST(greatest(part * {chars} - char_offset, 0) + 1 AS BIGINT), "
-            f"CAST((part + 1) * {chars} - greatest(char_offset, part * {chars}) AS BIGINT)) AS piece FROM ("
-            f"SELECT *, unnest(generate_series(CAST(char_offset AS BIGINT) // {chars}, "
-            f"(CAST(char_offset AS BIGINT) + greatest(length(raw), 1) - 1) // {chars})) AS part FROM {src})")
-
-
 ORACLE["prompts"] = with_(FXR_LINES) + "," + label_map_ctes("fxt", "fxr_rawl")[1:] + f""",
 norm_at AS (SELECT n.conv_id, n.raw_index, n.raw, r.char_offset FROM fxt_norm n JOIN fxr_rawl r USING (conv_id, raw_index)),
 role_p AS (SELECT conv_id, part, string_agg(piece, chr(10) ORDER BY raw_index) AS text
            FROM ({parts_of('norm_at', 5000)}) GROUP BY conv_id, part),
 type_p AS (SELECT conv_id, part, string_agg(piece, chr(10) ORDER BY raw_index) AS text
            FROM ({parts_of('fxr_rawl', 40000)}) GROUP BY conv_id, part)
-SELECT conv_id, 'roles' AS kind, part, {sql_lit(SYSTEM_PROMPT)} AS system, {_RB} || text || {_RA} AS prompt FROM role_p
+SELECT conv_id, 'roles' AS kind, part, {sql_lit(SYSTEM)} AS system, {ROLE_PROMPT} AS prompt FROM role_p
 UNION ALL
-SELECT conv_id, 'type' AS kind, part, {sql_lit("Thinking: low" + chr(10) + SYSTEM_PROMPT)} AS system,
-       {_TB} || text || {_TA} AS prompt FROM type_p"""
+SELECT conv_id, 'type' AS kind, part, {sql_lit("Thinking: low" + chr(10) + SYSTEM)} AS system,
+       {TYPE_PROMPT} AS prompt FROM type_p"""

@@ -48,13 +48,13 @@ class Organized:
 
 def organize(spark: SparkSession, corpus: Corpus, out_dir: str, documents: DataFrame | None,
              text_type: str = "interviews", status: DataFrame | None = None,
-             predict_roles=None, skip_labeling: bool = False, predict_language=None) -> Organized:
+             predict_roles=None, skip_labeling: bool = False, predict_language=None, role_answers=None) -> Organized:
     """L0: metadata (C1-C3, E1), language (K1 -> C23 -> C24), roles (K3 -> C16),
     relabelled transcripts (C13 -> B9) and the preliminary table (B3 -> B4).
     Interviews and diaries (D-1) flow through one plan: diaries keep their
     labels, are not sent to the role model and get one table row (H2 is a ``when``, not
     a union).  ``documents`` (``text, lang``) serves the built-in language detector; a
-    plug-in goes into ``predict_language``."""
+    plug-in goes into ``predict_language``.  ``role_answers`` is a table or ``Ledger`` of role answers."""
     raw = L.raw_lines(corpus.chunks)
     lines = L.parse_lines(raw)
     lexicon = None if predict_language else _persist(FQ.corpus_lexicon(documents))
@@ -69,7 +69,7 @@ def organize(spark: SparkSession, corpus: Corpus, out_dir: str, documents: DataF
         roles = spark.createDataFrame([], "file_id " + corpus.files.schema["file_id"].dataType.simpleString()
                                       + ", original string, role string")
     else:
-        _, roles = MD.classify_roles(raw.join(interviews, "file_id", "left_semi"), predict_roles)
+        _, roles = MD.classify_roles(raw.join(interviews, "file_id", "left_semi"), predict_roles, answers=role_answers)
         roles = _persist(roles)
     relabelled = LB.apply_roles(LB.line_labels(raw), roles)
     keyed = (relabelled.join(corpus.files.select("file_id", "file_name", "path"), "file_id")
@@ -189,13 +189,14 @@ class Verified:
 
 
 def verify(spark: SparkSession, table: DataFrame, corpus: Corpus, out_dir: str, predict_types=None,
-           thinking: str | None = None, mode: str = "cli") -> Verified:
+           thinking: str | None = None, mode: str = "cli", type_answers=None) -> Verified:
     """L2: flat copy by type (B10), split tables (B8), units (F8/E9),
     predictions (K4, checkpointed), mismatches (E13/J5 -> B7), accuracy (F9).
 
     ``mode="misc"`` is the stand-alone variant (L2b): no flat copy or splits,
     participant rows with an OPEN / PSYCHS label only (D-5), file lookup by
-    base name then normalised name, mismatch rows matched by base name."""
+    base name then normalised name, mismatch rows matched by base name.
+    ``type_answers`` is a table or ``Ledger`` of type answers."""
     index = V.file_index(corpus.files)
     if mode == "cli":
         flat = V.flat_by_type(table, index, mode="type_first", normalized=False)
@@ -205,7 +206,7 @@ def verify(spark: SparkSession, table: DataFrame, corpus: Corpus, out_dir: str,
     raw = L.raw_lines(corpus.chunks.join(
         corpus.files.join(units.select(F.col("source_path").alias("path")), "path", "left_semi")
         .select("file_id"), "file_id", "left_semi"))
-    preds = MD.predict_types(raw, predict_types, thinking=thinking)
+    preds = MD.predict_types(raw, predict_types, thinking=thinking, answers=type_answers)
     preds = _persist(preds.join(corpus.files.select("file_id", F.col("path").alias("source_path")), "file_id"))
     verdict = V.verdicts(units, preds)
     mism = V.mismatch_rows(table, verdict, by_basename=(mode == "misc"))
