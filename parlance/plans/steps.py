@@ -255,9 +255,9 @@ def clean(spark: SparkSession, corpus: Corpus, out_dir: str | None = None, dry_r
 def build_lexicon(spark: SparkSession, subtlex: DataFrame, lang: str, out_dir: str | None = None,
                   use_log: bool = True) -> DataFrame:
     """SUBTLEX -> relative frequency (F5) -> B6, and the lookup dictionary
-    (F7: lower-cased words, last row wins) as ``lang, word, log_frequency``."""
-    lex = FQ.subtlex_lexicon(subtlex, lang).withColumn("_pos", F.monotonically_increasing_id())
+    (F7: lower-cased words, last row wins, by ``row_index``: see ``read_subtlex``) as ``lang, word, log_frequency``."""
+    lex = FQ.subtlex_lexicon(subtlex, lang, order_col="row_index")
     if out_dir:
-        W.write_lexicon(lex.drop("_pos"), os.path.join(out_dir, "lexicon"))
-    d = FQ.lexicon_dictionary(lex, "_pos", use_log=use_log, keys=("lang",))
+        W.write_lexicon(lex.drop("_order"), os.path.join(out_dir, "lexicon"))
+    d = FQ.lexicon_dictionary(lex, "_order", use_log=use_log, keys=("lang",))
     return d.withColumnRenamed("value", "log_frequency" if use_log else "frequency")

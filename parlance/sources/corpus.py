@@ -8,8 +8,8 @@ A corpus is two DataFrames:
 
 Two sources produce it:
 
-* :func:`text_file_corpus` reads ``*.txt`` files recursively, one whole file per
-  row (the original tool's input format);
+* :func:`text_file_corpus` reads ``*.txt`` files recursively, by byte ranges
+  (the original tool's input format);
 * :func:`conversation_corpus` turns the ``conversations`` table into labelled
   transcripts without ever concatenating a conversation: every turn becomes
   one chunk whose first raw line carries the speaker label.
@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -115,20 +115,71 @@ def conversation_corpus(conversations: DataFrame, style: str = "labelled") -> Co
 
 # --- real transcript files (A1) --------------------------------------------------------
 
-def text_file_corpus(spark: SparkSession, root: str) -> Corpus:
-    """A1: every ``*.txt`` under ``root``, one whole file per row.
+def text_file_corpus(spark: SparkSession, root: str, names: DataFrame | None = None, whole_files: bool = False) -> Corpus:
+    """A1: every ``*.txt`` under ``root``, read by byte ranges, so that a transcript of any size is many tasks' work.
 
-    Python text mode folds ``\\r\\n`` and ``\\r`` to ``\\n``; Spark keeps them,
-    so we fold explicitly.  The file path is the file's key.
+    A line belongs to the range it begins in; its number in the file is the number of lines in the ranges before (a running
+    sum over one row a range) plus its place in its own.  As Python's text mode does, ``\\r\\n`` and ``\\r`` count as line ends:
+    a single ``\\r`` within a line cuts it there, and a file that ends with a line end has an empty last line.  The file path is the file's key.
+
+    ``names`` (``file_name``): only the files of these names are opened; they are found in a listing, so the bytes read are those
+    of the named files.  ``whole_files`` reads one file a row instead (for many small files).  A file of no bytes (or of a mark alone) is none to Spark.
     """
-    raw = (spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt")
-           .select(F.col("_metadata.file_path").alias("uri"), F.col("value")))
-    path = F.regexp_replace("uri", "^file:", "")
-    files = raw.select(path.alias("file_id"), F.element_at(F.split(path, "/"), -1).alias("file_name"),
-                       F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("dir"), path.alias("path"))
+    listing = _listing(spark, root)
+    if names is not None:
+        listing = listing.join(names.select("file_name").distinct(), "file_name", "left_semi")
+        found = [r["uri"] for r in listing.select("uri").collect()]  # what Spark's own file index holds of them, too
+        listing = listing.where(F.lit(bool(found)))
+        source = found or None
+    else:
+        source = root
+    path = _path(F.col("uri"))
+    files = listing.select(path.alias("file_id"), "file_name", F.regexp_extract(path, "^(.*)/[^/]*$", 1).alias("dir"), path.alias("path"))
+    if source is None:
+        return Corpus(files, spark.createDataFrame([], "file_id string, chunk bigint, lines array<string>"))
+    return Corpus(files, _whole_chunks(spark, source) if whole_files else _range_chunks(spark, source))
+
+
+def _path(uri: Column) -> Column:
+    return F.regexp_replace(uri, "^file:", "")
+
+
+def _listing(spark: SparkSession, root: str) -> DataFrame:
+    """``uri, file_name`` of every ``*.txt``: no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(root)
+    uri = F.col("_metadata.file_path")
+    return found.select(uri.alias("uri"), F.element_at(F.split(uri, "/"), -1).alias("file_name"))
+
+
+def _text(spark: SparkSession, source, **options) -> DataFrame:
+    return spark.read.text(source, recursiveFileLookup=True, pathGlobFilter="*.txt", **options)
+
+
+def _whole_chunks(spark: SparkSession, source) -> DataFrame:
+    raw = _text(spark, source, wholetext=True).select(_path(F.col("_metadata.file_path")).alias("file_id"), "value")
     content = F.regexp_replace("value", "\r\n?", "\n")
-    lines = raw.select(path.alias("file_id"), F.split(content, "\n", -1).alias("all"))
-    return Corpus(files, split_chunks(lines, "file_id", "all"))
+    return split_chunks(raw.select("file_id", F.split(content, "\n", -1).alias("all")), "file_id", "all")
+
+
+def _range_chunks(spark: SparkSession, source) -> DataFrame:
+    """A chunk a line (``\\n`` to ``\\n``), numbered in file order."""
+    m = F.col("_metadata")
+    lines = _text(spark, source, lineSep="\n").select(
+        m["file_path"].alias("uri"), m["file_block_start"].alias("block"), m["file_size"].alias("bytes"), F.monotonically_increasing_id().alias("id"), "value")
+    ranges = lines.groupBy("uri", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"), F.sum(F.octet_length("value") + 1).alias("held"), F.max("bytes").alias("bytes"))
+    ordered = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    of_file = Window.partitionBy("uri")
+    placed = ranges.select("uri", "block", "first", F.coalesce(F.sum("n").over(ordered), F.lit(0)).alias("before"),
+                           F.sum("n").over(of_file).alias("total"), (F.max("bytes").over(of_file) - F.sum("held").over(of_file)).alias("over"))
+    j = lines.join(placed, ["uri", "block"]).select("uri", "value", "over", (F.col("before") + F.col("id") - F.col("first")).alias("chunk"), "total")
+    # What the file's size is beyond its lines and their ends tells the two things that a reader of lines drops: a
+    # byte order mark (3 bytes) and whether the last line has an end (else the count is one too high).
+    marked, ended = F.col("over") >= 2, ~F.col("over").isin(-1, 2)
+    text = F.when(marked & (F.col("chunk") == 0), F.concat(F.lit("\ufeff"), F.col("value"))).otherwise(F.col("value"))
+    last = F.col("chunk") == F.col("total") - 1
+    cut = F.split(F.when(last & ~ended, text).otherwise(F.regexp_replace(text, "\r\\z", "")), "\r", -1)
+    pieces = F.when(last & ended, F.concat(cut, F.array(F.lit("")))).otherwise(cut)
+    return j.select(_path(F.col("uri")).alias("file_id"), F.col("chunk").cast("bigint").alias("chunk"), pieces.alias("lines"))
 
 
 def split_chunks(df: DataFrame, key: str, lines_col: str, size: int = CHUNK_LINES) -> DataFrame:

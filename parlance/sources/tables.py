@@ -6,10 +6,12 @@ pruning and filter pushdown from Catalyst.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from parlance.sources import delimited
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table (parquet)."""
@@ -23,39 +25,27 @@ def sep_for(path: str, sep: str | None = None) -> str:
     return "\t" if path.lower().endswith(".tsv") else ","
 
 
-def read_feature_table(spark: SparkSession, path: str, columns: list[str], sep: str | None = None,
-                       line_breaks_in_cells: bool = False) -> DataFrame:
-    """A2 + G7: a header-ed feature table, every cell text (``''`` for empty),
-    plus ``row_index``, consecutive in table order (part files by name, then place).
-
-    Files are split among tasks unless ``line_breaks_in_cells``.  Rows are numbered within their
-    split; the splits' counts (a row a split) are summed up in order.
+def read_feature_table(spark: SparkSession, path: str, columns: list[str], sep: str | None = None) -> DataFrame:
+    """A2 + G7: a header-ed feature table, every cell text (``''`` for empty), plus ``row_index``, consecutive in table order
+    (part files by name, then place).  Files are divided among tasks, also where cells hold line breaks
+    (``parlance.sources.delimited``).
 
     ``columns`` are the header's names; Spark cannot hold two columns whose
     names differ only by case, so callers pass safe names (see
     ``parlance.functions.tags.safe_names``) and the header row is skipped.
     """
-    schema = StructType([StructField(c, StringType()) for c in columns])
-    df = (spark.read.option("header", "true").option("sep", sep_for(path, sep)).option("quote", '"')
-          .option("escape", '"').option("multiLine", str(line_breaks_in_cells).lower()).option("enforceSchema", "true")
-          .schema(schema).csv(path))
-    cells = df.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns],
-                      F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
-                      F.monotonically_increasing_id().alias("_id"))
-    splits = cells.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
-    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return cells.join(splits.select("_file", "_block", "_first", before.alias("_before")), ["_file", "_block"]).select(
-        (F.col("_before") + F.col("_id") - F.col("_first")).alias("row_index"), *[F.col(c) for c in columns])
+    return delimited.rows(spark, path, sep_for(path, sep), columns)
+
+
+def _empty_as_null(df: DataFrame) -> DataFrame:
+    return df.select("row_index", *[F.nullif(F.col(f"`{c}`"), F.lit("")).alias(c) for c in df.columns if c != "row_index"])
 
 
 def read_status(spark: SparkSession, path: str) -> DataFrame:
     """A4: clinical-status CSV (``patient_id, clinical_status`` required) with
-    its row position, for last-row-wins deduplication (``status_table``)."""
-    df = spark.read.option("header", "true").csv(path)
-    missing = {"patient_id", "clinical_status"} - set(df.columns)
-    if missing:
-        raise ValueError(f"{path}: no column {', '.join(sorted(missing))}")
-    return df.select("patient_id", "clinical_status", F.monotonically_increasing_id().alias("row_pos"))
+    its row position in table order, for last-row-wins deduplication (``status_table``)."""
+    found = delimited.rows(spark, path, ",", wanted=["patient_id", "clinical_status"])
+    return _empty_as_null(found).withColumnRenamed("row_index", "row_pos")
 
 
 def read_vocab(spark: SparkSession, path: str) -> DataFrame:
@@ -69,18 +59,15 @@ def read_vocab(spark: SparkSession, path: str) -> DataFrame:
 def _by_name(spark: SparkSession, path: str, schema: StructType, wanted: list[str]) -> DataFrame:
     """A CSV with a header, its columns found by name in any order; a missing one fails, others are ignored.
 
-    Every cell is read as text in the header's order (one line is read for that) and then cast.
+    Every cell is read as text and then cast; ``row_index`` is the row's place in the table.
     """
-    head = spark.read.option("header", "true").option("escape", '"').csv(path)
-    missing = [c for c in wanted if c not in head.columns]
-    if missing:
-        raise ValueError(f"{path}: no column {', '.join(missing)}")
     types = {f.name: f.dataType for f in schema.fields}
-    return head.select(*[F.col(f"`{c}`").try_cast(types[c]).alias(c) for c in wanted])
+    found = delimited.rows(spark, path, ",", wanted=wanted)
+    return found.select(*[F.nullif(F.col(f"`{c}`"), F.lit("")).try_cast(types[c]).alias(c) for c in wanted], "row_index")
 
 
 def read_subtlex(spark: SparkSession, path: str) -> DataFrame:
-    """SUBTLEX CSV; ``Word, FREQcount, Lg10WF`` by name."""
+    """SUBTLEX CSV; ``Word, FREQcount, Lg10WF`` by name, and the row's place ``row_index``."""
     from parlance.operators.frequency import SUBTLEX_SCHEMA
     return _by_name(spark, path, SUBTLEX_SCHEMA, ["Word", "FREQcount", "Lg10WF"])
 
@@ -96,7 +83,7 @@ def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
     from parlance.operators.frequency import LEXICON_SCHEMA
     if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    return _by_name(spark, path, LEXICON_SCHEMA, ["word", "frequency", "log_frequency"])
+    return _by_name(spark, path, LEXICON_SCHEMA, ["word", "frequency", "log_frequency"]).drop("row_index")
 
 
 def read_tag_lexicon(spark: SparkSession, path: str) -> DataFrame:
@@ -134,7 +121,8 @@ MISMATCH_SCHEMA = StructType([
 
 def read_mismatches(spark: SparkSession, path: str) -> DataFrame:
     """A10 + D-9: the 5-column mismatch CSV without parse failures."""
-    df = spark.read.option("header", "true").option("escape", '"').schema(MISMATCH_SCHEMA).csv(path)
+    cells = delimited.rows(spark, path, ",", ["_place", *[f.name for f in MISMATCH_SCHEMA.fields[1:]]]).drop("row_index")
+    df = cells.select(F.col("_place").cast("long").alias("row_index"), *[F.nullif(F.col(f.name), F.lit("")).alias(f.name) for f in MISMATCH_SCHEMA.fields[1:]])
     return df.where(F.col("predicted") != "PARSE_FAILURE")
 
 
@@ -162,6 +150,4 @@ def read_feature_table_auto(spark: SparkSession, path: str, sep: str | None = No
     the header line alone is read (one row from the first split) to name the
     columns, then the table is read with that schema, every cell as text."""
     s = sep_for(path, sep)
-    first = spark.read.text(path).first()
-    header = first[0].split(s) if first else []
-    return read_feature_table(spark, path, safe_header(header), sep=s)
+    return read_feature_table(spark, path, safe_header(delimited.header(spark, path, s)), sep=s)
