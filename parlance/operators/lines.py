@@ -96,6 +96,14 @@ def raw_lines(chunks: DataFrame, block_size: int = BLOCK_SIZE) -> DataFrame:
         F.when(F.col("kept") == 1, F.col("kept_before") + 1).alias("line_index"))
 
 
+def spoken_lines(chunks: DataFrame) -> DataFrame:
+    """C9 without ordinals, for counts that don't ask where a line stands: ``file_id, speaker, text`` of the non-blank lines,
+    straight from the chunks (no window, join or shuffle)."""
+    raw = chunks.where(F.col("file_id").isNotNull()).select("file_id", F.explode("lines").alias("raw")).where(~is_blank("raw"))
+    s = raw.select("file_id", strip_ws("raw").alias("_s"))
+    return s.select("file_id", line_speaker("_s").alias("speaker"), line_text("_s").alias("text"))
+
+
 def parse_lines(raw: DataFrame) -> DataFrame:
     """Non-blank lines with speaker, timestamp and text.
 

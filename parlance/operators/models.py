@@ -263,9 +263,8 @@ def detect_languages(lines: DataFrame, lexicon: DataFrame, predict: Predictor |
     if predict is None:
         counted = (lines.select("file_id", F.explode(words("text")).alias("word"))
                    .groupBy("file_id", "word").agg(F.count(F.lit(1)).alias("n")))
-        from parlance.operators.frequency import join_by_word
         share = F.round(F.col("frequency") * 1e9).cast("bigint")
-        hits = (join_by_word(counted, lexicon.select("lang", "word", "frequency"), ["word"], "inner")
+        hits = (counted.join(lexicon.select("lang", "word", "frequency"), "word")
                 .groupBy("file_id", "lang").agg(F.sum(F.col("n") * share).alias("score")))
     else:
         key_type = lines.schema["file_id"].dataType.simpleString()

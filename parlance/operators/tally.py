@@ -17,7 +17,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from parlance.functions.metadata import is_diary, language_from_path, tagger_language
 from parlance.functions.tags import safe_names, token_slots, vocab
 from parlance.functions.text import is_blank, sentences, words
-from parlance.operators.frequency import join_by_word
 from parlance.operators.models import Predictor
 
 TOKEN_FIELDS = StructType([   # of a plug-in's rows, after file_id (of the corpus's own key type) and speaker_role
@@ -47,19 +46,19 @@ def tagging_units(lines: DataFrame, files: DataFrame, diary_mode: str = "path")
 
 def dictionary_annotate(units: DataFrame, tags: DataFrame) -> DataFrame:
     """K2 without a model: sentence pieces split on ``.!?``, words as in C21, their tags looked up in
-    ``tags`` (``lang, word, frequency, lemma, upos, xpos, deprel, feats``, one row a word; see
-    ``read_tag_lexicon``).  A word that is not listed is its own lemma with ``upos`` X and no other tag.
+    ``tags`` (``lang, word, lemma, upos, xpos, deprel, feats``, one row a word; see ``read_tag_lexicon``).  A word that is not listed is
+    its own lemma with ``upos`` X and no other tag.  Where counts are all that is asked for, ``units.unit_stream`` needs no row a token.
 
     Output: the unit columns plus ``sent_id, word_id, word, lemma, upos, xpos, deprel, feats``.
     """
     s = units.select("*", F.posexplode(sentences("text")).alias("_sp", "_piece"))
     w = s.select("*", F.posexplode(words("_piece")).alias("_wp", "word")).drop("text", "_piece")
-    j = join_by_word(w, tags.withColumn("_known", F.lit(True)), ["lang", "word"])
+    j = w.join(tags.select("lang", "word", "lemma", "upos", "xpos", "deprel", "feats"), ["lang", "word"], "left")
     return j.select(
         *[c for c in units.columns if c not in ("text", "lang")],
         (F.col("_sp") + 1).cast("bigint").alias("sent_id"), (F.col("_wp") + 1).cast("bigint").alias("word_id"),
         "word", F.coalesce("lemma", "word").alias("lemma"),
-        F.when(F.col("_known"), F.col("upos")).otherwise("X").alias("upos"), "xpos", "deprel", "feats")
+        F.coalesce("upos", F.lit("X")).alias("upos"), "xpos", "deprel", "feats")
 
 
 def annotate(units: DataFrame, predict: Predictor | None = None, tags: DataFrame | None = None) -> DataFrame:
@@ -174,9 +173,8 @@ def tagging_languages(files: DataFrame) -> DataFrame:
     return files.select("file_id", lang.alias("language"), tagger_language(lang).alias("tagger"))
 
 
-def failures(files: DataFrame, langs: DataFrame, lines: DataFrame, tokens: DataFrame,
-             diary_mode: str = "path", roles: tuple[str, ...] = ("Participant", "Interviewer"),
-             counts: DataFrame | None = None) -> DataFrame:
+def failures(files: DataFrame, langs: DataFrame, produced: DataFrame, diary_mode: str = "path",
+             roles: tuple[str, ...] = ("Participant", "Interviewer"), errors: DataFrame | None = None) -> DataFrame:
     """F13 + H4: ``filename, filepath, language, reason, error_message``.
 
     * ``unknown_language`` — no language at all (NULL);
@@ -185,8 +183,8 @@ def failures(files: DataFrame, langs: DataFrame, lines: DataFrame, tokens: DataF
     * ``processing_error`` — the tagger plug-in failed on the unit;
     * ``empty_output`` — lines but no sentence / word produced.
 
-    ``langs``: ``file_id, language, tagger`` (e.g. :func:`tagging_languages`); ``counts``:
-    :func:`unit_counts` of the tokens, if already computed.
+    ``langs``: ``file_id, language, tagger`` (e.g. :func:`tagging_languages`); ``produced``: ``file_id, speaker_role, num_words``, a row
+    for each unit with lines (see ``units.unit_lines``); ``errors``: ``file_id, speaker_role, error`` of units a plug-in failed on.
     """
     fl = files.join(langs.select("file_id", "language", "tagger"), "file_id")
     lang_fail = fl.where(F.col("tagger").isNull()).select(
@@ -201,25 +199,12 @@ def failures(files: DataFrame, langs: DataFrame, lines: DataFrame, tokens: DataF
         .otherwise(F.array(F.lit("Participant"), F.lit("Interviewer")))
     expected = ok.select("file_id", "file_name", "path", "tagger", F.explode(unit_roles).alias("speaker_role")) \
         .where(F.col("speaker_role").isin(*roles))
-    # lines of the role (any text)
-    role_line = (F.when(is_diary("path", diary_mode), F.lit("Participant"))
-                 .when(F.col("speaker") == "PARTICIPANT", F.lit("Participant"))
-                 .when(F.col("speaker") == "INTERVIEWER", F.lit("Interviewer")))
-    has_lines = (lines.join(files.select("file_id", "path"), "file_id")
-                 .select("file_id", role_line.alias("speaker_role")).where(F.col("speaker_role").isNotNull())
-                 .groupBy("file_id", "speaker_role").agg(F.lit(1).alias("has_lines")))
-    produced = tally_and_sentences(counts)[1] if counts is not None else sentence_counts(without_errors(tokens))
-    st = (expected.join(has_lines, ["file_id", "speaker_role"], "left")
-          .join(produced, ["file_id", "speaker_role"], "left"))
-    if "error" in tokens.columns:
-        broken = tokens.where(F.col("error").isNotNull()).groupBy("file_id", "speaker_role").agg(F.min("error").alias("error"))
-        st = st.join(broken, ["file_id", "speaker_role"], "left")
-    else:
-        st = st.withColumn("error", F.lit(None).cast("string"))
-    reason = (F.when(F.col("has_lines").isNull(), F.lit("no_lines"))
+    st = expected.join(produced.select("file_id", "speaker_role", "num_words"), ["file_id", "speaker_role"], "left")
+    st = st.withColumn("error", F.lit(None).cast("string")) if errors is None else st.join(errors, ["file_id", "speaker_role"], "left")
+    reason = (F.when(F.col("num_words").isNull(), F.lit("no_lines"))
               .when(F.col("error").isNotNull(), F.lit("processing_error"))
-              .when(F.coalesce(F.col("num_words"), F.lit(0)) == 0, F.lit("empty_output")))
-    msg = (F.when(F.col("has_lines").isNull(),
+              .when(F.col("num_words") == 0, F.lit("empty_output")))
+    msg = (F.when(F.col("num_words").isNull(),
                   F.concat(F.lit("No "), F.lower("speaker_role"), F.lit(" lines found")))
            .when(F.col("error").isNotNull(), F.col("error"))
            .otherwise(F.lit("Extracted 0 sentences and 0 words")))

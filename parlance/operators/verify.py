@@ -43,6 +43,12 @@ def split_counts(routed: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def last_per_name(files: DataFrame) -> DataFrame:
+    """Of several files with one base name the last by path (the one that would overwrite the others): ``file_id, file_name, dir, path``."""
+    return files.groupBy("file_name").agg(F.max_by(F.struct("file_id", "dir", "path"), "path").alias("f")) \
+        .select("f.file_id", "file_name", "f.dir", "f.path")
+
+
 def file_index(files: DataFrame, normalized: bool = True) -> DataFrame:
     """E3 index: ``key, path`` — each file under its base name and (optionally)
     its submission-normalised name; a key held by several files keeps the

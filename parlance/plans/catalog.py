@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from parlance.operators import frequency as FQ
 from parlance.operators import lines as L
+from parlance.operators import units as U
 from parlance.sources import corpus as C
 from parlance.session import persisted
 from parlance.sources.tables import read_table
@@ -88,12 +89,18 @@ def q_lexicon_dictionary(spark, sf_dir):
     return d.withColumnRenamed("value", "log_frequency").join(f.withColumnRenamed("value", "frequency"), "word")
 
 
+def fx_spoken(spark: SparkSession, sf_dir: str):
+    """The labelled corpus and its lines without ordinals."""
+    corpus = fx_corpus(spark, sf_dir)
+    return corpus, L.spoken_lines(corpus.chunks)
+
+
 @register("word_freq")
 def q_word_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship — C21 / J2 / E5 / F4: mean log word frequency per transcript and role."""
-    corpus, lines = fx_lines(spark, sf_dir)
-    units = FQ.role_word_counts(lines, corpus.files)
-    out = FQ.mean_log_frequency(units, document_lexicon(spark, sf_dir))
+    corpus, lines = fx_spoken(spark, sf_dir)
+    langs = corpus.files.select("file_id", M.language_from_path("path").alias("lang"))
+    out = U.frequencies(lines, corpus.files, langs, FQ.corpus_lexicon(_table(spark, sf_dir, "documents")))
     return out.withColumnRenamed("file_id", "conv_id")
 
 
@@ -359,14 +366,14 @@ def q_prompts(spark, sf_dir):
 @register("tagger_language")
 def q_tagger_language(spark, sf_dir):
     """K1 tagger variant + C22b + C23b: detected code for transcripts, ``zh`` fallback."""
-    _, lines = fx_lines(spark, sf_dir)
+    _, lines = fx_spoken(spark, sf_dir)
     return MD.detect_tagger_language(lines, document_lexicon(spark, sf_dir)).withColumnRenamed("file_id", "conv_id")
 
 
 @register("language_resolved")
 def q_language_resolved(spark, sf_dir):
     """K1 (built-in detector) + C22 + C23 + C24 + C25."""
-    corpus, lines = fx_lines(spark, sf_dir)
+    corpus, lines = fx_spoken(spark, sf_dir)
     det = MD.detect_languages(lines, document_lexicon(spark, sf_dir))
     sites = corpus.files.select("file_id", M.site_code("file_name").alias("site"))
     out = MD.resolve_languages(det, sites)
@@ -378,6 +385,7 @@ def q_language_resolved(spark, sf_dir):
 from parlance.functions.tags import ud_feature  # noqa: E402
 from parlance.constants import UD_FEATURE_KEYS  # noqa: E402
 from parlance.operators import tally as T  # noqa: E402
+from parlance.plans.steps import resolve_tagger  # noqa: E402
 
 
 # Tags of the derived lexicon: part of speech, fine tag, relation, morphology.
@@ -394,13 +402,17 @@ TAG_ROWS = [
 
 
 def document_tags(spark, sf_dir):
-    """A tag lexicon over all words of ``documents`` that occur twice or more in their language (the others are
-    unknown words to the tagger); a word's row of tags follows from its first letter and length."""
-    lex = document_lexicon(spark, sf_dir).where(F.col("cnt") >= 2)
+    """A tag lexicon (with frequencies) over all words of ``documents``; a word's row of tags follows from its first letter and length."""
+    lex = document_lexicon(spark, sf_dir)
     row = F.get(F.array(*[F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(("upos", "xpos", "deprel", "feats"), r)]) for r in TAG_ROWS]),
                 (F.ascii("word") + 3 * F.length("word")) % len(TAG_ROWS))
-    return lex.select("lang", "word", "frequency", F.col("word").alias("lemma"), row.alias("t")).select(
-        "lang", "word", "frequency", "lemma", "t.upos", "t.xpos", "t.deprel", "t.feats")
+    return lex.select("lang", "word", "frequency", "lg_e4", F.col("word").alias("lemma"), row.alias("t")).select(
+        "lang", "word", "frequency", "lg_e4", "lemma", "t.upos", "t.xpos", "t.deprel", "t.feats")
+
+
+def tagger_languages(corpus, lines, lexicon):
+    """C4 -> C25: the folder's language and the tagger's; in a ``cn`` folder the tagger's is detected."""
+    return resolve_tagger(corpus.files, T.tagging_languages(corpus.files), lines, lexicon)
 
 
 def _tagging_units(lines, files, langs):
@@ -410,52 +422,82 @@ def _tagging_units(lines, files, langs):
 
 def fx_tokens(spark, sf_dir):
     corpus, lines = fx_lines(spark, sf_dir)
-    return corpus, lines, T.annotate(_tagging_units(lines, corpus.files, T.tagging_languages(corpus.files)), tags=document_tags(spark, sf_dir))
+    tags = persisted(document_tags(spark, sf_dir))
+    langs = tagger_languages(corpus, L.spoken_lines(corpus.chunks), tags)
+    return T.annotate(_tagging_units(lines, corpus.files, langs), tags=tags)
+
+
+def fx_stream(spark, sf_dir):
+    """Files, their tagger languages and the stream of all that is counted about them (``operators.units``)."""
+    corpus, lines = fx_spoken(spark, sf_dir)
+    known = persisted(document_tags(spark, sf_dir))
+    langs = tagger_languages(corpus, lines, known)
+    ok = langs.where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))
+    return corpus, langs, U.unit_stream(lines, corpus.files, ok, known), known
 
 
 @register("tokens")
 def q_tokens(spark, sf_dir):
     """J3 / K2 (built-in annotator): one row per token."""
-    _, _, toks = fx_tokens(spark, sf_dir)
-    return toks.withColumnRenamed("file_id", "conv_id")
+    return fx_tokens(spark, sf_dir).withColumnRenamed("file_id", "conv_id")
 
 
 @register("ud_features")
 def q_ud_features(spark, sf_dir):
     """The 11 morphological slots of every token."""
-    _, _, toks = fx_tokens(spark, sf_dir)
-    return toks.select(F.col("file_id").alias("conv_id"), "line_index", "sent_id", "word_id", "feats",
+    return fx_tokens(spark, sf_dir).select(F.col("file_id").alias("conv_id"), "line_index", "sent_id", "word_id", "feats",
                        *[ud_feature("feats", k).alias(f"f_{k.lower()}") for k in UD_FEATURE_KEYS])
 
 
+@register("tagged_resolved")
+def q_tagged_resolved(spark, sf_dir):
+    """The language each file is tagged in; ``cn`` folders by detection over the participant's lines (``zh`` if nothing is known)."""
+    corpus, lines = fx_spoken(spark, sf_dir)
+    return tagger_languages(corpus, lines, document_lexicon(spark, sf_dir)).withColumnRenamed("file_id", "conv_id")
+
+
+@register("duplicate_names")
+def q_duplicate_names(spark, sf_dir):
+    """Of several files with one base name, the one that is tagged (last path) and the one that gives the metadata (first path)."""
+    files = C.conversation_files(_conversations(spark, sf_dir))
+    shared = files.select("file_id", "dir", C.conversation_file_name(F.col("file_id") % 30).alias("file_name")).withColumn("path", F.concat("dir", F.lit("/"), "file_name"))
+    meta = FT.first_per_name(shared.groupBy("file_name", "path").agg(F.min("file_id").alias("file_id")))
+    last = V.last_per_name(shared.groupBy("file_name", "dir", "path").agg(F.max("file_id").alias("file_id")))
+    return last.select("file_name", F.col("path").alias("tagged_path"), F.col("file_id").alias("tagged_id")).join(
+        meta.select("file_name", F.col("path").alias("meta_path"), F.col("file_id").alias("meta_id")), "file_name")
+
+
 @register("tag_tally")
 def q_tag_tally(spark, sf_dir):
     """Long tag counts per transcript and role."""
-    _, _, toks = fx_tokens(spark, sf_dir)
-    return T.tag_tally(toks).withColumnRenamed("file_id", "conv_id")
+    counts = U.unit_counts(fx_stream(spark, sf_dir)[2])
+    return T.tally_and_sentences(counts)[0].withColumnRenamed("file_id", "conv_id")
+
+
+def fx_unit_lines(spark, sf_dir, langs, corpus, lines):
+    """Lines, sentences and words of the role units: no lexicon is asked."""
+    ok = langs.where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))
+    return U.line_counts(lines, corpus.files, ok)
 
 
 @register("sentence_counts")
 def q_sentence_counts(spark, sf_dir):
     """sentences and words per transcript and role."""
-    _, _, toks = fx_tokens(spark, sf_dir)
-    return T.sentence_counts(toks).withColumnRenamed("file_id", "conv_id")
+    corpus, lines = fx_spoken(spark, sf_dir)
+    counts = fx_unit_lines(spark, sf_dir, T.tagging_languages(corpus.files), corpus, lines)
+    return counts.where("num_words > 0").select(F.col("file_id").alias("conv_id"), "speaker_role", "num_sent", "num_words")
 
 
 @register("tally_wide")
 def q_tally_wide(spark, sf_dir):
     """F2 / B1 / B2: zero-filled wide tallies (102 tag columns, safe names) + num_sent."""
-    _, _, toks = fx_tokens(spark, sf_dir)
-    counts = persisted(T.unit_counts(toks))
-    _, sent = T.tally_and_sentences(counts)
-    out = T.tally_wide(counts).join(sent.select("file_id", "speaker_role", "num_sent"),
-                                   ["file_id", "speaker_role"], "inner")
-    return out.withColumnRenamed("file_id", "conv_id")
+    _, _, stream, known = fx_stream(spark, sf_dir)
+    return U.wide(stream, known).drop("word_freq").withColumnRenamed("file_id", "conv_id")
 
 
-def resolved_languages(spark, sf_dir, corpus, lines):
+def resolved_languages(spark, sf_dir, corpus, lines, lexicon=None):
     """Step-0 language (K1 + C24) as the folder language the tagger sees."""
-    det = MD.detect_languages(lines, document_lexicon(spark, sf_dir))
+    det = MD.detect_languages(lines, lexicon or document_lexicon(spark, sf_dir))
     sites = corpus.files.select("file_id", M.site_code("file_name").alias("site"))
     res = MD.resolve_languages(det, sites)
     return corpus.files.select("file_id").join(res, "file_id", "left").select(
@@ -465,10 +507,10 @@ def resolved_languages(spark, sf_dir, corpus, lines):
 @register("failures")
 def q_failures(spark, sf_dir):
     """Failure log (language, no lines, empty output) for the tag step."""
-    corpus, lines = fx_lines(spark, sf_dir)
-    corpus, lines = C.Corpus(persisted(corpus.files), corpus.chunks), persisted(lines)
-    langs = persisted(resolved_languages(spark, sf_dir, corpus, lines))
-    return T.failures(corpus.files, langs, lines, T.annotate(_tagging_units(lines, corpus.files, langs), tags=document_tags(spark, sf_dir)))
+    corpus, lines = fx_spoken(spark, sf_dir)
+    lex = document_lexicon(spark, sf_dir)
+    langs = persisted(resolve_tagger(corpus.files, resolved_languages(spark, sf_dir, corpus, lines, lex), lines, lex))
+    return T.failures(corpus.files, langs, fx_unit_lines(spark, sf_dir, langs, corpus, lines))
 
 
 # --- the feature table: status, init, fill, build (A4, B2, B3, E1, E4, E7, E8, G4, J4) -----
@@ -537,22 +579,9 @@ def fx_table(spark, sf_dir):
 
 def fx_features(spark, sf_dir):
     """Per (file_name, speaker_role): wide tallies, ``num_sent`` and ``word_freq`` text."""
-    corpus, raw = fx_raw(spark, sf_dir)
-    lines = persisted(L.parse_lines(raw))   # tokens, words and presence all read this one table
-    files = persisted(corpus.files)
-    corpus = C.Corpus(files, corpus.chunks)
-    toks = T.annotate(_tagging_units(lines, files, T.tagging_languages(files)), tags=document_tags(spark, sf_dir))
-    names = files.select("file_id", "file_name")
-    counts = persisted(T.unit_counts(toks))
-    _, sent = T.tally_and_sentences(counts)
-    counts = counts.join(names, "file_id").drop("file_id")
-    sent = sent.join(names, "file_id").select("file_name", "speaker_role", "num_sent")
-    units = FQ.role_word_counts(lines, corpus.files)
-    wf = FQ.mean_log_frequency(units, document_lexicon(spark, sf_dir)).join(names, "file_id") \
-        .select("file_name", "speaker_role", "word_freq")
-    stats = sent.join(wf, ["file_name", "speaker_role"], "left").select(
-        "file_name", "speaker_role", "num_sent", FT.word_freq_text(F.col("word_freq")).alias("word_freq"))
-    return corpus, FT.features_long_to_wide(counts, stats)
+    corpus, _, stream, known = fx_stream(spark, sf_dir)
+    feats = U.wide(stream, known).withColumn("word_freq", FT.word_freq_text(F.col("word_freq")))
+    return corpus, feats.join(corpus.files.select("file_id", "file_name"), "file_id").drop("file_id")
 
 
 @register("table_filled")

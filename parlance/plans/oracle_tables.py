@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from parlance.functions.tags import safe_names
 from parlance.plans.oracle import (
-    label_map_ctes, DOC_LEXICON, FX_FILES, FX_LINES, FX_META, FX_UNITS, FXR_LINES, FXR_ROLE_LINES, K3_CTES, LANG_RES, ORACLE,
+    label_map_ctes, DOC_LEXICON, FX_FILES, FX_NAME, FX_LINES, FX_META, FX_UNITS, FXR_LINES, FXR_ROLE_LINES, K3_CTES, LANG_RES, ORACLE,
     WORD_FREQ, group_from_path, is_diary, lab, lang_from_path, lang_name, norm_type, norm_type_strict,
     role_present, site_code, strip, tok, with_, words,
 )
@@ -106,7 +106,11 @@ FROM u"""
 
 # --- filled / new table ------------------------------------------------------------------------
 
-FEATURES = with_(FX_FILES, FX_LINES, DOC_LEXICON, PATH_LANG, units_cte("fx_plang_t"), FX_UNITS, WORD_FREQ) + f""",
+#: Words count under the tagger's language, as tags do.
+TAGGED_UNITS = FX_UNITS.replace(f"{lang_from_path('path')} AS lang,", "tagger AS lang,").replace(
+    "FROM fx_paths JOIN fx_pres USING (conv_id))", "FROM fx_paths JOIN fx_pres USING (conv_id) JOIN fx_plang_t USING (conv_id) WHERE tagger IS NOT NULL)")
+
+FEATURES = with_(FX_FILES, FX_LINES, DOC_LEXICON, PATH_LANG, units_cte("fx_plang_t"), TAGGED_UNITS, WORD_FREQ) + f""",
 feat AS (
   SELECT p.file_name, s.speaker_role,
     {", ".join(f"CAST(sum(CASE WHEN tag = '{t}' THEN cnt ELSE 0 END) AS BIGINT) AS {n}" for t, n in TAGS.items())}
@@ -139,6 +143,17 @@ QUALIFY row_number() OVER (
   PARTITION BY concat_ws('_', network, src_subject_id, language, interview_type, day, interview_number), f.speaker_role
   ORDER BY f.file_name DESC) = 1"""
 
+ORACLE["duplicate_names"] = with_(FX_FILES) + """
+, shared AS (
+  SELECT a.conv_id, b.file_name, a.dir || '/' || b.file_name AS path
+  FROM fx_files a JOIN (SELECT DISTINCT conv_id % 30 AS k FROM fx_files) USING (k)""".replace("USING (k)", "ON k = a.conv_id % 30") + f"""
+  JOIN (SELECT conv_id, {FX_NAME.strip()} AS file_name FROM (
+          SELECT conv_id, CASE conv_id % 6 WHEN 0 THEN 'YA' WHEN 1 THEN 'MU' WHEN 2 THEN 'HK' WHEN 3 THEN 'MT' WHEN 4 THEN 'SH' ELSE 'ZZ' END AS site
+          FROM (SELECT unnest(range(30)) AS conv_id))) b ON b.conv_id = k),
+firsts AS (SELECT file_name, min(path) AS meta_path, max(path) AS tagged_path FROM shared GROUP BY file_name)
+SELECT f.file_name, f.tagged_path, max(t.conv_id) AS tagged_id, f.meta_path, min(m.conv_id) AS meta_id
+FROM firsts f JOIN shared t ON t.path = f.tagged_path JOIN shared m ON m.path = f.meta_path GROUP BY ALL"""
+
 # --- lookup scenario -----------------------------------------------------------------------------
 
 LOOKUP = with_(FX_FILES) + "," + FX_TABLE + f""",

@@ -40,7 +40,7 @@ doc_tags AS (
     (['Case=Nom|Gender=Fem|Number=Sing', 'Mood=Ind|Number=Plur|Person=3|Tense=Past|VerbForm=Fin',
       'Case=Acc|Number=Sing|Person=1|Poss=Yes|PronType=Prs', 'Definite=Def|PronType=Art', 'NumType=Card', NULL,
       'Mood=Imp|Tense=Pres|VerbForm=Fin', 'Case=Neut|Gender=Neut'])[k] AS feats
-  FROM (SELECT lang, word, (unicode(word) + 3 * length(word)) % 8 + 1 AS k FROM doc_lex WHERE cnt >= 2)),
+  FROM (SELECT lang, word, (unicode(word) + 3 * length(word)) % 8 + 1 AS k FROM doc_lex)),
 fx_units_t AS (
   SELECT l.conv_id, {role_of('p.path')} AS speaker_role, line_index, text, g.tagger AS lang
   FROM fx_lines l JOIN fx_paths p USING (conv_id) JOIN {lang_src} g USING (conv_id)
@@ -70,10 +70,24 @@ fx_sent AS (
 
 PATH_LANG = f"""
 fx_plang AS (SELECT conv_id, {lang_from_path('path')} AS language FROM fx_paths),
-fx_plang_t AS (SELECT conv_id, language, {tagger_of('language')} AS tagger FROM fx_plang)"""
+fx_own AS (SELECT DISTINCT conv_id FROM fx_lines WHERE speaker = 'PARTICIPANT'),
+fx_asked AS (
+  SELECT conv_id, text FROM fx_lines JOIN fx_plang USING (conv_id)
+  WHERE language = 'cn' AND (speaker = 'PARTICIPANT' OR conv_id NOT IN (SELECT conv_id FROM fx_own))),
+fx_known AS (
+  SELECT conv_id, lang, sum(CAST(round(frequency * 1e9) AS BIGINT)) AS score
+  FROM (SELECT conv_id, unnest({words('text')}) AS word FROM fx_asked) JOIN doc_lex USING (word) GROUP BY conv_id, lang),
+fx_heard AS (SELECT conv_id, arg_min(lang, (-score, lang)) AS lang FROM fx_known GROUP BY conv_id),
+fx_plang_t AS (
+  SELECT p.conv_id, p.language, CASE WHEN p.language = 'cn' THEN (CASE WHEN h.lang IN ({TAGGER_CODES}) THEN h.lang ELSE 'zh' END)
+                                     ELSE {tagger_of('p.language')} END AS tagger
+  FROM fx_plang p LEFT JOIN fx_heard h USING (conv_id))"""
 
 TAG_BASE = with_(FX_FILES, FX_LINES, DOC_LEXICON, PATH_LANG, units_cte("fx_plang_t"))
 
+ORACLE["tagged_resolved"] = with_(FX_FILES, FX_LINES, DOC_LEXICON, PATH_LANG) + """
+SELECT * FROM fx_plang_t"""
+
 ORACLE["ud_features"] = TAG_BASE + f"""
 SELECT conv_id, CAST(line_index AS BIGINT) AS line_index, sent_id, word_id, feats,
   {", ".join(ud("feats", k) + " AS f_" + k.lower() for k in UD_FEATURE_KEYS)}

@@ -21,6 +21,7 @@ from parlance.operators import labels as LB
 from parlance.operators import lines as L
 from parlance.operators import models as MD
 from parlance.operators import tally as T
+from parlance.operators import units as U
 from parlance.operators import verify as V
 from parlance.session import persisted as _persist
 from parlance.sinks import writers as W
@@ -96,11 +97,11 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
         clean: bool = True, roles: tuple[str, ...] = ("Participant", "Interviewer"),
         first_per_language: int | None = None, language_lexicon: DataFrame | None = None,
         predict_language=None, vocabulary: list[str] | None = None, tags: DataFrame | None = None) -> Tagged:
-    """Colon fix (C11), units (J6), tokens (K2), tallies (F1-F3),
-    word frequency (J2 -> E5 -> F4), then fill ``table`` (E7, update mode) or
+    """Colon fix (C11), units (J6), tags (K2), tallies (F1-F3) and
+    word frequency (J2 -> E5 -> F4), all from one stream (``parlance.operators.units``), then fill ``table`` (E7, update mode) or
     build a new table (E8); failure log (F13).  ``roles=("Participant",)`` is the
-    participant-only tagger (L1c).  Tokens come from the tagger plug-in ``predict_tokens`` or
-    the tag lexicon ``tags``.
+    participant-only tagger (L1c).  Tags come from the tagger plug-in ``predict_tokens`` (token by token) or
+    the tag lexicon ``tags`` (word by word).
 
     ``languages`` (``file_id, language``) is the resolved language of each file; without it the
     folder's counts.  Files that are ``cn`` are detected first (``language_lexicon`` for the
@@ -108,8 +109,7 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
     lexicon then use the detected language.  ``first_per_language`` is ``--slice`` (G3).  Of
     several files with one base name the last (by path) is tagged, as its rows would be the ones kept.
     """
-    files = corpus.files.groupBy("file_name").agg(F.max_by(F.struct("file_id", "dir", "path"), "path").alias("f")) \
-        .select("f.file_id", "file_name", "f.dir", "f.path")
+    files = V.last_per_name(corpus.files)
     if table is not None:                                    # E4: only files named in the table
         files = files.join(table.select(F.col("file_name").alias("_n")).distinct(),
                            F.col("file_name") == F.col("_n"), "left_semi")
@@ -124,23 +124,32 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
     lines = _persist(L.parse_lines(_fixed(raw) if clean else raw))   # every aggregate below reads this one table
     langs = _persist(resolve_tagger(files, langs, lines, language_lexicon, predict_language))
     ok = langs.where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))
-    units = T.tagging_units(lines, files).join(ok, "file_id").where(F.col("speaker_role").isin(*roles))
-    tokens = T.annotate(units, predict_tokens, tags)
-    if predict_tokens is not None:
-        tokens = _persist(tokens)
     names = files.select("file_id", "file_name")
-    counts = _persist(T.unit_counts(T.without_errors(tokens), vocabulary))
-    _, sent = T.tally_and_sentences(counts)
-    tally = counts.join(names, "file_id").drop("file_id")
-    sent = sent.join(names, "file_id").select("file_name", "speaker_role", "num_sent")
-    if lexicon is not None:
-        wf = FQ.mean_log_frequency(FQ.role_word_counts(lines, files, languages=ok), lexicon).join(names, "file_id") \
-            .select("file_name", "speaker_role", "word_freq")
-        sent = sent.join(wf, ["file_name", "speaker_role"], "left")
+    errors = None
+    if predict_tokens is None:
+        if tags is None:
+            raise ValueError("tagging needs a tagger plug-in or a tag lexicon")
+        known = U.entries(tags, lexicon)
+        stream = _persist(U.unit_stream(lines, files, ok, known, vocabulary))
+        produced = U.unit_lines(stream)
+        found = U.wide(stream, known, vocabulary)
     else:
-        sent = sent.withColumn("word_freq", F.lit(None).cast("double"))
-    stats = sent.select("file_name", "speaker_role", "num_sent", FT.word_freq_text(F.col("word_freq")).alias("word_freq"))
-    feats = FT.features_long_to_wide(tally, stats, vocabulary=vocabulary)
+        units = T.tagging_units(lines, files).join(ok, "file_id")
+        tokens = _persist(T.annotate(units.where(F.col("speaker_role").isin(*roles)), predict_tokens))
+        errors = tokens.where(F.col("error").isNotNull()).groupBy("file_id", "speaker_role").agg(F.min("error").alias("error"))
+        counts = _persist(T.unit_counts(T.without_errors(tokens), vocabulary))
+        _, sent = T.tally_and_sentences(counts)
+        present = lines.join(files.select("file_id", M.is_diary("path").alias("diary")), "file_id") \
+            .select("file_id", U.role(F.col("diary"), F.col("speaker")).alias("speaker_role")).where("speaker_role is not null").distinct()
+        produced = present.join(sent, ["file_id", "speaker_role"], "left").select("file_id", "speaker_role", F.coalesce("num_words", F.lit(0)).alias("num_words"))
+        found = T.tally_wide(counts, vocabulary=vocabulary).join(sent.select("file_id", "speaker_role", "num_sent"), ["file_id", "speaker_role"])
+        if lexicon is not None:
+            freq = U.frequencies(lines, files, ok, lexicon).select("file_id", "speaker_role", "word_freq")
+            found = found.join(freq, ["file_id", "speaker_role"], "left")
+    if lexicon is None:
+        found = found.drop("word_freq").withColumn("word_freq", F.lit(None).cast("double"))
+    feats = found.where(F.col("speaker_role").isin(*roles)).join(names, "file_id").drop("file_id") \
+        .withColumn("word_freq", FT.word_freq_text(F.col("word_freq")))
     if table is not None:
         base = table if "num_sent" in table.columns else FT.empty_features(table, vocabulary)
         out = FT.fill_table(base, feats, vocabulary)
@@ -151,7 +160,7 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
             *[c for c in ("network", "language", "src_subject_id", "interview_type", "day", "interview_number")],
             F.lit("").alias("transcript_speaker_label"), "speaker_role",
             *[c for c in feats.columns if c not in ("file_name", "speaker_role")], "file_name"))
-    fails = T.failures(files, langs, lines, tokens, roles=roles, counts=counts)
+    fails = T.failures(files, langs, produced, roles=roles, errors=errors)
     W.write_feature_table(out, os.path.join(out_dir, "features_tsv"), vocabulary=vocabulary)
     W.write_failures(fails, os.path.join(out_dir, "failures_csv"))
     return Tagged(out, fails)
