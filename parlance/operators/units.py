@@ -125,29 +125,21 @@ def line_counts(lines: DataFrame, files: DataFrame, langs: DataFrame, diary_mode
             .groupBy("file_id", "speaker_role").agg(F.sum("lines").alias("num_lines"), F.sum("sents").alias("num_sent"), F.sum("words").alias("num_words")))
 
 
-def _frequency(entries_: Column, own: Column, diary: Column) -> Column:
-    """F4 of a role: over its own words, or everybody's if the file has no line of the role (and in a diary)."""
-    def of(unit: Column, tag: str, field: str = "cnt") -> Column:
-        return F.get(F.filter(entries_, lambda e: (e["unit"] == unit) & (e["tag"] == tag)), F.lit(0))[field]
-
-    from_all = diary | of(own, LINE).isNull()
-    unit = F.when(from_all, F.lit(ALL)).otherwise(own)
-    return F.struct(*[F.coalesce(of(unit, t, f), F.lit(0)).alias(n) for n, t, f in (("found", FOUND, "cnt"), ("whole", VALUE, "cnt"), ("real", VALUE, "val"))])
-
+def _role_rows(per_file: DataFrame, fields: list[str], tags: bool = False) -> DataFrame:
+    """A row for each role (one in a diary) of ``per_file``: of the sums ``p_<f>``, ``i_<f>`` and ``a_<f>`` (participant, interviewer, all
+    lines) those that count for the role (its own, or all where it has no line, and in a diary), and its map of ``tags``."""
+    def one(name: str, own: str) -> Column:
+        everybody = F.col("diary") | (F.coalesce(F.col(f"{own}_l"), F.lit(0)) == 0)
+        of_role = F.transform(F.filter("_e", lambda e: e["unit"] == name), lambda e: F.struct(e["tag"], e["cnt"])) if tags else None
+        return F.struct(F.lit(name).alias("speaker_role"), *([F.map_from_entries(of_role).alias("_m")] if tags else []),
+                        *[F.when(everybody, F.col(f"a_{f}")).otherwise(F.col(f"{own}_{f}")).alias(f) for f in fields])
 
-def _by_role(stream: DataFrame, real: bool) -> DataFrame:
-    """``file_id, speaker_role, tags, word_freq``: a row for each role (one in a diary), ``tags`` its sums by tag."""
-    per_file = stream.groupBy("file_id", "lang", "diary").agg(F.collect_list(F.struct("unit", "tag", "cnt", "val")).alias("_e"))  # at most the vocabulary twice, and some
+    roles = F.when(F.col("diary"), F.array(one("Participant", "p"))).otherwise(F.array(one("Participant", "p"), one("Interviewer", "i")))
+    return per_file.select("file_id", "lang", F.explode(roles).alias("u")).select("file_id", "lang", "u.*")
 
-    def one(name: str, speaker: str) -> Column:
-        tags = F.map_from_entries(F.transform(F.filter("_e", lambda e: e["unit"] == name), lambda e: F.struct(e["tag"], e["cnt"])))
-        return F.struct(F.lit(name).alias("speaker_role"), tags.alias("tags"), _frequency(F.col("_e"), F.lit(speaker), F.col("diary")).alias("f"))
 
-    p, i = one("Participant", "PARTICIPANT"), one("Interviewer", "INTERVIEWER")
-    rows = per_file.select("file_id", F.explode(F.when(F.col("diary"), F.array(p)).otherwise(F.array(p, i))).alias("u"))
-    mean = F.when(F.col("u.f.found") > 0, (F.col("u.f.real") if real else F.col("u.f.whole").cast("double"))
-                  / (F.col("u.f.found") if real else F.col("u.f.found") * LOG_SCALE).cast("double"))
-    return rows.select("file_id", "u.speaker_role", "u.tags", mean.alias("word_freq"))
+def _mean(value: Column, found: Column, whole: bool) -> Column:
+    return F.when(found > 0, value.cast("double") / (found * (LOG_SCALE if whole else 1)).cast("double"))
 
 
 def frequencies(lines: DataFrame, files: DataFrame, langs: DataFrame, lexicon: DataFrame, diary_mode: str = "path") -> DataFrame:
@@ -166,20 +158,23 @@ def frequencies(lines: DataFrame, files: DataFrame, langs: DataFrame, lexicon: D
     p, i = F.col("speaker") == "PARTICIPANT", F.col("speaker") == "INTERVIEWER"
     per_file = j.groupBy("file_id", "lang", "diary").agg(*sums("p", p), *sums("i", i), *sums("a", F.lit(True)))
 
-    def one(name: str, own: str) -> Column:
-        everybody = F.col("diary") | (F.coalesce(F.col(f"{own}_l"), F.lit(0)) == 0)
-        return F.struct(F.lit(name).alias("speaker_role"), *[F.when(everybody, F.col(f"a_{k}")).otherwise(F.col(f"{own}_{k}")).alias(k) for k in ("n", "f", "v")])
-
-    roles = F.when(F.col("diary"), F.array(one("Participant", "p"))).otherwise(F.array(one("Participant", "p"), one("Interviewer", "i")))
-    rows = per_file.select("file_id", "lang", F.explode(roles).alias("u")).select("file_id", "lang", "u.*").where("n > 0")
-    mean = F.when(F.col("f") > 0, F.col("v").cast("double") / (F.col("f") * (LOG_SCALE if value == "lg_e4" else 1)).cast("double"))
+    rows = _role_rows(per_file, ["n", "f", "v"]).where("n > 0")
     return rows.select("file_id", "speaker_role", "lang", F.col("n").alias("n_words"), F.col("f").alias("found"), (F.col("n") - F.col("f")).alias("missing"),
-                       mean.alias("word_freq"), F.try_divide((F.col("f") * 100).cast("double"), F.col("n").cast("double")).alias("coverage"))
+                       _mean(F.col("v"), F.col("f"), value == "lg_e4").alias("word_freq"), F.try_divide((F.col("f") * 100).cast("double"), F.col("n").cast("double")).alias("coverage"))
 
 
 def wide(stream: DataFrame, known: DataFrame, vocabulary: list[str] | None = None) -> DataFrame:
     """``file_id, speaker_role``, a zero-filled column for each tag, ``num_sent`` and ``word_freq`` (NULL if no word was found) of every role
     unit with a token."""
-    rows = _by_role(stream, "log_frequency" in known.columns).withColumn("_m", F.col("tags")).where(f"_m['{WORD}'] > 0")
+    whole = "log_frequency" not in known.columns
+    value = F.col("cnt") if whole else F.col("val")
+
+    def total(unit: str, tag: str, measure: Column) -> Column:
+        return F.sum(F.when((F.col("unit") == unit) & (F.col("tag") == tag), measure))
+
+    of_role = F.when(F.col("unit").isin("Participant", "Interviewer"), F.struct("unit", "tag", "cnt"))
+    sums = [total(u, t, m).alias(f"{k}_{f}") for k, u in (("p", "PARTICIPANT"), ("i", "INTERVIEWER"), ("a", ALL)) for f, t, m in (("f", FOUND, F.col("cnt")), ("v", VALUE, value), ("l", LINE, F.col("cnt")))]
+    per_file = stream.groupBy("file_id", "lang", "diary").agg(F.collect_list(of_role).alias("_e"), *sums)  # a role has at most the vocabulary and three more
+    rows = _role_rows(per_file, ["f", "v"], tags=True).where(f"_m['{WORD}'] > 0").withColumn("word_freq", _mean(F.coalesce("v", F.lit(0)), F.col("f"), whole))
     cols = [f"CAST(coalesce(_m['{t}'], 0) AS BIGINT) AS `{n}`" for t, n in safe_names(vocabulary).items()]
     return rows.selectExpr("file_id", "speaker_role", *cols, f"_m['{SENT}'] AS num_sent", "word_freq")

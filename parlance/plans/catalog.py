@@ -422,7 +422,7 @@ def _tagging_units(lines, files, langs):
 
 def fx_tokens(spark, sf_dir):
     corpus, lines = fx_lines(spark, sf_dir)
-    tags = persisted(document_tags(spark, sf_dir))
+    tags = document_tags(spark, sf_dir)
     langs = tagger_languages(corpus, L.spoken_lines(corpus.chunks), tags)
     return T.annotate(_tagging_units(lines, corpus.files, langs), tags=tags)
 
@@ -430,7 +430,7 @@ def fx_tokens(spark, sf_dir):
 def fx_stream(spark, sf_dir):
     """Files, their tagger languages and the stream of all that is counted about them (``operators.units``)."""
     corpus, lines = fx_spoken(spark, sf_dir)
-    known = persisted(document_tags(spark, sf_dir))
+    known = document_tags(spark, sf_dir)
     langs = tagger_languages(corpus, lines, known)
     ok = langs.where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))
     return corpus, langs, U.unit_stream(lines, corpus.files, ok, known), known

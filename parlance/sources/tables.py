@@ -14,8 +14,23 @@ from parlance.sources import delimited
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table (parquet)."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table (parquet), dealt out over the cores where it comes in few splits (see :func:`dealt_out`)."""
+    return dealt_out(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+#: Splits up to which a table is dealt out by rows: that many splits hold little (1 GB at Spark's default size).
+FEW_SPLITS = 8
+
+
+def dealt_out(df: DataFrame) -> DataFrame:
+    """``df`` as it is, or, if its scan has fewer than ``FEW_SPLITS`` splits and the session more cores, dealt out evenly by one exchange.
+
+    A file of one row group is one task's work however many splits it is cut into, and what follows a scan here (cutting texts into words) costs
+    far more than moving its rows; the columns are pruned below the exchange.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    few = df.rdd.getNumPartitions() < min(FEW_SPLITS, cores)
+    return df.repartition(cores) if few else df
 
 
 def sep_for(path: str, sep: str | None = None) -> str:
