@@ -41,18 +41,24 @@ _OTHER = re.compile(f"[{_OTHER_SPACE}]")
 #: Texts in which some space does not part two non-spaces.
 _UNEVEN = f"[{_OTHER_SPACE}]|  |\n | \n|^ | $"
 STRETCHES, TEXT_BYTES = 20_000, 32 << 20  # held at once
+TOGETHER = 200  # stretches that are encoded in one go
 
 
 class Encoder:
     """Token ids of texts.  A byte-level vocabulary never merges across the step from a non-space to a space,
     so each distinct stretch between such steps is encoded once for a batch of texts; a text with any white space
-    other than space and newline is one stretch."""
+    other than space and newline is one stretch.
+
+    Stretches of a space and a word are encoded many at a time, as one text: each begins with the one token that begins with a space.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)  # tokens that begin with a space (written as U+0120)
+        self.opens[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("\u0120")]] = True
 
     def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         texts = pc.fill_null(pa.array(texts, pa.string()) if isinstance(texts, list) else texts, "")
@@ -70,25 +76,52 @@ class Encoder:
         lists = pc.split_pattern(texts.take(pa.array(even)), " ")
         offsets = lists.offsets.to_numpy().astype(np.int64)
         words = lists.flatten().dictionary_encode()
-        code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64) * 2 + 1  # odd: with the space before it
-        code[offsets[:-1]] -= 1
-        known = words.dictionary.to_pylist()
-        distinct, which = np.unique(code, return_inverse=True)
-        self._put(out, even, offsets, which, [" " + known[c >> 1] if c & 1 else known[c >> 1] for c in distinct.tolist()])
+        known, n = words.dictionary.to_pylist(), len(words.dictionary)
+        code = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)  # a word with the space before it ...
+        code[offsets[:-1]] += n  # ... or, from n on, without
+        used = np.bincount(code, minlength=2 * n) > 0
+        apart = pc.match_substring_regex(words.dictionary, r"^\n|\n$").to_numpy(zero_copy_only=False) | pc.equal(words.dictionary, "").to_numpy(zero_copy_only=False)
+        spaced, single = np.flatnonzero(used[:n] & ~apart), np.append(np.flatnonzero(used[:n] & apart), n + np.flatnonzero(used[n:]))
+        ids, sizes = self._together([known[c] for c in spaced.tolist()])
+        more, other = self._each([known[c - n] if c >= n else " " + known[c] for c in single.tolist()])
+        size, start = np.zeros(2 * n, np.int64), np.zeros(2 * n, np.int64)
+        order = np.append(spaced, single)
+        size[order] = np.append(sizes, other)
+        start[order] = np.cumsum(size[order]) - size[order]
+        self._put(out, even, offsets, code, np.append(ids, more), size, start)
         odd = np.flatnonzero(uneven)
         if len(odd):
             parts = [[t] if _OTHER.search(t) else _STRETCH.findall(t) for t in texts.take(pa.array(odd)).to_pylist()]
             flat = pa.array([u for us in parts for u in us], pa.string()).dictionary_encode()
-            self._put(out, odd, np.cumsum([0] + [len(us) for us in parts]), flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary.to_pylist())
+            ids, sizes = self._each(flat.dictionary.to_pylist())
+            self._put(out, odd, np.cumsum([0] + [len(us) for us in parts]), flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), ids, sizes, np.cumsum(sizes) - sizes)
         return out
 
-    def _put(self, out: list, rows: np.ndarray, offsets: np.ndarray, which: np.ndarray, stretches: list[str]) -> None:
+    def _each(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the stretches, one after another, and their numbers."""
         ids, sizes = [], np.zeros(len(stretches), np.int64)
         for i in range(0, len(stretches), STRETCHES):
             part = [e.ids for e in self.tokenizer.encode_batch_fast(stretches[i:i + STRETCHES], add_special_tokens=False)]
             sizes[i:i + len(part)] = [len(x) for x in part]
             ids.append(np.fromiter(chain.from_iterable(part), "<u4"))
-        pool, start = np.concatenate([*ids, np.zeros(0, "<u4")]), np.cumsum(sizes) - sizes
+        return np.concatenate([*ids, np.zeros(0, "<u4")]), sizes
+
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_each`` of the words with a space before them."""
+        ids, sizes = [], []
+        for i in range(0, len(words), STRETCHES):
+            some = words[i:i + STRETCHES]
+            texts = [" " + " ".join(some[k:k + TOGETHER]) for k in range(0, len(some), TOGETHER)]
+            part = np.fromiter(chain.from_iterable(e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)), "<u4")
+            begin = np.flatnonzero(self.opens[part])
+            if len(begin) == len(some):
+                size = np.diff(np.append(begin, len(part)))
+            else:  # no vocabulary of this kind
+                part, size = self._each([" " + w for w in some])
+            ids.append(part), sizes.append(size)
+        return np.concatenate([*ids, np.zeros(0, "<u4")]), np.concatenate([*sizes, np.zeros(0, np.int64)])
+
+    def _put(self, out: list, rows: np.ndarray, offsets: np.ndarray, which: np.ndarray, pool: np.ndarray, sizes: np.ndarray, start: np.ndarray) -> None:
         for lo in range(0, len(rows), 512):
             bounds = offsets[lo:lo + 513]
             use = which[bounds[0]:bounds[-1]]

@@ -196,6 +196,15 @@ def test_encoder_is_the_tokenizer():
     assert [x.tolist() for x in e.encode(texts)] == [t.ids for t in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_encoder_is_the_tokenizer_on_the_table(mid):
+    """Words encoded many at a time: the ids of every whole text, also next to line ends and a word that holds the mark of a space."""
+    import pyarrow.parquet as pq
+    e = packing.Encoder(public_tokenizers.path(queries.TOKENIZER))
+    texts = pq.read_table(f"{mid}/documents.parquet", columns=["text"]).column("text").to_pylist()
+    texts += ["\na b\nc", "x\n y", "a\n", "n\n\nm o\n", "\u0120 x \u0120y", "a \u0120b c"]
+    assert [x.tolist() for x in e.encode(texts)] == [t.ids for t in e.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+
+
 def test_plan_holds_every_piece_once():
     r = np.random.default_rng(2)
     for n, top in ((1, 2048), (7, 2048), (500, 2048), (3000, 700), (3000, 2048)):
