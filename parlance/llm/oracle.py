@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parlance.llm.license_scan import RULES, SENTENCES
+from parlance.llm.license_scan import GAP, RULES, SENTENCES, pieces
 
 
 def _lit(s: str) -> str:
@@ -10,28 +10,34 @@ def _lit(s: str) -> str:
 
 
 def _license() -> str:
-    known = "map {" + ", ".join(f"{_lit(k)}: {_lit(v)}" for k, v in SENTENCES.items()) + "}"
+    marks, wholes = pieces(SENTENCES)
+    known = "map {" + ", ".join(f"{_lit(k)}: {_lit(v)}" for k, v in marks.items()) + "}"
     norm = "trim(lower(regexp_replace({}, '[^A-Za-z0-9]+', ' ', 'g')))"
-    rewritten = "'[' || array_to_string(ids, '][') || ']'"
-    for licence, ids in RULES:
-        rewritten = f"replace({rewritten}, {_lit(''.join(f'[{i}]' for i in ids))}, {_lit(f'<{licence}>')})"
+    ids = "string_agg(mark, '' ORDER BY i, j)"
+    for several, one in wholes:
+        ids = f"replace({ids}, {_lit(several)}, {_lit(one)})"
+    rewritten = "ids"
+    for licence, names in RULES:
+        rewritten = f"replace({rewritten}, {_lit(''.join(f'[{i}]' for i in names))}, {_lit(f'<{licence}>')})"
+    cut = "string_split_regex(d.text, '[.!?;:][ \\t]*\\r?\\n|[.!?;:][ \\t]+|\\r?\\n[^A-Za-z0-9\\n]*\\n')"
     return f"""
 WITH known AS (SELECT {known} AS m),
 stretches AS (
-  SELECT d.rid, d.doc_id, s.part, s.i
-  FROM (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents) d,
-       LATERAL (SELECT unnest(string_split_regex(d.text, '[.!?;:][ \\t]*\\r?\\n|[.!?;:][ \\t]+|\\r?\\n[ \\t\\r]*\\n')) AS part,
-                       generate_subscripts(string_split_regex(d.text, '[.!?;:][ \\t]*\\r?\\n|[.!?;:][ \\t]+|\\r?\\n[ \\t\\r]*\\n'), 1) AS i) s),
-hits AS (
-  SELECT rid, i, 0 AS j, {norm.format('part')} AS s FROM stretches, known WHERE map_contains(m, {norm.format('part')})
+  SELECT d.rid, s.part, s.i
+  FROM (SELECT row_number() OVER () AS rid, regexp_replace(coalesce(text, ''), '(^|\\n)[ \\t]*;+', '\\1', 'g') AS text FROM documents) d,
+       LATERAL (SELECT unnest({cut}) AS part, generate_subscripts({cut}, 1) AS i) s),
+lines AS (
+  SELECT rid, i, 0 AS j, {norm.format('part')} AS s FROM stretches, known WHERE map_contains(m, {norm.format('part')}) OR NOT contains(part, chr(10))
   UNION ALL
-  SELECT rid, i, j, s FROM (
-    SELECT rid, i, generate_subscripts(string_split(part, chr(10)), 1) AS j, {norm.format("unnest(string_split(part, chr(10)))")} AS s
-    FROM stretches, known WHERE contains(part, chr(10)) AND NOT map_contains(m, {norm.format('part')})), known
-  WHERE map_contains(m, s)),
-sequences AS (SELECT rid, list(m[s] ORDER BY i, j) AS ids FROM hits, known GROUP BY rid),
+  SELECT rid, i, generate_subscripts(string_split(part, chr(10)), 1) AS j, {norm.format("unnest(string_split(part, chr(10)))")} AS s
+  FROM stretches, known WHERE contains(part, chr(10)) AND NOT map_contains(m, {norm.format('part')})),
+marks AS (
+  SELECT rid, i, j, CASE WHEN map_contains(m, s) THEN m[s] WHEN s = '' THEN ''
+    ELSE repeat('~', least(len(s) - len(replace(s, ' ', '')) + 1, {GAP})) END AS mark FROM lines, known),
+joined AS (SELECT rid, {ids} AS ids FROM marks GROUP BY rid),
+sequences AS (SELECT rid, replace(regexp_replace(regexp_replace(ids, '\\{{[0-9]+\\}}', '', 'g'), '~{{{GAP},}}', '|', 'g'), '~', '') AS ids FROM joined),
 rewritten AS (SELECT rid, ids, {rewritten} AS r FROM sequences)
-SELECT d.doc_id, coalesce(array_to_string(ids, ','), '') AS sentence_ids,
+SELECT d.doc_id, coalesce(array_to_string(regexp_extract_all(ids, '\\[([^\\]]+)\\]', 1), ','), '') AS sentence_ids,
        coalesce(array_to_string(regexp_extract_all(r, '<([^>]*)>', 1), ','), '') AS licences,
        coalesce(array_to_string(regexp_extract_all(r, '\\[([^\\]]+)\\]', 1), ','), '') AS unmatched
 FROM (SELECT row_number() OVER () AS rid, doc_id FROM documents) d LEFT JOIN rewritten USING (rid)

@@ -42,6 +42,138 @@ def test_licence_rules_are_ordered_and_use_up_sentences(spark):
     assert got[6] == got[7] == ([], [])
 
 
+# Official notices, as their licences ask to be put into files.
+_GNU = """{program} - does something
+Copyright (C) 2021  Some One
+
+This {what} is free software{a} you can redistribute it and/or modify
+it under the terms of the {name} as published by
+the Free Software Foundation{b} either version {version} of the License, or
+(at your option) any later version.
+
+This {what} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+{name} for more details.
+
+You should have received a copy of the {name}
+along with this {what}.  If not, see <https://www.gnu.org/licenses/>.
+"""
+_WARRANTY = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+_BSD = """Copyright (c) 2021, Some One
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+NOTICES = {
+    "Apache-2.0": """Copyright 2021 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+""",
+    "MIT": """MIT License
+
+Copyright (c) 2021 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+""" + _WARRANTY,
+    "BSD-2-Clause": _BSD,
+    "BSD-3-Clause": _BSD + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+""",
+    "ISC": """Copyright (c) 2021 Some One
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""",
+    "GPL-3.0-or-later": _GNU.format(program="Foo", what="program", a=":", b=",", name="GNU General Public License", version="3"),
+    "GPL-2.0-or-later": _GNU.format(program="Foo", what="program", a=";", b=";", name="GNU General Public License", version="2"),
+    "LGPL-2.1-or-later": _GNU.format(program="Foo", what="library", a=";", b=";", name="GNU Lesser General Public License", version="2.1"),
+    "LGPL-3.0-or-later": _GNU.format(program="Foo", what="library", a=":", b=",", name="GNU Lesser General Public License", version="3"),
+    "AGPL-3.0-or-later": _GNU.format(program="Foo", what="program", a=":", b=",", name="GNU Affero General Public License", version="3"),
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.\n",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n",
+}
+
+
+def test_licences_of_official_notices_plain_and_in_comments(spark):
+    def comment(text, first, lead, last):
+        return first + "".join(f"{lead}{' ' if line else ''}{line}\n" for line in text.splitlines()) + last
+
+    forms = [("", "", ""), ("", "#", ""), ("", "//", ""), ("/*\n", " *", " */\n"), ("", ";;", ""), ("", "--", "")]
+    cases = [(name, comment(text, *form) + "int main() { return 0; }\n") for name, text in NOTICES.items() for form in forms]
+    cases += [(name, text.replace("\n", "\r\n")) for name, text in NOTICES.items()]
+    cases += [(name, f"{lead} SPDX-License-Identifier: {name}\n{lead} Copyright 2021 Some One\n") for name in license_scan.SPDX for lead in ("#", "//", " *")]
+    got = _scanned(spark, [text for _, text in cases])
+    assert [(name, text, g) for (name, text), g in zip(cases, got) if g[0] != [name]] == []
+
+
+def test_licence_sequences_end_at_a_gap(spark):
+    grant, rest = NOTICES["MIT"].split("The above copyright", 1)
+    far = grant + "\n" + "word " * license_scan.GAP + "\n\nThe above copyright" + rest
+    near = grant + "\n" + "word " * (license_scan.GAP - 1) + "\n\nThe above copyright" + rest
+    pieces_apart = "This program is free software:\n\nwith a remark.\n\nyou can redistribute it and/or modify it under the terms of the GNU General Public " \
+        "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.\n"
+    got = _scanned(spark, [near, far, pieces_apart, "mit\n", "# SPDX-License-Identifier: Nobody-1.0\n"])
+    assert got[0][0] == ["MIT"] and got[1][0] == []
+    assert got[1][1] == ["MITTitle", "MITGrant", "MITNotice", "MITAsIs", "MITLiability"]
+    assert got[2] == got[3] == got[4] == ([], [])
+
+
+def test_licence_rules_can_all_be_met(spark):
+    """Each rule is met by its own wordings, one after another, unless an earlier rule takes them."""
+    wording = {}
+    for w, i in license_scan.SENTENCES.items():
+        wording.setdefault(i, w)
+    texts = ["".join(f"{wording[i]}.\n" for i in ids) for _, ids in license_scan.RULES]
+    got = _scanned(spark, texts)
+    assert [(rule, g) for (rule, _), g in zip(license_scan.RULES, got) if g != ([rule], [])] == []
+
+
+def test_licence_very_long_text(spark):
+    filler = "plain words of a long text and so on\n" * 100_000
+    assert _scanned(spark, [filler + NOTICES["GPL-3.0-or-later"] + filler])[0][0] == ["GPL-3.0-or-later"]
+
+
 def test_licence_odd_rows(spark, odd_docs, no_docs):
     assert license_scan.scan(odd_docs).count() == odd_docs.count()
     assert license_scan.scan(no_docs).count() == 0
