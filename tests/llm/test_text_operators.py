@@ -1,6 +1,7 @@
 """License scan, URL filter, SimHash, repeats, decontamination against brute force, planted cases and odd rows."""
 
 import random
+import re
 from collections import defaultdict
 
 import numpy as np
@@ -194,6 +195,45 @@ def test_url_rules(spark):
     assert url_filter.judge(pages.limit(0), rules).count() == 0
 
 
+def _judged(url, rules):
+    head, sep, rest = (url or "").partition("://")
+    rest = re.match(r"([^/?#]*)([^?#]*)", rest if sep else "")
+    host, path = "".join(c.lower() if c.isascii() else c for c in rest[1]), rest[2]
+    hits = [(len(h + p), len(h), v == "block", h + p, v) for h, p, v in rules
+            if (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, max(hits)[3], max(hits)[4]) if hits else (host, path, None, "allow")
+
+
+def test_url_verdicts_equal_plain_matching_with_either_join(spark):
+    rng = random.Random(5)
+    labels, parts = ["a", "b", "com", "net", ""], ["", "x", "xy", "en"]
+
+    def some(pool, sep, least, most):
+        return sep.join(rng.choice(pool) for _ in range(rng.randint(least, most)))
+
+    rules = sorted({(some(labels[:4], ".", 1, 3), rng.choice(["/", ""]) + some(parts, "/", 0, 3)) for _ in range(60)})
+    rules = [(h, p, rng.choice(["block", "allow"])) for h, p in rules]
+    urls = [f"{rng.choice(['http', 'HTTP', ''])}://{some(labels, '.', 0, 5)}{rng.choice(['', '/'])}{some(parts, '/', 0, 5)}{rng.choice(['', '?q/x', '#f'])}" for _ in range(600)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    table = spark.createDataFrame(rules + [(None, "/", "block"), ("a", None, "block")], "host string, path string, verdict string")
+    want = {i: _judged(u, rules) for i, u in enumerate(urls)}
+    for size in (url_filter.BROADCAST_BYTES, -1):
+        got = url_filter.judge(pages, table, broadcast_bytes=size).collect()
+        assert len(got) == len(urls) and {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got} == want
+    assert {r["verdict"] for r in url_filter.judge(pages, table.limit(0)).collect()} == {"allow"}
+
+
+def test_very_long_urls_take_time_linear_in_their_length(spark):
+    import time
+    rules = spark.createDataFrame([("net", "/", "block"), ("example.net", "/en/", "allow"), ("b.org", "/x", "block")], "host string, path string, verdict string")
+    urls = ["http://example.net/en/" + "a/" * 500_000, "http://" + "a." * 500_000 + "net/" + "b/" * 100_000, "http://b.org/" + "y/" * 300_000, "http://" + "x/" * 50_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    url_filter.judge(pages.filter("page_id = 3"), rules).collect()
+    begun = time.monotonic()
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, rules).select("page_id", "verdict").collect()}
+    assert got == {0: "allow", 1: "block", 2: "allow", 3: "allow"} and time.monotonic() - begun < 20
+
+
 # --- SimHash -------------------------------------------------------------------------------------
 
 def _print(text, k=3):
