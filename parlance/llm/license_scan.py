@@ -168,7 +168,7 @@ def sequence(text: Column, sentences: dict[str, str] = SENTENCES, gap: int = GAP
         return F.when(s.isin(words), F.element_at(known, s)).otherwise(F.repeat(F.lit("~"), unknown))
 
     def of(x: Column) -> Column:
-        lines = F.transform(F.split(x["raw"], "\n"), lambda line: mark(normalised(line)))
+        lines = F.transform(F.transform(F.split(x["raw"], "\n"), normalised), mark)
         return F.when(x["whole"].isin(words) | ~x["raw"].contains("\n"), mark(x["whole"])).otherwise(F.array_join(lines, ""))
 
     bare = F.regexp_replace(F.coalesce(text, F.lit("")), LEADER, "$1")
