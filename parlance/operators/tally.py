@@ -17,6 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from parlance.functions.metadata import is_diary, language_from_path, tagger_language
 from parlance.functions.tags import safe_names, token_slots, vocab
 from parlance.functions.text import is_blank, sentences, words
+from parlance.operators.affinity import by_language
 from parlance.operators.models import Predictor
 
 TOKEN_FIELDS = StructType([   # of a plug-in's rows, after file_id (of the corpus's own key type) and speaker_role
@@ -65,9 +66,9 @@ def annotate(units: DataFrame, predict: Predictor | None = None, tags: DataFrame
     """One row per token, by the tagger plug-in ``predict`` or the tag lexicon ``tags``
     (:func:`dictionary_annotate`); units carry ``lang``.  ``predict`` receives pandas batches of
     ``file_id, speaker_role, line_index, text, lang`` and yields token rows
-    (``file_id, speaker_role`` and ``TOKEN_FIELDS``).  Units are dealt out by language and line over all shuffle
-    partitions, so a task mostly loads few models while a dominant language — or a
-    single huge transcript — uses as many tasks as there are.
+    (``file_id, speaker_role`` and ``TOKEN_FIELDS``).  A task has units of one language (``affinity.by_language``): it loads one model
+    (which a plug-in keeps between its batches), while a dominant language, or a
+    single huge transcript, gets tasks by its share of all words.
 
     An exception in the plug-in does not end the job: the batch is tried again file by file, and
     a file that fails gives one row a role with the message in ``error`` (see ``failures``).
@@ -77,7 +78,7 @@ def annotate(units: DataFrame, predict: Predictor | None = None, tags: DataFrame
             raise ValueError("tagging needs a tagger plug-in or a tag lexicon")
         return dictionary_annotate(units, tags)
     parts = int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = units.repartition(parts, "lang", F.pmod(F.xxhash64("file_id", "line_index"), F.lit(parts)))
+    keyed = by_language(units, parts)
     schema = StructType([units.schema["file_id"], StructField("speaker_role", StringType()), *TOKEN_FIELDS.fields, StructField("error", StringType())])
     names = [f.name for f in schema.fields]
 
