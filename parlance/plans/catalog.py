@@ -7,7 +7,9 @@ column names match the reference SQL in ``parlance.plans.oracle``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,9 @@ from pyspark.sql import functions as F
 from parlance.operators import frequency as FQ
 from parlance.operators import lines as L
 from parlance.operators import units as U
+from parlance.sinks import versions as TV
 from parlance.sources import corpus as C
-from parlance.session import persisted
+from parlance.session import ensure_checkpoint_dir, persisted
 from parlance.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -749,6 +752,18 @@ def q_corrections(spark, sf_dir):
         .select("row_index", "file_name", "speaker_role", "interview_type")
 
 
+@register("table_versions")
+def q_table_versions(spark, sf_dir):
+    """B4 / B11 with versions: the main table, read and replaced by its corrected rows; the rows of both versions."""
+    path = f"{ensure_checkpoint_dir(spark)}/versions-{uuid.uuid4().hex}"
+    TV.replace_table(fx_table(spark, sf_dir), path)
+    before = TV.read_version(spark, path)
+    TV.replace_table(FT.apply_corrections(before, _fixes(spark, sf_dir)), path)
+    return reduce(DataFrame.unionByName, [
+        TV.read_version(spark, path, v.number).select(F.lit(v.number).alias("version"), "row_index", "file_name", "speaker_role", "interview_type")
+        for v in TV.versions(spark, path)])
+
+
 @register("splits_corrected")
 def q_splits_corrected(spark, sf_dir):
     """Split tables re-routed after correction (written to a new path by the sink)."""

@@ -307,6 +307,12 @@ SELECT t.row_index, coalesce(f.new_filename, t.file_name) AS file_name, t.speake
        coalesce(f.new_type, t.interview_type) AS interview_type
 FROM fx_table t LEFT JOIN fixes2 f ON f.filename = t.file_name"""
 
+ORACLE["table_versions"] = VERIFY_BASE + """
+SELECT 1 AS version, row_index, file_name, speaker_role, interview_type FROM fx_table
+UNION ALL
+SELECT 2, t.row_index, coalesce(f.new_filename, t.file_name), t.speaker_role, coalesce(f.new_type, t.interview_type)
+FROM fx_table t LEFT JOIN fixes2 f ON f.filename = t.file_name"""
+
 ORACLE["splits_corrected"] = VERIFY_BASE + f""",
 splits AS (SELECT *, {ROUTE_CLI} AS target FROM fx_table)
 SELECT s.row_index, coalesce(f.new_filename, s.file_name) AS file_name,

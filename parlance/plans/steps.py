@@ -24,6 +24,7 @@ from parlance.operators import tally as T
 from parlance.operators import units as U
 from parlance.operators import verify as V
 from parlance.session import persisted as _persist
+from parlance.sinks import versions as TV
 from parlance.sinks import writers as W
 from parlance.sources.corpus import Corpus
 
@@ -225,20 +226,30 @@ def verify(spark: SparkSession, table: DataFrame, corpus: Corpus, out_dir: str,
 
 # --- L3: fix --------------------------------------------------------------------------------------
 
-def fix(spark: SparkSession, mismatches: DataFrame, table: DataFrame, out_dir: str,
+def fix(spark: SparkSession, mismatches: DataFrame, table: DataFrame | str, out_dir: str,
         dry_run: bool = False) -> DataFrame:
     """L3: the change plan (A10 -> G2 -> C28); unless ``dry_run``, the corrected
     main table (E10 -> B11) and corrected splits (H5 -> B12) written to new paths, the moved
-    files (``moved``) and the rows without a known type (``unrouted``) as tables."""
+    files (``moved``) and the rows without a known type (``unrouted``) as tables.
+
+    ``table`` may be the path of a table with versions (``sinks.versions``): its latest version is read, and the corrected
+    table becomes the next one, committed after all other outputs."""
+    versioned = table if isinstance(table, str) else None
+    if versioned:
+        base = TV.current(spark, versioned)
+        table = TV.read_version(spark, versioned, base and base.number)
     plan = FT.corrections(mismatches)
     if dry_run:
         return plan
     plan = _persist(plan)
     corrected = FT.apply_corrections(table, plan)
-    W.write_table(corrected, os.path.join(out_dir, "corrected_table"))
+    if not versioned:
+        W.write_table(corrected, os.path.join(out_dir, "corrected_table"))
     W.write_table(V.moves(plan), os.path.join(out_dir, "moved"))
     W.write_splits(V.corrected_splits(table, plan), os.path.join(out_dir, "corrected_splits"),
                    os.path.join(out_dir, "unrouted"))
+    if versioned:
+        TV.replace_table(corrected, versioned, after=base.number)
     return plan
 
 
