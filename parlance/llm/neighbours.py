@@ -157,11 +157,13 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, share: float = 1.2, i
         rows = rows.sort_values("id", kind="stable")
         rows = rows[~pd.DataFrame({"id": rows["id"], "v": [x.tobytes() for x in rows["v"]]}).duplicated().to_numpy()]
         x, ids, out = np.array(rows["v"].tolist()), rows["id"].to_numpy(), []
+        longest = np.sqrt((x * x).sum(1).max())
         for at in range(0, len(asks), 512):
             q, w = asks["query_id"].to_numpy()[at:at + 512], np.array(asks["w"].iloc[at:at + 512].tolist())
             near = w @ x.T
             near[q[:, None] == ids] = -np.inf
-            low = np.partition(near, -k, axis=1)[:, -k] - 1e-9 if len(ids) > k else np.full(len(q), -np.inf)
+            slack = 1e-12 * x.shape[1] * longest * np.sqrt((w * w).sum(1))  # far over what the order of adding up can change
+            low = np.partition(near, -k, axis=1)[:, -k] - slack if len(ids) > k else np.full(len(q), -np.inf)
             i, j = np.nonzero((near >= low[:, None]) & (near > -np.inf))
             exact = (x[j] * w[i]).sum(1)  # one way of adding up, whatever the block
             order = np.lexsort((ids[j], -exact, i))

@@ -50,6 +50,18 @@ def test_neighbours_recall_with_many_leaves(spark):
     assert np.mean([len(set(g["s"]) & set(want[g["query_id"]])) / 10 for g in got]) >= 0.9
 
 
+def test_neighbours_ties_of_long_vectors(spark):
+    """Equal products of very long (and very short) vectors go to the smaller ids, however a block adds them up."""
+    r = np.random.default_rng(9)
+    for length in (8000.0, 1e-6):
+        kinds = length * r.standard_normal((4, 64))
+        rows = [(i, kinds[i % 4].tolist()) for i in range(400)]
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+        got = neighbours.search(df, F.col("vec_id") % 100 == 0, k=20).orderBy("query_id", "rank").collect()
+        for q in range(0, 400, 100):
+            assert [g["vec_id"] for g in got if g["query_id"] == q] == [i for i in range(0, 400, 4) if i != q][:20]
+
+
 def test_neighbours_odd_vectors(spark):
     same = [1.0, 0.0, 0.0]
     rows = [(i, same) for i in range(0, 60)] + [(100, None), (101, []), (102, [0.0, 0.0, 0.0]), (103, [float("nan"), 1.0, 0.0]), (104, [1.0, None, 2.0]),
