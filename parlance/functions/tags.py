@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parlance.constants import TAG_RENAMES, UD_FEATURE_KEYS, VOCAB_FILE_ORDER
@@ -19,6 +19,19 @@ def vocab() -> list[str]:
     return seen
 
 
+def listed(tags: DataFrame, most: int = 10_000) -> list[str]:
+    """A caller's vocabulary (``pos, tag``: see ``read_vocab``) as a list: distinct tags in file order.
+
+    Each tag is a column of the wide table, so the driver may hold them; a table of more than ``most`` distinct tags is no vocabulary and refused.
+    """
+    found = tags.groupBy("tag").agg(F.min("pos").alias("pos")).orderBy("pos").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"a vocabulary has at most {most} tags")
+    if not found:
+        raise ValueError("a vocabulary has at least one tag")
+    return [r["tag"] for r in found]
+
+
 def ud_feature(feats: Column | str, key: str) -> Column:
     """Value of ``key`` in a ``K=V|K=V`` string: the LAST item *containing*
     ``key``, minus ``len(key)+1`` leading chars; ``Mood`` values gain ``_mood``;

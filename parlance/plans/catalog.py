@@ -14,13 +14,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from parlance.functions.tags import listed
 from parlance.operators import frequency as FQ
 from parlance.operators import lines as L
 from parlance.operators import units as U
 from parlance.sinks import versions as TV
 from parlance.sources import corpus as C
 from parlance.session import ensure_checkpoint_dir, persisted
-from parlance.sources.tables import read_table
+from parlance.sources.tables import read_table, read_vocab
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -430,13 +431,13 @@ def fx_tokens(spark, sf_dir):
     return T.annotate(_tagging_units(lines, corpus.files, langs), tags=tags)
 
 
-def fx_stream(spark, sf_dir):
+def fx_stream(spark, sf_dir, vocabulary=None):
     """Files, their tagger languages and the stream of all that is counted about them (``operators.units``)."""
     corpus, lines = fx_spoken(spark, sf_dir)
     known = document_tags(spark, sf_dir)
     langs = tagger_languages(corpus, lines, known)
     ok = langs.where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))
-    return corpus, langs, U.unit_stream(lines, corpus.files, ok, known), known
+    return corpus, langs, U.unit_stream(lines, corpus.files, ok, known, vocabulary), known
 
 
 @register("tokens")
@@ -477,6 +478,18 @@ def q_tag_tally(spark, sf_dir):
     return T.tally_and_sentences(counts)[0].withColumnRenamed("file_id", "conv_id")
 
 
+@register("tally_vocabulary")
+def q_tally_vocabulary(spark, sf_dir):
+    """A5: long tag counts by a caller's own vocabulary, a file of one tag a line with repeats and blank lines (here the
+    language-specific tags and relations of the tag lexicon)."""
+    path = f"{ensure_checkpoint_dir(spark)}/vocabulary-{uuid.uuid4().hex}"
+    used = document_tags(spark, sf_dir).select(F.explode(F.array("xpos", "deprel")).alias("value")).distinct()
+    lines = used.unionByName(used).unionByName(spark.range(3).select(F.get(F.array(F.lit("X"), F.lit(""), F.lit("  ")), "id").alias("value")))
+    lines.write.text(path)
+    counts = U.unit_counts(fx_stream(spark, sf_dir, listed(read_vocab(spark, path)))[2])
+    return T.tally_and_sentences(counts)[0].withColumnRenamed("file_id", "conv_id")
+
+
 def fx_unit_lines(spark, sf_dir, langs, corpus, lines):
     """Lines, sentences and words of the role units: no lexicon is asked."""
     ok = langs.where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))

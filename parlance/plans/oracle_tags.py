@@ -96,6 +96,10 @@ FROM fx_tok"""
 ORACLE["tag_tally"] = TAG_BASE + """
 SELECT * FROM fx_tally"""
 
+ORACLE["tally_vocabulary"] = TAG_BASE.replace(
+    f"WHERE tag IN ({VOCAB_SQL})", "WHERE tag IN (SELECT xpos FROM doc_tags UNION SELECT deprel FROM doc_tags UNION SELECT 'X')") + """
+SELECT * FROM fx_tally"""
+
 ORACLE["sentence_counts"] = TAG_BASE + """
 SELECT * FROM fx_sent"""
 

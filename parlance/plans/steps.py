@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parlance.functions import metadata as M
+from parlance.functions.tags import listed
 from parlance.operators import feature_table as FT
 from parlance.operators import frequency as FQ
 from parlance.operators import labels as LB
@@ -97,7 +98,7 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
         table: DataFrame | None = None, languages: DataFrame | None = None, predict_tokens=None,
         clean: bool = True, roles: tuple[str, ...] = ("Participant", "Interviewer"),
         first_per_language: int | None = None, language_lexicon: DataFrame | None = None,
-        predict_language=None, vocabulary: list[str] | None = None, tags: DataFrame | None = None) -> Tagged:
+        predict_language=None, vocabulary: list[str] | DataFrame | None = None, tags: DataFrame | None = None) -> Tagged:
     """Colon fix (C11), units (J6), tags (K2), tallies (F1-F3) and
     word frequency (J2 -> E5 -> F4), all from one stream (``parlance.operators.units``), then fill ``table`` (E7, update mode) or
     build a new table (E8); failure log (F13).  ``roles=("Participant",)`` is the
@@ -107,9 +108,12 @@ def tag(spark: SparkSession, corpus: Corpus, out_dir: str, lexicon: DataFrame |
     ``languages`` (``file_id, language``) is the resolved language of each file; without it the
     folder's counts.  Files that are ``cn`` are detected first (``language_lexicon`` for the
     built-in detector, or the plug-in ``predict_language``; ``zh`` with neither), and both tagger and
-    lexicon then use the detected language.  ``first_per_language`` is ``--slice`` (G3).  Of
+    lexicon then use the detected language.  ``vocabulary`` is a caller's tag list or the table that ``read_vocab``
+    gives (A5), in place of the built-in one.  ``first_per_language`` is ``--slice`` (G3).  Of
     several files with one base name the last (by path) is tagged, as its rows would be the ones kept.
     """
+    if isinstance(vocabulary, DataFrame):
+        vocabulary = listed(vocabulary)
     files = V.last_per_name(corpus.files)
     if table is not None:                                    # E4: only files named in the table
         files = files.join(table.select(F.col("file_name").alias("_n")).distinct(),

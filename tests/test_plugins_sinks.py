@@ -92,3 +92,25 @@ def test_raw_header_table_reads_back(spark):
     # the original's preliminary header repeats three tags
     assert safe_header(["Fin", "Fin", "Neut", "PART", "Part", "file_name.txt"]) == \
         ["Fin", "Fin__2", "Neut", "PART_2", "Part", "file_name"]
+
+
+def test_a_vocabulary_file_feeds_the_tallies(spark):
+    """A5: distinct tags in file order, blank lines dropped; the tagging step has a column for each of them and no other."""
+    import pytest
+    from parlance.functions.tags import listed
+    from parlance.plans import steps as S
+    from parlance.sources.tables import read_vocab
+    out = tempfile.mkdtemp(prefix="parlance-vocab-", dir="/tmp")
+    with open(os.path.join(out, "tags.txt"), "w", encoding="utf-8") as fh:
+        fh.write("VERB\nnsubj\n\nNOUN\n  \nVERB\nnoun\n")
+    table = read_vocab(spark, os.path.join(out, "tags.txt"))
+    assert listed(table) == ["VERB", "nsubj", "NOUN", "noun"]
+    with pytest.raises(ValueError):
+        listed(table, most=3)
+    with pytest.raises(ValueError):
+        listed(table.limit(0))
+    tags = CAT.document_tags(spark, SF)
+    tagged = S.tag(spark, CAT.fx_corpus(spark, SF), out, tags=tags, vocabulary=table).table
+    names = list(safe_names(listed(table)).values())
+    assert names == ["VERB", "nsubj", "NOUN", "noun_2"] and [c for c in tagged.columns if c in safe_names().values() or c in names] == names
+    assert tagged.agg(F.sum(F.col("VERB").cast("long"))).first()[0] > 0 == tagged.agg(F.sum(F.col("noun_2").cast("long"))).first()[0]
