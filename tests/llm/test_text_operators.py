@@ -375,10 +375,49 @@ def test_frequent_phrases_under_different_lead_ins(spark, monkeypatch, block):
     rng.shuffle(texts)
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {(r["doc_id"], q) for r in suffix_dedup.report(docs).collect() for q in range(r["begin"], r["finish"])}
-    periodic = {i for i, t in enumerate(texts) if unit in t}  # a text's own overlapping copies are no repeats
-    assert {g for g in got if g[0] not in periodic} == {w for w in _long_repeats(texts, 50) if w[0] not in periodic}
-    first, last = sorted(periodic)
-    assert {(last, q) for q in range(len(texts[last].split())) if unit.split()[0] == texts[last].split()[q]} <= got
+    assert got == {(i, q) for i, b, f, _, _ in _passages(dict(enumerate(texts)), 50) for q in range(b, f)}
+
+
+def _passages(texts, n):
+    """(id, begin, finish, kept_id, kept_begin) by brute force over ``texts`` (id: text), by the definition in the module's docstring."""
+    first, seen, out = {}, {}, set()
+    for i in sorted(texts):
+        ws = texts[i].split()
+        if (same := first.setdefault(texts[i], i)) != i:
+            if len(ws) >= n:
+                out.add((i, 0, len(ws), same, 0))
+            continue
+        now = None
+        for p in range(len(ws) - n + 1):
+            j, q = seen.setdefault(tuple(ws[p:p + n]), (i, p))
+            if j == i and p - q < n:
+                continue
+            if now and p <= now[1]:
+                now[1] = p + n
+            else:
+                out |= {(i, *now)} if now else set()
+                now = [p, p + n, j, q]
+        out |= {(i, *now)} if now else set()
+    return out
+
+
+@pytest.mark.parametrize("block, parts", [(50_000, 1), (50_000, 64), (40, 4), (7, 16)])
+def test_one_result_at_any_number_of_blocks(spark, mid, monkeypatch, block, parts):
+    """Passages and the places where they stay equal brute force, however the sorted suffixes are cut up; also in texts that repeat themselves."""
+    monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+    rng = random.Random(15)
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{mid}/documents.parquet").select("doc_id", "text").collect()}
+    phrase, top = words(rng, 35), max(texts)
+    for k, unit in enumerate(words(rng, size) for size in (1, 3, 7, 23, 49, 50, 51, 90)):
+        texts[top + 2 * k + 1] = f"{words(rng, 10 * k)} {' '.join([unit] * 40)} {words(rng, 60)}"
+        texts[top + 2 * k + 2] = f"{words(rng, 12)} {' '.join([unit] * 25)} {phrase} {' '.join([unit] * 9)}"
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+        got = {tuple(r) for r in suffix_dedup.report(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert got == _passages({i: t or "" for i, t in texts.items()}, 50)
 
 
 # --- decontamination -----------------------------------------------------------------------------
