@@ -15,6 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parlance.functions import metadata as M
+from parlance.sinks.observed import Counted, Observed
+
+TARGETS = ("psychs", "open", "diary")
+OUTCOMES = (*TARGETS, "not_found", "unknown_type")
 
 
 def route(table: DataFrame, mode: str = "type_first", name_col: str = "file_name",
@@ -43,6 +47,11 @@ def split_counts(routed: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def counted_splits(routed: DataFrame) -> Counted:
+    """F10 taken from the write of ``routed`` itself: its rows with ``target`` named ``unknown`` where no split takes them."""
+    return Counted(routed.withColumn("target", F.coalesce("target", F.lit("unknown"))), "target", (*TARGETS, "unknown"), "n_rows")
+
+
 def last_per_name(files: DataFrame) -> DataFrame:
     """Of several files with one base name the last by path (the one that would overwrite the others): ``file_id, file_name, dir, path``."""
     return files.groupBy("file_name").agg(F.max_by(F.struct("file_id", "dir", "path"), "path").alias("f")) \
@@ -98,6 +107,11 @@ def copy_summary(flat: DataFrame) -> DataFrame:
                                        F.sum("duplicates").alias("duplicate_rows"))
 
 
+def counted_copies(flat: DataFrame) -> Counted:
+    """F11 taken from the write of ``flat`` itself."""
+    return Counted(flat, "outcome", OUTCOMES, "n_files", {"duplicate_rows": "duplicates"})
+
+
 def missing_files(table: DataFrame, index: DataFrame, name_col: str = "file_name") -> DataFrame:
     """Distinct names of the table without a source file (by base name)."""
     names = table.select(M.basename(name_col).alias("name")).where(F.col("name").isNotNull())
@@ -183,12 +197,28 @@ def moves(plan: DataFrame) -> DataFrame:
 def accuracy(verdict: DataFrame) -> DataFrame:
     """processed, matched, mismatched, parse failures, accuracy (NULL when
     nothing was processed)."""
-    return verdict.agg(
-        F.count(F.lit(1)).alias("processed"),
-        F.count_if(F.col("verdict") == "match").cast("bigint").alias("matched"),
-        F.count_if(F.col("verdict") == "mismatch").cast("bigint").alias("mismatched"),
-        F.count_if(F.col("verdict") == "parse_failure").cast("bigint").alias("parse_failures")).select(
-        "*", F.try_divide(F.col("matched").cast("double"), F.col("processed").cast("double")).alias("accuracy"))
+    return verdict.agg(*[a.alias(name) for name, a in _verdict_counts().items()]).select("*", _ratio())
+
+
+def _verdict_counts() -> dict:
+    named = {"matched": "match", "mismatched": "mismatch", "parse_failures": "parse_failure"}
+    return {"processed": F.count(F.lit(1))} | {name: F.count_if(F.col("verdict") == v).cast("bigint") for name, v in named.items()}
+
+
+def _ratio():
+    return F.try_divide(F.col("matched").cast("double"), F.col("processed").cast("double")).alias("accuracy")
+
+
+def counted_verdicts(verdict: DataFrame) -> Observed:
+    """F9's counts taken from the write of ``verdict`` itself; ``observed_accuracy`` makes the row."""
+    return Observed(verdict, _verdict_counts())
+
+
+def observed_accuracy(counted: Observed) -> DataFrame:
+    """F9 of verdicts that have been written."""
+    got, names = counted.get(), list(_verdict_counts())
+    rows = counted.df.sparkSession.createDataFrame([tuple(got.get(n, 0) for n in names)], ", ".join(f"{n} bigint" for n in names))
+    return rows.select("*", _ratio())
 
 
 def first_n_per_language(files: DataFrame, n: int, lang_col: str = "language",

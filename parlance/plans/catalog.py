@@ -777,6 +777,25 @@ def q_table_versions(spark, sf_dir):
         for v in TV.versions(spark, path)])
 
 
+@register("write_summaries")
+def q_write_summaries(spark, sf_dir):
+    """F9-F11 observed on the writes of the verdicts, the split rows and the flat copy; no second job counts them."""
+    path = f"{ensure_checkpoint_dir(spark)}/summaries-{uuid.uuid4().hex}"
+    disk, table = lookup_scenario(spark, sf_dir)
+    copies = V.counted_copies(V.flat_by_type(table, V.file_index(disk), mode="diary_first", normalized=True))
+    splits = V.counted_splits(V.route(fx_table(spark, sf_dir), "type_first"))
+    verdicts = V.counted_verdicts(_verdicts(spark, sf_dir))
+    for name, counted in (("copies", copies), ("splits", splits), ("verdicts", verdicts)):
+        counted.df.write.parquet(f"{path}/{name}")
+    none = F.lit(None).cast("bigint").alias("duplicate_rows")
+    tried = V.observed_accuracy(verdicts)
+    return reduce(DataFrame.unionByName, [
+        copies.table().select(F.lit("copies").alias("summary"), F.col("outcome").alias("value"), F.col("n_files").alias("n"), "duplicate_rows"),
+        splits.table().select(F.lit("splits").alias("summary"), F.col("target").alias("value"), F.col("n_rows").alias("n"), none),
+        *[tried.select(F.lit("verdicts").alias("summary"), F.lit(c).alias("value"), F.col(c).alias("n"), none)
+          for c in ("processed", "matched", "mismatched", "parse_failures")]])
+
+
 @register("splits_corrected")
 def q_splits_corrected(spark, sf_dir):
     """Split tables re-routed after correction (written to a new path by the sink)."""

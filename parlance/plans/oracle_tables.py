@@ -313,6 +313,15 @@ UNION ALL
 SELECT 2, t.row_index, coalesce(f.new_filename, t.file_name), t.speaker_role, coalesce(f.new_type, t.interview_type)
 FROM fx_table t LEFT JOIN fixes2 f ON f.filename = t.file_name"""
 
+ORACLE["write_summaries"] = f"""
+WITH a AS ({ORACLE["accuracy"]}), c AS ({ORACLE["copy_summary"]}), s AS ({ORACLE["split_counts"]})
+SELECT 'copies' AS summary, outcome AS value, n_files AS n, CAST(duplicate_rows AS BIGINT) AS duplicate_rows FROM c
+UNION ALL SELECT 'splits', target, n_rows, NULL FROM s
+UNION ALL SELECT 'verdicts', 'processed', processed, NULL FROM a
+UNION ALL SELECT 'verdicts', 'matched', matched, NULL FROM a
+UNION ALL SELECT 'verdicts', 'mismatched', mismatched, NULL FROM a
+UNION ALL SELECT 'verdicts', 'parse_failures', parse_failures, NULL FROM a"""
+
 ORACLE["splits_corrected"] = VERIFY_BASE + f""",
 splits AS (SELECT *, {ROUTE_CLI} AS target FROM fx_table)
 SELECT s.row_index, coalesce(f.new_filename, s.file_name) AS file_name,

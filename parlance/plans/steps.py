@@ -200,32 +200,40 @@ class Verified:
     verdicts: DataFrame
     mismatches: DataFrame
     accuracy: DataFrame
+    copies: DataFrame | None = None   # F11 of the flat copy
+    splits: DataFrame | None = None   # F10 of the split tables
 
 
 def verify(spark: SparkSession, table: DataFrame, corpus: Corpus, out_dir: str, predict_types=None,
            thinking: str | None = None, mode: str = "cli", type_answers=None) -> Verified:
     """L2: flat copy by type (B10), split tables (B8), units (F8/E9),
     predictions (K4, checkpointed), mismatches (E13/J5 -> B7), accuracy (F9).
+    The summaries (F9-F11) are observed on the writes; the verdicts are written once and read from there.
 
     ``mode="misc"`` is the stand-alone variant (L2b): no flat copy or splits,
     participant rows with an OPEN / PSYCHS label only (D-5), file lookup by
     base name then normalised name, mismatch rows matched by base name.
     ``type_answers`` is a table or ``Ledger`` of type answers."""
     index = V.file_index(corpus.files)
+    copies = splits = None
     if mode == "cli":
-        flat = V.flat_by_type(table, index, mode="type_first", normalized=False)
-        W.write_table(flat, os.path.join(out_dir, "flat_by_type"))
-        W.write_splits(V.route(table, "type_first"), os.path.join(out_dir, "splits"), os.path.join(out_dir, "unrouted"))
+        copies = V.counted_copies(V.flat_by_type(table, index, mode="type_first", normalized=False))
+        W.write_table(copies.df, os.path.join(out_dir, "flat_by_type"))
+        splits = V.counted_splits(V.route(table, "type_first"))
+        routed = splits.df.withColumn("target", F.expr("nullif(target, 'unknown')"))
+        W.write_splits(routed, os.path.join(out_dir, "splits"), os.path.join(out_dir, "unrouted"))
     units = V.verification_units(table, index, mode=mode)
     raw = L.raw_lines(corpus.chunks.join(
         corpus.files.join(units.select(F.col("source_path").alias("path")), "path", "left_semi")
         .select("file_id"), "file_id", "left_semi"))
     preds = MD.predict_types(raw, predict_types, thinking=thinking, answers=type_answers)
     preds = _persist(preds.join(corpus.files.select("file_id", F.col("path").alias("source_path")), "file_id"))
-    verdict = V.verdicts(units, preds)
+    counted = V.counted_verdicts(V.verdicts(units, preds))
+    W.write_table(counted.df, os.path.join(out_dir, "verdicts"))
+    verdict = spark.read.parquet(os.path.join(out_dir, "verdicts"))
     mism = V.mismatch_rows(table, verdict, by_basename=(mode == "misc"))
     W.write_mismatches(mism, os.path.join(out_dir, "mismatches_csv"))
-    return Verified(verdict, mism, V.accuracy(verdict))
+    return Verified(verdict, mism, V.observed_accuracy(counted), copies and copies.table(), splits and splits.table())
 
 
 # --- L3: fix --------------------------------------------------------------------------------------
@@ -261,9 +269,9 @@ def fix(spark: SparkSession, mismatches: DataFrame, table: DataFrame | str, out_
 
 def organize_flat(spark: SparkSession, table: DataFrame, corpus: Corpus, out_dir: str) -> DataFrame:
     """L4: each named transcript once into its type folder (diary first), with a summary."""
-    flat = V.flat_by_type(table, V.file_index(corpus.files), mode="diary_first", normalized=True)
-    W.write_table(flat, os.path.join(out_dir, "flat"))
-    return V.copy_summary(flat)
+    counted = V.counted_copies(V.flat_by_type(table, V.file_index(corpus.files), mode="diary_first", normalized=True))
+    W.write_table(counted.df, os.path.join(out_dir, "flat"))
+    return counted.table()
 
 
 def clean(spark: SparkSession, corpus: Corpus, out_dir: str | None = None, dry_run: bool = False) -> DataFrame:
