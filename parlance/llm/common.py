@@ -42,8 +42,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     """(text, y) of about ``most`` labelled rows, picked by a hash of the id among those that ``keep`` allows.
 
     Only the ids and labels of the sample, at most ``2 * most`` rows, are broadcast, so the texts of
-    ``docs`` are not shuffled.  Several labels of one id are averaged (1 from one half on); null ids and
-    null labels take no part.
+    ``docs`` are not shuffled.  Several labels of one id are averaged (1 from one half on), of several texts of one id
+    the least takes part; null ids and null labels take no part.
     """
     known = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & keep)
              .groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("y")))
@@ -51,7 +51,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep: Column
     share = int(1_000_000 * min(1.0, most / max(n, 1)))
     picked = (known.withColumn("h", F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)))
               .filter(F.col("h") < share).orderBy("h", "doc_id").limit(2 * most).select("doc_id", "y"))
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "y")
+    return (docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+            .groupBy("doc_id", "y").agg(F.min("text").alias("text")).select("doc_id", "text", "y"))
 
 
 def fitted(sample: DataFrame, train: Callable[[list[str], np.ndarray], dict[str, np.ndarray]]) -> dict[str, np.ndarray]:

@@ -151,10 +151,8 @@ def regions(docs: DataFrame, known: DataFrame, masks: tuple[str, ...]) -> DataFr
     return durable(made.withColumn("region", F.monotonically_increasing_id()))
 
 
-def find(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float = 0.8, shortest: int = SHORTEST) -> DataFrame:
-    """Verified overlaps (doc_id, text_key, item_id, start, item_start, length, matches), in words."""
-    known, numbered, masks = benchmark_seeds(items, shortest)
-    found = regions(docs, known, masks)
+def agreeing(found: DataFrame, known: DataFrame, numbered: DataFrame, min_words: int, identity: float) -> DataFrame:
+    """The regions laid beside the items whose seeds they hold, where they agree: (doc_id, text_key, item_id, shift, begin, same)."""
     hits = found.select("region", F.explode("hits").alias("h")).select("region", "h.at", "h.mask", "h.seed")
     lines = hits.join(known, ["mask", "seed"]).select("region", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
 
@@ -175,6 +173,17 @@ def find(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float
             types = [pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["doc_id", "text_key", "item_id", "shift", "begin", "same"])
 
+    beside = (lines.join(found.select("region", "doc_id", "text_key", "first", "words"), "region").join(numbered.withColumnRenamed("words", "all"), "item")
+              .withColumn("item_first", F.col("first") - F.col("shift"))
+              .select("doc_id", "text_key", "first", "words", "item_id", "item_first", F.size("all").alias("item_size"),
+                      F.slice("all", F.greatest(F.col("item_first"), F.lit(0)) + 1, F.size("words")).alias("mine")))
+    return beside.mapInArrow(verify, "doc_id long, text_key string, item_id string, shift int, begin int, same binary")
+
+
+def find(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float = 0.8, shortest: int = SHORTEST) -> DataFrame:
+    """Verified overlaps (doc_id, text_key, item_id, start, item_start, length, matches), in words."""
+    known, numbered, masks = benchmark_seeds(items, shortest)
+
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             row, spans = [], []
@@ -188,17 +197,22 @@ def find(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float
             yield pa.RecordBatch.from_arrays([*kept, *[pa.array([x[j] for x in spans], pa.int32()) for j in range(4)]],
                                              ["doc_id", "text_key", "item_id", "start", "item_start", "length", "matches"])
 
-    beside = (lines.join(found.select("region", "doc_id", "text_key", "first", "words"), "region").join(numbered.withColumnRenamed("words", "all"), "item")
-              .withColumn("item_first", F.col("first") - F.col("shift"))
-              .select("doc_id", "text_key", "first", "words", "item_id", "item_first", F.size("all").alias("item_size"),
-                      F.slice("all", F.greatest(F.col("item_first"), F.lit(0)) + 1, F.size("words")).alias("mine")))
-    out = beside.mapInArrow(verify, "doc_id long, text_key string, item_id string, shift int, begin int, same binary")
+    out = agreeing(regions(docs, known, masks), known, numbered, min_words, identity)
     # Neighbouring regions overlap: those of a text and an item along one shift are one stretch.
     grouped = out.groupBy("doc_id", "text_key", "item_id", "shift").agg(F.collect_set(F.struct("begin", "same")).alias("parts"))
     return grouped.mapInArrow(join, "doc_id long, text_key string, item_id string, start int, item_start int, length int, matches int")
 
 
 def clean(docs: DataFrame, items: DataFrame, min_words: int = 13, identity: float = 0.8, shortest: int = SHORTEST) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has no verified overlap."""
-    bad = durable(find(docs, items, min_words, identity, shortest).select("text_key").distinct())
+    """The rows of ``docs``, all columns, whose text has no verified overlap.
+
+    One overlap is enough, so each seed first meets one of the items that hold it, and only texts without an overlap there meet them
+    all: texts that share a whole template with many items cost one item each.
+    """
+    known, numbered, masks = benchmark_seeds(items, shortest)
+    found = regions(docs, known, masks)
+    one = known.groupBy("mask", "seed").agg(F.min(F.struct("item", "item_at")).alias("one")).select("mask", "seed", "one.*")
+    first = durable(agreeing(found, one, numbered, min_words, identity).select("text_key").distinct())
+    rest = agreeing(found.join(first, "text_key", "left_anti"), known, numbered, min_words, identity)
+    bad = durable(first.union(rest.select("text_key").distinct()))
     return docs.join(bad, F.md5(F.coalesce(docs["text"].cast("string"), F.lit(""))) == bad["text_key"], "left_anti")

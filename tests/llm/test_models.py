@@ -190,6 +190,15 @@ def test_toxicity_finds_insults_anywhere_in_a_text():
     assert ((s >= 0.7) == test).mean() >= 0.95
 
 
+def test_sample_takes_one_text_of_an_id(spark):
+    from pyspark.sql import functions as F
+    from parlance.llm.common import labelled_sample
+    docs = spark.createDataFrame([(i % 20, f"t{i:04}") for i in range(2000)] + [(None, "x"), (50, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)] + [(50, 1), (None, 1), (3, None)], "doc_id long, quality int")
+    got = {tuple(r) for r in labelled_sample(docs, labels, "quality", F.lit(True), 100).collect()}
+    assert got == {(i, f"t{i:04}", i % 2) for i in range(20)} | {(50, None, 1)}
+
+
 def test_classifier_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, None, 0), (3, 1, 0), (None, 1, 1), (77, 1, 1)], "doc_id long, quality int, toxic int")
     for make, mod, label in ((queries.quality_model, quality, "quality"), (queries.toxicity_model, toxicity, "toxic")):

@@ -466,6 +466,19 @@ def test_short_items_with_every_substitution(spark):
     assert {r["doc_id"] for r in decontamination.find(docs, bench, shortest=1).collect()} == set(range(len(texts)))
 
 
+def test_clean_with_templates_of_many_items(spark):
+    """A whole template in texts and items; a template too short to count, where an overlap is with one of its many items only."""
+    rng = random.Random(23)
+    long, short = words(rng, 14), words(rng, 8)
+    tails = [words(rng, 20) for _ in range(60)]
+    bench = spark.createDataFrame([(str(i), f"{(long, short)[i % 2]} {t}") for i, t in enumerate(tails)], "item_id string, text string")
+    texts = [f"{words(rng, 30)} {long} {words(rng, 30)}" for _ in range(200)] + [f"{words(rng, 30)} {short} {words(rng, 30)}" for _ in range(200)]
+    texts += [f"{words(rng, 30)} {short} {t} {words(rng, 30)}" for t in tails[1::2]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in decontamination.clean(docs, bench).collect()}
+    assert kept == set(range(200, 400)) == set(range(len(texts))) - {r["doc_id"] for r in decontamination.find(docs, bench).select("doc_id").distinct().collect()}
+
+
 def test_a_long_overlap_is_one_span(spark):
     rng = random.Random(23)
     item = words(rng, 1500).split()
