@@ -99,10 +99,14 @@ def relabel_line(raw: Column | str, label: Column | str, new_label: Column | str
     return F.concat(new, F.lit(":"), tail)
 
 
+def pieces(text: Column | str) -> Column:
+    """Lower-case, delete non-word non-space characters, split on whitespace; the first and last piece may be empty."""
+    return F.split(F.regexp_replace(F.lower(_c(text)), NON_WORD, ""), f"{WS}+")
+
+
 def words(text: Column | str) -> Column:
-    """Lower-case, delete non-word non-space characters, split on whitespace."""
-    cleaned = F.regexp_replace(F.lower(_c(text)), NON_WORD, "")
-    return F.filter(F.split(cleaned, f"{WS}+"), lambda w: w != F.lit(""))
+    """The pieces that are not empty."""
+    return F.filter(pieces(text), lambda w: w != F.lit(""))
 
 
 def sentences(text: Column | str) -> Column:

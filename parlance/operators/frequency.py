@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from parlance.functions.metadata import is_diary, language_from_path
-from parlance.functions.text import words
+from parlance.functions.text import pieces, words
 
 LOG_SCALE = 10000
 
@@ -44,8 +44,8 @@ def scaled_log10(cnt) -> F.Column:
 
 
 def corpus_word_counts(texts: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``lang, word, cnt`` over whole texts (partial aggregation absorbs hot words)."""
-    return (texts.select(F.col(lang_col).alias("lang"), F.explode(words(text_col)).alias("word"))
+    """``lang, word, cnt`` over whole texts (partial aggregation absorbs hot words); empty pieces go after the explode, in generated code."""
+    return (texts.select(F.col(lang_col).alias("lang"), F.explode(pieces(text_col)).alias("word")).where("word != ''")
             .groupBy("lang", "word").agg(F.count(F.lit(1)).alias("cnt")))
 
 

@@ -2,7 +2,8 @@
 
 A line gives its words and one further row (itself, and its sentences).  These are counted by ``(file, speaker, word)`` before
 anything is joined, so that the lexicon is met once for each distinct word of a speaker, not for each token; a word's tags and
-its frequency then count as often as the word was said.  Tags, sentences, words, presence and frequencies become rows ``unit, tag,
+its frequency then count as often as the word was said.  The joined words are summed up by speaker and row of tags, so that features are
+read out of a row of tags once a speaker, not once a word.  Tags, sentences, words, presence and frequencies then become rows ``unit, tag,
 cnt`` of one stream, which one aggregate by ``(file, unit, tag)`` sums up; the wide table is a lookup in each file's few sums.
 
 Joins carry no hint and no salt: the word join is a plain shuffle join on ``(lang, word)`` with nothing between its exchange and the next, so
@@ -76,19 +77,27 @@ def unit_stream(lines: DataFrame, files: DataFrame, langs: DataFrame, known: Dat
     ``#line``).  ``#value`` is in ``cnt`` for whole-number lexicons (``lg_e4``), else in ``val``.
     """
     j = _joined(lines, files, langs, known, diary_mode)
-    unit, none, no_value = role(F.col("diary"), F.col("speaker")), F.lit(0).cast("bigint"), F.lit(None).cast("double")
+    values = [c for c in ("lg_e4", "log_frequency") if c in known.columns]
+    tags = ["upos", "xpos", "deprel", "feats"] if "upos" in known.columns else []
+    if tags:
+        j = j.withColumn("upos", F.coalesce("upos", F.lit("X")))
+    sums = [F.sum(m).alias(m) for m in ("lines", "sents", "tagged")]
+    for value in values:
+        found, total = F.when(F.col(value).isNotNull(), F.col("heard")), F.col("heard") * F.col(value)
+        worth = F.sum(F.when(total.cast("bigint") > 0, total.cast("bigint"))) if value == "lg_e4" else F.sum(total.cast("double"))
+        sums += [F.sum(found).alias(f"found_{value}"), worth.alias(f"worth_{value}")]
+    j = j.groupBy("file_id", "lang", "diary", "speaker", *tags).agg(*sums)
+    unit, no_value = role(F.col("diary"), F.col("speaker")), F.lit(None).cast("double")
 
     def entry(u: Column, tag: Column | str, cnt: Column, val: Column = no_value) -> Column:
         return F.struct(u.alias("unit"), (F.lit(tag) if isinstance(tag, str) else tag).alias("tag"), cnt.alias("cnt"), val.alias("val"))
 
     out = [F.array(entry(unit, LINE, F.col("lines")), entry(unit, SENT, F.col("sents")), entry(unit, WORD, F.col("tagged")), entry(F.col("speaker"), LINE, F.col("lines")))]
-    if "upos" in known.columns:
-        j = j.withColumn("upos", F.coalesce("upos", F.lit("X")))
+    if tags:
         out.append(F.transform(F.when(F.col("tagged") > 0, token_slots()).otherwise(F.array()), lambda t: entry(unit, t, F.col("tagged"))))
-    for value in [c for c in ("lg_e4", "log_frequency") if c in known.columns]:
-        found = F.when(F.col(value).isNotNull(), F.col("heard")).otherwise(none)
-        total = F.col("heard") * F.col(value)
-        worth = entry(F.lit(ALL), VALUE, total.cast("bigint")) if value == "lg_e4" else entry(F.lit(ALL), VALUE, found, total.cast("double"))
+    for value in values:
+        found, total = F.col(f"found_{value}"), F.col(f"worth_{value}")
+        worth = entry(F.lit(ALL), VALUE, total) if value == "lg_e4" else entry(F.lit(ALL), VALUE, found, total)
         everybody = F.array(entry(F.lit(ALL), FOUND, found), worth)
         out += [everybody, F.transform(everybody, lambda e: entry(F.col("speaker"), e["tag"], e["cnt"], e["val"]))]
     keep = F.col("e.tag").isin(*(vocabulary or vocab()), SENT, WORD, LINE, FOUND, VALUE)  # InSet: a hash lookup, before the shuffle
