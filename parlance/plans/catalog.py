@@ -431,10 +431,10 @@ def fx_tokens(spark, sf_dir):
     return T.annotate(_tagging_units(lines, corpus.files, langs), tags=tags)
 
 
-def fx_stream(spark, sf_dir, vocabulary=None):
+def fx_stream(spark, sf_dir, vocabulary=None, known=None):
     """Files, their tagger languages and the stream of all that is counted about them (``operators.units``)."""
     corpus, lines = fx_spoken(spark, sf_dir)
-    known = document_tags(spark, sf_dir)
+    known = known or document_tags(spark, sf_dir)
     langs = tagger_languages(corpus, lines, known)
     ok = langs.where(F.col("tagger").isNotNull()).select("file_id", F.col("tagger").alias("lang"))
     return corpus, langs, U.unit_stream(lines, corpus.files, ok, known, vocabulary), known
@@ -483,10 +483,11 @@ def q_tally_vocabulary(spark, sf_dir):
     """A5: long tag counts by a caller's own vocabulary, a file of one tag a line with repeats and blank lines (here the
     language-specific tags and relations of the tag lexicon)."""
     path = f"{ensure_checkpoint_dir(spark)}/vocabulary-{uuid.uuid4().hex}"
-    used = document_tags(spark, sf_dir).select(F.explode(F.array("xpos", "deprel")).alias("value")).distinct()
+    known = document_tags(spark, sf_dir)
+    used = known.select(F.explode(F.array("xpos", "deprel")).alias("value")).distinct()
     lines = used.unionByName(used).unionByName(spark.range(3).select(F.get(F.array(F.lit("X"), F.lit(""), F.lit("  ")), "id").alias("value")))
     lines.write.text(path)
-    counts = U.unit_counts(fx_stream(spark, sf_dir, listed(read_vocab(spark, path)))[2])
+    counts = U.unit_counts(fx_stream(spark, sf_dir, listed(read_vocab(spark, path)), known)[2])
     return T.tally_and_sentences(counts)[0].withColumnRenamed("file_id", "conv_id")
 
 
